@@ -42,7 +42,7 @@ def _of_last(function: Callable[[Column], Column]) -> Hook:
 
 copy = _of_last(lambda c: c)
 copy_decode = _of_last(text.percent_decode)
-copy_decode_utf8 = _of_last(lambda c: text.transcode(text.percent_decode(c)))
+copy_decode_utf8 = _of_last(text.decode_transcode)
 copy_kv_map = _of_last(text.kv_string_to_map)
 clean_visitor_id = _of_last(text.visitor_id_clean)
 
@@ -86,13 +86,10 @@ def ip_geo(lookup: Column) -> Hook:
     return hook
 
 
-def _params(params: Column, quirks: bool) -> Column:
-    pairs = text.pairs_to_map(params, "&")
-    return pairs if quirks else F.when(F.length(params) > 0, pairs).otherwise(text.empty_map())
-
-
-def _params_text(url: Column) -> Column:
-    return F.split_part(url, F.lit("?"), F.lit(2))
+def _params(url: str, quirks: bool) -> Column:
+    params = f"split_part({url}, '?', 2)"
+    pairs = text.pairs_to_map_sql(params, "&")
+    return F.expr(pairs if quirks else f"case when length({params}) > 0 then {pairs} else {text.EMPTY_MAP} end")
 
 
 def url_split(quirks: bool = False, query_param: str = "word", host: str = "host", url: str = "url") -> Hook:
@@ -104,15 +101,15 @@ def url_split(quirks: bool = False, query_param: str = "word", host: str = "host
     phrase = rf"(?s)^(?:.*&)?\Q{query_param}\E(?:=([^&=]*)[^&]*)?(?:&.*)?$"
 
     def hook(ins: Ins, outs: Sequence[str]) -> dict[str, Column]:
-        h, u = (F.coalesce(ins[n], F.lit("")) for n in (host, url))
-        params = _params_text(u)
-        found = text.from_carrier(F.regexp_extract(text.to_carrier(params), phrase, 1))
+        h, u = (f"coalesce({text.sql_of(ins[n])}, '')" for n in (host, url))
+        params = f"split_part({u}, '?', 2)"
+        found = text.from_carrier_sql(f"regexp_extract({text.to_carrier_sql(params)}, r'{phrase}', 1)")
         return {
-            "event_url": F.concat(h, u),
-            "event_url_hostname": h,
-            "event_urlpath": F.substring_index(u, "?", 1),
-            "event_urlparamsmap": _params(params, quirks),
-            "event_query": F.when(F.contains(params, F.lit(query_param)), found).otherwise(""),
+            "event_url": F.expr(f"concat({h}, {u})"),
+            "event_url_hostname": F.expr(h),
+            "event_urlpath": F.expr(f"substring_index({u}, '?', 1)"),
+            "event_urlparamsmap": _params(u, quirks),
+            "event_query": F.expr(f"case when contains({params}, '{query_param}') then {found} else '' end"),
         }
 
     return hook
@@ -122,15 +119,15 @@ def referer_split(quirks: bool = False, referer: str = "refer") -> Hook:
     """Referer, its path, parameters and host; ``quirks`` leaves path and host empty."""
 
     def hook(ins: Ins, outs: Sequence[str]) -> dict[str, Column]:
-        r = F.coalesce(ins[referer], F.lit(""))
+        r = f"coalesce({text.sql_of(ins[referer])}, '')"
 
         def part(name: str) -> Column:
-            return F.lit("") if quirks else F.coalesce(F.try_parse_url(r, F.lit(name)), F.lit(""))
+            return F.lit("") if quirks else F.expr(f"coalesce(try_parse_url({r}, '{name}'), '')")
 
         return {
-            "event_referer": r,
+            "event_referer": F.expr(r),
             "event_refererpath": part("PATH"),
-            "event_refererparamsmap": _params(_params_text(r), quirks),
+            "event_refererparamsmap": _params(r, quirks),
             "event_referer_hostname": part("HOST"),
         }
 

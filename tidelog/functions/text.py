@@ -5,21 +5,37 @@ are not valid UTF-8, and they stay untouched until ``transcode`` turns them into
 text.  Java-string based expressions (``split``, regular expressions) would
 damage such bytes, so they only ever see valid UTF-8 or a *carrier*: the same
 bytes read as ISO-8859-1, one character per byte.
+
+The functions take a column by name, a plain column, or SQL text such as
+``fields['url']``.  They are put together as SQL text (the ``*_sql`` functions):
+a long expression then costs the driver one call and not one per node.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+Sql = Callable[[str], str]
+
 _REST = 1 << 30  # "up to the end" for slice
-_NOT_AN_ESCAPE = r"%(?![0-9A-Fa-f]{2})"
-_HIGH_ESCAPE = r"%[89A-Fa-f][0-9A-Fa-f]"
-_REPLACEMENT = "\ufffd"
-BLANKS = " \t\n\r\0\x0b"
+_NOT_AN_ESCAPE = "r'%(?![0-9A-Fa-f]{2})'"
+_HIGH_ESCAPE = "r'%[89A-Fa-f][0-9A-Fa-f]'"
+_BLANKS = r"' \t\n\r\u0000\u000b'"
+
+
+def sql_of(x: Column | str) -> str:
+    """SQL text of an argument: text itself, or the name of a plain column."""
+    if isinstance(x, str):
+        return x
+    name = re.fullmatch(r"Column<'(\w+)'>", str(x))
+    if name is None:
+        raise TypeError(f"select {x} under a name first, or give it as SQL text")
+    return name[1]
 
 
 @contextmanager
@@ -40,86 +56,85 @@ def java_charsets(spark: SparkSession):
             spark.conf.set(n, v)
 
 
-def to_carrier(c: Column) -> Column:
+def to_carrier_sql(x: str) -> str:
     """The bytes of a string, one ISO-8859-1 character each."""
-    return F.decode(c.cast("binary"), "ISO-8859-1")
+    return f"decode(cast({x} as binary), 'ISO-8859-1')"
 
 
-def from_carrier(c: Column) -> Column:
-    return F.encode(c, "ISO-8859-1").cast("string")
+def from_carrier_sql(x: str) -> str:
+    return f"cast(encode({x}, 'ISO-8859-1') as string)"
 
 
-def _decode_escapes(c: Column) -> Column:
+def bind_sql(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is computed once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def _decode_escapes_sql(x: str) -> str:
     """Decode any escapes, also those that form no valid UTF-8."""
-    text = F.regexp_replace(F.replace(to_carrier(c), F.lit("+"), F.lit(" ")), _NOT_AN_ESCAPE, "%25")
-    parts = F.split(text, "%")
+    text = f"regexp_replace(replace({to_carrier_sql(x)}, '+', ' '), {_NOT_AN_ESCAPE}, '%25')"
+    tail = (
+        f"transform(slice(pp, 2, {_REST}), p -> concat(substring(p, 1, 2),"
+        " hex(encode(substring(p, 3), 'ISO-8859-1'))))"
+    )
+    head = "hex(encode(get(pp, 0), 'ISO-8859-1'))"
+    return bind_sql(f"split({text}, '%')", "pp", f"cast(unhex(concat({head}, array_join({tail}, ''))) as string)")
 
-    def hexed(p: Column) -> Column:
-        return F.hex(F.encode(p, "ISO-8859-1"))
 
-    tail = F.transform(
-        F.slice(parts, 2, _REST),
-        lambda p: F.concat(F.substring(p, 1, 2), hexed(F.substring(p, 3, _REST))),
+def percent_decode_sql(x: str) -> str:
+    return (
+        f"case when not contains({x}, '%') then replace({x}, '+', ' ')"
+        f" when is_valid_utf8({x}) and not {x} rlike {_HIGH_ESCAPE}"
+        f" then url_decode(regexp_replace({x}, {_NOT_AN_ESCAPE}, '%25'))"
+        f" else {_decode_escapes_sql(x)} end"
     )
-    return F.unhex(F.concat(hexed(F.get(parts, F.lit(0))), F.array_join(tail, ""))).cast("string")
 
 
-def percent_decode(c: Column) -> Column:
+def percent_decode(x: Column | str) -> Column:
     """Percent-decode byte by byte; ``+`` is a space, a malformed ``%`` stays."""
-    plain = F.url_decode(F.regexp_replace(c, _NOT_AN_ESCAPE, "%25"))
+    return F.expr(percent_decode_sql(sql_of(x)))
+
+
+def transcode_sql(x: str, charset: str = "GBK") -> str:
     return (
-        F.when(~F.contains(c, F.lit("%")), F.replace(c, F.lit("+"), F.lit(" ")))
-        .when(F.is_valid_utf8(c) & ~c.rlike(_HIGH_ESCAPE), plain)
-        .otherwise(_decode_escapes(c))
+        f"case when is_valid_utf8({x}) and octet_length({x}) = char_length({x}) then {x}"
+        f" else replace(decode(cast({x} as binary), '{charset}'), '\\ufffd', '?') end"
     )
 
 
-def transcode(c: Column, charset: str = "GBK") -> Column:
+def transcode(x: Column | str, charset: str = "GBK") -> Column:
     """Bytes in ``charset`` to UTF-8 text; undecodable bytes become ``?``.
 
     Select it within :func:`java_charsets` (``apply_rules`` does).
     """
-    decoded = F.replace(F.decode(c.cast("binary"), charset), F.lit(_REPLACEMENT), F.lit("?"))
-    ascii_only = F.is_valid_utf8(c) & (F.octet_length(c) == F.char_length(c))
-    return F.when(ascii_only, c).otherwise(decoded)
+    return F.expr(transcode_sql(sql_of(x), charset))
+
 
+def decode_transcode(x: Column | str, charset: str = "GBK") -> Column:
+    return F.expr(bind_sql(percent_decode_sql(sql_of(x)), "d", transcode_sql("d", charset)))
 
-def escape_invalid(c: Column) -> Column:
+
+def escape_invalid(x: Column | str) -> Column:
     """Percent-escape the high bytes of a line that is not valid UTF-8."""
-    escaped = F.array_join(
-        F.transform(
-            F.split(to_carrier(c), ""),
-            lambda ch: F.when(ch > F.lit("\x7f"), F.concat(F.lit("%"), F.hex(F.encode(ch, "ISO-8859-1")))).otherwise(ch),
-        ),
-        "",
+    x = sql_of(x)
+    return F.expr(
+        f"case when is_valid_utf8({x}) then {x} else array_join(transform(split({to_carrier_sql(x)}, ''),"
+        " c -> case when c > '\\u007f' then concat('%', hex(encode(c, 'ISO-8859-1'))) else c end), '') end"
     )
-    return F.when(F.is_valid_utf8(c), c).otherwise(escaped)
 
 
-def _last_wins(text: Column, sep: str) -> Column:
+def _last_wins_sql(x: str, sep: str) -> str:
     """Pairs with repeated keys: last value, first position, in O(n log n)."""
-    tokens = F.transform(
-        F.split(text, sep),
-        lambda t, i: F.struct(
-            F.substring_index(t, "=", 1).alias("k"),
-            i.alias("i"),
-            F.coalesce(F.get(F.split(t, "="), F.lit(1)), F.lit("")).alias("v"),
-        ),
+    token = "named_struct('k', substring_index(t, '=', 1), 'i', i, 'v', coalesce(get(split(t, '='), 1), ''))"
+    tokens = f"array_sort(transform(split({x}, '{sep}'), (t, i) -> {token}))"
+    merged = bind_sql(
+        tokens,
+        "o",
+        "zip_with(filter(o, (e, j) -> not (get(o, j - 1).k <=> e.k)),"
+        " filter(o, (e, j) -> not (get(o, j + 1).k <=> e.k)),"
+        " (a, z) -> named_struct('i', a.i, 'k', a.k, 'v', z.v))",
     )
-
-    def merge(o: Column) -> Column:
-        def run_edge(step: int):
-            return lambda x, i: ~F.get(o, i + F.lit(step))["k"].eqNullSafe(x["k"])
-
-        return F.zip_with(
-            F.filter(o, run_edge(-1)),
-            F.filter(o, run_edge(1)),
-            lambda first, last: F.struct(first["i"].alias("i"), first["k"].alias("k"), last["v"].alias("v")),
-        )
-
-    # the one-element array binds the sorted tokens once for the inner lambdas
-    merged = F.get(F.transform(F.array(F.array_sort(tokens)), merge), F.lit(0))
-    return F.map_from_entries(F.transform(F.array_sort(merged), lambda e: F.struct(e["k"], e["v"])))
+    return f"map_from_entries(transform(array_sort({merged}), e -> struct(e.k, e.v)))"
 
 
 def _session_keeps_last() -> bool:
@@ -128,85 +143,85 @@ def _session_keeps_last() -> bool:
     return policy.upper() == "LAST_WIN"
 
 
-def raw_pairs(text: Column, sep: str) -> Column:
+def raw_pairs_sql(x: str, sep: str) -> str:
     """``pairs_to_map`` for valid UTF-8, with bare tokens left NULL.
 
     Spark raises an error on repeated keys unless the session sets
     ``spark.sql.mapKeyDedupPolicy=LAST_WIN``.  Rows with repeated keys take
     another way then; the setting saves the look for them.
     """
-    one_equals = F.regexp_replace(text, f"(=[^{sep}=]*)=[^{sep}]*", "$1")
-    pairs = F.str_to_map(one_equals, F.lit(sep), F.lit("="))
+    pairs = f"str_to_map(regexp_replace({x}, '(=[^{sep}=]*)=[^{sep}]*', '$1'), '{sep}', '=')"
     if _session_keeps_last():
         return pairs
-    keys = F.split(F.regexp_replace(text, f"=[^{sep}]*", ""), sep)
-    unique = F.size(F.array_distinct(keys)) == F.size(keys)
-    return F.when(unique, pairs).otherwise(_last_wins(text, sep))
+    keys = f"split(regexp_replace({x}, '=[^{sep}]*', ''), '{sep}')"
+    return (
+        f"case when size(array_distinct({keys})) = size({keys}) then {pairs}"
+        f" else {_last_wins_sql(x, sep)} end"
+    )
+
+
+def map_values_sql(m: str, steps: Sequence[Sql]) -> str:
+    """Every value of a map taken through the steps, one after the other."""
+    for step in steps:
+        m = f"transform_values({m}, (k, v) -> {step('v')})"
+    return m
+
+
+def filled_sql(v: str) -> str:
+    return f"coalesce({v}, '')"
 
 
-def pairs_to_map(text: Column, sep: str, value: Callable[[Column], Column] | None = None) -> Column:
+def pairs_to_map_sql(x: str, sep: str, steps: Sequence[Sql] = ()) -> str:
+    as_text = map_values_sql(raw_pairs_sql(x, sep), [filled_sql, *steps])
+    carried = map_values_sql(raw_pairs_sql(to_carrier_sql(x), sep), [filled_sql, from_carrier_sql, *steps])
+    as_bytes = bind_sql(
+        carried,
+        "m",
+        f"map_from_arrays(transform(map_keys(m), q -> {from_carrier_sql('q')}), map_values(m))",
+    )
+    return f"case when is_valid_utf8({x}) then {as_text} when {x} is not null then {as_bytes} end"
+
+
+def pairs_to_map(x: Column | str, sep: str, steps: Sequence[Sql] = ()) -> Column:
     """``k=v<sep>k=v`` to an ordered map.
 
     The value is the piece between the first and the second ``=``; a bare token
     has an empty value; of repeated keys the last value stays, in the first
-    position.  ``value`` is applied to every value.
+    position.  ``steps`` are applied to every value.
     """
-    value = value or (lambda v: v)
-    as_text = F.transform_values(raw_pairs(text, sep), lambda k, v: value(F.coalesce(v, F.lit(""))))
-    carried = raw_pairs(to_carrier(text), sep)
-    as_bytes = F.map_from_arrays(
-        F.transform(F.map_keys(carried), from_carrier),
-        F.transform(F.map_values(carried), lambda v: value(from_carrier(F.coalesce(v, F.lit(""))))),
-    )
-    return F.when(F.is_valid_utf8(text), as_text).when(text.isNotNull(), as_bytes)
+    return F.expr(pairs_to_map_sql(sql_of(x), sep, steps))
 
 
-def empty_map() -> Column:
-    return F.create_map().cast("map<string,string>")
+EMPTY_MAP = "cast(map() as map<string,string>)"
 
 
-def kv_string_to_map(c: Column, charset: str = "GBK") -> Column:
+def kv_string_to_map(x: Column | str, charset: str = "GBK") -> Column:
     """``a='1' b='2'`` to a map, values unquoted, decoded and transcoded."""
-    text = F.btrim(c, F.lit(BLANKS))
-    return F.when(
-        F.length(text) > 0,
-        pairs_to_map(text, " ", lambda v: transcode(percent_decode(F.btrim(v, F.lit("'"))), charset)),
-    ).otherwise(empty_map())
+    text = f"btrim({sql_of(x)}, {_BLANKS})"
+    steps = (lambda v: f"""btrim({v}, "'")""", percent_decode_sql, lambda v: transcode_sql(v, charset))
+    return F.expr(f"case when length({text}) > 0 then {pairs_to_map_sql(text, ' ', steps)} else {EMPTY_MAP} end")
 
 
-def map_to_string(m: Column, sort_keys: bool = False) -> Column:
+def map_to_string(x: Column | str, sort_keys: bool = False) -> Column:
     """``k:v,k:v`` in map order, without escaping; a null value is empty."""
-    items = F.transform(
-        F.map_entries(m),
-        lambda e: F.concat(e["key"], F.lit(":"), F.coalesce(e["value"].cast("string"), F.lit(""))),
-    )
-    return F.array_join(F.array_sort(items) if sort_keys else items, ",")
+    items = f"transform(map_entries({sql_of(x)}), e -> concat(e.key, ':', coalesce(cast(e.value as string), '')))"
+    return F.expr(f"array_join({f'array_sort({items})' if sort_keys else items}, ',')")
 
 
-def string_to_map(c: Column) -> Column:
+def string_to_map(x: Column | str) -> Column:
     """Read ``k:v,k:v`` back; a repeated key keeps its last value."""
-    keys = F.transform(F.split(c, ","), lambda t: F.substring_index(t, ":", 1))
-    unique = F.size(F.array_distinct(keys)) == F.size(keys)
-    entries = F.transform(
-        F.split(c, ","),
-        lambda t, i: F.struct(
-            F.substring_index(t, ":", 1).alias("k"),
-            i.alias("i"),
-            F.get(F.split(t, ":", 2), F.lit(1)).alias("v"),
-        ),
-    )
-    last = F.get(
-        F.transform(
-            F.array(F.array_sort(entries)),
-            lambda o: F.filter(o, lambda x, i: ~F.get(o, i + 1)["k"].eqNullSafe(x["k"])),
-        ),
-        F.lit(0),
+    x = sql_of(x)
+    keys = f"transform(split({x}, ','), t -> substring_index(t, ':', 1))"
+    entry = "named_struct('k', substring_index(t, ':', 1), 'i', i, 'v', get(split(t, ':', 2), 1))"
+    last = bind_sql(
+        f"array_sort(transform(split({x}, ','), (t, i) -> {entry}))",
+        "o",
+        "filter(o, (e, j) -> not (get(o, j + 1).k <=> e.k))",
     )
-    deduped = F.map_from_entries(F.transform(last, lambda e: F.struct(e["k"], e["v"])))
-    return (
-        F.when(F.length(c) == 0, empty_map())
-        .when(unique, F.str_to_map(c, F.lit(","), F.lit(":")))
-        .otherwise(deduped)
+    return F.expr(
+        f"case when length({x}) = 0 then {EMPTY_MAP}"
+        f" when size(array_distinct({keys})) = size({keys}) then str_to_map({x}, ',', ':')"
+        f" else map_from_entries(transform({last}, e -> struct(e.k, e.v))) end"
     )
 
 
@@ -215,7 +230,7 @@ def sanitize(c: Column) -> Column:
     return F.replace(F.replace(c, F.lit("\x01"), F.lit("")), F.lit("\n"), F.lit("\x03"))
 
 
-def visitor_id_clean(c: Column, size: int = 32) -> Column:
+def visitor_id_clean(x: Column | str, size: int = 32) -> Column:
     """Trim double, then single quotes; keep the first ``size`` bytes."""
-    trimmed = F.btrim(F.btrim(c, F.lit('"')), F.lit("'"))
-    return F.substring(trimmed.cast("binary"), 1, size).cast("string")
+    trimmed = f"""btrim(btrim({sql_of(x)}, '"'), "'")"""
+    return F.expr(f"cast(substring(cast({trimmed} as binary), 1, {size}) as string)")

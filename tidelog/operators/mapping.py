@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,72 +25,6 @@ class MapRule:
     hook: str | Hook = "copy"
 
 
-@dataclass
-class _Bag:
-    """What earlier rules have taken from the field bag."""
-
-    inputs: Mapping[str, Column]
-    fields: Column
-    taken: dict[str, Column | None] = field(default_factory=dict)  # None: on every row
-
-    def get(self, name: str) -> Column:
-        if name not in self.taken:
-            return self.inputs[name]
-        when = self.taken[name]
-        nothing = F.lit(None).cast("string")
-        return nothing if when is None else F.when(~when, self.inputs[name])
-
-    def take(self, name: str, ok: Column | None) -> None:
-        before = self.taken.get(name)
-        if ok is None or (name in self.taken and before is None):
-            self.taken[name] = None
-        else:
-            self.taken[name] = ok if before is None else before | ok
-
-    def rest(self) -> Column:
-        always = [n for n, when in self.taken.items() if when is None]
-        depends = {n: when for n, when in self.taken.items() if when is not None}
-
-        def unclaimed(k: Column, v: Column) -> Column:
-            test = ~k.isin(*always) if always else F.lit(True)
-            for name, when in depends.items():
-                test = test & ((k != name) | ~when)
-            return test
-
-        return F.map_filter(self.fields, unclaimed)
-
-
-def rule_columns(
-    inputs: Mapping[str, Column],
-    fields: Column,
-    rules: Sequence[MapRule],
-    hooks: Mapping[str, Hook] | None = None,
-) -> tuple[dict[str, Column], Column]:
-    """Output columns in rule order, and the map of unclaimed fields.
-
-    A rule that applies takes its inputs away from later rules; one that
-    refuses a row (``HookResult.ok``) leaves both fields and outputs alone.
-    """
-    hooks = {**COMMON_HOOKS, **(hooks or {})}
-    bag, event = _Bag(inputs, fields), {}
-    for rule in rules:
-        hook = rule.hook if callable(rule.hook) else hooks[rule.hook]
-        result = hook({n: bag.get(n) for n in rule.ins}, rule.outs)
-        if not isinstance(result, HookResult):
-            result = HookResult(result)
-        ok = None if result.ok is None else F.coalesce(result.ok, F.lit(False))
-        for name, value in result.values.items():
-            if ok is None:
-                event[name] = value
-            elif name in event:
-                event[name] = F.when(ok, value).otherwise(event[name])
-            else:
-                event[name] = F.when(ok, value)
-        for name in rule.ins:
-            bag.take(name, ok)
-    return event, bag.rest()
-
-
 def apply_rules(
     df: DataFrame,
     rules: Sequence[MapRule],
@@ -98,50 +32,82 @@ def apply_rules(
     keep: Names = (),
     leftovers: str = "event_loginfo",
     fields: str = "fields",
-    decode: Callable[[Column], Column] | None = None,
+    decode: text.Sql | None = None,
 ) -> DataFrame:
     """``keep``, then the outputs in rule order, then the unclaimed fields.
 
-    Two projections, whatever the number of rules: the first takes the inputs
-    out of the map, so that a hook may use one often; the second has the hooks.
+    A rule that applies takes its inputs away from later rules; one that refuses
+    a row (``HookResult.ok``) leaves both fields and outputs alone.
+
+    Three projections, whatever the number of rules: the first takes the inputs
+    out of the map, the second decodes them, so that a hook may use one often;
+    the third has the hooks.  A hook that may refuse rows has one more.
     ``decode`` is applied to each value that is used, if ``fields`` holds raw ones.
     """
+    hooks = {**COMMON_HOOKS, **(hooks or {})}
     names = list(dict.fromkeys(n for rule in rules for n in rule.ins))
-    value = decode or (lambda c: c)
+    at = {n: f"_in{i}" for i, n in enumerate(names)}
+    value = decode or (lambda x: x)
     # a bare token has no value in a raw bag, an empty one in a decoded bag
-    taken = df.select(
-        "*",
-        *(
-            F.when(F.map_contains_key(fields, n), F.coalesce(value(F.col(fields)[n]), F.lit(""))).alias(f"_in{i}")
-            for i, n in enumerate(names)
-        ),
-    )
-    inputs = {n: F.col(f"_in{i}") for i, n in enumerate(names)}
-    event, rest = rule_columns(inputs, F.col(fields), rules, hooks)
-    if decode is not None:
-        rest = F.transform_values(rest, lambda k, v: decode(F.coalesce(v, F.lit(""))))
-    event.pop(leftovers, None)
+    raw = [
+        F.expr(f"case when map_contains_key({fields}, '{n}') then coalesce({fields}['{n}'], '') end").alias(f"_raw{i}")
+        for i, n in enumerate(names)
+    ]
+    others = list(df.columns)
+    decoded = [F.expr(value(f"_raw{i}")).alias(f"_in{i}") for i in range(len(names))]
+    taken = df.select(*others, *raw).select(*others, *decoded)
+
+    gone: set[str] = set()  # on every row
+    depends: list[str] = []  # conditions under which more fields are left
+    event: dict[str, Column] = {}
     with text.java_charsets(df.sparkSession):
-        return taken.select(*keep, *(c.alias(n) for n, c in event.items() if n not in keep), rest.alias(leftovers))
-
-
-def cast_value(c: Column, source: T.DataType, target: T.DataType) -> Column:
+        for i, rule in enumerate(rules):
+            hook = rule.hook if callable(rule.hook) else hooks[rule.hook]
+            ins = {n: F.lit(None).cast("string") if n in gone else F.col(at[n]) for n in rule.ins}
+            result = hook(ins, rule.outs)
+            if isinstance(result, HookResult) and result.ok is not None:
+                # its answer decides about other columns, so it is a column itself
+                answer = F.struct(
+                    *(c.alias(n) for n, c in result.values.items()), F.coalesce(result.ok, F.lit(False)).alias("_ok")
+                )
+                taken = taken.withColumn(f"_rule{i}", answer)
+                row = F.col(f"_rule{i}")
+                for name in result.values:
+                    before = event.get(name)
+                    event[name] = F.when(row["_ok"], row[name]).otherwise(before)
+                for name in set(rule.ins) - gone:
+                    taken = taken.withColumn(at[name], F.when(~row["_ok"], F.col(at[name])))
+                    depends.append(f"(k != '{name}' or not _rule{i}._ok)")
+            else:
+                event.update(result.values if isinstance(result, HookResult) else result)
+                gone.update(rule.ins)
+        event.pop(leftovers, None)
+        always = [f"k not in ({', '.join(repr(n) for n in gone)})"] if gone else []
+        rest = f"map_filter({fields}, (k, v) -> {' and '.join([*always, *depends]) or 'true'})"
+        if decode is not None:
+            rest = text.map_values_sql(rest, [text.filled_sql, decode])
+        outputs = [c.alias(n) for n, c in event.items() if n not in keep]
+        return taken.select(*keep, *outputs, F.expr(rest).alias(leftovers))
+
+
+def cast_value(name: str, source: T.DataType, target: T.DataType) -> Column:
     """Read a value as a table type; what does not fit becomes NULL.
 
     A number with a fraction is cut to an integer (by way of a decimal, which
     keeps all digits of a long identifier).
     """
+    c = F.col(name)
     if source == target:
         return c
     if isinstance(target, T.MapType):
-        m = c if isinstance(source, T.MapType) else text.string_to_map(c)
+        m = c if isinstance(source, T.MapType) else text.string_to_map(name)
         if isinstance(target.valueType, T.LongType):
             m = F.transform_values(m, lambda k, v: v.try_cast("decimal(38,9)").try_cast("bigint"))
         return m
     if isinstance(target, T.LongType):
         return c.try_cast("decimal(38,9)").try_cast("bigint")
     if isinstance(source, T.MapType):
-        return text.map_to_string(c)
+        return text.map_to_string(name)
     return c.cast(target)
 
 
@@ -157,7 +123,7 @@ def conform(df: DataFrame, schema: T.StructType, keep: Names = ()) -> DataFrame:
     def column(f: T.StructField) -> Column:
         if f.name not in have:
             return missing_value(f.dataType).alias(f.name)
-        c = cast_value(F.col(f.name), have[f.name], f.dataType)
+        c = cast_value(f.name, have[f.name], f.dataType)
         return (F.coalesce(c, F.lit("")) if isinstance(f.dataType, T.StringType) else c).alias(f.name)
 
     declared = set(schema.fieldNames())

@@ -7,12 +7,11 @@ case-sensitive and vary from line to line.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions import clock, text
+from tidelog.shared import computed_once
 
 # fixed values: the line header, and the field list between its brackets.  The
 # list starts at the last "[" that a "]" follows on the first physical line, so
@@ -23,10 +22,11 @@ LINE = r"(?d)^NOTICE: (\d+-\d+) (\d\d:\d\d:\d\d).*\[([^\[\n]*)\](?s:.*)$"
 
 def parse_header(df: DataFrame, body: str = "body") -> DataFrame:
     """Add ``matched``, ``date``, ``time`` and ``payload``."""
-    with_line = df.withColumn("_line", text.escape_invalid(F.col(body)))
+    with_line = df.withColumn("_line", text.escape_invalid(body))
     group = {n: F.regexp_extract("_line", LINE, i) for i, n in enumerate(("date", "time", "payload"), 1)}
     parsed = with_line.select(*df.columns, *(c.alias(n) for n, c in group.items()))
-    return parsed.withColumn("matched", F.coalesce(F.length("date") > 0, F.lit(False)))
+    marked = parsed.withColumn("matched", F.coalesce(F.length("date") > 0, F.lit(False)))
+    return computed_once(marked, "matched", "date", "time", "payload")
 
 
 def parse_fields(df: DataFrame) -> DataFrame:
@@ -34,7 +34,7 @@ def parse_fields(df: DataFrame) -> DataFrame:
     pairs = F.concat_ws("", F.lit("date="), "date", F.lit(" time="), "time", F.lit(" "), "payload")
     keep = [c for c in df.columns if c not in ("date", "time", "payload")]
     with_pairs = df.select(*keep, pairs.alias("_pairs"))
-    return with_pairs.select(*keep, text.pairs_to_map(F.col("_pairs"), " ", text.percent_decode).alias("fields"))
+    return with_pairs.select(*keep, text.pairs_to_map("_pairs", " ", [text.percent_decode_sql]).alias("fields"))
 
 
 def cut_raw(df: DataFrame, body: str = "body") -> DataFrame:
@@ -42,7 +42,7 @@ def cut_raw(df: DataFrame, body: str = "body") -> DataFrame:
 
     One regular expression per line; values are decoded where they are used.
     """
-    line = df.withColumn("_line", text.escape_invalid(F.col(body)))
+    line = df.withColumn("_line", text.escape_invalid(body))
     pairs = F.regexp_replace("_line", LINE, "date=$1 time=$2 $3")
     changed = line.withColumn("_pairs", F.when(F.startswith("_line", F.lit(START)), pairs))
     matched = F.coalesce(~F.startswith("_pairs", F.lit(START)), F.lit(False))
@@ -51,35 +51,36 @@ def cut_raw(df: DataFrame, body: str = "body") -> DataFrame:
         matched.alias("matched"),
         F.when(matched, F.col("_pairs")).otherwise("date= time= ").alias("_pairs"),
     )
-    return named.select(*df.columns, "matched", text.raw_pairs(F.col("_pairs"), " ").alias("fields"))
+    bag = named.select(*df.columns, "matched", F.expr(text.raw_pairs_sql("_pairs", " ")).alias("fields"))
+    return computed_once(bag, "matched", "fields")
 
 
-def decoded(value: Column) -> Column:
-    """A field of a ``cut_raw`` bag."""
-    return text.percent_decode(value)
+# how to read a value of a ``cut_raw`` bag, as SQL text
+decoded = text.percent_decode_sql
 
 
 def cut_notice(df: DataFrame, body: str = "body") -> DataFrame:
     """The same with decoded values: header, fields and decoding in one."""
     raw = cut_raw(df, body)
-    values = F.transform_values("fields", lambda k, v: decoded(F.coalesce(v, F.lit(""))))
-    return raw.withColumn("fields", values)
+    return raw.withColumn("fields", F.expr(text.map_values_sql("fields", [text.filled_sql, decoded])))
 
 
 def with_event_time(
-    df: DataFrame, ingest: Column, fields: str = "fields", decode: Callable[[Column], Column] = decoded
+    df: DataFrame, ingest: Column, fields: str = "fields", decode: text.Sql = decoded
 ) -> DataFrame:
     """Add ``event_ts`` (NULL if there is no such moment) and ``reason``.
 
     ``reason`` is NULL for a good line, else why it has no place in the table.
     """
     at = df.select(
-        "*", decode(F.col(fields)["date"]).alias("_date"), decode(F.col(fields)["time"]).alias("_time")
+        "*",
+        F.expr(decode(f"{fields}['date']")).alias("_date"),
+        F.expr(decode(f"{fields}['time']")).alias("_time"),
     )
     ts = clock.event_time(F.col("_date"), F.col("_time"), ingest)
     reason = F.when(~F.col("matched"), "no_header").when(F.col("event_ts").isNull(), "bad_time")
-    placed = at.withColumn("event_ts", ts).withColumn("reason", reason)
-    return placed.drop("_date", "_time")
+    placed = at.withColumn("event_ts", ts).withColumn("reason", reason).drop("_date", "_time")
+    return computed_once(placed, "event_ts", "reason")
 
 
 def accepted(df: DataFrame) -> DataFrame:

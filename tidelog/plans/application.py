@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidelog.functions import clock
 from tidelog.functions.hooks import Hook, date_time
+from tidelog.functions.text import Sql
 from tidelog.operators.mapping import Cut, MapRule, apply_rules, conform
 from tidelog.operators.parse import cut_raw, decoded, with_event_time
 from tidelog.operators.progress import full_mask
@@ -30,7 +31,7 @@ class Application:
     rules: tuple[MapRule, ...]
     hooks: Mapping[str, Hook] = field(default_factory=dict)
     cut: Cut = cut_raw
-    decode: Callable[[Column], Column] | None = decoded
+    decode: Sql | None = decoded
     lookup: Cut | None = None
     width: int = 10
     n_pipelets: int = 16
@@ -44,7 +45,7 @@ class Application:
 
     def parsed(self, messages: DataFrame) -> DataFrame:
         """Messages with ``fields``, ``event_ts`` and ``reason``."""
-        decode = self.decode or (lambda c: c)
+        decode = self.decode or (lambda x: x)
         return messages.transform(self.cut).transform(with_event_time, F.col(self.ingest), decode=decode)
 
     def bucket(self) -> dict[str, Column]:

@@ -30,6 +30,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def computed_once(df: DataFrame, *names: str) -> DataFrame:
+    """Move the named columns last, out of reach of filters on them.
+
+    A filter is pushed below a projection by repeating the projection's
+    expressions in it, step by step; with costly expressions that would evaluate
+    them many times over.  It is not pushed below a generator.
+    """
+    others = [c for c in df.columns if c not in names]
+    return df.select(*others, F.inline(F.array(F.struct(*names))))
+
+
 def lookup_join(
     left: DataFrame,
     lookup: DataFrame,

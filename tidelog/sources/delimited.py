@@ -21,8 +21,7 @@ def to_lines(df: DataFrame) -> DataFrame:
     """One column ``value``: the row as a line; NULL becomes empty text."""
 
     def cell(f: T.StructField):
-        c = F.col(f.name)
-        c = text.map_to_string(c) if isinstance(f.dataType, T.MapType) else c.cast("string")
+        c = text.map_to_string(f.name) if isinstance(f.dataType, T.MapType) else F.col(f.name).cast("string")
         return F.coalesce(text.sanitize(c), F.lit(""))
 
     return df.select(F.concat_ws(FIELD, *(cell(f) for f in df.schema)).alias("value"))
@@ -43,9 +42,6 @@ def scan_delimited(spark: SparkSession, path: str, schema: T.StructType) -> Data
         .option("escape", "\0")
         .csv(path)
     )
-    return raw.select(
-        *(
-            cast_value(F.coalesce(F.col(f.name), F.lit("")), T.StringType(), f.dataType).alias(f.name)
-            for f in schema
-        )
-    )
+    # an empty field is read as NULL
+    filled = raw.select(*(F.coalesce(F.col(n), F.lit("")).alias(n) for n in schema.fieldNames()))
+    return filled.select(*(cast_value(f.name, T.StringType(), f.dataType).alias(f.name) for f in schema))

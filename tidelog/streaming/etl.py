@@ -178,6 +178,10 @@ class StreamEtl:
         return self._load("status", _STATUS, batch_id)
 
     def published(self) -> DataFrame:
+        """The public rows; none before the first bucket is complete."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.published_path)
+        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+            return self.spark.createDataFrame([], self._event_schema())
         return self.spark.read.schema(self._event_schema()).parquet(self.published_path)
 
     def quarantine(self) -> DataFrame:
