@@ -59,10 +59,11 @@ def late_rows(df: DataFrame, arrival: tuple[str, ...] = ("arrival", "msg_id")) -
 def day_calendar(days: DataFrame, width: int, day: str = "event_day") -> DataFrame:
     """All buckets of the given days (``YYYYMMDD``): hour by hour, ``width`` minutes each."""
     hours = days.select(day, F.explode(F.sequence(F.lit(0), F.lit(23))).alias("_h"))
-    return hours.select(
+    minutes = hours.select("*", F.explode(F.sequence(F.lit(0), F.lit(59), F.lit(width))).alias("_m"))
+    return minutes.select(
         F.col(day).alias("event_day"),
         two_digits(F.col("_h")).alias("event_hour"),
-        two_digits(F.explode(F.sequence(F.lit(0), F.lit(59), F.lit(width)))).alias("event_minute"),
+        two_digits(F.col("_m")).alias("event_minute"),
     )
 
 

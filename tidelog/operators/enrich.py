@@ -53,6 +53,6 @@ def ip_range_join(
         ["_block"],
         spread,
         max_rows=max_rows,
-        where=lambda a, b: a["_ip"].between(b["_lo"], b["_hi"]),
+        where=F.col("_ip").between(F.col("r__lo"), F.col("r__hi")),
     )
     return joined.drop("_ip", "_block", "_lo", "_hi")

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # a broadcast side may have this many rows; beyond it the join is shuffled
@@ -48,7 +48,7 @@ def lookup_join(
     spread: Sequence[str],
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
-    where=None,
+    where: Column | None = None,
 ) -> DataFrame:
     """Join a large side with an aggregated or reference side of unknown size.
 
@@ -58,24 +58,24 @@ def lookup_join(
     that vary within a key), the lookup is repeated for every salt, so that one
     hot key is spread over ``SALTS`` tasks.
 
-    ``where`` is a further condition, a function of both frames.
+    ``where`` is a further condition on the joined row, in which the lookup's
+    columns have the prefix ``r_``.
     """
     checkpoint_dir(left.sparkSession)
     lookup = lookup.checkpoint()
     if lookup.count() <= max_rows:
-        right, on = F.broadcast(lookup), list(keys)
+        small, on = True, list(keys)
     else:
         left = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
-        right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        on = [*keys, "_salt"]
-    condition = None
+        lookup = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        small, on = False, [*keys, "_salt"]
+    # new names, so that a lookup derived from the left side is not taken for it
+    right = lookup.select(*(F.col(c).alias(f"r_{c}") for c in lookup.columns))
+    condition = where if where is not None else F.lit(True)
     for k in on:
-        test = left[k] == right[k]
-        condition = test if condition is None else condition & test
-    if where is not None:
-        condition = condition & where(left, right)
-    joined = left.join(right, condition, how)
+        condition = condition & (F.col(k) == F.col(f"r_{k}"))
+    joined = left.join(F.broadcast(right) if small else right, condition, how)
+    kept = [c for c in left.columns if c != "_salt"]
     if how in ("left_semi", "left_anti"):
-        return joined.drop("_salt")
-    keep = [left[c] for c in left.columns if c != "_salt"]
-    return joined.select(*keep, *(right[c] for c in right.columns if c not in on))
+        return joined.select(*kept)
+    return joined.select(*kept, *(F.col(f"r_{c}").alias(c) for c in lookup.columns if c not in on))

@@ -140,5 +140,5 @@ def sql_script(spark: SparkSession, script: str) -> DataFrame | None:
 
 def sql_file(spark: SparkSession, path: str) -> DataFrame | None:
     """Run a script file, from any file system Spark reads."""
-    lines = spark.read.option("wholetext", "true").text(path).first()
-    return sql_script(spark, lines["value"] if lines else "")
+    script = spark.read.text(path, wholetext=True).first()
+    return sql_script(spark, script["value"] if script else "")

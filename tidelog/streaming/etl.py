@@ -12,6 +12,7 @@ What is carried from batch to batch is one row per bucket and one per pipelet.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,6 @@ from tidelog.plans.application import Application
 from tidelog.shared import lookup_join
 from tidelog.sources import tables
 
-NO_BUCKET = "none"
 _KEPT_STATES = 10
 
 _STATUS = "partition string, mask bigint, n_rows bigint, first_batch bigint, published_batch bigint"
@@ -62,7 +62,7 @@ class StreamEtl:
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
         self._stage(messages, batch_id)
-        staged = self._staged_batches(batch_id, batch_id).filter(F.col("event_day") != NO_BUCKET)
+        staged = self._staged_batches(batch_id, batch_id).filter("reason is null")
         newest = self._newest_after(staged, batch_id)
         status = self._status_after(staged, batch_id)
         keys = self._newly_public(status, newest)
@@ -76,15 +76,10 @@ class StreamEtl:
         )
 
     def _stage(self, messages: DataFrame, batch_id: int) -> None:
-        rows = messages.transform(self.app.run)
-        parts = [
-            F.when(F.col("reason").isNull(), F.col(k)).otherwise(NO_BUCKET).alias(k) for k in tables.PARTITION_COLUMNS
-        ]
-        others = [c for c in rows.columns if c not in tables.PARTITION_COLUMNS]
-        rows = rows.select(*others, *parts)
-        rows.hint("rebalance", *tables.PARTITION_COLUMNS).write.mode("overwrite").partitionBy(
-            *tables.PARTITION_COLUMNS
-        ).parquet(self._path("staged", batch_id))
+        # no shuffle: a batch is a few files, and the order lets a reader that wants
+        # some buckets skip the other row groups
+        rows = messages.transform(self.app.run).sortWithinPartitions("bucket")
+        rows.write.mode("overwrite").parquet(self._path("staged", batch_id))
 
     def _newest_after(self, staged: DataFrame, batch_id: int) -> DataFrame:
         seen = staged.select("pipelet", "bucket").unionByName(self._load("newest", _NEWEST, batch_id - 1))
@@ -130,8 +125,7 @@ class StreamEtl:
 
     def _publish(self, keys: list[str], status: DataFrame, batch_id: int) -> None:
         first = status.filter(F.col("partition").isin(keys)).agg(F.min("first_batch").alias("b")).first()["b"]
-        # a filter on partition columns only: other folders are not read
-        rows = self._staged_batches(first, batch_id).filter(F.concat(*tables.PARTITION_COLUMNS).isin(keys))
+        rows = self._staged_batches(first, batch_id).filter(F.col("bucket").isin(keys))
         rows = first_per_key(rows, ["pipelet", "msg_id"], F.col("batch_id")).drop("batch_id")
         tables.write_partitioned(rows, self.published_path, mode="overwrite", rebalance=len(keys) > 1)
         if self.table is not None:
@@ -157,12 +151,13 @@ class StreamEtl:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(kind, batch_id))
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    @cached_property
     def _event_schema(self) -> T.StructType:
         messages = "pipelet bigint, msg_id bigint, body string, ingest_ts timestamp_ntz"
         return self.app.run(self.spark.createDataFrame([], messages)).schema
 
     def _staged_batches(self, first: int, last: int) -> DataFrame:
-        schema = T.StructType([*self._event_schema(), T.StructField("batch_id", T.LongType())])
+        schema = T.StructType([*self._event_schema, T.StructField("batch_id", T.LongType())])
         paths = [self._path("staged", b) for b in range(first, last + 1)]
         return self.spark.read.schema(schema).option("basePath", self._path("staged")).parquet(*paths)
 
@@ -170,7 +165,7 @@ class StreamEtl:
 
     def staged(self) -> DataFrame:
         """All rows that ever came in, with the batch that brought them."""
-        schema = T.StructType([*self._event_schema(), T.StructField("batch_id", T.LongType())])
+        schema = T.StructType([*self._event_schema, T.StructField("batch_id", T.LongType())])
         return self.spark.read.schema(schema).parquet(self._path("staged"))
 
     def status(self, batch_id: int) -> DataFrame:
@@ -181,11 +176,11 @@ class StreamEtl:
         """The public rows; none before the first bucket is complete."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.published_path)
         if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
-            return self.spark.createDataFrame([], self._event_schema())
-        return self.spark.read.schema(self._event_schema()).parquet(self.published_path)
+            return self.spark.createDataFrame([], self._event_schema)
+        return self.spark.read.schema(self._event_schema).parquet(self.published_path)
 
     def quarantine(self) -> DataFrame:
-        return self.staged().filter(F.col("event_day") == NO_BUCKET)
+        return self.staged().filter("reason is not null")
 
     def late(self, batch_id: int) -> DataFrame:
         """Rows staged after their bucket had been published."""
@@ -194,6 +189,6 @@ class StreamEtl:
             .filter(F.col("published_batch").isNotNull())
             .select(F.col("partition").alias("bucket"), "published_batch")
         )
-        rows = self.staged().filter(F.col("event_day") != NO_BUCKET)
+        rows = self.staged().filter("reason is null")
         joined = lookup_join(rows, public, ["bucket"], ["msg_id"], how="inner")
         return joined.filter("batch_id > published_batch").drop("published_batch")

@@ -173,7 +173,7 @@ def late_rows(spark, sf_dir):
     return buckets.late_rows(rows(spark, sf_dir))
 
 
-@query("tumbling_bucket", SRC + "select bucket10 as bucket, count(*) as n_rows, sum(value) as total from src group by 1")
+@query("tumbling_bucket", SRC + "select bucket10 as bucket, count(*) as n_rows, cast(sum(cast(value as decimal(18, 2))) as double) as total from src group by 1")
 def tumbling_bucket(spark, sf_dir):
     table = load(spark, sf_dir, "events").withColumn("bucket", bucket_key(F.col("ts"), 10))
     # two decimals, so that the sum does not depend on its order
