@@ -202,15 +202,17 @@ def kv_string_to_map(x: Column | str, charset: str = "GBK") -> Column:
     return F.expr(f"case when length({text}) > 0 then {pairs_to_map_sql(text, ' ', steps)} else {EMPTY_MAP} end")
 
 
+def map_to_string_sql(x: str, sort_keys: bool = False) -> str:
+    items = f"transform(map_entries({x}), e -> concat(e.key, ':', coalesce(cast(e.value as string), '')))"
+    return f"array_join({f'array_sort({items})' if sort_keys else items}, ',')"
+
+
 def map_to_string(x: Column | str, sort_keys: bool = False) -> Column:
     """``k:v,k:v`` in map order, without escaping; a null value is empty."""
-    items = f"transform(map_entries({sql_of(x)}), e -> concat(e.key, ':', coalesce(cast(e.value as string), '')))"
-    return F.expr(f"array_join({f'array_sort({items})' if sort_keys else items}, ',')")
+    return F.expr(map_to_string_sql(sql_of(x), sort_keys))
 
 
-def string_to_map(x: Column | str) -> Column:
-    """Read ``k:v,k:v`` back; a repeated key keeps its last value."""
-    x = sql_of(x)
+def string_to_map_sql(x: str) -> str:
     keys = f"transform(split({x}, ','), t -> substring_index(t, ':', 1))"
     entry = "named_struct('k', substring_index(t, ':', 1), 'i', i, 'v', get(split(t, ':', 2), 1))"
     last = bind_sql(
@@ -218,13 +220,18 @@ def string_to_map(x: Column | str) -> Column:
         "o",
         "filter(o, (e, j) -> not (get(o, j + 1).k <=> e.k))",
     )
-    return F.expr(
+    return (
         f"case when length({x}) = 0 then {EMPTY_MAP}"
         f" when size(array_distinct({keys})) = size({keys}) then str_to_map({x}, ',', ':')"
         f" else map_from_entries(transform({last}, e -> struct(e.k, e.v))) end"
     )
 
 
+def string_to_map(x: Column | str) -> Column:
+    """Read ``k:v,k:v`` back; a repeated key keeps its last value."""
+    return F.expr(string_to_map_sql(sql_of(x)))
+
+
 def sanitize(c: Column) -> Column:
     """Keep the text format's separators out of a value."""
     return F.replace(F.replace(c, F.lit("\x01"), F.lit("")), F.lit("\n"), F.lit("\x03"))

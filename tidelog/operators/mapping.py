@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -50,12 +50,15 @@ def apply_rules(
     value = decode or (lambda x: x)
     # a bare token has no value in a raw bag, an empty one in a decoded bag
     raw = [
-        F.expr(f"case when map_contains_key({fields}, '{n}') then coalesce({fields}['{n}'], '') end").alias(f"_raw{i}")
+        f"case when map_contains_key({fields}, '{n}') then coalesce({fields}['{n}'], '') end as _raw{i}"
         for i, n in enumerate(names)
     ]
-    others = list(df.columns)
-    decoded = [F.expr(value(f"_raw{i}")).alias(f"_in{i}") for i in range(len(names))]
-    taken = df.select(*others, *raw).select(*others, *decoded)
+    # The map function beside them also keeps this projection out of whole-stage
+    # code, where so many columns make one method too long for the JIT compiler.
+    unnamed = f"{_without(fields, names)} as _left"
+    others = [f"`{c}`" for c in df.columns]
+    decoded = [f"{value(f'_raw{i}')} as _in{i}" for i in range(len(names))]
+    taken = df.selectExpr(*others, unnamed, *raw).selectExpr(*others, "_left", *decoded)
 
     gone: set[str] = set()  # on every row
     depends: list[str] = []  # conditions under which more fields are left
@@ -82,53 +85,58 @@ def apply_rules(
                 event.update(result.values if isinstance(result, HookResult) else result)
                 gone.update(rule.ins)
         event.pop(leftovers, None)
-        always = [f"k not in ({', '.join(repr(n) for n in gone)})"] if gone else []
-        rest = f"map_filter({fields}, (k, v) -> {' and '.join([*always, *depends]) or 'true'})"
+        rest = _without(fields, gone, depends) if depends else "_left"
         if decode is not None:
             rest = text.map_values_sql(rest, [text.filled_sql, decode])
         outputs = [c.alias(n) for n, c in event.items() if n not in keep]
         return taken.select(*keep, *outputs, F.expr(rest).alias(leftovers))
 
 
-def cast_value(name: str, source: T.DataType, target: T.DataType) -> Column:
-    """Read a value as a table type; what does not fit becomes NULL.
+def _without(fields: str, names: Collection[str], tests: Sequence[str] = ()) -> str:
+    """SQL text of the map less some keys."""
+    listed = [f"k not in ({', '.join(repr(n) for n in sorted(names))})"] if names else []
+    return f"map_filter({fields}, (k, v) -> {' and '.join([*listed, *tests]) or 'true'})"
+
+
+def cast_sql(name: str, source: T.DataType, target: T.DataType) -> str:
+    """Read a column as a table type; what does not fit becomes NULL.
 
     A number with a fraction is cut to an integer (by way of a decimal, which
     keeps all digits of a long identifier).
     """
-    c = F.col(name)
+
+    def to_long(x: str) -> str:
+        return f"try_cast(try_cast({x} as decimal(38,9)) as bigint)"
+
+    name = f"`{name}`"
     if source == target:
-        return c
+        return name
     if isinstance(target, T.MapType):
-        m = c if isinstance(source, T.MapType) else text.string_to_map(name)
-        if isinstance(target.valueType, T.LongType):
-            m = F.transform_values(m, lambda k, v: v.try_cast("decimal(38,9)").try_cast("bigint"))
-        return m
+        m = name if isinstance(source, T.MapType) else text.string_to_map_sql(name)
+        longs = isinstance(target.valueType, T.LongType)
+        return f"transform_values({m}, (k, v) -> {to_long('v')})" if longs else m
     if isinstance(target, T.LongType):
-        return c.try_cast("decimal(38,9)").try_cast("bigint")
+        return to_long(name)
     if isinstance(source, T.MapType):
-        return text.map_to_string(name)
-    return c.cast(target)
-
-
-def missing_value(dtype: T.DataType) -> Column:
-    """What a column holds that no rule fills: empty text, else NULL."""
-    return F.lit("") if isinstance(dtype, T.StringType) else F.lit(None).cast(dtype)
+        return text.map_to_string_sql(name)
+    return f"cast({name} as {target.simpleString()})"
 
 
 def conform(df: DataFrame, schema: T.StructType, keep: Names = ()) -> DataFrame:
-    """``keep``, the declared columns in their order and types, then the rest."""
+    """``keep``, the declared columns in their order and types, then the rest.
+
+    What no rule fills is empty text, else NULL.
+    """
     have = {f.name: f.dataType for f in df.schema}
 
-    def column(f: T.StructField) -> Column:
-        if f.name not in have:
-            return missing_value(f.dataType).alias(f.name)
-        c = cast_value(f.name, have[f.name], f.dataType)
-        return (F.coalesce(c, F.lit("")) if isinstance(f.dataType, T.StringType) else c).alias(f.name)
+    def column(f: T.StructField) -> str:
+        c = cast_sql(f.name, have[f.name], f.dataType) if f.name in have else "null"
+        c = f"coalesce({c}, '')" if isinstance(f.dataType, T.StringType) else f"cast({c} as {f.dataType.simpleString()})"
+        return f"{c} as `{f.name}`"
 
-    declared = set(schema.fieldNames())
-    extras = [n for n in df.columns if n not in declared and n not in keep]
-    return df.select(*keep, *(column(f) for f in schema if f.name not in keep), *extras)
+    declared = {*schema.fieldNames(), *keep}
+    extras = [f"`{n}`" for n in df.columns if n not in declared]
+    return df.selectExpr(*(f"`{n}`" for n in keep), *(column(f) for f in schema if f.name not in keep), *extras)
 
 
 Cut = Callable[[DataFrame], DataFrame]

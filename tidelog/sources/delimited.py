@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions import text
-from tidelog.operators.mapping import cast_value
+from tidelog.operators.mapping import cast_sql
 
 # fixed values: separators of the text form
 FIELD, ROW = "\x01", "\n"
@@ -44,4 +44,4 @@ def scan_delimited(spark: SparkSession, path: str, schema: T.StructType) -> Data
     )
     # an empty field is read as NULL
     filled = raw.select(*(F.coalesce(F.col(n), F.lit("")).alias(n) for n in schema.fieldNames()))
-    return filled.select(*(cast_value(f.name, T.StringType(), f.dataType).alias(f.name) for f in schema))
+    return filled.selectExpr(*(f"{cast_sql(f.name, T.StringType(), f.dataType)} as `{f.name}`" for f in schema))

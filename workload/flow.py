@@ -69,7 +69,9 @@ def stream_etl(spark, sf_dir):
     """Lines to published hours: complete in all pipelets, and sealed by all."""
     app = example_application(width=60)
     etl = StreamEtl(spark, app, scratch_path(spark, "etl"))
-    etl.start(messages_from_events(_events_stream(spark, sf_dir)), availableNow=True).awaitTermination()
+    # a pipe has a part per pipelet; the table is a single file
+    events = _events_stream(spark, sf_dir).repartition(N_PIPELETS)
+    etl.start(messages_from_events(events), availableNow=True).awaitTermination()
     return etl.published().select("pipelet", "msg_id", "bucket", "event_url_hostname", "event_visitorid")
 
 
