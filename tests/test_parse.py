@@ -187,6 +187,19 @@ def test_epoch_of_a_zone(spark):
     assert row.utc - row.cn == 8 * 3600
 
 
+def test_bucket_does_not_depend_on_the_session_zone(spark):
+    """02:30 does not exist in New York on that day."""
+    df = spark.range(1).select(F.lit("2024-03-10 02:30:15").cast("timestamp_ntz").alias("ts"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert df.select(clock.bucket_key(F.col("ts"), 10).alias("b")).first().b == "202403100230"
+        parsed = example_application().parsed(messages(spark, [GOLDEN.replace("08-19 19", "03-10 02")]))
+        assert parsed.first().event_ts == dt.datetime(2024, 3, 10, 2, 0, 2)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_quarantine_and_main_make_up_all_lines(spark):
     lines = [GOLDEN, "junk", GOLDEN.replace("08-19", "02-30"), GOLDEN.replace("19:00:02", "99:99:99")]
     parsed = example_application().parsed(messages(spark, lines))

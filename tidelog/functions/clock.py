@@ -22,9 +22,18 @@ def floor_minute(minute: Column, width: int) -> Column:
     return two_digits(m - m % F.lit(width))
 
 
+def compact(ts: Column, digits: int) -> Column:
+    """The first ``digits`` of ``YYYYMMDDHHMMSS``.
+
+    By way of the text form: ``date_format`` reads a zone-less timestamp in the
+    session's zone, where the hour may not exist.
+    """
+    return F.substring(F.translate(ts.cast("string"), "-: ", ""), 1, digits)
+
+
 def bucket_key(ts: Column, width: int) -> Column:
     """``YYYYMMDDHHMM`` of the bucket a timestamp falls into."""
-    return F.concat(F.date_format(ts, "yyyyMMddHH"), floor_minute(F.minute(ts), width))
+    return F.concat(compact(ts, 10), floor_minute(F.minute(ts), width))
 
 
 def split_key_parts(key: Column) -> dict[str, Column]:
@@ -54,7 +63,7 @@ def event_time(date: Column, time: Column, ingest: Column) -> Column:
         )
 
     # as text, stamps of one year compare like the moments themselves
-    year = F.year(limit) - F.when(stamp > F.date_format(limit, "MM-dd HH:mm:ss"), 1).otherwise(0)
+    year = F.year(limit) - F.when(stamp > F.substring(limit.cast("string"), 6, 14), 1).otherwise(0)
     # 29 February may exist in the year before only
     return F.when(stamp.rlike(_STAMP), F.coalesce(in_year(year), in_year(year - 1)))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.functions.clock import two_digits
+from tidelog.functions.clock import compact, two_digits
 from tidelog.shared import lookup_join
 
 
@@ -70,7 +70,7 @@ def day_calendar(days: DataFrame, width: int, day: str = "event_day") -> DataFra
 def day_range(first: Column, last: Column) -> Column:
     """Array of days ``YYYYMMDD`` from first to last."""
     days = F.sequence(first.cast("date"), last.cast("date"), F.expr("INTERVAL 1 DAY"))
-    return F.transform(days, lambda d: F.date_format(d, "yyyyMMdd"))
+    return F.transform(days, lambda d: compact(d, 8))
 
 
 def partition_gaps(calendar: DataFrame, published: DataFrame) -> DataFrame:

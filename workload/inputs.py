@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.functions.clock import bucket_key, split_key_parts
+from tidelog.functions.clock import bucket_key, compact, split_key_parts
 from tidelog.operators.parse import accepted
 from tidelog.plans.example import example_application
 from tidelog.plans.sample_log import N_PIPELETS, client_ip, load, messages
@@ -54,7 +54,7 @@ def day_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The days on which anything happened."""
-    day = F.date_format("ts", "yyyyMMdd").alias("event_day")
+    day = compact(F.col("ts"), 8).alias("event_day")
     return load(spark, sf_dir, "events").select(day).distinct()
 
 
