@@ -20,8 +20,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.functions.clock import split_key_parts
+from tidelog.operators.buckets import bucket_counts
 from tidelog.operators.merge import first_per_key
-from tidelog.operators.progress import completeness_mask
+from tidelog.operators.progress import pipelet_bit
 from tidelog.plans.application import Application
 from tidelog.shared import lookup_join
 from tidelog.sources import tables
@@ -87,20 +88,15 @@ class StreamEtl:
         return self._save(newest, "newest", batch_id, _NEWEST)
 
     def _status_after(self, staged: DataFrame, batch_id: int) -> DataFrame:
-        per_pipelet = staged.groupBy("pipelet", "bucket").agg(F.count("*").alias("n_rows"))
-        # both from one pass over the batch: the list has a row per pipelet and bucket
-        listed = per_pipelet.select("bucket", "pipelet", "n_rows")
-        masks = completeness_mask(listed).join(
-            listed.groupBy(F.col("bucket").alias("partition")).agg(F.sum("n_rows").alias("n_rows")), "partition"
-        )
-        new = masks.select(
-            "partition",
-            "mask",
-            "n_rows",
+        # the list has a row per pipelet and bucket, and comes from one pass over the batch
+        listed = bucket_counts(staged)
+        new = listed.groupBy(F.col("bucket").alias("partition")).agg(
+            F.bit_or(pipelet_bit(F.col("pipelet"))).alias("mask"),
+            F.sum("n_rows").alias("n_rows"),
             F.lit(batch_id).cast("bigint").alias("first_batch"),
             F.lit(None).cast("bigint").alias("published_batch"),
         )
-        return (
+        status = (
             new.unionByName(self._load("status", _STATUS, batch_id - 1))
             .groupBy("partition")
             .agg(
@@ -110,6 +106,7 @@ class StreamEtl:
                 F.min("published_batch").alias("published_batch"),
             )
         )
+        return self._save(status, "delivered", batch_id)
 
     def _newly_public(self, status: DataFrame, newest: DataFrame) -> list[str]:
         """Keys of complete, sealed, unpublished buckets: bounded by the calendar."""
