@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import fingerprint, shards
+from tidelog.llm import chat, decontaminate, fingerprint, shards
 from tidelog.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,50 @@ select doc_id, size, text_crc32, 'key' as law, shard,
   (row_number() over (partition by shard order by block, doc_id, size, text_crc32) - 1)::bigint as slot, grown_shard
 from sized join placed using (n)
 """
+
+
+@_query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
+
+
+ORACLE_SQL["op7_decontamination"] = r"""
+with docs as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+items as (select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+windows as (select distinct item_id, least(len(w), 10) as n, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') as x
+    from items, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as r(i) where len(w) > 0),
+sizes as (select distinct n from windows),
+grams as (select doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') as x
+    from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from docs, sizes where len(w) >= n)),
+found as (select g.doc_id, g.i, g.n, item_id from grams g join windows v on g.n = v.n and g.x = v.x),
+hit as (select doc_id, count(distinct p) as n_hit from (select distinct doc_id, unnest(range(i, i + n)) as p from found) group by doc_id),
+owners as (select doc_id, count(*) as n_items, string_agg(k, ',' order by k) as ids
+    from (select distinct doc_id, item_id::varchar as k from found) group by doc_id)
+select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs d left join hit using (doc_id) left join owners using (doc_id)
+"""
+
+
+@_query
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.format_conversations(turns.unionByName(own)))
+
+
+ORACLE_SQL["op8_chat"] = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok')
+select conv_id, count(*)::bigint as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  sum(length('<turn>') + length('</turn>') + 2 + length(role) + length(text) + len(regexp_extract_all(text, '\\|<turn>|</turn>|###'))
+    + len(regexp_extract_all(role, '\\|<turn>|</turn>|###|\n')))::bigint as formatted_chars
+from turns group by conv_id
+"""
