@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import chat, decontaminate, fingerprint, shards
+from tidelog.llm import chat, decontaminate, fingerprint, mix, quality, shards
 from tidelog.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,16 @@ select doc_id, n::bigint as n_chars, sha256(edited) as edited_sha256, f1 as fing
 """
 
 
+@_query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix.mix(table(spark, sf_dir, "documents")).drop("row_key")
+
+
 @_query
 def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_slots(table(spark, sf_dir, "documents"), n_shards=40)
