@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import chat, decontaminate, fingerprint, mix, quality, shards
+from tidelog.llm import chat, decontaminate, fingerprint, minhash, mix, quality, shards
 from tidelog.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,12 @@ select doc_id, n::bigint as n_chars, sha256(edited) as edited_sha256, f1 as fing
 """
 
 
+@_query
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    how = minhash.NearDuplicates(shingle=2, percent=80)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), how)
+
+
 @_query
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -145,3 +151,22 @@ select conv_id, count(*)::bigint as n_turns,
     + len(regexp_extract_all(role, '\\|<turn>|</turn>|###|\n')))::bigint as formatted_chars
 from turns group by conv_id
 """
+
+
+ORACLE_SQL["op2_minhash"] = r"""
+with recursive docs as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w from documents),
+sets as (select doc_id, case when len(w) = 0 then [] when len(w) = 1 then w
+    else list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) end as s from docs),
+one as (select doc_id, len(s) as n, case when len(s) > 0 then min(doc_id) over (partition by list_sort(s)) else doc_id end as class_id, s from sets),
+sh as (select doc_id, n, unnest(s) as x from one where class_id = doc_id),
+pairs as (select a.doc_id as a, b.doc_id as b, any_value(a.n) as na, any_value(b.n) as nb, count(*) as c
+    from sh a join sh b on a.x = b.x and a.doc_id < b.doc_id group by 1, 2),
+links as (select a, b from pairs where 100 * c >= 80 * (na + nb - c)),
+edges as (select a, b from links union all select b, a from links),
+reach as (select a as id, b as other from edges union select r.id, e.b from reach r join edges e on r.other = e.a),
+groups as (select id, min(other) as least from reach group by id)
+select doc_id, n::bigint as n_shingles, class_id, least(class_id, coalesce(g.least, class_id)) as component_id,
+  doc_id = least(class_id, coalesce(g.least, class_id)) as kept
+from one left join groups g on g.id = class_id
+"""
