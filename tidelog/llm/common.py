@@ -28,7 +28,23 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._saved_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``saved`` wrote for frames that are used no more.
+
+    Shuffle files of finished steps go as well, once the driver has let go of the
+    plans they belong to, which it is asked to do here.
+    """
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._saved_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if frames:
+        frames[0].sparkSession._jvm.System.gc()
 
 
 def text_bytes(column: str = "text") -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import chat, decontaminate, fingerprint, minhash, mix, quality, shards
+from tidelog.llm import chat, decontaminate, fingerprint, minhash, mix, quality, shards, substrings
 from tidelog.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +170,22 @@ select doc_id, n::bigint as n_shingles, class_id, least(class_id, coalesce(g.lea
   doc_id = least(class_id, coalesce(g.least, class_id)) as kept
 from one left join groups g on g.id = class_id
 """
+
+
+@_query
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_substrings(table(spark, sf_dir, "documents"), substrings.Repeats(window=50)).drop("spans")
+
+
+ORACLE_SQL["op9_substrings"] = r"""
+with docs as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+windows as (select doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) as x
+    from (select doc_id, w, unnest(range(1, len(w) - 48)) as i from docs where len(w) >= 50)),
+first as (select x, min(doc_id) as least from windows group by x),
+gone as (select distinct doc_id, unnest(range(i, i + 50)) as p from windows join first using (x) where doc_id > least),
+kept as (select d.doc_id, p, d.w[p] as word from (select doc_id, w, unnest(range(1, len(w) + 1)) as p from docs) d
+    left join gone g using (doc_id, p) where g.doc_id is null),
+joined as (select doc_id, string_agg(word, ' ' order by p) as t, count(*) as n from kept group by doc_id)
+select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from docs left join joined using (doc_id)
+"""
