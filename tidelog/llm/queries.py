@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import chat, decontaminate, fingerprint, minhash, mix, quality, shards, substrings
+from tidelog.llm import chat, decontaminate, fingerprint, lengths, licenses, minhash, mix, quality, shards, substrings
 from tidelog.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,6 +106,11 @@ from sized join placed using (n)
 """
 
 
+@_query
+def op6_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lengths.length_histogram(table(spark, sf_dir, "documents"), by="source")
+
+
 @_query
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
@@ -189,3 +194,8 @@ joined as (select doc_id, string_agg(word, ' ' order by p) as t, count(*) as n f
 select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
 from docs left join joined using (doc_id)
 """
+
+
+@_query
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
