@@ -400,11 +400,14 @@ def _expression(node: Any) -> Callable[[dict], Any]:
     if node.op == "or":
         return lambda scope: parts[0](scope) or parts[1](scope)
     call = FILTERS[node.op[1:]] if node.op[0] == "|" else _OPS[node.op]
-    if len(parts) == 1:
-        (only,) = parts
-        return lambda scope: call(only(scope))
-    left, right = parts
-    return lambda scope: call(left(scope), right(scope))
+
+    def apply(scope: dict) -> Any:
+        try:
+            return call(*(part(scope) for part in parts))
+        except TypeError as error:
+            raise TemplateError(f"{node.op}: {error}") from None
+
+    return apply
 
 
 def _statement(node: Any) -> Callable[[dict], Iterator[Piece]]:

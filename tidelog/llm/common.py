@@ -47,6 +47,28 @@ def discard(*frames: DataFrame) -> None:
         frames[0].sparkSession._jvm.System.gc()
 
 
+def unused(name: str, columns: Sequence[str]) -> str:
+    """A column name that is not taken yet."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def packed(docs: DataFrame, *names: str) -> DataFrame:
+    """Some columns, and all of a row as the struct ``row``, safe from any other names."""
+    return docs.select(*names, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+
+
+def with_text(row: Column, text: Column, changed: Column, docs: DataFrame) -> Column:
+    """The packed row with another text where it has changed, and ``n_chars``, if there, after it."""
+    new = row.withField("text", F.when(changed, text).otherwise(row["text"]))
+    if "n_chars" in docs.columns:
+        n_chars = F.when(changed, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(row["n_chars"])
+        new = new.withField("n_chars", n_chars)
+    return new
+
+
 def text_bytes(column: str = "text") -> Column:
     """A text's UTF-8 bytes; those of a null text are empty."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b"")).alias(column)
@@ -116,27 +138,34 @@ def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple[li
 
 
 def running_total(
-    df: DataFrame, by: Sequence[str], block: str, order: Sequence[Column | str], value: Column, name: str
+    df: DataFrame, by: Sequence[str], block: str, order: Sequence[Column | str], value: Column, name: str, total: str | None = None
 ) -> DataFrame:
     """Add ``name``: the sum of ``value`` over all earlier rows of the group ``by``.
 
     Rows are ordered by ``block``, then by ``order``.  A group is not sorted in one
     task: each block is added up by itself, and block totals, few as they are, give
-    the sum over the earlier blocks.  ``by`` and ``block`` must not be null.
+    the sum over the earlier blocks, and ``total``, that of the group, if it is named.
+    ``by`` and ``block`` must not be null.
     """
     keys = [*by, block]
     df = df.withColumn("_value", value)
     totals = df.groupBy(*keys).agg(F.sum("_value").alias("_total"))
-    earlier = Window.orderBy(block) if not by else Window.partitionBy(*by).orderBy(block)
+    group = Window.partitionBy(*by)
+    earlier = group.orderBy(block).rowsBetween(Window.unboundedPreceding, 0)
+    whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     starts = totals.select(
         *(F.col(k).alias(f"_{k}") for k in keys),
-        (F.sum("_total").over(earlier.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_total")).alias("_start"),
+        (F.sum("_total").over(earlier) - F.col("_total")).alias("_start"),
+        F.sum("_total").over(whole).alias("_whole"),
     )
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumn("_sum", F.sum("_value").over(inside) - F.col("_value"))
+    # said outright, as rows that a join left together by group alone would else stay so
+    df = df.repartition(*keys).withColumn("_sum", F.sum("_value").over(inside) - F.col("_value"))
     on = [F.col(k) == F.col(f"_{k}") for k in keys]
     joined = df.join(starts, on).withColumn(name, F.col("_start") + F.col("_sum"))
-    return joined.drop("_value", "_sum", "_start", *(f"_{k}" for k in keys))
+    if total:
+        joined = joined.withColumn(total, F.col("_whole"))
+    return joined.drop("_value", "_sum", "_start", "_whole", *(f"_{k}" for k in keys))
 
 
 def hash_block(key: Column, blocks: int) -> Column:

@@ -13,12 +13,13 @@ import hashlib
 import re
 from collections.abc import Iterator, Sequence
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import rows_of, saved, text_bytes
+from tidelog.llm.common import packed, rows_of, saved, text_bytes, unused, with_text
 
 _NORMAL = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)
@@ -263,7 +264,7 @@ def find_spans(docs: DataFrame, items: DataFrame, width: int = 10, block_words:
             )
 
     kept = [F.col(f"`{f.name}`") for f in columns]
-    source = docs.select(*kept, text_bytes().alias("_bytes"))
+    source = docs.select(*kept, text_bytes().alias(unused("bytes", docs.columns)))
     return source.mapInArrow(run, T.StructType([*columns, *added]))
 
 
@@ -301,19 +302,15 @@ def decontaminate(
     dropped if they cover more than ``max_coverage`` of its words.  Documents
     without such spans stay as they are.  ``n_chars``, if there, follows the text.
     """
-    found = find_spans(docs, items, width)
+    found = find_spans(packed(docs, "text"), items, width)
     taken = F.filter("spans", lambda s: F.get(s, 1) - F.get(s, 0) >= min_span)
     found = found.withColumn("spans", taken)
     covered = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + (F.get(s, 1) - F.get(s, 0)))
     found = found.filter(covered <= F.lit(max_coverage) * F.col("n_words"))
 
     @F.pandas_udf("string")
-    def cut(texts, spans):
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
         return texts.combine(spans, lambda t, s: without_spans(t, [tuple(x) for x in s]) if len(s) else t)
 
-    text = F.when(F.size("spans") > 0, cut(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
-    cleaned = found.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        n_chars = F.when(F.size("spans") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
-        cleaned = cleaned.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
-    return cleaned.select(*(F.col(f"`{c}`") for c in docs.columns))
+    found = found.withColumn("text", cut(F.col("text"), F.col("spans")))
+    return found.select(with_text(F.col("row"), F.col("text"), F.size("spans") > 0, docs).alias("row")).select("row.*")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import running_total, saved
+from tidelog.llm.common import running_total, saved, unused
 
 # lengths whose sums are taken in one task
 BLOCK = 4096
@@ -55,7 +55,7 @@ def token_lengths(docs: DataFrame, vocabulary: str | None = None, pattern: str |
 
     kept = [F.col(f"`{f.name}`") for f in columns]
     schema = docs.select(*kept).schema.add(name, "long")
-    return docs.select(*kept, F.coalesce("text", F.lit("")).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*kept, F.coalesce("text", F.lit("")).alias(unused("words", docs.columns))).mapInArrow(run, schema)
 
 
 def length_histogram(docs: DataFrame, by: str = "source", vocabulary: str | None = None, pattern: str | None = None) -> DataFrame:

@@ -22,7 +22,7 @@ from tidelog.llm.common import WordHashes, rolling, rows_of, text_bytes
 
 # a copy of GRAM + SPREAD - 1 words shares a fingerprint for sure
 GRAM, SPREAD = 3, 3
-# how far an alignment may leave the diagonal, in words
+# how far an alignment may leave the diagonal, in words; less for short templates
 BAND = 8
 
 _NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -99,20 +99,25 @@ def fingerprints(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, grams[at]
 
 
+def band_of(template: Sequence[int]) -> int:
+    return min(BAND, len(template) // 4 + 1)
+
+
 def align(template: Sequence[int], words: Sequence[int], diagonal: int) -> tuple[int, int, int]:
     """Most words of the template found in order near a diagonal, and their first and last place.
 
     ``diagonal`` is a document's place less the template's.  Returns matched words,
     start and end in the document; of equally good ones the one that ends first.
     """
-    width = 2 * BAND + 1
+    band = band_of(template)
+    width = 2 * band + 1
     # score, and where its first match is; one cell for each offset from the diagonal
     scores, starts = [0] * width, [-1] * width
     best = (0, 0, 0)
     for i, w in enumerate(template):
         new, new_starts = [0] * width, [-1] * width
         for k in range(width):
-            j = i + diagonal + k - BAND
+            j = i + diagonal + k - band
             score, start = scores[k + 1] if k + 1 < width else 0, starts[k + 1] if k + 1 < width else -1
             if k and new[k - 1] > score:
                 score, start = new[k - 1], new_starts[k - 1]
@@ -154,13 +159,14 @@ class Scanner:
         last: tuple[int, int] | None = None
         for t, diagonal in hits:
             # diagonals of one copy lie within a band of the first of them
-            if last and last[0] == t and diagonal - last[1] <= BAND // 2:
+            size, band = len(self.words[t]), band_of(self.words[t])
+            if last and last[0] == t and diagonal - last[1] <= band // 2:
                 continue
             last = (t, diagonal)
-            low = max(0, diagonal - BAND)
-            part = hashes[low : diagonal + len(self.words[t]) + BAND].tolist()
+            low = max(0, diagonal - band)
+            part = hashes[low : max(0, diagonal + size + band)].tolist()
             matched, start, end = align(self.words[t].tolist(), part, diagonal - low)
-            if matched >= self.min_coverage * len(self.words[t]) and end - start <= len(self.words[t]) + BAND:
+            if matched >= self.min_coverage * size and end - start <= size + band:
                 matches.add(Match(t, low + start, low + end, matched))
         kept: list[Match] = []
         taken = np.zeros(len(hashes), bool)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import WordHashes, mixed, rolling, rows_of, saved, text_bytes
+from tidelog.llm.common import WordHashes, mixed, rolling, rows_of, saved, text_bytes, unused
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _RANK_SHIFT = np.uint64(32)
@@ -330,5 +330,6 @@ def keep_one(docs: DataFrame, how: NearDuplicates | None = None) -> DataFrame:
 
     Rows that repeat a kept id all stay.
     """
-    gone = near_duplicates(docs, how).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    name = unused("gone", docs.columns)
+    gone = near_duplicates(docs, how).filter("not kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")

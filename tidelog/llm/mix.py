@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import hash_block, running_total, saved
+from tidelog.llm.common import hash_block, packed, running_total, saved, with_text
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5  # of all words
@@ -149,13 +149,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
         (F.col("rates_before") + RATE_UNIT // 2) / RATE_UNIT
     )
     rows = rows.withColumn("copied", F.least(whole, F.lit(LIMIT)).cast("bigint") * F.col("size"))
-    copied = rows.groupBy("source_no").agg(F.sum("copied").alias("source_copied"))
-    rows = rows.join(copied, "source_no")
-    rows = rows.withColumn("lacking", F.round("target").cast("bigint") - F.col("source_copied"))
-    room = F.when(F.col("lacking") > 0, LIMIT * F.col("size") - F.col("copied")).otherwise(F.col("copied"))
-    rows = running_total(rows.withColumn("room", room), ["source_no"], "block", order, F.col("room"), "room_before")
-    change = F.greatest(F.lit(0), F.least(F.col("room"), F.abs("lacking") - F.col("room_before")))
-    taken = F.col("copied") + F.when(F.col("lacking") > 0, change).otherwise(-change)
+    spare = LIMIT * F.col("size") - F.col("copied")
+    rows = running_total(rows, ["source_no"], "block", order, F.col("copied"), "copied_before", "source_copied")
+    rows = running_total(rows, ["source_no"], "block", order, spare, "spare_before")
+    lacking = F.round("target").cast("bigint") - F.col("source_copied")
+    rows = rows.withColumn("lacking", lacking).withColumn("more", F.col("lacking") > 0)
+    room = F.when(F.col("more"), LIMIT * F.col("size") - F.col("copied")).otherwise(F.col("copied"))
+    before = F.when(F.col("more"), F.col("spare_before")).otherwise(F.col("copied_before"))
+    change = F.greatest(F.lit(0), F.least(room, F.abs("lacking") - before))
+    taken = F.col("copied") + F.when(F.col("more"), change).otherwise(-change)
     return rows.select("doc_id", "row_key", "size", "source_size", "target", taken.cast("bigint").alias("taken"))
 
 
@@ -166,22 +168,15 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     follows.  Empty documents stay, once.
     """
     taken = mix(docs, weights, share).groupBy("row_key").agg(F.sort_array(F.collect_list(F.struct("taken", "size"))).alias("_takes"))
-    rows = docs.withColumn("row_key", F.xxhash64("doc_id", "source", "text"))
-    columns = docs.columns
-    joined = rows.join(taken, "row_key")
+    rows = packed(docs, "doc_id", "source", "text").withColumn("row_key", F.xxhash64("doc_id", "source", "text"))
     same = Window.partitionBy("row_key").orderBy("doc_id", "source", "text")
-    joined = joined.withColumn("_take", F.get("_takes", F.row_number().over(same) - 1))
-    size, words = F.col("_take.size"), F.col("_take.taken")
+    joined = rows.join(taken, "row_key").withColumn("take", F.get("_takes", F.row_number().over(same) - 1))
+    size, words = F.col("take.size"), F.col("take.taken")
     full = F.when(size == 0, 1).otherwise(F.floor(words / F.greatest(size, F.lit(1)))).cast("int")
     rest = F.when(size == 0, 0).otherwise(words % F.greatest(size, F.lit(1))).cast("int")
     copies = F.concat(F.array_repeat(F.lit(-1), full), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
-    out = joined.withColumn("_copies", copies).select(*(F.col(f"`{c}`") for c in columns), F.explode("_copies").alias("_words"))
+    out = joined.select("text", "row", F.explode(copies).alias("words"))
     # the first words, with what stands between them; a word and the spaces before it are one match
     parts = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
-    cut = F.array_join(F.slice(parts, F.lit(1), F.col("_words")), "")
-    is_part = F.col("_words") >= 0
-    out = out.withColumn("text", F.when(is_part, cut).otherwise(F.col("text")))
-    if "n_chars" in columns:
-        n_chars = F.when(is_part, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
-        out = out.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
-    return out.drop("_words")
+    cut = F.array_join(F.slice(parts, F.lit(1), F.col("words")), "")
+    return out.select(with_text(F.col("row"), cut, F.col("words") >= 0, docs).alias("row")).select("row.*")
