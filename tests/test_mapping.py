@@ -7,7 +7,7 @@ from tests.test_parse import GOLDEN, messages
 from tidelog.functions import text
 from tidelog.functions.hooks import HookResult, referer_split, url_split
 from tidelog.operators import parse
-from tidelog.operators.enrich import ip_range_join, ip_to_long
+from tidelog.operators.enrich import ip_range_join, ip_to_long, overlapping_ranges
 from tidelog.operators.mapping import MapRule, apply_rules, conform
 from tidelog.plans.example import EVENT_COLUMNS, example_application, schema_from_text
 
@@ -126,9 +126,12 @@ def test_ip_range_join_both_ways(spark):
     rows = [(i, ".".join(str(v >> s & 255) for s in (24, 16, 8, 0))) for i, v in enumerate(values)]
     df = spark.createDataFrame(rows, "i bigint, ip string")
     want = [next((p for lo, hi, p in ranges if lo <= v <= hi), None) for v in values]
-    for max_rows in (100_000, 0):
-        got = ip_range_join(df, dim, F.col("ip"), ("place",), ("i",), prefix_bits=12, max_rows=max_rows)
+    for salts in (1, 4):
+        got = ip_range_join(df, dim, F.col("ip"), ("place",), prefix_bits=12, salts=salts, spread=("i",))
         assert [r.place for r in got.orderBy("i").collect()] == want
+    assert overlapping_ranges(dim, 12).count() == 0
+    wrong = dim.union(spark.sql("select 70003L, 300000L, 'd'"))
+    assert {(r.lo, r.next_lo) for r in overlapping_ranges(wrong, 12).collect()} == {(70001, 70003), (70003, 200000)}
 
 
 def test_quarantined_lines_still_have_rows(spark):

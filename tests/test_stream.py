@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from tidelog.operators.progress import publishable
 from tidelog.plans.application import Application
 from tidelog.operators.mapping import MapRule
 from tidelog.plans.example import schema_from_text
+from tidelog.shared import checkpoint_dir
 from tidelog.streaming.etl import StreamEtl
 
 APP = Application(
@@ -88,3 +90,22 @@ def test_repeating_a_batch_changes_nothing(etl, spark):
     etl.process(spark.createDataFrame(BATCHES[4], SCHEMA), 4)
     assert _ids(etl.published()) == before and etl.staged().count() == staged
     assert etl.status(4).filter(F.col("published_batch") == 4).count() == 1
+
+
+def test_files_stay_bounded(spark, tmp_path):
+    """50 micro-batches: what is staged, and what states there are, does not grow."""
+    etl = StreamEtl(spark, APP, str(tmp_path / "out"), keep_batches=3)
+    shared = Path(checkpoint_dir(spark).removeprefix("file:"))
+    before = len(list(shared.iterdir()))
+    sizes = []
+    for i in range(50):
+        rows = [row(p, 10 * i + k, i) for p in (0, 1) for k in (1, 2)] + [(0, 10 * i, "junk", dt.datetime(2024, 1, 1))]
+        if i == 30:
+            rows.append(row(0, 999, 1))
+        etl.process(spark.createDataFrame(rows, SCHEMA).coalesce(1), i)
+        sizes.append(len(list((tmp_path / "out" / "staged").iterdir())))
+    assert max(sizes[20:]) <= 20 and len(list(shared.iterdir())) == before
+    for kind in ("status", "newest", "delivered", "listed", "ready"):
+        assert len(list((tmp_path / "out" / kind).iterdir())) <= 11
+    assert etl.published().count() == 4 * 40
+    assert etl.quarantine().count() == 50 and _ids(etl.late(49)) == [(0, 999)]

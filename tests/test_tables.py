@@ -17,6 +17,15 @@ def test_delimited_round_trip(spark, tmp_path):
     assert tuple(back) == ("", None, {"k": "1"}, "x\x03y", "", 'q"r')
 
 
+def test_every_line_is_a_row(spark, tmp_path):
+    """One text column with empty rows, a carriage return, quotes and backslashes."""
+    values = ["", "x", "", "a\rb", "\\", '"', "\\\\\x02", ""]
+    df = spark.createDataFrame([(v,) for v in values], "only string").coalesce(1)
+    path = str(tmp_path / "t")
+    delimited.write_delimited(df, path)
+    assert sorted(r.only for r in delimited.scan_delimited(spark, path, df.schema).collect()) == sorted(values)
+
+
 def test_sanitize(spark):
     df = spark.createDataFrame([("a\x01b\nc",)], "x string")
     assert df.select(sanitize(F.col("x")).alias("x")).first().x == "ab\x03c"

@@ -8,6 +8,7 @@ it may refuse a row.  Everything stays in Catalyst; opaque code comes in as a
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -98,18 +99,18 @@ def url_split(quirks: bool = False, query_param: str = "word", host: str = "host
     ``quirks`` gives a URL without parameters one empty pair.
     """
     # the last parameter of that name, its text up to a second "="
-    phrase = rf"(?s)^(?:.*&)?\Q{query_param}\E(?:=([^&=]*)[^&]*)?(?:&.*)?$"
+    phrase = text.quoted(rf"(?s)^(?:.*&)?{re.escape(query_param)}(?:=([^&=]*)[^&]*)?(?:&.*)?$")
 
     def hook(ins: Ins, outs: Sequence[str]) -> dict[str, Column]:
         h, u = (f"coalesce({text.sql_of(ins[n])}, '')" for n in (host, url))
         params = f"split_part({u}, '?', 2)"
-        found = text.from_carrier_sql(f"regexp_extract({text.to_carrier_sql(params)}, r'{phrase}', 1)")
+        found = text.from_carrier_sql(f"regexp_extract({text.to_carrier_sql(params)}, {phrase}, 1)")
         return {
             "event_url": F.expr(f"concat({h}, {u})"),
             "event_url_hostname": F.expr(h),
             "event_urlpath": F.expr(f"substring_index({u}, '?', 1)"),
             "event_urlparamsmap": _params(u, quirks),
-            "event_query": F.expr(f"case when contains({params}, '{query_param}') then {found} else '' end"),
+            "event_query": F.expr(f"case when contains({params}, {text.quoted(query_param)}) then {found} else '' end"),
         }
 
     return hook

@@ -14,6 +14,7 @@ a long expression then costs the driver one call and not one per node.
 from __future__ import annotations
 
 import re
+import threading
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
@@ -38,6 +39,16 @@ def sql_of(x: Column | str) -> str:
     return name[1]
 
 
+def quoted(value: str) -> str:
+    """A text literal in SQL."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+# two threads of one session must not restore each other's settings
+_settings = threading.RLock()
+
+
 @contextmanager
 def java_charsets(spark: SparkSession):
     """Allow charsets beyond the SQL standard list while a plan is analysed.
@@ -46,14 +57,15 @@ def java_charsets(spark: SparkSession):
     set when the plan runs.
     """
     names = ("spark.sql.legacy.javaCharsets", "spark.sql.legacy.codingErrorAction")
-    before = {n: spark.conf.get(n) for n in names}
-    try:
-        for n in names:
-            spark.conf.set(n, "true")
-        yield
-    finally:
-        for n, v in before.items():
-            spark.conf.set(n, v)
+    with _settings:
+        before = {n: spark.conf.get(n) for n in names}
+        try:
+            for n in names:
+                spark.conf.set(n, "true")
+            yield
+        finally:
+            for n, v in before.items():
+                spark.conf.set(n, v)
 
 
 def to_carrier_sql(x: str) -> str:
@@ -125,7 +137,7 @@ def escape_invalid(x: Column | str) -> Column:
 
 def _last_wins_sql(x: str, sep: str) -> str:
     """Pairs with repeated keys: last value, first position, in O(n log n)."""
-    token = "named_struct('k', substring_index(t, '=', 1), 'i', i, 'v', coalesce(get(split(t, '='), 1), ''))"
+    token = "named_struct('k', substring_index(t, '=', 1), 'i', i, 'v', split_part(t, '=', 2))"
     tokens = f"array_sort(transform(split({x}, '{sep}'), (t, i) -> {token}))"
     merged = bind_sql(
         tokens,
@@ -137,26 +149,18 @@ def _last_wins_sql(x: str, sep: str) -> str:
     return f"map_from_entries(transform(array_sort({merged}), e -> struct(e.k, e.v)))"
 
 
-def _session_keeps_last() -> bool:
-    """Whether the session itself lets the last of repeated map keys win."""
-    policy = SparkSession.active().conf.get("spark.sql.mapKeyDedupPolicy")
-    return policy.upper() == "LAST_WIN"
-
-
 def raw_pairs_sql(x: str, sep: str) -> str:
-    """``pairs_to_map`` for valid UTF-8, with bare tokens left NULL.
+    """``pairs_to_map`` for valid UTF-8.
 
-    Spark raises an error on repeated keys unless the session sets
-    ``spark.sql.mapKeyDedupPolicy=LAST_WIN``.  Rows with repeated keys take
-    another way then; the setting saves the look for them.
+    A line is split once; its entries make the map as they are, unless a key occurs
+    twice.  That is looked for in the row, so the session's policy for repeated map
+    keys does not matter.
     """
-    pairs = f"str_to_map(regexp_replace({x}, '(=[^{sep}=]*)=[^{sep}]*', '$1'), '{sep}', '=')"
-    if _session_keeps_last():
-        return pairs
-    keys = f"split(regexp_replace({x}, '=[^{sep}]*', ''), '{sep}')"
-    return (
-        f"case when size(array_distinct({keys})) = size({keys}) then {pairs}"
-        f" else {_last_wins_sql(x, sep)} end"
+    entry = "named_struct('k', substring_index(t, '=', 1), 'v', split_part(t, '=', 2))"
+    return bind_sql(
+        f"transform(split({x}, '{sep}'), t -> {entry})",
+        "es",
+        f"case when size(array_distinct(es.k)) = size(es) then map_from_entries(es) else {_last_wins_sql(x, sep)} end",
     )
 
 
@@ -167,13 +171,9 @@ def map_values_sql(m: str, steps: Sequence[Sql]) -> str:
     return m
 
 
-def filled_sql(v: str) -> str:
-    return f"coalesce({v}, '')"
-
-
 def pairs_to_map_sql(x: str, sep: str, steps: Sequence[Sql] = ()) -> str:
-    as_text = map_values_sql(raw_pairs_sql(x, sep), [filled_sql, *steps])
-    carried = map_values_sql(raw_pairs_sql(to_carrier_sql(x), sep), [filled_sql, from_carrier_sql, *steps])
+    as_text = map_values_sql(raw_pairs_sql(x, sep), steps)
+    carried = map_values_sql(raw_pairs_sql(to_carrier_sql(x), sep), [from_carrier_sql, *steps])
     as_bytes = bind_sql(
         carried,
         "m",

@@ -47,7 +47,7 @@ def late_flag(df: DataFrame, arrival: tuple[str, ...] = ("arrival", "msg_id")) -
         Window.partitionBy("pipelet").orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
     )
     closes = first.select("pipelet", "bucket", F.min("first").over(newer).alias("_closes"))
-    joined = lookup_join(df, closes, ["pipelet", "bucket"], arrival)
+    joined = lookup_join(df, closes, ["pipelet", "bucket"])
     return joined.select(*df.columns, F.coalesce(moment > F.col("_closes"), F.lit(False)).alias("is_late"))
 
 
@@ -73,6 +73,30 @@ def day_range(first: Column, last: Column) -> Column:
     return F.transform(days, lambda d: compact(d, 8))
 
 
+def bucket_order(buckets: DataFrame) -> DataFrame:
+    """Add ``place``: of the list, 1 to its length, by pipelet, then bucket.
+
+    Places within a pipelet are counted pipelet by pipelet; counts, a row per pipelet,
+    tell how many entries come before.
+    """
+    running = Window.orderBy("pipelet").rowsBetween(Window.unboundedPreceding, 0)
+    counts = buckets.groupBy("pipelet").agg(F.count("*").alias("n"))
+    before = counts.select("pipelet", (F.sum("n").over(running) - F.col("n")).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("pipelet").orderBy("bucket")) + F.col("_before")
+    joined = lookup_join(buckets, before, ["pipelet"])
+    return joined.withColumn("place", place.cast("bigint")).drop("_before")
+
+
+def done_filter(files: DataFrame) -> DataFrame:
+    """Entries of the inventory (``state``) that are not marked done."""
+    return files.filter(F.coalesce(F.col("state") != "done", F.lit(True)))
+
+
+def minus_done(buckets: DataFrame, done: DataFrame, keys: tuple[str, ...] = ("pipelet", "bucket")) -> DataFrame:
+    """The bucket list less those that the list of done ones has."""
+    return buckets.join(done.select(*keys), list(keys), "left_anti")
+
+
 def partition_gaps(calendar: DataFrame, published: DataFrame) -> DataFrame:
     """Calendar partitions that were never published."""
     return calendar.join(published, ["event_day", "event_hour", "event_minute"], "left_anti")

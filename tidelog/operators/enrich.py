@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.shared import BROADCAST_ROWS, lookup_join
+from tidelog.shared import lookup_join
 
 _IPV4 = r"^(25[0-5]|2[0-4]\d|1?\d?\d)(\.(25[0-5]|2[0-4]\d|1?\d?\d)){3}$"
 
@@ -20,39 +20,43 @@ def ip_to_long(ip: Column) -> Column:
     return F.when(ip.rlike(_IPV4), ((part(0) * 256 + part(1)) * 256 + part(2)) * 256 + part(3))
 
 
+def overlapping_ranges(ranges: DataFrame, prefix_bits: int = 16) -> DataFrame:
+    """Pairs ``lo, hi, next_lo`` of ranges that overlap, block by block: to be empty.
+
+    A check to run once when a lookup is prepared.
+    """
+    following = Window.partitionBy("_block").orderBy("lo", "hi")
+    ahead = _cut(ranges.select("lo", "hi"), prefix_bits).select("lo", "hi", F.lead("lo").over(following).alias("next_lo"))
+    return ahead.filter("next_lo <= hi").distinct()
+
+
+def _block(c: Column, prefix_bits: int) -> Column:
+    return F.floor(c / F.lit(1 << (32 - prefix_bits))).cast("bigint")
+
+
+def _cut(ranges: DataFrame, prefix_bits: int) -> DataFrame:
+    blocks = F.sequence(_block(F.col("lo"), prefix_bits), _block(F.col("hi"), prefix_bits))
+    return ranges.select(F.explode(blocks).alias("_block"), *ranges.columns)
+
+
 def ip_range_join(
     df: DataFrame,
     ranges: DataFrame,
     ip: Column,
     values: tuple[str, ...],
-    spread: tuple[str, ...],
     prefix_bits: int = 16,
-    max_rows: int = BROADCAST_ROWS,
+    salts: int = 1,
+    spread: tuple[str, ...] = (),
 ) -> DataFrame:
     """Add ``values`` of the range ``lo``..``hi`` an address lies in, else NULL.
 
-    Ranges must not overlap.  They are cut at the ``prefix_bits`` boundaries, so
-    that the join has an equality key and is a hash join with a residual test;
-    the cut table has at most ``2 ** prefix_bits`` more rows than the ranges.
+    Ranges must not overlap (``overlapping_ranges``).  They are cut at the
+    ``prefix_bits`` boundaries, so that the join has an equality key and a residual
+    test; the cut table has at most ``2 ** prefix_bits`` more rows than the ranges.
     """
-    step = 1 << (32 - prefix_bits)
-
-    def block(c: Column) -> Column:
-        return F.floor(c / F.lit(step)).cast("bigint")
-
-    cut = ranges.select(
-        F.explode(F.sequence(block(F.col("lo")), block(F.col("hi")))).alias("_block"),
-        F.col("lo").alias("_lo"),
-        F.col("hi").alias("_hi"),
-        *values,
-    )
-    left = df.withColumn("_ip", ip_to_long(ip)).withColumn("_block", block(F.col("_ip")))
-    joined = lookup_join(
-        left,
-        cut,
-        ["_block"],
-        spread,
-        max_rows=max_rows,
-        where=F.col("_ip").between(F.col("r__lo"), F.col("r__hi")),
-    )
+    cut = _cut(ranges.select("lo", "hi", *values), prefix_bits)
+    cut = cut.withColumnsRenamed({"lo": "_lo", "hi": "_hi"})
+    left = df.withColumn("_ip", ip_to_long(ip)).withColumn("_block", _block(F.col("_ip"), prefix_bits))
+    inside = F.col("_ip").between(F.col("r__lo"), F.col("r__hi"))
+    joined = lookup_join(left, cut, ["_block"], where=inside, salts=salts, spread=spread)
     return joined.drop("_ip", "_block", "_lo", "_hi")

@@ -48,13 +48,7 @@ def apply_rules(
     names = list(dict.fromkeys(n for rule in rules for n in rule.ins))
     at = {n: f"_in{i}" for i, n in enumerate(names)}
     value = decode or (lambda x: x)
-    # a bare token has no value in a raw bag, an empty one in a decoded bag
-    raw = [
-        f"case when map_contains_key({fields}, '{n}') then coalesce({fields}['{n}'], '') end as _raw{i}"
-        for i, n in enumerate(names)
-    ]
-    # The map function beside them also keeps this projection out of whole-stage
-    # code, where so many columns make one method too long for the JIT compiler.
+    raw = [f"{fields}[{text.quoted(n)}] as _raw{i}" for i, n in enumerate(names)]
     unnamed = f"{_without(fields, names)} as _left"
     others = [f"`{c}`" for c in df.columns]
     decoded = [f"{value(f'_raw{i}')} as _in{i}" for i in range(len(names))]
@@ -80,21 +74,21 @@ def apply_rules(
                     event[name] = F.when(row["_ok"], row[name]).otherwise(before)
                 for name in set(rule.ins) - gone:
                     taken = taken.withColumn(at[name], F.when(~row["_ok"], F.col(at[name])))
-                    depends.append(f"(k != '{name}' or not _rule{i}._ok)")
+                    depends.append(f"(k != {text.quoted(name)} or not _rule{i}._ok)")
             else:
                 event.update(result.values if isinstance(result, HookResult) else result)
                 gone.update(rule.ins)
         event.pop(leftovers, None)
         rest = _without(fields, gone, depends) if depends else "_left"
         if decode is not None:
-            rest = text.map_values_sql(rest, [text.filled_sql, decode])
+            rest = text.map_values_sql(rest, [decode])
         outputs = [c.alias(n) for n, c in event.items() if n not in keep]
         return taken.select(*keep, *outputs, F.expr(rest).alias(leftovers))
 
 
 def _without(fields: str, names: Collection[str], tests: Sequence[str] = ()) -> str:
     """SQL text of the map less some keys."""
-    listed = [f"k not in ({', '.join(repr(n) for n in sorted(names))})"] if names else []
+    listed = [f"k not in ({', '.join(text.quoted(n) for n in sorted(names))})"] if names else []
     return f"map_filter({fields}, (k, v) -> {' and '.join([*listed, *tests]) or 'true'})"
 
 

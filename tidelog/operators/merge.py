@@ -26,35 +26,55 @@ def union_inputs(increment: DataFrame, snapshot: DataFrame) -> DataFrame:
     )
 
 
+def _newest_first(df: DataFrame, version: str) -> list[Column]:
+    """Newest version first; equal versions by a hash of the row, so that reruns agree."""
+    plain = [c for c, kind in df.dtypes if not kind.startswith("map")]
+    return [F.desc(version), F.xxhash64(*plain)]
+
+
 def snapshot_merge(
-    increment: DataFrame, snapshot: DataFrame, keys: Sequence[str], version: str
+    increment: DataFrame, snapshot: DataFrame, keys: Sequence[str], version: str, unique: bool = True
 ) -> DataFrame:
     """New snapshot: an increment row replaces the old row of its key.
 
-    Of several rows of a side the highest ``version`` stays.
+    Of several increment rows the highest ``version`` stays.  The snapshot is not
+    shuffled for a small increment: its rows stay but for keys that the increment
+    has.  It has one row per key, as a merge leaves it; if it may have more, say
+    ``unique=False``, and the highest version of each key stays.  Null keys are keys.
     """
-    both = union_inputs(increment, snapshot)
-    merged = first_per_key(both, keys, F.desc("is_increment"), F.desc(version))
-    return merged.drop("is_increment")
+    new = first_per_key(increment, keys, *_newest_first(increment, version))
+    if not unique:
+        snapshot = first_per_key(snapshot, keys, *_newest_first(snapshot, version))
+    changed = new.select(*(F.col(k).alias(f"_new_{k}") for k in keys))
+    same = [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys]
+    return snapshot.join(changed, same, "left_anti").unionByName(new)
 
 
 def write_snapshot(df: DataFrame, target: str) -> None:
-    """Write a snapshot; an existing target is kept under a ``.bak`` name."""
+    """Write a snapshot; an existing target is kept under a ``.bak`` name.
+
+    The new one is written beside the target, then both are renamed.  Between the two
+    renames readers find no target; if the second fails, the first is undone and an
+    error is raised, as it is if the first fails.
+    """
     spark = df.sparkSession
     path_of = spark._jvm.org.apache.hadoop.fs.Path
     path = path_of(target.rstrip("/"))
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(path):
-        # the plan may read the target: write beside it, then swap
-        new = path_of(f"{path}.new")
-        df.write.mode("overwrite").parquet(new.toString())
-        n, backup = 0, path_of(f"{path}.bak")
-        while fs.exists(backup):
-            n, backup = n + 1, path_of(f"{path}.bak{n + 1}")
-        fs.rename(path, backup)
-        fs.rename(new, path)
-    else:
+    if not fs.exists(path):
         df.write.parquet(target)
+        return
+    # the plan may read the target
+    new = path_of(f"{path}.new")
+    df.write.mode("overwrite").parquet(new.toString())
+    n, backup = 0, path_of(f"{path}.bak")
+    while fs.exists(backup):
+        n, backup = n + 1, path_of(f"{path}.bak{n + 1}")
+    if not fs.rename(path, backup):
+        raise OSError(f"{path} cannot be renamed to {backup}; the new snapshot is at {new}")
+    if not fs.rename(new, path):
+        undone = fs.rename(backup, path)
+        raise OSError(f"{new} cannot be renamed to {path}; the old one is at {path if undone else backup}")
 
 
 def dedupe_replay(
@@ -68,7 +88,8 @@ def dedupe_replay(
     """
     if not order:
         return df.dropDuplicates(list(keys))
-    return first_per_key(df, keys, *(F.col(c) for c in order))
+    plain = [c for c, kind in df.dtypes if not kind.startswith("map")]
+    return first_per_key(df, keys, *(F.col(c) for c in order), F.xxhash64(*plain))
 
 
 def dedupe_stream(df: DataFrame, ts: str, delay: str, keys: Sequence[str] = ("pipelet", "msg_id")) -> DataFrame:

@@ -62,7 +62,7 @@ decoded = text.percent_decode_sql
 def cut_notice(df: DataFrame, body: str = "body") -> DataFrame:
     """The same with decoded values: header, fields and decoding in one."""
     raw = cut_raw(df, body)
-    return raw.withColumn("fields", F.expr(text.map_values_sql("fields", [text.filled_sql, decoded])))
+    return raw.withColumn("fields", F.expr(text.map_values_sql("fields", [decoded])))
 
 
 def with_event_time(
@@ -70,7 +70,8 @@ def with_event_time(
 ) -> DataFrame:
     """Add ``event_ts`` (NULL if there is no such moment) and ``reason``.
 
-    ``reason`` is NULL for a good line, else why it has no place in the table.
+    ``reason`` is NULL for a good line, else why it has no place in the table:
+    ``no_header``, ``no_ingest_time``, or ``bad_time``.
     """
     at = df.select(
         "*",
@@ -78,7 +79,11 @@ def with_event_time(
         F.expr(decode(f"{fields}['time']")).alias("_time"),
     )
     ts = clock.event_time(F.col("_date"), F.col("_time"), ingest)
-    reason = F.when(~F.col("matched"), "no_header").when(F.col("event_ts").isNull(), "bad_time")
+    reason = (
+        F.when(~F.col("matched"), "no_header")
+        .when(ingest.isNull(), "no_ingest_time")
+        .when(F.col("event_ts").isNull(), "bad_time")
+    )
     placed = at.withColumn("event_ts", ts).withColumn("reason", reason).drop("_date", "_time")
     return computed_once(placed, "event_ts", "reason")
 

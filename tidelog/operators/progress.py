@@ -1,6 +1,8 @@
 """Which shards have delivered a partition, and what may be published.
 
-A partition's mask has one bit per pipelet; a bigint holds 63 of them.
+A delivery list has one row per partition with the sorted array of its pipelets, of
+any number.  The bit mask of a partition, which a bigint holds for pipelets 0 to 62,
+is a form of output (``mask_of``), not what decides.
 """
 
 from __future__ import annotations
@@ -10,47 +12,63 @@ from pyspark.sql import functions as F
 
 from tidelog.operators.buckets import bucket_counts, open_bucket, sealed_buckets
 
-MAX_PIPELETS = 63
+MASK_BITS = 63
+
+
+def deliveries(df: DataFrame, partition: str = "bucket", pipelet: str = "pipelet") -> DataFrame:
+    """(partition, pipelets): all pipelets that delivered it, in order.
+
+    Pairs are made distinct first, so that a hot partition is reduced in each task.
+    """
+    pairs = df.select(F.col(partition).alias("partition"), F.col(pipelet).cast("bigint").alias("pipelet")).distinct()
+    return pairs.groupBy("partition").agg(F.sort_array(F.collect_list("pipelet")).alias("pipelets"))
+
+
+def mask_of(pipelets: Column) -> Column:
+    """One bit per pipelet; NULL if one of them has no bit in a bigint."""
+    one = F.lit(1).cast("bigint")
+    bits = F.aggregate(
+        pipelets, F.lit(0).cast("bigint"), lambda m, p: m.bitwiseOR(F.call_function("shiftleft", one, p.cast("int")))
+    )
+    return F.when(~F.exists(pipelets, lambda p: ~p.between(0, MASK_BITS - 1)), bits)
 
 
 def full_mask(n_pipelets: int) -> int:
-    if not 1 <= n_pipelets <= MAX_PIPELETS:
-        raise ValueError(f"a mask holds 1 to {MAX_PIPELETS} pipelets, not {n_pipelets}")
+    """The mask of all pipelets."""
+    if not 1 <= n_pipelets <= MASK_BITS:
+        raise ValueError(f"a mask holds 1 to {MASK_BITS} pipelets, not {n_pipelets}")
     return (1 << n_pipelets) - 1
 
 
-def pipelet_bit(pipelet: Column) -> Column:
-    """The pipelet's bit; NULL outside 0..62, where no bit exists."""
-    one = F.when(pipelet.between(0, MAX_PIPELETS - 1), F.lit(1).cast("bigint"))
-    # shiftleft takes no column for the distance
-    return F.call_function("shiftleft", one, pipelet.cast("int"))
+def completeness_mask(df: DataFrame, partition: str = "bucket", pipelet: str = "pipelet") -> DataFrame:
+    """(partition, mask): deliveries as a bit mask; NULL where a pipelet has no bit."""
+    return deliveries(df, partition, pipelet).select("partition", mask_of(F.col("pipelets")).alias("mask"))
 
 
-def completeness_mask(df: DataFrame, partition: str = "bucket", pipelet: str = "pipelet") -> DataFrame:
-    """(partition, mask): the bits of all pipelets that delivered it."""
-    return df.groupBy(F.col(partition).alias("partition")).agg(
-        F.bit_or(pipelet_bit(F.col(pipelet))).alias("mask")
-    )
+def _expected(n_pipelets: int) -> Column:
+    return F.sequence(F.lit(0).cast("bigint"), F.lit(n_pipelets - 1).cast("bigint"))
+
+
+def unexpected_pipelets(listed: DataFrame, n_pipelets: int) -> DataFrame:
+    """(partition, pipelet) of deliveries by pipelets outside ``0..n_pipelets - 1``: error rows."""
+    outside = F.filter("pipelets", lambda p: ~p.between(0, n_pipelets - 1))
+    return listed.select("partition", F.explode(outside).alias("pipelet"))
 
 
-def complete_partitions(masks: DataFrame, full: int) -> DataFrame:
-    """Partitions whose mask equals ``full``; a bit too many is an error, not complete."""
-    return masks.filter(F.col("mask") == F.lit(full).cast("bigint"))
+def complete_partitions(listed: DataFrame, n_pipelets: int) -> DataFrame:
+    """Partitions that exactly the expected pipelets delivered; one too many is an error, not complete."""
+    return listed.filter(F.col("pipelets") == _expected(n_pipelets))
 
 
-def missing_pipelets(masks: DataFrame, n_pipelets: int) -> DataFrame:
+def missing_pipelets(listed: DataFrame, n_pipelets: int) -> DataFrame:
     """Add ``missing``, the array of pipelets that have not delivered yet."""
-    full_mask(n_pipelets)
-    shards = F.sequence(F.lit(0), F.lit(n_pipelets - 1))
-    absent = F.filter(shards, lambda i: F.col("mask").bitwiseAND(pipelet_bit(i)) == 0)
-    return masks.withColumn("missing", absent)
+    return listed.withColumn("missing", F.array_except(_expected(n_pipelets), F.col("pipelets")))
 
 
 def upsert_status(status: DataFrame, delivered: DataFrame) -> DataFrame:
-    """Status after more deliveries: ``(partition, mask)`` with the new bits set."""
-    new = delivered.select("partition", pipelet_bit(F.col("pipelet")).alias("mask"))
-    both = status.select("partition", "mask").unionByName(new)
-    return both.groupBy("partition").agg(F.bit_or("mask").alias("mask"))
+    """Status ``(partition, pipelets)`` after more deliveries ``(partition, pipelet)``."""
+    known = status.select("partition", F.explode("pipelets").alias("pipelet"))
+    return deliveries(known.unionByName(delivered.select("partition", "pipelet")), "partition")
 
 
 def min_progress(df: DataFrame) -> DataFrame:
@@ -60,20 +78,21 @@ def min_progress(df: DataFrame) -> DataFrame:
 
 
 def publishable(df: DataFrame, n_pipelets: int) -> DataFrame:
-    """(partition, mask) of the buckets that all pipelets delivered and sealed."""
-    return complete_partitions(completeness_mask(sealed_buckets(df)), full_mask(n_pipelets))
+    """(partition, pipelets) of the buckets that all pipelets delivered and sealed."""
+    return complete_partitions(deliveries(sealed_buckets(df)), n_pipelets)
 
 
 def publication_status(df: DataFrame, n_pipelets: int) -> DataFrame:
-    """Per partition: pipelets that delivered, that sealed, and whether it is public."""
+    """Per partition: the pipelets that delivered, that sealed, and whether it is public."""
     listed = df.transform(bucket_counts).transform(open_bucket)
-    sealed = F.when(F.col("bucket") < F.col("newest"), pipelet_bit(F.col("pipelet")))
+    # the list has one row per pipelet and bucket
+    sealed = F.when(F.col("bucket") < F.col("newest"), F.col("pipelet").cast("bigint"))
     return (
         listed.groupBy(F.col("bucket").alias("partition"))
         .agg(
-            F.bit_or(pipelet_bit(F.col("pipelet"))).alias("delivered"),
-            F.coalesce(F.bit_or(sealed), F.lit(0).cast("bigint")).alias("sealed"),
+            F.sort_array(F.collect_list(F.col("pipelet").cast("bigint"))).alias("delivered"),
+            F.sort_array(F.collect_list(sealed)).alias("sealed"),
             F.sum("n_rows").alias("n_rows"),
         )
-        .withColumn("is_public", F.col("sealed") == F.lit(full_mask(n_pipelets)).cast("bigint"))
+        .withColumn("is_public", F.col("sealed") == _expected(n_pipelets))
     )

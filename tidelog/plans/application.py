@@ -14,7 +14,6 @@ from tidelog.functions.hooks import Hook, date_time
 from tidelog.functions.text import Sql
 from tidelog.operators.mapping import Cut, MapRule, apply_rules, conform
 from tidelog.operators.parse import cut_raw, decoded, with_event_time
-from tidelog.operators.progress import full_mask
 
 
 @dataclass(frozen=True)
@@ -39,10 +38,6 @@ class Application:
     ingest: str = "ingest_ts"
     leftovers: str = "event_loginfo"
 
-    @property
-    def full(self) -> int:
-        return full_mask(self.n_pipelets)
-
     def parsed(self, messages: DataFrame) -> DataFrame:
         """Messages with ``fields``, ``event_ts`` and ``reason``."""
         decode = self.decode or (lambda x: x)

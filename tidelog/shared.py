@@ -1,4 +1,4 @@
-"""Cluster-shared scratch space and size-checked joins."""
+"""Cluster-shared scratch space and lookups."""
 
 from __future__ import annotations
 
@@ -9,16 +9,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# a broadcast side may have this many rows; beyond it the join is shuffled
-BROADCAST_ROWS = 500_000
-SALTS = 32
-
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; one of our own only where none is set."""
+    """The session's checkpoint folder.
+
+    Without one, a local session gets a temporary folder; on a cluster that would be
+    another folder on every machine, so it is an error there.
+    """
     context = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if current is None:
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="tidelog-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(current)
@@ -45,36 +47,33 @@ def lookup_join(
     left: DataFrame,
     lookup: DataFrame,
     keys: Sequence[str],
-    spread: Sequence[str],
     how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
     where: Column | None = None,
+    salts: int = 1,
+    spread: Sequence[str] = (),
 ) -> DataFrame:
     """Join a large side with an aggregated or reference side of unknown size.
 
-    The lookup is computed once, to a checkpoint, and counted.  Within
-    ``max_rows`` it is broadcast.  Beyond that both sides are shuffled by the
-    keys and a salt: the left side takes it from a hash of ``spread`` (columns
-    that vary within a key), the lookup is repeated for every salt, so that one
-    hot key is spread over ``SALTS`` tasks.
+    No job runs and no size is assumed here: adaptive execution broadcasts the
+    lookup if its measured bytes are few, and splits hot keys of a shuffled join.
+    With ``salts`` the shuffle itself spreads a key over as many tasks: the left side
+    takes its salt from a hash of ``spread`` (columns that vary within a key), the
+    lookup is repeated for every salt.
 
     ``where`` is a further condition on the joined row, in which the lookup's
     columns have the prefix ``r_``.
     """
-    checkpoint_dir(left.sparkSession)
-    lookup = lookup.checkpoint()
-    if lookup.count() <= max_rows:
-        small, on = True, list(keys)
-    else:
-        left = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
-        lookup = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        small, on = False, [*keys, "_salt"]
+    on = list(keys)
+    if salts > 1:
+        left = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+        lookup = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        on.append("_salt")
     # new names, so that a lookup derived from the left side is not taken for it
     right = lookup.select(*(F.col(c).alias(f"r_{c}") for c in lookup.columns))
     condition = where if where is not None else F.lit(True)
     for k in on:
         condition = condition & (F.col(k) == F.col(f"r_{k}"))
-    joined = left.join(F.broadcast(right) if small else right, condition, how)
+    joined = left.join(right, condition, how)
     kept = [c for c in left.columns if c != "_salt"]
     if how in ("left_semi", "left_anti"):
         return joined.select(*kept)

@@ -32,16 +32,12 @@ def write_delimited(df: DataFrame, path: str, mode: str = "errorifexists") -> No
 
 
 def scan_delimited(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read event text by position; numbers that do not parse are NULL."""
-    strings = T.StructType([T.StructField(n, T.StringType()) for n in schema.fieldNames()])
-    raw = (
-        spark.read.schema(strings)
-        .option("sep", FIELD)
-        .option("lineSep", ROW)
-        .option("quote", "")
-        .option("escape", "\0")
-        .csv(path)
-    )
-    # an empty field is read as NULL
-    filled = raw.select(*(F.coalesce(F.col(n), F.lit("")).alias(n) for n in schema.fieldNames()))
+    """Read event text by position; numbers that do not parse are NULL.
+
+    Every line is a row, an empty one too.  A line with too few fields has empty
+    ones at its end; more than the schema has are left out.
+    """
+    fields = F.split("value", FIELD, -1)
+    lines = spark.read.option("lineSep", ROW).text(path)
+    filled = lines.select(*(F.coalesce(F.get(fields, F.lit(i)), F.lit("")).alias(f.name) for i, f in enumerate(schema)))
     return filled.selectExpr(*(f"{cast_sql(f.name, T.StringType(), f.dataType)} as `{f.name}`" for f in schema))

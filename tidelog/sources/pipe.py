@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.operators.progress import MAX_PIPELETS
 from tidelog.shared import lookup_join
 
 # fixed values: named start points
@@ -98,11 +97,10 @@ def is_valid_start(c: Column) -> Column:
 def new_only(messages: DataFrame, starts: DataFrame) -> DataFrame:
     """Messages at or after their pipelet's ``start``; all, where none is known.
 
-    There are at most 63 pipelets with a position, so the positions fit in a
-    broadcast.
+    Every pipelet keeps its position, however many there are; positions are a row
+    per pipelet, which adaptive execution sends to the messages if it is small.
     """
-    bounded = starts.filter(F.col("pipelet").between(0, MAX_PIPELETS - 1)).select("pipelet", "start")
-    joined = lookup_join(messages, bounded, ["pipelet"], ["msg_id"])
+    joined = lookup_join(messages, starts.select("pipelet", "start"), ["pipelet"])
     start = F.coalesce(F.col("start"), F.lit(FROM_FIRST))
     wanted = (start != FROM_CURRENT) & (F.col("msg_id") >= start)
     return joined.filter(wanted).drop("start")
@@ -114,11 +112,14 @@ def offset_checkpoint(messages: DataFrame) -> DataFrame:
 
 
 def kafka_starting_offsets(topic: str, starts: DataFrame) -> str:
-    """``startingOffsets`` text for a topic; one number per pipelet."""
+    """``startingOffsets`` text for a topic: one number for each of its pipelets.
+
+    The reader takes this as one option, so it is as long as the topic has partitions.
+    """
     # the source's own names for the two ends of a partition
     named = {FROM_FIRST: -2, FROM_CURRENT: -1}
-    rows = starts.filter(F.col("pipelet").between(0, MAX_PIPELETS - 1)).select("pipelet", "start").limit(MAX_PIPELETS)
-    offsets = {str(r["pipelet"]): named.get(r["start"], r["start"]) for r in rows.collect()}
+    rows = starts.select("pipelet", "start").toLocalIterator()
+    offsets = {str(r["pipelet"]): named.get(r["start"], r["start"]) for r in rows}
     return json.dumps({topic: offsets}, sort_keys=True)
 
 
@@ -133,9 +134,27 @@ def envelope_check(messages: DataFrame, required: Sequence[str] | None = None) -
 
 
 def decode_body(messages: DataFrame) -> DataFrame:
-    """Valid envelopes as ``pipelet, msg_id, body``."""
-    return messages.filter("err_no = 0").select(
+    """Envelopes as ``pipelet, msg_id, body, reason``: a row for every one.
+
+    ``reason`` is NULL for a good envelope; ``no_err_no``, ``error`` or ``no_body``
+    send it to quarantine (``decoded``, ``undecoded``).
+    """
+    reason = (
+        F.when(F.col("err_no").isNull(), "no_err_no").when(F.col("err_no") != 0, "error").when(F.col("msg_body").isNull(), "no_body")
+    )
+    return messages.select(
         F.col("pipelet_id").alias("pipelet"),
         F.col("pipelet_msg_id").alias("msg_id"),
         F.col("msg_body").cast("string").alias("body"),
+        reason.alias("reason"),
     )
+
+
+def decoded(bodies: DataFrame) -> DataFrame:
+    """The good envelopes, as messages."""
+    return bodies.filter("reason is null").drop("reason")
+
+
+def undecoded(bodies: DataFrame) -> DataFrame:
+    """The envelopes that hold no message, with the reason."""
+    return bodies.filter("reason is not null")

@@ -69,13 +69,13 @@ def parse_bucket_files(files: DataFrame, app: str, name: Column) -> DataFrame:
 
 def not_uploaded(files: DataFrame, keys: Sequence[str] = ("pipelet", "bucket")) -> DataFrame:
     """Pending entries whose bucket is not marked done."""
-    done = files.filter("state = 'done'").select(*keys).distinct()
+    done = files.filter("state = 'done'").select(*keys)
     return files.filter("state != 'done'").join(done, list(keys), "left_anti")
 
 
 def partition_exists(requested: DataFrame, published: DataFrame, keys: Sequence[str] = PARTITION_COLUMNS) -> DataFrame:
     """The requested partitions that are present."""
-    return requested.join(published.select(*keys).distinct(), list(keys), "left_semi")
+    return requested.join(published.select(*keys), list(keys), "left_semi")
 
 
 def create_event_table(spark: SparkSession, name: str, schema: T.StructType, location: str, replace: bool = False) -> None:

@@ -3,8 +3,11 @@
 Every micro-batch is parsed and mapped once and staged under its ``batch_id``,
 so that a repeated batch replaces its own rows.  A bucket is published when all
 pipelets have delivered it and moved on to a newer one; it is then built anew
-from all its staged rows, without replays.  Rows staged after that are late:
-they stay in the staging table and are listed by :meth:`StreamEtl.late`.
+from all its staged rows, without replays.  Rows staged after that are late.
+
+A staged batch is kept while an unpublished bucket may have rows in it, and for
+``keep_batches`` more.  Then its late and bad rows move to tables of their own, which
+:meth:`StreamEtl.late` and :meth:`StreamEtl.quarantine` read, and it is deleted.
 
 What is carried from batch to batch is one row per bucket and one per pipelet.
 """
@@ -22,15 +25,17 @@ from pyspark.sql.streaming import StreamingQuery
 from tidelog.functions.clock import split_key_parts
 from tidelog.operators.buckets import bucket_counts
 from tidelog.operators.merge import first_per_key
-from tidelog.operators.progress import pipelet_bit
+from tidelog.operators.progress import complete_partitions, deliveries
 from tidelog.plans.application import Application
 from tidelog.shared import lookup_join
 from tidelog.sources import tables
 
 _KEPT_STATES = 10
 
-_STATUS = "partition string, mask bigint, n_rows bigint, first_batch bigint, published_batch bigint"
+_LISTED = "pipelet bigint, bucket string, n_rows bigint"
+_STATUS = "partition string, pipelets array<bigint>, n_rows bigint, first_batch bigint, published_batch bigint"
 _NEWEST = "pipelet bigint, bucket string"
+_READY = "partition string, first_batch bigint"
 
 
 @dataclass
@@ -41,6 +46,7 @@ class StreamEtl:
     app: Application
     root: str
     table: str | None = None
+    keep_batches: int = 10
 
     def _path(self, kind: str, batch_id: int | None = None) -> str:
         base = f"{self.root.rstrip('/')}/{kind}"
@@ -63,18 +69,19 @@ class StreamEtl:
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
         self._stage(messages, batch_id)
-        staged = self._staged_batches(batch_id, batch_id).filter("reason is null")
-        newest = self._newest_after(staged, batch_id)
-        status = self._status_after(staged, batch_id)
-        keys = self._newly_public(status, newest)
-        if keys:
-            self._publish(keys, status, batch_id)
-        published = F.when(F.col("partition").isin(keys), F.lit(batch_id)) if keys else F.lit(None)
-        self._save(
-            status.withColumn("published_batch", F.coalesce("published_batch", published.cast("bigint"))),
-            "status",
-            batch_id,
-        )
+        good = self._staged_batches(batch_id, batch_id).filter("reason is null")
+        # a row per pipelet and bucket; the only pass over the batch
+        listed = self._save(bucket_counts(good), "listed", batch_id, _LISTED)
+        newest = self._newest_after(listed, batch_id)
+        status = self._status_after(listed, batch_id)
+        ready = self._save(self._ready(status, newest), "ready", batch_id, _READY)
+        first = ready.agg(F.min("first_batch")).first()[0]
+        if first is not None:
+            self._publish(ready, first, batch_id)
+        now = ready.select("partition", F.lit(batch_id).cast("bigint").alias("now"))
+        after = lookup_join(status, now, ["partition"])
+        after = after.withColumn("published_batch", F.coalesce("published_batch", "now")).drop("now")
+        self._retire(self._save(after, "status", batch_id), batch_id)
 
     def _stage(self, messages: DataFrame, batch_id: int) -> None:
         # no shuffle: a batch is a few files, and the order lets a reader that wants
@@ -82,55 +89,65 @@ class StreamEtl:
         rows = messages.transform(self.app.run).sortWithinPartitions("bucket")
         rows.write.mode("overwrite").parquet(self._path("staged", batch_id))
 
-    def _newest_after(self, staged: DataFrame, batch_id: int) -> DataFrame:
-        seen = staged.select("pipelet", "bucket").unionByName(self._load("newest", _NEWEST, batch_id - 1))
+    def _newest_after(self, listed: DataFrame, batch_id: int) -> DataFrame:
+        seen = listed.select("pipelet", "bucket").unionByName(self._load("newest", _NEWEST, batch_id - 1))
         newest = seen.groupBy("pipelet").agg(F.max("bucket").alias("bucket"))
         return self._save(newest, "newest", batch_id, _NEWEST)
 
-    def _status_after(self, staged: DataFrame, batch_id: int) -> DataFrame:
-        # the list has a row per pipelet and bucket, and comes from one pass over the batch
-        listed = bucket_counts(staged)
-        new = listed.groupBy(F.col("bucket").alias("partition")).agg(
-            F.bit_or(pipelet_bit(F.col("pipelet"))).alias("mask"),
-            F.sum("n_rows").alias("n_rows"),
-            F.lit(batch_id).cast("bigint").alias("first_batch"),
-            F.lit(None).cast("bigint").alias("published_batch"),
-        )
-        status = (
-            new.unionByName(self._load("status", _STATUS, batch_id - 1))
+    def _status_after(self, listed: DataFrame, batch_id: int) -> DataFrame:
+        before = self._load("status", _STATUS, batch_id - 1)
+        known = before.select(F.col("partition").alias("bucket"), F.explode("pipelets").alias("pipelet"))
+        delivered = deliveries(listed.select("bucket", "pipelet").unionByName(known))
+        counts = (
+            listed.select(
+                F.col("bucket").alias("partition"),
+                "n_rows",
+                F.lit(batch_id).cast("bigint").alias("first_batch"),
+                F.lit(None).cast("bigint").alias("published_batch"),
+            )
+            .unionByName(before.drop("pipelets"))
             .groupBy("partition")
             .agg(
-                F.bit_or("mask").alias("mask"),
                 F.sum("n_rows").alias("n_rows"),
                 F.min("first_batch").alias("first_batch"),
                 F.min("published_batch").alias("published_batch"),
             )
         )
+        status = delivered.join(counts, "partition").select("partition", "pipelets", "n_rows", "first_batch", "published_batch")
         return self._save(status, "delivered", batch_id)
 
-    def _newly_public(self, status: DataFrame, newest: DataFrame) -> list[str]:
-        """Keys of complete, sealed, unpublished buckets: bounded by the calendar."""
+    def _ready(self, status: DataFrame, newest: DataFrame) -> DataFrame:
+        """Complete, sealed, unpublished buckets."""
         frontier = newest.agg(F.min("bucket").alias("frontier")).first()["frontier"]
-        if frontier is None:
-            return []
-        ready = status.filter(
-            (F.col("mask") == F.lit(self.app.full).cast("bigint"))
-            & F.col("published_batch").isNull()
-            & (F.col("partition") < frontier)
-        )
-        return [r["partition"] for r in ready.select("partition").collect()]
-
-    def _publish(self, keys: list[str], status: DataFrame, batch_id: int) -> None:
-        first = status.filter(F.col("partition").isin(keys)).agg(F.min("first_batch").alias("b")).first()["b"]
-        rows = self._staged_batches(first, batch_id).filter(F.col("bucket").isin(keys))
-        rows = first_per_key(rows, ["pipelet", "msg_id"], F.col("batch_id")).drop("batch_id")
-        tables.write_partitioned(rows, self.published_path, mode="overwrite", rebalance=len(keys) > 1)
+        public = complete_partitions(status, self.app.n_pipelets).filter(F.col("published_batch").isNull())
+        return public.filter(F.col("partition") < F.lit(frontier)).select("partition", "first_batch")
+
+    def _publish(self, ready: DataFrame, first: int, batch_id: int) -> None:
+        keys = ready.select(F.col("partition").alias("bucket"))
+        rows = lookup_join(self._staged_batches(first, batch_id), keys, ["bucket"], how="left_semi")
+        # replays are rare: look for them by their keys, and move whole rows only if there are any
+        ids = rows.groupBy("pipelet", "msg_id").agg(F.count("*").alias("n"))
+        if not ids.filter("n > 1").isEmpty():
+            rows = first_per_key(rows, ["pipelet", "msg_id"], F.col("batch_id"))
+        tables.write_partitioned(rows.drop("batch_id"), self.published_path, mode="overwrite")
         if self.table is not None:
-            published = self.spark.createDataFrame([(k,) for k in keys], "partition string").select(
-                *(c.alias(n) for n, c in split_key_parts(F.col("partition")).items())
-            )
+            published = ready.select(*(c.alias(n) for n, c in split_key_parts(F.col("partition")).items()))
             tables.publish_partitions(self.spark, self.table, self.published_path, published)
 
+    def _retire(self, status: DataFrame, batch_id: int) -> None:
+        """Move late and bad rows of staged batches that no bucket needs; delete the batches."""
+        needed = status.filter("published_batch is null").agg(F.min("first_batch")).first()[0]
+        last = min(batch_id - self.keep_batches, batch_id if needed is None else needed - 1)
+        fs, path_of = self._files()
+        for b in range(last, -1, -1):
+            if not fs.exists(path_of(self._path("staged", b))):
+                break  # this one and those before it went earlier
+            rows = self._staged_batches(b, b)
+            bad = rows.filter("reason is not null").drop("batch_id")
+            bad.write.mode("overwrite").parquet(self._path("bad", b))
+            self._late_of(rows, status).drop("batch_id").write.mode("overwrite").parquet(self._path("late", b))
+            fs.delete(path_of(self._path("staged", b)), True)
+
     # -- state -------------------------------------------------------------
 
     def _load(self, kind: str, schema: str, batch_id: int) -> DataFrame:
@@ -139,14 +156,19 @@ class StreamEtl:
         return self.spark.read.schema(schema).parquet(self._path(kind, batch_id))
 
     def _save(self, df: DataFrame, kind: str, batch_id: int, schema: str = _STATUS) -> DataFrame:
-        df.coalesce(1).write.mode("overwrite").parquet(self._path(kind, batch_id))
+        # a row per bucket or pipelet; adaptive execution gives it as many files as it needs
+        df.write.mode("overwrite").parquet(self._path(kind, batch_id))
         self._forget(kind, batch_id - _KEPT_STATES)
         return self.spark.read.schema(schema).parquet(self._path(kind, batch_id))
 
+    def _files(self):
+        path_of = self.spark._jvm.org.apache.hadoop.fs.Path
+        return path_of(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration()), path_of
+
     def _forget(self, kind: str, batch_id: int) -> None:
         if batch_id >= 0:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(kind, batch_id))
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            fs, path_of = self._files()
+            fs.delete(path_of(self._path(kind, batch_id)), True)
 
     @cached_property
     def _event_schema(self) -> T.StructType:
@@ -160,32 +182,38 @@ class StreamEtl:
 
     # -- results -----------------------------------------------------------
 
-    def staged(self) -> DataFrame:
-        """All rows that ever came in, with the batch that brought them."""
+    def _all(self, kind: str) -> DataFrame:
+        """The batches of a table, with ``batch_id``; none before the first one."""
         schema = T.StructType([*self._event_schema, T.StructField("batch_id", T.LongType())])
-        return self.spark.read.schema(schema).parquet(self._path("staged"))
+        fs, path_of = self._files()
+        if not fs.exists(path_of(self._path(kind))):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self._path(kind))
+
+    def staged(self) -> DataFrame:
+        """The rows of the batches that are still staged, with the batch that brought them."""
+        return self._all("staged")
 
     def status(self, batch_id: int) -> DataFrame:
-        """``partition, mask, n_rows, first_batch, published_batch`` after a batch."""
+        """``partition, pipelets, n_rows, first_batch, published_batch`` after a batch."""
         return self._load("status", _STATUS, batch_id)
 
     def published(self) -> DataFrame:
         """The public rows; none before the first bucket is complete."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.published_path)
-        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+        fs, path_of = self._files()
+        if not fs.exists(path_of(self.published_path)):
             return self.spark.createDataFrame([], self._event_schema)
         return self.spark.read.schema(self._event_schema).parquet(self.published_path)
 
     def quarantine(self) -> DataFrame:
-        return self.staged().filter("reason is not null")
+        """All rows that have no place in the table, with the reason and the batch."""
+        return self._all("bad").unionByName(self.staged().filter("reason is not null"))
 
     def late(self, batch_id: int) -> DataFrame:
         """Rows staged after their bucket had been published."""
-        public = (
-            self.status(batch_id)
-            .filter(F.col("published_batch").isNotNull())
-            .select(F.col("partition").alias("bucket"), "published_batch")
-        )
-        rows = self.staged().filter("reason is null")
-        joined = lookup_join(rows, public, ["bucket"], ["msg_id"], how="inner")
+        return self._all("late").unionByName(self._late_of(self.staged(), self.status(batch_id)))
+
+    def _late_of(self, rows: DataFrame, status: DataFrame) -> DataFrame:
+        public = status.filter(F.col("published_batch").isNotNull()).select(F.col("partition").alias("bucket"), "published_batch")
+        joined = lookup_join(rows.filter("reason is null"), public, ["bucket"], how="inner")
         return joined.filter("batch_id > published_batch").drop("published_batch")

@@ -252,9 +252,7 @@ def user_cut(spark, sf_dir):
 def ip_range_lookup(spark, sf_dir):
     from tidelog.functions.hooks import ip_place
 
-    found = ip_range_join(
-        ip_events(spark, sf_dir), ip_ranges(spark, sf_dir), F.col("client_ip"), ("ip_place",), ("msg_id",)
-    )
+    found = ip_range_join(ip_events(spark, sf_dir), ip_ranges(spark, sf_dir), F.col("client_ip"), ("ip_place",))
     parts = ip_place(F.coalesce("ip_place", F.lit("")))
     return found.select("msg_id", *(c.alias(n) for n, c in parts.items()))
 
@@ -273,7 +271,7 @@ def map_rules_with_lookup(spark, sf_dir):
 
     def lookup(df):
         ip = F.expr(decoded("fields['client_ip']"))
-        return ip_range_join(df, ip_ranges(spark, sf_dir), ip, ("ip_place",), ("msg_id",))
+        return ip_range_join(df, ip_ranges(spark, sf_dir), ip, ("ip_place",))
 
     app = example_application(lookup=lookup)
     return (

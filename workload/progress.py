@@ -28,6 +28,11 @@ def _listed(spark, sf_dir):
     return buckets.bucket_counts(rows(spark, sf_dir))
 
 
+def _masked(listed):
+    """Delivery lists with the mask that stands for them."""
+    return listed.select("partition", progress.mask_of(F.col("pipelets")).alias("mask"))
+
+
 def inventory(spark, sf_dir):
     """``pipelet, bucket, state`` of every bucket file."""
     done = F.substring("bucket", 7, 2).cast("int") % 3 == 0
@@ -67,28 +72,7 @@ def seal_bucket(spark, sf_dir):
       (select pipelet, bucket from listed)""",
 )
 def bucket_order(spark, sf_dir):
-    """The list in order; the place of each entry comes from counts, not from one sort task."""
-    listed = _listed(spark, sf_dir).select("pipelet", "bucket")
-    before = listed.groupBy("pipelet").agg(F.count("*").alias("_n"))
-    # at most 63 pipelets
-    first = before.select(
-        "pipelet", (F.sum("_n").over(_by_pipelet()) - F.col("_n")).alias("_before")
-    )
-    place = F.row_number().over(_in_pipelet()) + F.col("_before")
-    joined = listed.join(first, "pipelet")
-    return joined.select("pipelet", "bucket", place.cast("bigint").alias("place")).orderBy("pipelet", "bucket")
-
-
-def _by_pipelet():
-    from pyspark.sql import Window
-
-    return Window.orderBy("pipelet").rowsBetween(Window.unboundedPreceding, 0)
-
-
-def _in_pipelet():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("pipelet").orderBy("bucket")
+    return buckets.bucket_order(_listed(spark, sf_dir)).select("pipelet", "bucket", "place")
 
 
 @query("completeness_mask", LISTED + 'select "partition", mask from masks')
@@ -98,7 +82,7 @@ def completeness_mask(spark, sf_dir):
 
 @query("complete_partitions", LISTED + f'select "partition", mask from masks where mask = {FULL}')
 def complete_partitions(spark, sf_dir):
-    return progress.complete_partitions(progress.completeness_mask(rows(spark, sf_dir)), FULL)
+    return _masked(progress.complete_partitions(progress.deliveries(rows(spark, sf_dir)), N_PIPELETS))
 
 
 @query("full_filter", LISTED + f"""select cast(mask = {FULL} as bigint) as is_full, count(*) as n_partitions
@@ -116,19 +100,18 @@ def full_filter(spark, sf_dir):
       lambda i: mask & (cast(1 as bigint) << i) = 0), ',') as missing from masks""",
 )
 def missing_pipelets(spark, sf_dir):
-    masks = progress.completeness_mask(rows(spark, sf_dir))
-    return progress.missing_pipelets(masks, N_PIPELETS).select(
-        "partition", "mask", F.array_join(F.col("missing").cast("array<string>"), ",").alias("missing")
-    )
+    missing = progress.missing_pipelets(progress.deliveries(rows(spark, sf_dir)), N_PIPELETS)
+    joined = F.array_join(F.col("missing").cast("array<string>"), ",").alias("missing")
+    return missing.select("partition", progress.mask_of(F.col("pipelets")).alias("mask"), joined)
 
 
 @query("upsert_status", LISTED + 'select "partition", mask from masks')
 def upsert_status(spark, sf_dir):
     """Half of the pipelets delivered before, the others now, some of them again."""
     all_rows = rows(spark, sf_dir)
-    status = progress.completeness_mask(all_rows.filter(F.col("pipelet") < N_PIPELETS // 2))
+    status = progress.deliveries(all_rows.filter(F.col("pipelet") < N_PIPELETS // 2))
     again = all_rows.filter(F.col("pipelet") >= N_PIPELETS // 4).select(F.col("bucket").alias("partition"), "pipelet")
-    return progress.upsert_status(status, again)
+    return _masked(progress.upsert_status(status, again))
 
 
 @query(
@@ -142,7 +125,7 @@ def min_progress(spark, sf_dir):
 
 @query("publishable", LISTED + f'select "partition", mask from sealed where mask = {FULL}')
 def publishable(spark, sf_dir):
-    return progress.publishable(rows(spark, sf_dir), N_PIPELETS)
+    return _masked(progress.publishable(rows(spark, sf_dir), N_PIPELETS))
 
 
 @query(
@@ -155,7 +138,8 @@ def publishable(spark, sf_dir):
 )
 def publication_status(spark, sf_dir):
     status = progress.publication_status(rows(spark, sf_dir), N_PIPELETS)
-    return status.withColumn("is_public", F.col("is_public").cast("bigint"))
+    masks = (progress.mask_of(F.col(n)).alias(n) for n in ("delivered", "sealed"))
+    return status.select("partition", *masks, "n_rows", F.col("is_public").cast("bigint").alias("is_public"))
 
 
 LATE = SRC + """, flagged as (select *, coalesce(bucket < max(bucket) over (partition by pipelet
@@ -265,7 +249,7 @@ def dedupe_replay(spark, sf_dir):
 
 @query("done_filter", LISTED + f"select pipelet, bucket from listed where {STATE_SQL} = 'pending'")
 def done_filter(spark, sf_dir):
-    return inventory(spark, sf_dir).filter("state != 'done'").select("pipelet", "bucket")
+    return buckets.done_filter(inventory(spark, sf_dir)).select("pipelet", "bucket")
 
 
 @query("not_uploaded", LISTED + f"select pipelet, bucket from listed where {STATE_SQL} = 'pending'")
@@ -282,8 +266,7 @@ def not_uploaded(spark, sf_dir):
 @query("minus_done", LISTED + f"select pipelet, bucket from listed where {STATE_SQL} = 'pending'")
 def minus_done(spark, sf_dir):
     files = inventory(spark, sf_dir)
-    done = files.filter("state = 'done'").select("pipelet", "bucket")
-    return files.select("pipelet", "bucket").subtract(done)
+    return buckets.minus_done(files.select("pipelet", "bucket"), files.filter("state = 'done'"))
 
 
 _NAMES = """, names as (select pipelet, bucket, 'example_' || pipelet || '_' || case when pipelet = 5
@@ -322,9 +305,83 @@ def partition_exists(spark, sf_dir):
     from tidelog.sources.tables import partition_exists as exists
 
     requested = buckets.day_calendar(days(spark, sf_dir), 60)
-    complete = progress.complete_partitions(progress.completeness_mask(rows(spark, sf_dir)), FULL)
+    complete = progress.complete_partitions(progress.deliveries(rows(spark, sf_dir)), N_PIPELETS)
     published = complete.select(*(c.alias(n) for n, c in split_key_parts(F.col("partition")).items()))
     return exists(requested, published)
 
 
+# -- more pipelets than a mask has bits -------------------------------------
+
+MANY = 200
+_MANY = """with src as (select event_id as msg_id, event_id % 200 as pipelet, strftime(ts, '%Y%m%d') || '0000' as bucket from events),
+  listed as (select distinct pipelet, bucket from src),
+  opened as (select *, max(bucket) over (partition by pipelet) as newest from listed),
+  delivered as (select bucket as "partition", list_sort(list(pipelet)) as p from listed group by 1)
+"""
+
+
+def _many_rows(spark, sf_dir):
+    """Days as buckets, 200 pipelets."""
+    day = F.concat(F.substring(bucket_key(F.col("ts"), 60), 1, 8), F.lit("0000"))
+    e = F.col("event_id")
+    return load(spark, sf_dir, "events").select((e % MANY).alias("pipelet"), e.alias("msg_id"), day.alias("bucket"))
+
+
+def _joined(c):
+    return F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
+
+
+@query("deliveries_many", _MANY + """select "partition", array_to_string(p, ',') as pipelets from delivered""")
+def deliveries_many(spark, sf_dir):
+    return progress.deliveries(_many_rows(spark, sf_dir)).select("partition", _joined("pipelets"))
+
+
+@query(
+    "missing_pipelets_many",
+    _MANY + """select "partition", array_to_string(list_filter(range(200), lambda i: not list_contains(p, i)), ',') as missing
+      from delivered""",
+)
+def missing_pipelets_many(spark, sf_dir):
+    missing = progress.missing_pipelets(progress.deliveries(_many_rows(spark, sf_dir)), MANY)
+    return missing.select("partition", _joined("missing"))
+
+
+@query("unexpected_pipelets", _MANY + 'select bucket as "partition", pipelet from listed where pipelet >= 150')
+def unexpected_pipelets(spark, sf_dir):
+    """150 pipelets were declared, 200 deliver."""
+    return progress.unexpected_pipelets(progress.deliveries(_many_rows(spark, sf_dir)), 150)
+
+
+@query(
+    "upsert_status_many",
+    _MANY + """select "partition", array_to_string(p, ',') as pipelets from delivered""",
+)
+def upsert_status_many(spark, sf_dir):
+    all_rows = _many_rows(spark, sf_dir)
+    status = progress.deliveries(all_rows.filter("pipelet < 120"))
+    again = all_rows.filter("pipelet >= 60").select(F.col("bucket").alias("partition"), "pipelet")
+    return progress.upsert_status(status, again).select("partition", _joined("pipelets"))
+
+
+@query(
+    "publishable_many",
+    _MANY + """select bucket as "partition" from opened where bucket < newest group by 1 having count(*) = 200""",
+)
+def publishable_many(spark, sf_dir):
+    return progress.publishable(_many_rows(spark, sf_dir), MANY).select("partition")
+
+
+@query(
+    "new_only_many",
+    _MANY + """select pipelet, msg_id from src join (select pipelet, max(msg_id) // 2 as saved from src group by 1) s
+      using (pipelet) where msg_id > saved""",
+)
+def new_only_many(spark, sf_dir):
+    """Every one of 200 pipelets goes on from the middle."""
+    messages = _many_rows(spark, sf_dir).select("pipelet", "msg_id")
+    half = F.floor(F.col("msg_id") / 2).cast("string")
+    starts = pipe.offset_checkpoint(messages).select("pipelet", pipe.start_point(half).alias("start"))
+    return pipe.new_only(messages, starts)
+
+
 __all__ = ["FULL", "LISTED", "day_rows"]

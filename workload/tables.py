@@ -256,3 +256,37 @@ def snapshot_merge(spark, sf_dir):
 def union_inputs(spark, sf_dir):
     both = merge.union_inputs(*_merge_inputs(spark, sf_dir))
     return both.withColumn("is_increment", F.col("is_increment").cast("bigint"))
+
+
+@query(
+    "write_snapshot",
+    """select o_orderkey as k, cast(o_orderkey % 7 as bigint) as version, 'new' as which from orders
+      union all select o_orderkey, cast(0 as bigint), 'old' from orders where o_orderkey % 2 = 0""",
+)
+def write_snapshot(spark, sf_dir):
+    """A snapshot replaced by one that is made from it; the old one stays under another name."""
+    target = scratch_path(spark, "snapshot")
+    orders = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
+    merge.write_snapshot(orders.filter("k % 2 = 0").withColumn("version", F.lit(0).cast("bigint")), target)
+    old = spark.read.parquet(target)
+    increment = orders.withColumn("version", (F.col("k") % 7).cast("bigint"))
+    merge.write_snapshot(merge.snapshot_merge(increment, old, ["k"], "version"), target)
+    both = ((target, "new"), (f"{target}.bak", "old"))
+    new, kept = (spark.read.parquet(path).withColumn("which", F.lit(which)) for path, which in both)
+    return new.unionByName(kept)
+
+
+@query(
+    "scan_delimited_empty",
+    """select text as only, count(*) as n from (
+      select case when event_id % 5 = 0 then '' when event_id % 5 = 1 then 'a\\b' when event_id % 5 = 2 then '"q' || chr(13)
+        else event_type end as text from events) group by 1""",
+)
+def scan_delimited_empty(spark, sf_dir):
+    """One text column: empty rows are rows."""
+    e = F.col("event_id") % 5
+    only = F.when(e == 0, "").when(e == 1, "a\\b").when(e == 2, '"q\r').otherwise(F.col("event_type")).alias("only")
+    path = scratch_path(spark, "text")
+    rows = load(spark, sf_dir, "events").select(only)
+    delimited.write_delimited(rows, path)
+    return delimited.scan_delimited(spark, path, rows.schema).groupBy("only").agg(F.count("*").alias("n"))
