@@ -10,17 +10,32 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidelog.llm import chat, decontaminate, licenses, minhash, substrings
-from tidelog.llm.common import WordHashes, rolling
+from tidelog.llm import common
+from tidelog.llm.common import rolling, word_hashes
 
 
 def test_rolling_hashes_depend_on_content_alone():
-    known = WordHashes()
-    h = known.of([b"a", b"b", b"c", b"a", b"b", b"c", b"d"])
+    (h,) = word_hashes([b"a b c a b c d"])
     r = rolling(h, 3)
     assert r[0] == r[3] and len(set(r.tolist())) == 4
     assert len(rolling(h, 8)) == 0
 
 
+@pytest.mark.parametrize("part", [1, 7, 40, 1 << 19])
+def test_words_hash_alike_wherever_they_stand(monkeypatch, part):
+    rng = random.Random(1)
+    texts = [b"", b" ", b"one", b" one\ttwo\x0bone \n", "é\u00a0x é".encode(), b"w" * 100 + b" one"]
+    texts += [b"".join(rng.choice([b"a", b"b", b" ", b"\r"]) for _ in range(rng.randrange(60))) for _ in range(40)]
+    monkeypatch.setattr(common, "PART_BYTES", part)
+    known = {}
+    for seed in (0, 1):
+        for text, hashes in zip(texts, word_hashes(texts, seed), strict=True):
+            assert len(hashes) == len(text.split())
+            for word, h in zip(text.split(), hashes.tolist(), strict=True):
+                assert known.setdefault((seed, word), h) == h
+    assert len(set(known.values())) == len(known)
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(5)
     errors = []

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.shared import scratch_path
 
-# a word's hash is remembered; beyond this many words the memory starts anew
-KNOWN_WORDS = 400_000
+# bytes of text that are hashed at once
+PART_BYTES = 1 << 19
 
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
@@ -33,18 +33,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def discard(*frames: DataFrame) -> None:
+def discard(spark: SparkSession, *frames: DataFrame) -> None:
     """Delete what ``saved`` wrote for frames that are used no more.
 
     Shuffle files of finished steps go as well, once the driver has let go of the
-    plans they belong to, which it is asked to do here.
+    plans they belong to, which Python and the JVM are asked to do here.
     """
     for df in frames:
-        spark = df.sparkSession
         path = spark._jvm.org.apache.hadoop.fs.Path(df._saved_at)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    if frames:
-        frames[0].sparkSession._jvm.System.gc()
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def unused(name: str, columns: Sequence[str]) -> str:
@@ -74,23 +73,6 @@ def text_bytes(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("binary"), F.lit(b"")).alias(column)
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered."""
-
-    def __init__(self, seed: int = 0):
-        super().__init__()
-        self.seed = seed
-
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word, self.seed)
-        return value
-
-    def of(self, words: Sequence[bytes]) -> np.ndarray:
-        if len(self) > KNOWN_WORDS:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """Each number's bits spread over all of its bits (one to one)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -118,6 +100,63 @@ class _Powers:
 _POWERS = _Powers()
 
 
+_SPACES = np.zeros(256, bool)
+_SPACES[[9, 10, 11, 12, 13, 32]] = True
+_BYTE_VALUES = [np.random.default_rng(seed).integers(0, 1 << 64, 256, dtype=np.uint64) for seed in (11, 12)]
+
+
+def _hashed(part: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ends and hashes of the words in a part of text that cuts no word."""
+    n = len(part)
+    space = np.ones(n + 2, bool)
+    space[1:-1] = _SPACES[part]
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    up, down = _POWERS.upto(n)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTE_VALUES[seed][part] * up, out=sums[1:])
+    return ends, mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def _hashes_of_one(text: bytes, seed: int) -> np.ndarray:
+    raw = np.frombuffer(text, np.uint8)
+    found, start = [], 0
+    while start < len(raw):
+        end = min(len(raw), start + PART_BYTES)
+        while end < len(raw) and not _SPACES[raw[end]]:
+            # on to the end of the word, however long
+            ahead = _SPACES[raw[end : end + PART_BYTES]]
+            end += int(ahead.argmax()) if ahead.any() else len(ahead)
+        found.append(_hashed(raw[start:end], seed)[1])
+        start = end
+    return np.concatenate(found) if found else np.empty(0, np.uint64)
+
+
+def word_hashes(texts: Sequence[bytes], seed: int = 0) -> list[np.ndarray]:
+    """64-bit hashes of the words of each text; ``seed`` is 0 or 1.
+
+    Words are what ASCII white space divides.  Texts are hashed together, as many as
+    make half a megabyte, by prefix sums over their bytes.
+    """
+    out: list[np.ndarray] = []
+    at = 0
+    while at < len(texts):
+        last, size = at, 0
+        while last < len(texts) and size + len(texts[last]) < PART_BYTES:
+            size += len(texts[last]) + 1
+            last += 1
+        if last == at:
+            out.append(_hashes_of_one(texts[at], seed))
+            at += 1
+            continue
+        some = texts[at:last]
+        ends, hashes = _hashed(np.frombuffer(b" ".join(some), np.uint8), seed)
+        limits = np.cumsum([len(t) + 1 for t in some])
+        out += np.split(hashes, np.searchsorted(ends, limits[:-1]))
+        at = last
+    return out
+
+
 def rolling(hashes: np.ndarray, k: int) -> np.ndarray:
     """Hashes of all runs of k numbers: a polynomial modulo 2**64, from prefix sums."""
     n = len(hashes)

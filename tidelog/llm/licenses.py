@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import WordHashes, rolling, rows_of, text_bytes
+from tidelog.llm.common import rolling, rows_of, text_bytes, word_hashes
 
 # a copy of GRAM + SPREAD - 1 words shares a fingerprint for sure
 GRAM, SPREAD = 3, 3
@@ -136,8 +136,7 @@ class Scanner:
     def __init__(self, templates: dict[str, str], min_coverage: float):
         self.names = list(templates)
         self.min_coverage = min_coverage
-        self.known = WordHashes()
-        self.words = [self.known.of(t.encode().translate(_NORMAL).split()) for t in templates.values()]
+        self.words = word_hashes([t.encode().translate(_NORMAL) for t in templates.values()])
         index: dict[int, list[tuple[int, int]]] = {}
         for t, hashes in enumerate(self.words):
             for at, h in zip(*fingerprints(hashes), strict=True):
@@ -205,9 +204,9 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, min_
         names = [f.split()[0] for f in FOUND.split(", ")]
         for ids, texts in rows_of(batches, "doc_id", "text"):
             rows = []
-            for doc_id, text in zip(ids, texts, strict=True):
-                normal = text.translate(_NORMAL)
-                matches = scanner.scan(scanner.known.of(normal.split()))
+            normals = [t.translate(_NORMAL) for t in texts]
+            for doc_id, text, normal, hashes in zip(ids, texts, normals, word_hashes(normals), strict=True):
+                matches = scanner.scan(hashes)
                 places = [m.span() for m in _WORD.finditer(normal)] if matches else []
                 for m in matches:
                     size = len(scanner.words[m.template])

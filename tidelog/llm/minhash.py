@@ -15,15 +15,16 @@ contraction between them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import WordHashes, mixed, rolling, rows_of, saved, text_bytes, unused
+from tidelog.llm.common import mixed, rolling, rows_of, saved, text_bytes, unused, word_hashes
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _RANK_SHIFT = np.uint64(32)
@@ -52,15 +53,16 @@ class NearDuplicates:
         return self.bands * self.rows
 
 
-def shingles(text: bytes, k: int, known: WordHashes) -> np.ndarray:
-    """Sorted distinct hashes of a text's k-word shingles.
+def shingles(texts: Sequence[bytes], k: int) -> list[np.ndarray]:
+    """Sorted distinct hashes of the texts' k-word shingles.
 
     A shorter text is one shingle; one without words has none.
     """
-    words = known.of(text.translate(_LOWER).split())
-    if not len(words):
-        return words
-    return np.unique(rolling(words, min(k, len(words))) + np.uint64(min(k, len(words))))
+    sets = []
+    for words in word_hashes([t.translate(_LOWER) for t in texts]):
+        n = min(k, len(words))
+        sets.append(np.unique(rolling(words, n) + np.uint64(n)) if n else words)
+    return sets
 
 
 def signatures(elements: np.ndarray, owner: np.ndarray, n_owners: int, places: int) -> np.ndarray:
@@ -124,11 +126,8 @@ def sketches(docs: DataFrame, how: NearDuplicates) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        known = WordHashes()
         for ids, texts in rows_of(batches, "doc_id", "text"):
-            sets = [shingles(t, how.shingle, known) for t in texts]
+            sets = shingles(texts, how.shingle)
             bands: list = [None] * len(sets)
             full = [i for i, s in enumerate(sets) if len(s)]
             for start, end in _chunks([sets[i] for i in full]):
@@ -168,14 +167,13 @@ def verified(pairs: DataFrame, docs: DataFrame, how: NearDuplicates) -> DataFram
     both = left.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         last: tuple = (None, None)
         for a, b, text_a, text_b in rows_of(batches, "a", "b", "text_a", "text_b"):
             kept = []
-            for i in range(len(a)):
+            for i, x in enumerate(shingles(text_a, how.shingle)):
                 if last[0] != text_b[i]:
-                    last = (text_b[i], shingles(text_b[i], how.shingle, known))
-                x, y = shingles(text_a[i], how.shingle, known), last[1]
+                    last = (text_b[i], shingles([text_b[i]], how.shingle)[0])
+                y = last[1]
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 if common and 100 * common >= how.percent * (len(x) + len(y) - common):
                     kept.append(i)

@@ -22,10 +22,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import WordHashes, discard, rolling, rows_of, saved, text_bytes
+from tidelog.llm.common import discard, rolling, rows_of, saved, text_bytes, word_hashes
 
 
 @dataclass(frozen=True)
@@ -48,31 +49,36 @@ class Repeats:
 def run_anchors(hashes: np.ndarray, how: Repeats) -> np.ndarray:
     """For each word that ``how.run`` successive blocks can begin at: where the chosen one begins.
 
-    That is the one with the smallest hash, of equal ones the last.
+    That is the one with the smallest hash, of equal ones the last.  The hash's last
+    bits give way to the block's number, so that a minimum tells both.
     """
-    blocks = rolling(hashes, how.block)
-    n = len(blocks) - (how.run - 1) * how.block
     if len(hashes) < how.window:
         return np.empty(0, np.int64)
-    least, chosen = blocks[:n].copy(), np.zeros(n, np.int64)
+    last = how.run - 1
+    bits = np.uint64((1 << last.bit_length()) - 1)
+    blocks = rolling(hashes, how.block) & ~bits
+    n = len(blocks) - last * how.block
+    least = blocks[:n] | np.uint64(last)
     for k in range(1, how.run):
-        following = blocks[k * how.block : k * how.block + n]
-        better = following <= least
-        np.copyto(least, following, where=better)
-        chosen[better] = k
-    return np.arange(n) + chosen * how.block
+        np.minimum(least, blocks[k * how.block : k * how.block + n] | np.uint64(last - k), out=least)
+    return np.arange(n) + (last - (least & bits).astype(np.int64)) * how.block
+
+
+def _places(anchors: np.ndarray, n: int) -> np.ndarray:
+    """The places below n that are among the anchors, in order."""
+    found = np.zeros(n, bool)
+    found[anchors] = True
+    return np.flatnonzero(found)
 
 
 def _anchor_rows(docs: DataFrame, how: Repeats, reference: bool) -> DataFrame:
     """``hash, doc_id, at`` of the blocks that documents use as references, or as probes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for ids, texts in rows_of(batches, "doc_id", "text"):
             columns: list[list] = [[np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]]
-            for doc_id, text in zip(ids, texts, strict=True):
-                hashes = known.of(text.split())
-                at = np.unique(run_anchors(hashes, how)[:: how.block if reference else 1])
+            for doc_id, hashes in zip(ids, word_hashes(texts), strict=True):
+                at = _places(run_anchors(hashes, how)[:: how.block if reference else 1], len(hashes))
                 for out, values in zip(columns, (rolling(hashes, how.block)[at], np.full(len(at), doc_id), at), strict=True):
                     out.append(values)
             hashes, owners, places = map(np.concatenate, columns)
@@ -99,14 +105,11 @@ def _windows(texts: DataFrame, how: Repeats) -> DataFrame:
     """``h1, h2, doc_id, at`` of the windows around the anchors ``ats`` of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, other = WordHashes(), WordHashes(1)
         for ids, texts_, ats in rows_of(batches, "doc_id", "text", "ats"):
             columns: list[list] = [[np.empty(0, np.uint64)], [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]]
-            for doc_id, text, at in zip(ids, texts_, ats, strict=True):
-                words = text.split()
-                hashes = known.of(words)
+            for doc_id, hashes, other, at in zip(ids, word_hashes(texts_), word_hashes(texts_, 1), ats, strict=True):
                 chosen = _around(hashes, at, how)
-                pair = (rolling(x, how.window)[chosen] for x in (hashes, other.of(words)))
+                pair = (rolling(x, how.window)[chosen] for x in (hashes, other))
                 for out, values in zip(columns, (*pair, np.full(len(chosen), doc_id), chosen), strict=True):
                     out.append(values)
             h1, h2, owners, places = map(np.concatenate, columns)
@@ -121,19 +124,20 @@ def copied_documents(docs: DataFrame, how: Repeats) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in rows_of(batches, "doc_id", "text"):
-            words = [t.split() for t in texts]
+            words = word_hashes(texts)
             long = [i for i, w in enumerate(words) if len(w) >= how.window]
             arrays = [
                 pa.array([ids[i] for i in long], pa.int64()),
-                pa.array([hashlib.sha256(b" ".join(words[i])).digest() for i in long], pa.binary()),
+                pa.array([xxhash.xxh3_128_digest(words[i].tobytes()) for i in long], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "digest"])
 
+    spark = docs.sparkSession
     digests = saved(docs.mapInArrow(run, "doc_id bigint, digest binary"), "digests")
     first = digests.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
     first = saved(first.filter("first_id < last_id").drop("last_id"), "first")
     copies = saved(digests.join(first, "digest").filter("doc_id > first_id").select("doc_id").distinct(), "copies")
-    discard(digests, first)
+    discard(spark, digests, first)
     return copies
 
 
@@ -143,27 +147,28 @@ def repeated_windows(docs: DataFrame, copies: DataFrame, how: Repeats) -> DataFr
     ``docs`` has ``doc_id`` (not null) and ``text`` as bytes.  ``copies`` are left
     out: what they repeat, and what repeats them, is in the documents they copy.
     """
+    spark = docs.sparkSession
     index = saved(_anchor_rows(docs, how, True).groupBy("hash").agg(F.min("doc_id").alias("first_id")), "index")
     hits = _anchor_rows(docs, how, False).join(index, "hash").filter("doc_id > first_id").select("hash", "doc_id", "at")
     hits = saved(hits, "hits")
-    discard(index)
+    discard(spark, index)
     own = saved(hits.join(copies, "doc_id", "left_anti"), "hits")
-    discard(hits)
+    discard(spark, hits)
     last = saved(own.groupBy("hash").agg(F.max("doc_id").alias("last_id")), "last")
     # a document is a reference for those after it
     references = _anchor_rows(docs, how, True).join(last, "hash").filter("doc_id < last_id").select("doc_id", "at")
     references = references.join(copies, "doc_id", "left_anti")
     ats = own.select("doc_id", "at").unionByName(references).groupBy("doc_id").agg(F.collect_set("at").alias("ats"))
     ats = saved(ats, "ats")
-    discard(own, last)
+    discard(spark, own, last)
     around = saved(_windows(docs.join(ats, "doc_id"), how), "windows")
-    discard(ats)
+    discard(spark, ats)
     first = around.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
     first = saved(first.filter("first_id < last_id").drop("last_id"), "first")
-    discard()
+    discard(spark)
     repeats = around.join(first, ["h1", "h2"]).filter("doc_id > first_id")
     starts = saved(repeats.groupBy("doc_id").agg(F.collect_set("at").alias("starts")), "starts")
-    discard(around, first)
+    discard(spark, around, first)
     return starts
 
 
