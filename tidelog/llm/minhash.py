@@ -7,9 +7,9 @@ independent hashes, and once no place holds an offer of the present rank or more
 higher ranks need not be looked at.
 
 Documents with equal shingle sets are one class; only one signature of a class is
-banded.  In each bucket members are compared with one member drawn at random, then
-those that are still in different groups with each other.  Every link is confirmed
-on the full sets.  Groups come from union-find inside tasks, then from label
+banded.  In each bucket members are compared with its most central one; members of
+buckets that still hold several groups then go through an exact join.  Every link is
+confirmed on the full sets.  Groups come from union-find inside tasks, then from label
 contraction between them.
 """
 
@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import mixed, rolling, rows_of, saved, text_bytes, unused, word_hashes
+from tidelog.llm.common import discard, mixed, rolling, rows_of, saved, text_bytes, unused, word_hashes
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _RANK_SHIFT = np.uint64(32)
@@ -247,25 +247,25 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def candidates(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` (a > b) of bucket members, each with the bucket's drawn member.
+    """Pairs ``a, b`` (a > b) of bucket members, each with its bucket's most central one.
 
-    The draw is by a hash that differs between bands, so that documents in several
-    common buckets meet different ones.
+    That is the member whose buckets have the most members in all: of copies with
+    different changes, one with few.
     """
-    drawn = F.min(F.struct(F.xxhash64("id", F.col("band") % 3), "id", "n"))
-    heads = members.groupBy("bucket").agg(drawn.alias("head"), F.count("*").alias("many")).filter("many > 1")
+    central = members.groupBy("id").agg(F.sum("many").alias("central"))
+    drawn = F.max(F.struct("central", F.xxhash64("id"), "id", "n"))
+    heads = members.join(central, "id").groupBy("bucket").agg(drawn.alias("head"))
     heads = heads.select("bucket", F.col("head.id").alias("head"), F.col("head.n").alias("head_n"))
     pairs = members.join(heads, "bucket").filter("id <> head")
     alike = 100 * F.least("n", "head_n") >= percent * F.greatest("n", "head_n")
     return pairs.filter(alike).select(F.greatest("id", "head").alias("a"), F.least("id", "head").alias("b")).distinct()
 
 
-def remaining(members: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of bucket members that are in different groups so far.
+def open_members(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """``id, n, component, minor``: members of buckets that still hold several groups.
 
-    Of each bucket, members outside its largest group meet all members of other
-    groups.  Where a bucket's members are one group, as copies of a text are, there
-    is nothing left.
+    A member is minor if it is outside the largest group of such a bucket.  Where a
+    bucket's members are one group, as copies of a text are, nothing is left.
     """
     known = members.join(groups, members["id"] == groups["g_id"], "left").select(
         "bucket", "id", "n", F.coalesce("component", "id").alias("component")
@@ -273,16 +273,57 @@ def remaining(members: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     known = saved(known, "members")
     counts = known.groupBy("bucket", "component").agg(F.count("*").alias("many"))
     heads = counts.groupBy("bucket").agg(F.max_by("component", F.struct("many", "component")).alias("largest"), F.count("*").alias("n_groups"))
-    open_ = known.join(heads.filter("n_groups > 1"), "bucket")
-    open_ = saved(open_, "open")
-    minor = open_.filter("component <> largest").select(
-        "bucket", F.col("id").alias("m_id"), F.col("n").alias("m_n"), F.col("component").alias("m_component")
+    left = known.join(heads.filter("n_groups > 1"), "bucket")
+    minor = F.max(F.col("component") != F.col("largest")).alias("minor")
+    return left.groupBy("id").agg(F.first("n").alias("n"), F.first("component").alias("component"), minor)
+
+
+def _elements(texts: DataFrame, how: NearDuplicates) -> DataFrame:
+    """``id, n, component, minor, element`` of the documents' sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["id", "n", "component", "minor"]
+        for *fields, texts_ in rows_of(batches, *names, "text"):
+            sets = shingles(texts_, how.shingle)
+            sizes = np.array([len(s) for s in sets], np.int64)
+            columns = [np.repeat(np.array(f), sizes) for f in fields]
+            elements = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, elements)], names=[*names, "element"])
+
+    schema = "id bigint, n bigint, component bigint, minor boolean, element bigint"
+    return texts.select("id", "n", "component", "minor", "text").mapInArrow(run, schema)
+
+
+def remaining(left: DataFrame, docs: DataFrame, how: NearDuplicates) -> DataFrame:
+    """Pairs ``a, b`` (a > b) of open members in different groups that may be alike: all that are.
+
+    An exact join by prefix and position: with elements in one order, rarest first,
+    two sets that are alike enough share one of their first few elements, and where
+    they first do, enough elements must follow in both.  Rare elements are what a
+    copy does not have from its original, so copies of one text that differ too much
+    do not meet.
+    """
+    p = how.percent
+    texts = docs.select(F.col("doc_id").alias("d_id"), text_bytes())
+    elements = saved(_elements(left.join(texts, F.col("id") == F.col("d_id")), how), "elements")
+    counts = elements.groupBy("element").agg(F.count("*").alias("many"))
+    ordered = elements.join(counts, "element").groupBy("id", "n", "component", "minor").agg(
+        F.sort_array(F.collect_list(F.struct("many", "element"))).alias("set")
     )
-    pairs = open_.join(minor, "bucket").filter("component <> m_component")
-    # of two members outside the largest group, one pair
-    pairs = pairs.filter("component = largest or id < m_id")
-    alike = 100 * F.least("n", "m_n") >= percent * F.greatest("n", "m_n")
-    return pairs.filter(alike).select(F.greatest("id", "m_id").alias("a"), F.least("id", "m_id").alias("b")).distinct()
+    first = F.slice("set", F.lit(1), (F.col("n") - F.ceil(F.col("n") * p / 100) + 1).cast("int"))
+    prefixes = ordered.select("id", "n", "component", "minor", F.posexplode(first).alias("at", "x"))
+    prefixes = saved(prefixes.select("id", "n", "component", "minor", "at", F.col("x.element").alias("element")), "prefixes")
+    minor = prefixes.filter("minor").select(*(F.col(c).alias(f"m_{c}") for c in ("id", "n", "component", "at", "element")))
+    # of two minor members, one pair
+    once = ~F.col("minor") | (F.col("id") < F.col("m_id"))
+    most = F.least(F.col("n") - F.col("at"), F.col("m_n") - F.col("m_at"))
+    enough = (100 + p) * most >= p * (F.col("n") + F.col("m_n"))
+    alike = 100 * F.least("n", "m_n") >= p * F.greatest("n", "m_n")
+    meet = (F.col("element") == F.col("m_element")) & (F.col("component") != F.col("m_component")) & once & enough & alike
+    pairs = prefixes.join(minor, meet).select(F.greatest("id", "m_id").alias("a"), F.least("id", "m_id").alias("b")).distinct()
+    pairs = saved(pairs, "pairs")
+    discard(docs.sparkSession, elements, prefixes)
+    return pairs
 
 
 def near_duplicates(docs: DataFrame, how: NearDuplicates | None = None) -> DataFrame:
@@ -300,16 +341,16 @@ def near_duplicates(docs: DataFrame, how: NearDuplicates | None = None) -> DataF
         banded.groupBy("class").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")),
         "classes",
     )
-    members = classes.select("id", "n", F.posexplode("bands").alias("band", "bucket"))
-    members = members.groupBy("bucket", "id").agg(F.min("band").alias("band"), F.min("n").alias("n"))
-    shared = members.groupBy("bucket").agg(F.count("*").alias("many")).filter("many > 1").select("bucket")
-    members = saved(members.join(shared, "bucket", "left_semi"), "members")
+    members = classes.select("id", "n", F.explode("bands").alias("bucket")).distinct()
+    shared = members.groupBy("bucket").agg(F.count("*").alias("many")).filter("many > 1")
+    members = saved(members.join(shared, "bucket"), "members")
     tested = saved(candidates(members, how.percent), "pairs")
     links = saved(verified(tested, docs, how), "confirmed")
     first = components(links)
-    again = remaining(members, first.select(F.col("id").alias("g_id"), "component"), how.percent)
-    again = saved(again.join(tested, ["a", "b"], "left_anti"), "pairs")
-    if not again.isEmpty():
+    left = saved(open_members(members, first.select(F.col("id").alias("g_id"), "component")), "open")
+    discard(docs.sparkSession, members)
+    if not left.isEmpty():
+        again = remaining(left, docs, how).join(tested, ["a", "b"], "left_anti")
         first = components(links.unionByName(saved(verified(again, docs, how), "confirmed")))
     grouped = classes.join(first.withColumnRenamed("id", "g_id"), F.col("id") == F.col("g_id"), "left")
     grouped = saved(grouped.select("class", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component_id")), "groups")
