@@ -167,11 +167,15 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     A document taken in part is cut after as many words, and ``n_chars``, if there,
     follows.  Empty documents stay, once.
     """
-    taken = mix(docs, weights, share).groupBy("row_key").agg(F.sort_array(F.collect_list(F.struct("taken", "size"))).alias("_takes"))
+    # equal rows share what they take, the first of them a word more each if it does not divide
+    taken = mix(docs, weights, share).groupBy("row_key").agg(
+        F.sum("taken").alias("all_taken"), F.count("*").alias("many"), F.max("size").alias("size")
+    )
     rows = packed(docs, "doc_id", "source", "text").withColumn("row_key", F.xxhash64("doc_id", "source", "text"))
     same = Window.partitionBy("row_key").orderBy("doc_id", "source", "text")
-    joined = rows.join(taken, "row_key").withColumn("take", F.get("_takes", F.row_number().over(same) - 1))
-    size, words = F.col("take.size"), F.col("take.taken")
+    joined = rows.join(taken, "row_key").withColumn("place", F.row_number().over(same))
+    size, each = F.col("size"), F.floor(F.col("all_taken") / F.col("many"))
+    words = each + (F.col("place") <= F.col("all_taken") - each * F.col("many")).cast("int")
     full = F.when(size == 0, 1).otherwise(F.floor(words / F.greatest(size, F.lit(1)))).cast("int")
     rest = F.when(size == 0, 0).otherwise(words % F.greatest(size, F.lit(1))).cast("int")
     copies = F.concat(F.array_repeat(F.lit(-1), full), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
