@@ -9,7 +9,7 @@ from tidelog.functions.hooks import HookResult, referer_split, url_split
 from tidelog.operators import parse
 from tidelog.operators.enrich import ip_range_join, ip_to_long, overlapping_ranges
 from tidelog.operators.mapping import MapRule, apply_rules, conform
-from tidelog.plans.example import EVENT_COLUMNS, example_application, schema_from_text
+from tidelog.plans.example import EVENT_COLUMNS, example_application, schema_from_text, wide_application
 
 
 def bag(spark, **fields):
@@ -55,14 +55,31 @@ def test_claimed_and_left_keys_are_all_keys(spark):
 
 def test_event_table_shape(spark):
     schema = schema_from_text(EVENT_COLUMNS)
-    kinds = [f.dataType.simpleString() for f in schema]
-    counts = {k: kinds.count(k) for k in set(kinds)}
-    assert counts == {"string": 66, "bigint": 27, "map<string,string>": 4, "map<string,bigint>": 1}
     app = example_application()
     events = app.events(app.parsed(messages(spark, [GOLDEN])))
-    assert events.columns[:98] == schema.fieldNames()
-    assert len(events.columns) == 98 + 31
-    assert len(app.rules) == 45
+    assert events.columns == [*schema.fieldNames(), "shop_cost", "shop_note", "shop_door", "shop_server"]
+    assert {f.dataType.simpleString() for f in schema} == {"string", "bigint", "map<string,string>", "map<string,bigint>"}
+    row = events.first()
+    assert (row.trace, row.customer, row.coupon, row.seats) == ("0000000001", 42, "", {"front": 12, "rear": 34})
+
+
+def test_wide_plans(spark):
+    app = wide_application()
+    assert len(app.rules) == 45 and len(app.schema) == 100
+    events = app.run(messages(spark, [GOLDEN, "junk"]))
+    assert events.count() == 2 and len(events.columns) > 120
+
+
+def test_names_need_no_escaping(spark):
+    odd = "it's \\ %"
+    df = spark.createDataFrame([({odd: "1", "b": "2"},)], "fields map<string,string>")
+
+    def refuse(ins, outs):
+        return HookResult({outs[0]: F.lit("no")}, F.lit(False))
+
+    row = run(df, MapRule((odd,), ("x",), refuse), MapRule((odd,), ("y",)))
+    assert row == {"x": None, "y": "1", "event_loginfo": "b:2"}
+    assert _url(spark, url_split(query_param="a'.\\E"), host="h", url="/p?a'.\\E=7")["event_query"] == "7"
 
 
 def test_conform_casts(spark):

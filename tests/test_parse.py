@@ -18,11 +18,10 @@ INGEST = dt.datetime(2024, 8, 19, 20, 0)
 
 GOLDEN = (
     "NOTICE: 08-19 19:00:02 submit * 101 [logid=0000000001 filename=/srv/a.php lineno=28 errno=0 "
-    "optime=1000000002.895 client_ip=10.1.2.3 local_ip=10.9.9.9 product=P subsys=S module=submit uniqid=0 cgid=7 "
-    "uid=42 Entry= Score=experience%3D%2712%27%20wealth%3D%2734%27 Grade=title%3D%270%27%20index%3D%274%27 "
-    "Sign=msg%3D%27success%27%20num%3D%273%27 Cmd=cm%3D%27100%27%20errorNo%3D%270%27 Cost=all_ms%3D38%20kv_ms%3D2 "
-    "un=%B1%B1%BE%A9 mobilephone=0000 email=a%40example.com visitorid=0123456789ABCDEF0123456789ABCDEF%3AFG%3D1 "
-    "url=%2Fsearch%3Fword%3Dspark%26pn%3D2 refer=http%3A%2F%2Fexample.com%2Fq%2F1.html%3Fa%3D1 uip=10.1.2.3 "
+    "optime=1000000002.895 client_ip=10.1.2.3 local_ip=10.9.9.9 module=submit uniqid=0 lane=7 "
+    "uid=42 Door= Seats=front%3D%2712%27%20rear%3D%2734%27 Note=msg%3D%27success%27%20num%3D%273%27 Cost=all_ms%3D38%20kv_ms%3D2 "
+    "un=%B1%B1%BE%A9 email=a%40example.com visitorid=0123456789ABCDEF0123456789ABCDEF%3AFG%3D1 "
+    "url=%2Fsearch%3Fword%3Dspark%26pn%3D2 refer=http%3A%2F%2Fexample.com%2Fq%2F1.html%3Fa%3D1 "
     "ua=Agent%2F1.0%20%28X%29 host=example.com cost=40 errmsg=]"
 )
 
@@ -43,7 +42,7 @@ def model_bag(line: str):
     """What a line's bag should be, on characters."""
     m = re.match(r"NOTICE: (\d+-\d+) (\d\d:\d\d:\d\d)(.*)\[(.*)\]", line, re.ASCII)
     if not m:
-        return False, [("date", ""), ("time", ""), ("", "")]
+        return False, [("date", ""), ("time", "")]
     bag = {"date": m[1], "time": m[2]}
     for token in m[4].split(" "):
         k, *rest = token.split("=")
@@ -57,8 +56,8 @@ def test_golden_line(spark):
         "*",
         text.map_to_string("event_urlparamsmap").alias("params"),
         text.map_to_string("event_refererparamsmap").alias("referer_params"),
-        text.map_to_string("submit_score").alias("score"),
-        text.map_to_string("submit_cost").alias("cost"),
+        text.map_to_string("seats").alias("seat_text"),
+        text.map_to_string("shop_cost").alias("cost"),
         F.array_join(F.map_keys("event_loginfo"), " ").alias("left"),
     ).first()
     want = {
@@ -68,20 +67,21 @@ def test_golden_line(spark):
         "event_day": "20240819",
         "event_hour": "19",
         "event_minute": "00",
-        "event_username": "北京",
-        "event_visitorid": "0123456789ABCDEF0123456789ABCDEF",
+        "buyer_name": "北京",
+        "visitor": "0123456789ABCDEF0123456789ABCDEF",
         "event_url": "example.com/search?word=spark&pn=2",
         "event_urlpath": "/search",
         "event_query": "spark",
         "params": "word:spark,pn:2",
         "referer_params": "a:1",
         "event_refererpath": "/q/1.html",
-        "event_useragent": "Agent/1.0 (X)",
-        "score": "experience:12,wealth:34",
+        "agent": "Agent/1.0 (X)",
+        "seat_text": "front:12,rear:34",
+        "customer": 42,
         "cost": "all_ms:38,kv_ms:2",
-        "submit_sign": "msg='success' num='3'",
-        "submit_optime": 1000000002,
-        "left": "filename lineno product subsys module uid email cost",
+        "shop_note": "msg='success' num='3'",
+        "duration": 1000000002,
+        "left": "filename lineno module uniqid lane email cost errmsg",
     }
     assert {k: row[k] for k in want} == want
 
@@ -212,3 +212,26 @@ def test_string_to_map(spark):
     rows = [("a:1,b:2", "a:1,b:2"), ("", ""), ("a:1,a:2", "a:2"), ("u:x:y", "u:x:y")]
     df = spark.createDataFrame(rows, "x string, want string").select("want", text.string_to_map("x").alias("m"))
     assert all(r.got == r.want for r in df.select("want", text.map_to_string("m").alias("got")).collect())
+
+
+POLICIES = ("EXCEPTION", "LAST_WIN")
+
+
+@pytest.mark.parametrize("built", POLICIES)
+@pytest.mark.parametrize("run", POLICIES)
+def test_repeated_keys_do_not_depend_on_the_session(spark, built, run):
+    name = "spark.sql.mapKeyDedupPolicy"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, built)
+        bag = parse.cut_notice(messages(spark, ["NOTICE: 08-19 19:00:02 x [a=1 b=2 a=3]"])).select("fields")
+        spark.conf.set(name, run)
+        assert bag.first().fields == {"date": "08-19", "time": "19:00:02", "a": "3", "b": "2"}
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_a_line_without_ingest_time_says_so(spark):
+    app = example_application()
+    rows = app.run(messages(spark, [GOLDEN, "junk"], ingest=None)).orderBy("msg_id").collect()
+    assert [r.reason for r in rows] == ["no_ingest_time", "no_header"]

@@ -30,8 +30,12 @@ def parse_header(df: DataFrame, body: str = "body") -> DataFrame:
 
 
 def parse_fields(df: DataFrame) -> DataFrame:
-    """Replace the header columns by ``fields``; body tokens override the header's."""
+    """Replace the header columns by ``fields``; body tokens override the header's.
+
+    A line without a header has an empty date and time, and nothing else.
+    """
     pairs = F.concat_ws("", F.lit("date="), "date", F.lit(" time="), "time", F.lit(" "), "payload")
+    pairs = F.when(F.col("matched"), pairs).otherwise("date= time=")
     keep = [c for c in df.columns if c not in ("date", "time", "payload")]
     with_pairs = df.select(*keep, pairs.alias("_pairs"))
     return with_pairs.select(*keep, text.pairs_to_map("_pairs", " ", [text.percent_decode_sql]).alias("fields"))
@@ -49,7 +53,7 @@ def cut_raw(df: DataFrame, body: str = "body") -> DataFrame:
     named = changed.select(
         *df.columns,
         matched.alias("matched"),
-        F.when(matched, F.col("_pairs")).otherwise("date= time= ").alias("_pairs"),
+        F.when(matched, F.col("_pairs")).otherwise("date= time=").alias("_pairs"),
     )
     bag = named.select(*df.columns, "matched", F.expr(text.raw_pairs_sql("_pairs", " ")).alias("fields"))
     return computed_once(bag, "matched", "fields")

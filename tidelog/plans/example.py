@@ -1,4 +1,4 @@
-"""The example application: a submit log of a question site."""
+"""The example application: the request log of a made-up ticket shop."""
 
 from __future__ import annotations
 
@@ -9,31 +9,22 @@ from tidelog.functions.hooks import ip_geo, referer_split, url_split
 from tidelog.operators.mapping import MapRule
 from tidelog.plans.application import Application
 
-# fixed values: the columns of the event table, in order.  s: string, l: bigint,
-# ms: map of strings, ml: map of bigints.
+# columns of the event table, in order.  s: string, l: bigint, ms: map of strings,
+# ml: map of bigints.
 EVENT_COLUMNS = """
-event_logid s
-event_log_source ml
-event_others ms
+trace s
 event_year l
 event_month l
-event_weekofyear l
 event_dayofmonth l
 event_time s
 event_timestamp l
 event_ip s
 event_net_provider s
-event_country s
 event_city s
 event_province s
-event_visitorid s
-event_userid l
-event_cookie s
-event_wiseuserid s
-event_phonenum s
-event_username s
-event_bduss s
-event_has_bduss l
+visitor s
+customer l
+buyer_name s
 event_url s
 event_url_hostname s
 event_urlpath s
@@ -43,122 +34,33 @@ event_referer s
 event_refererpath s
 event_refererparamsmap ms
 event_referer_hostname s
-event_useragent s
-event_browser s
-event_browser_version s
-event_os s
-event_os_version s
-event_device s
-event_device_version s
-event_brand s
-event_pu s
-event_httpstatus l
-event_isspider l
-event_spiderdetail s
-event_isinternalip l
-event_isbroken l
-event_invaliddetail s
-event_net_type s
-event_email s
-event_is_machine_log l
-event_app_version s
-event_browser_language s
-event_browser_not_from_ua s
-event_browser_version_not_from_ua s
-event_click_pos l
-event_click_target_title s
-event_click_target_url s
-event_click_target_url_hostname s
-event_click_target_url_site s
-event_client_type s
-event_cproid s
-event_cuid s
-event_device_not_from_ua s
-event_device_type s
-event_device_version_not_from_ua s
-event_entrance_type s
-event_format s
-event_format_tn s
-event_gender s
-event_imei s
-event_ip_long l
-event_ipv6 s
-event_is_invalid_in_product s
-event_isremoraabnor l
-event_isubsspamday l
-event_isubsspamhour l
-event_location_bizarea s
-event_location_city s
-event_location_country s
-event_location_district s
-event_location_province s
-event_location_r l
-event_location_x l
-event_location_y l
-event_net_provider_not_from_ip s
-event_os_not_from_ua s
-event_os_version_not_from_ua s
-event_page_display_number l
-event_page_number l
-event_resh l
-event_resv l
-event_template_name s
-event_wiseantispamtag s
-event_httpmethod s
+agent s
+status l
+duration l
+seats ml
+coupon s
 event_loginfo ms
-submit_errno l
-submit_optime l
-submit_local_ip s
-submit_uniqid l
 """
 
-# fixed values: field -> column, in rule order.  The hook is copy where none is named.
+# field -> column, in rule order.  The hook is copy where none is named.  The first
+# rule takes logid, so the fifth finds uid alone; shop_* columns are not declared.
 COMMON_FIELDS = """
-logid -> event_logid
+logid -> trace
 date time -> event_year event_month event_time event_timestamp event_dayofmonth : date_time
 client_ip -> event_ip event_net_provider event_city event_province : ip_geo
-visitorid -> event_visitorid : clean_visitor_id
-userid -> event_userid
-cookie -> event_cookie
-un -> event_username : copy_decode_utf8
+visitorid -> visitor : clean_visitor_id
+logid uid -> customer
+un -> buyer_name : copy_decode_utf8
 host url -> event_url event_url_hostname event_urlpath event_urlparamsmap event_query : url_split
 refer -> event_referer event_refererpath event_refererparamsmap event_referer_hostname : referer_split
-ua -> event_useragent : copy_decode
-errno -> submit_errno
-optime -> submit_optime
-local_ip -> submit_local_ip
-uniqid -> submit_uniqid
-cgid -> submit_cgid
-Entry -> submit_entry
-fromId -> submit_from_id
-submitFrom -> submit_submit_from
-UipCmd -> submit_uip_cmd
-UipUser -> submit_uip_user
-VisitorUid -> submit_visitor_uid
-Cmd -> submit_cmd : copy_kv_map
-Cost -> submit_cost : copy_kv_map
-mobilephone -> submit_mobilephone
-uip -> submit_uip
-errmsg -> submit_errmsg
-Score -> submit_score : copy_kv_map
-Grade -> submit_grade : copy_kv_map
-MouseTrace -> submit_mousetrace
-VcodeResArr -> submit_vcode_res : copy_kv_map
-imeiType -> submit_imei_type
-imeiValue -> submit_imei_value
-hasCookie -> submit_has_cookie
-isExpert -> submit_is_expert
-spamRes -> submit_spam_res : copy_kv_map
-spamArr -> submit_spam : copy_kv_map
-oi_spam_flag -> submit_oi_spam_flag
-qscore -> submit_qscore
-Sign -> submit_sign
-Nik_Icached -> submit_nik_icached
-Lbs -> submit_lbs
-Vcode -> submit_vcode
-FileWealth -> submit_file_wealth
-Comment -> submit_comment
-Rich -> submit_rich
+ua -> agent : copy_decode
+errno -> status
+optime -> duration
+Seats -> seats : copy_kv_map
+Cost -> shop_cost : copy_kv_map
+Note -> shop_note
+Door -> shop_door
+local_ip -> shop_server
 """
 
 _TYPES = {
@@ -185,13 +87,15 @@ def rules_from_text(lines: str) -> tuple[MapRule, ...]:
     return tuple(rules)
 
 
-def example_application(quirks: bool = False, lookup=None, place: str = "ip_place", **settings) -> Application:
+def example_application(
+    quirks: bool = False, lookup=None, place: str = "ip_place", more_rules: tuple[MapRule, ...] = (), more_columns: str = "", **settings
+) -> Application:
     """The application; ``lookup`` is a join that adds the column ``place``."""
     looked_up = F.col(place) if lookup is not None else F.lit("")
     return Application(
         name="example",
-        schema=schema_from_text(EVENT_COLUMNS),
-        rules=rules_from_text(COMMON_FIELDS),
+        schema=schema_from_text(EVENT_COLUMNS + more_columns),
+        rules=(*rules_from_text(COMMON_FIELDS), *more_rules),
         hooks={
             "ip_geo": ip_geo(looked_up),
             "url_split": url_split(quirks),
@@ -200,3 +104,17 @@ def example_application(quirks: bool = False, lookup=None, place: str = "ip_plac
         lookup=lookup,
         **settings,
     )
+
+
+def wide_application(n_rules: int = 45, n_columns: int = 100, **settings) -> Application:
+    """The example with more rules and declared columns, for the size of plans.
+
+    Every sixth of the further rules reads a map; half of their columns are declared.
+    """
+    base = len(rules_from_text(COMMON_FIELDS))
+    rules = tuple(
+        MapRule((f"Extra{i}",), (f"extra_{i}",), "copy" if i % 6 else "copy_kv_map") for i in range(n_rules - base)
+    )
+    declared = len(schema_from_text(EVENT_COLUMNS))
+    columns = "\n".join(f"extra_{2 * i} {'ls'[i % 2 if i % 3 else 1]}" for i in range(n_columns - declared))
+    return example_application(more_rules=rules, more_columns=columns, **settings)

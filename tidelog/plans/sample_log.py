@@ -47,11 +47,11 @@ def line() -> Column:
         ("local_ip", F.lit("10.9.9.9")),
         ("module", F.lit("submit")),
         ("uniqid", F.lit("0")),
-        ("cgid", F.lit("7")),
+        ("lane", F.lit("7")),
         ("uid", u.cast("string")),
-        ("Entry", F.when(e % 2 == 0, kind).otherwise("")),
-        ("Score", _text("experience%3D%27", e % 100, "%27%20wealth%3D%27", u, "%27")),
-        ("Sign", _text("msg%3D%27", kind, "%27%20num%3D%273%27")),
+        ("Door", F.when(e % 2 == 0, kind).otherwise("")),
+        ("Seats", _text("front%3D%27", e % 100, "%27%20rear%3D%27", u, "%27")),
+        ("Note", _text("msg%3D%27", kind, "%27%20num%3D%273%27")),
         ("Cost", _text("all_ms%3D", e % 50, "%20kv_ms%3D2")),
         ("un", name),
         ("email", _text("u", u, "%40example.com")),
@@ -92,11 +92,5 @@ def messages_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a part of a table that has fewer splits than there are cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messages_from_events(spread(load(spark, sf_dir, "events")))
+    return messages_from_events(load(spark, sf_dir, "events"))

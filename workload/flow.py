@@ -12,6 +12,7 @@ from tidelog.sources import pipe
 from tidelog.streaming.etl import StreamEtl
 from workload import query
 from workload.inputs import SRC
+from workload.mapping import row_text, row_text_sql
 
 
 def _events_stream(spark, sf_dir):
@@ -58,11 +59,11 @@ def envelope_check(spark, sf_dir):
 @query(
     "stream_etl",
     SRC
-    + """, listed as (select distinct pipelet, bucket from src where good),
+    + f""", listed as (select distinct pipelet, bucket from src where good),
       frontier as (select min(newest) as f from (select max(bucket) as newest from listed group by pipelet)),
       public as (select bucket from listed where bucket < (select f from frontier) group by 1
         having bit_or(cast(1 as bigint) << pipelet) = 65535)
-    select pipelet, msg_id, bucket, 'example.com' as event_url_hostname, md5(cast(msg_id as varchar)) as event_visitorid
+    select pipelet, msg_id, bucket, {row_text_sql(True)}
     from src where good and bucket in (select bucket from public)""",
 )
 def stream_etl(spark, sf_dir):
@@ -70,7 +71,8 @@ def stream_etl(spark, sf_dir):
     app = example_application(width=60)
     etl = StreamEtl(spark, app, scratch_path(spark, "etl"))
     etl.start(messages_from_events(_events_stream(spark, sf_dir)), availableNow=True).awaitTermination()
-    return etl.published().select("pipelet", "msg_id", "bucket", "event_url_hostname", "event_visitorid")
+    published = etl.published()
+    return published.select("pipelet", "msg_id", "bucket", row_text(published))
 
 
 @query("dedupe_stream", SRC + "select pipelet, msg_id, props as body from src")

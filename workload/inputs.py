@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.clock import bucket_key, compact, split_key_parts
-from tidelog.operators.parse import accepted
 from tidelog.plans.example import example_application
 from tidelog.plans.sample_log import N_PIPELETS, client_ip, load, messages
 
@@ -25,14 +24,33 @@ with src as (
 """
 
 
+# why a line has no place in the table; empty for a good one
+REASON = "case when no_header then 'no_header' when bad_time then 'bad_time' else '' end as reason"
+
+
+def unless_no_header(sql: str, otherwise: str = "''") -> str:
+    """What a field gives, for all lines: a line without a header has no fields."""
+    return f"case when no_header then {otherwise} else {sql} end"
+
+
+def if_good(sql: str, otherwise: str = "''") -> str:
+    """What an event's moment gives, for all lines."""
+    return f"case when good then {sql} else {otherwise} end"
+
+
+def reason() -> Column:
+    return F.coalesce("reason", F.lit("")).alias("reason")
+
+
 def parsed(spark: SparkSession, sf_dir: str, **settings) -> DataFrame:
-    return accepted(example_application(**settings).parsed(messages(spark, sf_dir)))
+    """Every line, parsed."""
+    return example_application(**settings).parsed(messages(spark, sf_dir))
 
 
 def events(spark: SparkSession, sf_dir: str, **settings) -> DataFrame:
-    """Typed events of the well-formed lines, with their position."""
+    """Typed events of every line, with position and reason."""
     app = example_application(**settings)
-    return app.events(accepted(app.parsed(messages(spark, sf_dir))), ("pipelet", "msg_id"))
+    return app.events(app.parsed(messages(spark, sf_dir)), ("pipelet", "msg_id", "reason"))
 
 
 def rows(spark: SparkSession, sf_dir: str, width: int = 60) -> DataFrame:

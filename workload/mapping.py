@@ -10,8 +10,7 @@ from tidelog.functions import text
 from tidelog.functions.hooks import HookResult, date_time, from_udf, url_split
 from tidelog.operators.enrich import ip_range_join
 from tidelog.operators.mapping import MapRule, apply_rules, conform
-from tidelog.operators.parse import accepted, decoded
-from tidelog.plans.application import Application
+from tidelog.operators.parse import decoded
 from tidelog.plans.example import (
     COMMON_FIELDS,
     EVENT_COLUMNS,
@@ -21,29 +20,33 @@ from tidelog.plans.example import (
 )
 from tidelog.plans.sample_log import load, messages
 from workload import query
-from workload.inputs import PLACE_SQL, SRC, events, ip_events, ip_ranges, parsed
+from workload.inputs import PLACE_SQL, REASON, SRC, events, if_good, ip_events, ip_ranges, parsed, reason, unless_no_header
 
-_URL = """'/' || event_type || case when msg_id % 3 = 0 then ''
-  else '?word=term ' || user_id || '&pn=' || (msg_id % 10) end"""
-_PARAMS = "case when msg_id % 3 = 0 then '' else 'word:term ' || user_id || ',pn:' || (msg_id % 10) end"
-_QUERY = "case when msg_id % 3 = 0 then '' else 'term ' || user_id end"
+_URL = unless_no_header("""'/' || event_type || case when msg_id % 3 = 0 then ''
+  else '?word=term ' || user_id || '&pn=' || (msg_id % 10) end""")
+_FULL_URL = unless_no_header(f"'example.com' || {_URL}")
+_PARAMS = unless_no_header("case when msg_id % 3 = 0 then '' else 'word:term ' || user_id || ',pn:' || (msg_id % 10) end")
+_QUERY = unless_no_header("case when msg_id % 3 = 0 then '' else 'term ' || user_id end")
+_AGENT = unless_no_header("'Agent/1.0 (' || event_type || ')'")
+_TIME = unless_no_header("strftime(ts, '%H:%M:%S')")
+_MONTH = unless_no_header("case when bad_time then '02' else strftime(ts, '%m') end")
+_DAY = unless_no_header("case when bad_time then '30' else strftime(ts, '%d') end")
 
 
 def _map(spark, sf_dir, rules):
-    """Rules over all good lines; the position and all outputs as text."""
-    mapped = apply_rules(
-        parsed(spark, sf_dir), rules, {"date_time": date_time(F.col("event_ts"))}, ("msg_id",), decode=decoded
-    )
+    """Rules over every line; position, reason and all outputs as text."""
+    lines = parsed(spark, sf_dir).withColumn("reason", reason())
+    keep = ("msg_id", "reason")
+    mapped = apply_rules(lines, rules, {"date_time": date_time(F.col("event_ts"))}, keep, decode=decoded)
     outs = [n for rule in rules for n in rule.outs]
-    return conform(mapped, T.StructType([T.StructField(n, T.StringType()) for n in outs]), ("msg_id",))
+    return conform(mapped, T.StructType([T.StructField(n, T.StringType()) for n in outs]), keep)
 
 
 @query(
     "map_rules",
     SRC
-    + f"""select msg_id, lpad(cast(msg_id as varchar), 10, '0') as event_logid, strftime(ts, '%H:%M:%S') as event_time,
-      'example.com' || {_URL} as event_url, 'Agent/1.0 (' || event_type || ')' as event_useragent
-    from src where good""",
+    + f"""select msg_id, {REASON}, {unless_no_header("lpad(cast(msg_id as varchar), 10, '0')")} as event_logid,
+      {_TIME} as event_time, {_FULL_URL} as event_url, {_AGENT} as event_useragent from src""",
 )
 def map_rules(spark, sf_dir):
     rules = [
@@ -52,16 +55,18 @@ def map_rules(spark, sf_dir):
         MapRule(("host", "url"), ("event_url",), "url_split"),
         MapRule(("ua",), ("event_useragent",), "copy_decode"),
     ]
-    return _map(spark, sf_dir, rules).select("msg_id", "event_logid", "event_time", "event_url", "event_useragent")
+    return _map(spark, sf_dir, rules).select(
+        "msg_id", "reason", "event_logid", "event_time", "event_url", "event_useragent"
+    )
 
 
 @query(
     "rule_consume",
     SRC
-    + """select msg_id, cast(user_id as varchar) as first_uid, '' as second_uid,
-      case when msg_id % 5 = 0 then '0' else '' end as no_error,
-      case when msg_id % 5 = 0 then '' else cast(msg_id % 5 as varchar) end as error
-    from src where good""",
+    + f"""select msg_id, {REASON}, {unless_no_header("cast(user_id as varchar)")} as first_uid, '' as second_uid,
+      {unless_no_header("case when msg_id % 5 = 0 then '0' else '' end")} as no_error,
+      {unless_no_header("case when msg_id % 5 = 0 then '' else cast(msg_id % 5 as varchar) end")} as error
+    from src""",
 )
 def rule_consume(spark, sf_dir):
     """A later rule finds nothing where an earlier one applied."""
@@ -81,10 +86,10 @@ def rule_consume(spark, sf_dir):
 @query(
     "rule_multi_out",
     SRC
-    + f"""select msg_id, strftime(ts, '%Y') as event_year, strftime(ts, '%m') as event_month,
-      strftime(ts, '%d') as event_dayofmonth, 'example.com' as event_url_hostname, '/' || event_type as event_urlpath,
-      {_PARAMS} as event_urlparamsmap, {_QUERY} as event_query
-    from src where good""",
+    + f"""select msg_id, {REASON}, {if_good("strftime(ts, '%Y')")} as event_year, {_MONTH} as event_month,
+      {_DAY} as event_dayofmonth, {unless_no_header("'example.com'")} as event_url_hostname,
+      {unless_no_header("'/' || event_type")} as event_urlpath, {_PARAMS} as event_urlparamsmap, {_QUERY} as event_query
+    from src""",
 )
 def rule_multi_out(spark, sf_dir):
     rules = [
@@ -93,109 +98,115 @@ def rule_multi_out(spark, sf_dir):
             ("host", "url"), ("event_url_hostname", "event_urlpath", "event_urlparamsmap", "event_query"), url_split()
         ),
     ]
-    return _map(spark, sf_dir, rules).select("msg_id", *(n for rule in rules for n in rule.outs))
+    return _map(spark, sf_dir, rules).select("msg_id", "reason", *(n for rule in rules for n in rule.outs))
 
 
-_LEFT = """'filename:/srv/a.php,lineno:28,dup:' || case when msg_id % 11 = 0 then 'last' else 'once' end
-  || ',module:submit,uid:' || user_id || ',email:u' || user_id || '@example.com,cost:40,value:'
-  || cast(value as varchar) || ',props:' || props || ',eq:1,pct:%zz%4,flag:'"""
+_LEFT = unless_no_header("""'filename:/srv/a.php,lineno:28,dup:' || case when msg_id % 11 = 0 then 'last' else 'once' end
+  || ',module:submit,uniqid:0,lane:7,email:u' || user_id || '@example.com,cost:40,value:'
+  || cast(value as varchar) || ',props:' || props || ',eq:1,pct:%zz%4,flag:,errmsg:'""")
 
 
-@query("leftover_map", SRC + f"select msg_id, {_LEFT} as event_loginfo from src where good")
+@query("leftover_map", SRC + f"select msg_id, {REASON}, {_LEFT} as event_loginfo from src")
 def leftover_map(spark, sf_dir):
     """Unclaimed fields in the order of the line; ``cost`` is not ``Cost``."""
     mapped = events(spark, sf_dir)
-    return mapped.select("msg_id", text.map_to_string(F.col("event_loginfo")).alias("event_loginfo"))
+    return mapped.select("msg_id", reason(), text.map_to_string(F.col("event_loginfo")).alias("event_loginfo"))
+
+
+def _with_referer(sql: str) -> str:
+    return unless_no_header(f"case when msg_id % 4 = 0 then '' else {sql} end")
 
 
 # the columns of the example application that a sample line fills, as text
 _FILLED = {
-    "event_logid": "lpad(cast(msg_id as varchar), 10, '0')",
-    "event_year": "strftime(ts, '%Y')",
-    "event_month": "strftime(ts, '%m')",
-    "event_dayofmonth": "strftime(ts, '%d')",
-    "event_time": "strftime(ts, '%H:%M:%S')",
-    "event_timestamp": "cast(floor(epoch(ts)) as bigint)",
-    "event_ip": "'10.' || (user_id % 25) || '.' || (msg_id % 256) || '.' || (user_id % 250)",
-    "event_visitorid": "md5(cast(msg_id as varchar))",
-    "event_username": "case msg_id % 3 when 0 then '北京' when 1 then '上海' else '广州' end",
-    "event_url": f"'example.com' || {_URL}",
-    "event_url_hostname": "'example.com'",
-    "event_urlpath": "'/' || event_type",
+    "trace": unless_no_header("lpad(cast(msg_id as varchar), 10, '0')"),
+    "event_year": if_good("strftime(ts, '%Y')"),
+    "event_month": _MONTH,
+    "event_dayofmonth": _DAY,
+    "event_time": _TIME,
+    "event_timestamp": if_good("cast(cast(floor(epoch(ts)) as bigint) as varchar)"),
+    "event_ip": unless_no_header("'10.' || (user_id % 25) || '.' || (msg_id % 256) || '.' || (user_id % 250)"),
+    "visitor": unless_no_header("md5(cast(msg_id as varchar))"),
+    "customer": unless_no_header("cast(user_id as varchar)"),
+    "buyer_name": unless_no_header("case msg_id % 3 when 0 then '北京' when 1 then '上海' else '广州' end"),
+    "event_url": _FULL_URL,
+    "event_url_hostname": unless_no_header("'example.com'"),
+    "event_urlpath": unless_no_header("'/' || event_type"),
     "event_urlparamsmap": _PARAMS,
     "event_query": _QUERY,
-    "event_referer": "case when msg_id % 4 = 0 then '' else 'http://example.com/q/' || msg_id || '.html?a=' || user_id end",
-    "event_refererpath": "case when msg_id % 4 = 0 then '' else '/q/' || msg_id || '.html' end",
-    "event_refererparamsmap": "case when msg_id % 4 = 0 then '' else 'a:' || user_id end",
-    "event_referer_hostname": "case when msg_id % 4 = 0 then '' else 'example.com' end",
-    "event_useragent": "'Agent/1.0 (' || event_type || ')'",
+    "event_referer": _with_referer("'http://example.com/q/' || msg_id || '.html?a=' || user_id"),
+    "event_refererpath": _with_referer("'/q/' || msg_id || '.html'"),
+    "event_refererparamsmap": _with_referer("'a:' || user_id"),
+    "event_referer_hostname": _with_referer("'example.com'"),
+    "agent": _AGENT,
+    "status": unless_no_header("cast(msg_id % 5 as varchar)"),
+    "duration": unless_no_header("(msg_id + 1000000000) || '.895'"),
+    "seats": unless_no_header("'front:' || (msg_id % 100) || ',rear:' || user_id"),
     "event_loginfo": _LEFT,
-    "submit_errno": "msg_id % 5",
-    "submit_optime": "(msg_id + 1000000000) || '.895'",
-    "submit_local_ip": "'10.9.9.9'",
-    "submit_uniqid": "'0'",
-    "submit_cgid": "'7'",
-    "submit_entry": "case when msg_id % 2 = 0 then event_type else '' end",
-    "submit_cost": "'all_ms:' || (msg_id % 50) || ',kv_ms:2'",
-    "submit_score": "'experience:' || (msg_id % 100) || ',wealth:' || user_id",
-    "submit_sign": "'msg=''' || event_type || ''' num=''3'''",
+    "shop_cost": unless_no_header("'all_ms:' || (msg_id % 50) || ',kv_ms:2'"),
+    "shop_note": unless_no_header("'msg=' || chr(39) || event_type || chr(39) || ' num=' || chr(39) || '3' || chr(39)"),
+    "shop_door": unless_no_header("case when msg_id % 2 = 0 then event_type else '' end"),
+    "shop_server": unless_no_header("'10.9.9.9'"),
+}
+# the same where the table's types differ from text
+_TYPED = _FILLED | {
+    "event_month": "cast(month(ts) as varchar)",
+    "event_dayofmonth": "cast(day(ts) as varchar)",
+    "duration": unless_no_header("cast(msg_id + 1000000000 as varchar)"),
 }
 
 
-def _event_names() -> list[str]:
+def event_names() -> list[str]:
     """Declared columns, then undeclared outputs in rule order."""
     outs = [n for rule in rules_from_text(COMMON_FIELDS) for n in rule.outs]
     return list(dict.fromkeys([*schema_from_text(EVENT_COLUMNS).fieldNames(), *outs]))
 
 
-@query(
-    "event_schema",
-    SRC
-    + "select msg_id, concat_ws('|', "
-    + ", ".join(f"cast({_FILLED.get(n, chr(39) * 2)} as varchar)" for n in _event_names())
-    + ") as row_text from src where good",
-)
-def event_schema(spark, sf_dir):
-    """All declared columns in order, then the undeclared ones, as one text."""
-    app = example_application()
-    mapped = app.events(parsed(spark, sf_dir), ("msg_id",), typed=False)
+def row_text_sql(typed: bool) -> str:
+    filled = _TYPED if typed else _FILLED
+    return f"concat_ws('|', {', '.join(f'cast({filled.get(n, chr(39) * 2)} as varchar)' for n in event_names())}) as row_text"
+
+
+def row_text(mapped):
+    """All columns of an event in order, as one text; NULL is empty."""
     types = {f.name: f.dataType for f in mapped.schema}
-    names = [n for n in mapped.columns if n != "msg_id"]
 
     def cell(n):
-        return text.map_to_string(F.col(n)) if isinstance(types[n], T.MapType) else F.coalesce(F.col(n), F.lit(""))
+        return text.map_to_string(n) if isinstance(types[n], T.MapType) else F.coalesce(F.col(n).cast("string"), F.lit(""))
+
+    return F.concat_ws("|", *(F.coalesce(cell(n), F.lit("")) for n in event_names())).alias("row_text")
 
-    return mapped.select("msg_id", F.concat_ws("|", *(cell(n) for n in names)).alias("row_text"))
+
+@query("event_schema", SRC + f"select msg_id, {REASON}, {row_text_sql(False)} from src")
+def event_schema(spark, sf_dir):
+    """All declared columns in order, then the undeclared ones, as one text."""
+    app = example_application()
+    mapped = app.events(parsed(spark, sf_dir), ("msg_id", "reason"), typed=False)
+    return mapped.select("msg_id", reason(), row_text(mapped))
 
 
 @query(
     "schema_cast",
     SRC
-    + """select msg_id, cast(year(ts) as bigint) as event_year, cast(month(ts) as bigint) as event_month,
-      cast(floor(epoch(ts)) as bigint) as event_timestamp, msg_id % 5 as submit_errno,
-      msg_id + 1000000000 as submit_optime, cast(-1 as bigint) as event_userid,
-      msg_id % 100 as experience, cast(98 as bigint) as n_declared
-    from src where good""",
+    + f"""select msg_id, {REASON}, cast({if_good("year(ts)", "-1")} as bigint) as event_year,
+      cast({unless_no_header("case when bad_time then 2 else month(ts) end", "-1")} as bigint) as event_month,
+      cast({if_good("floor(epoch(ts))", "-1")} as bigint) as event_timestamp,
+      cast({unless_no_header("msg_id % 5", "-1")} as bigint) as status,
+      cast({unless_no_header("msg_id + 1000000000", "-1")} as bigint) as duration,
+      cast({unless_no_header("user_id", "-1")} as bigint) as customer,
+      cast({unless_no_header("msg_id % 100", "-1")} as bigint) as front, cast(28 as bigint) as n_declared
+    from src""",
 )
 def schema_cast(spark, sf_dir):
-    """Text to the table's types; ``experience`` through a map of bigints."""
-    rules = tuple(
-        MapRule(r.ins, ("event_log_source",), r.hook) if r.ins == ("Score",) else r
-        for r in example_application().rules
-    )
-    base = example_application()
-    app = Application("example", base.schema, rules, base.hooks)
-    typed = app.events(parsed(spark, sf_dir), ("msg_id",))
-    n_declared = len([n for n in EVENT_COLUMNS.split("\n") if n.strip()])
+    """Text to the table's types; ``front`` through a map of bigints."""
+    typed = events(spark, sf_dir)
+    n_declared = len(schema_from_text(EVENT_COLUMNS))
+    numbers = ("event_year", "event_month", "event_timestamp", "status", "duration", "customer")
     return typed.select(
         "msg_id",
-        "event_year",
-        "event_month",
-        "event_timestamp",
-        "submit_errno",
-        "submit_optime",
-        F.coalesce("event_userid", F.lit(-1)).cast("bigint").alias("event_userid"),
-        F.col("event_log_source")["experience"].alias("experience"),
+        reason(),
+        *(F.coalesce(n, F.lit(-1)).cast("bigint").alias(n) for n in numbers),
+        F.coalesce(F.col("seats")["front"], F.lit(-1)).cast("bigint").alias("front"),
         F.lit(n_declared).cast("bigint").alias("n_declared"),
     )
 
@@ -203,20 +214,20 @@ def schema_cast(spark, sf_dir):
 @query(
     "user_hook",
     SRC
-    + """select msg_id, case when msg_id % 5 = 0 then '' else event_type end as kind,
-      case when msg_id % 5 = 0 then '' else cast(length(event_type) as varchar) end as size
-    from src where good""",
+    + f"""select msg_id, {REASON}, {unless_no_header("case when msg_id % 5 = 0 then '' else event_type end")} as kind,
+      {unless_no_header("case when msg_id % 5 = 0 then '' else cast(length(event_type) as varchar) end")} as size
+    from src""",
 )
 def user_hook(spark, sf_dir):
     """Opaque code as a vectorised function; it refuses lines without an error."""
 
     @F.pandas_udf("kind string, size string, ok boolean")
-    def describe(sign: pd.Series, errno: pd.Series) -> pd.DataFrame:
-        kind = sign.str.extract(r"msg='([^']*)'")[0]
-        return pd.DataFrame({"kind": kind, "size": kind.str.len().astype(str), "ok": errno != "0"})
+    def describe(note: pd.Series, errno: pd.Series) -> pd.DataFrame:
+        kind = note.fillna("").str.extract(r"msg='([^']*)'")[0]
+        return pd.DataFrame({"kind": kind, "size": kind.fillna("").str.len().astype(str), "ok": errno.notna() & (errno != "0")})
 
-    rules = [MapRule(("Sign", "errno"), ("kind", "size"), from_udf(describe, ok="ok"))]
-    return _map(spark, sf_dir, rules).select("msg_id", "kind", "size")
+    rules = [MapRule(("Note", "errno"), ("kind", "size"), from_udf(describe, ok="ok"))]
+    return _map(spark, sf_dir, rules).select("msg_id", "reason", "kind", "size")
 
 
 @query(
@@ -257,14 +268,16 @@ def ip_range_lookup(spark, sf_dir):
     return found.select("msg_id", *(c.alias(n) for n, c in parts.items()))
 
 
+def _placed(column: str) -> str:
+    return unless_no_header(f"case when msg_id % 256 < 200 then {column} else '' end") + f" as {column}"
+
+
 @query(
     "map_rules_with_lookup",
     SRC
-    + f"""select msg_id, case when msg_id % 256 < 200 then event_province else '' end as event_province,
-      case when msg_id % 256 < 200 then event_city else '' end as event_city,
-      case when msg_id % 256 < 200 then event_net_provider else '' end as event_net_provider,
-      bucket10 as bucket
-    from (select src.*, {PLACE_SQL} from src join nation on n_nationkey = user_id % 25) where good""",
+    + f"""select msg_id, {REASON}, {", ".join(map(_placed, ("event_province", "event_city", "event_net_provider")))},
+      {if_good("bucket10")} as bucket
+    from (select src.*, {PLACE_SQL} from src join nation on n_nationkey = user_id % 25)""",
 )
 def map_rules_with_lookup(spark, sf_dir):
     """The whole application, from line to event, with the address lookup in it."""
@@ -274,8 +287,6 @@ def map_rules_with_lookup(spark, sf_dir):
         return ip_range_join(df, ip_ranges(spark, sf_dir), ip, ("ip_place",))
 
     app = example_application(lookup=lookup)
-    return (
-        app.run(messages(spark, sf_dir))
-        .filter("reason is null")
-        .select("msg_id", "event_province", "event_city", "event_net_provider", "bucket")
+    return app.run(messages(spark, sf_dir)).select(
+        "msg_id", reason(), "event_province", "event_city", "event_net_provider", F.coalesce("bucket", F.lit("")).alias("bucket")
     )

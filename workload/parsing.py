@@ -9,7 +9,7 @@ from tidelog.operators import parse
 from tidelog.plans.example import example_application
 from tidelog.plans.sample_log import load, messages
 from workload import query
-from workload.inputs import PLACE_SQL, SRC, parsed, place_text
+from workload.inputs import PLACE_SQL, REASON, SRC, if_good, parsed, place_text, reason, unless_no_header
 
 
 @query(
@@ -34,21 +34,29 @@ def parse_header(spark, sf_dir):
     )
 
 
+_FIELDS = {
+    "uid": "cast(user_id as varchar)",
+    "errno": "cast(msg_id % 5 as varchar)",
+    "eq": "'1'",
+    "flag": "''",
+    "pct": "'%zz%4'",
+    "props": "props",
+    "val": "cast(value as varchar)",
+}
+
+
 @query(
     "parse_fields",
     SRC
-    + """select msg_id, cast(user_id as varchar) as uid, cast(msg_id % 5 as varchar) as errno,
-      '1' as eq, '' as flag, '%zz%4' as pct, props, cast(value as varchar) as val,
-      cast(32 as bigint) as n_fields
-    from src where not no_header""",
+    + f"select msg_id, {', '.join(f'{unless_no_header(sql)} as {n}' for n, sql in _FIELDS.items())}, "
+    + f"cast({unless_no_header('32', '2')} as bigint) as n_fields from src",
 )
 def parse_fields(spark, sf_dir):
-    lines = parse.parse_fields(parse.parse_header(messages(spark, sf_dir)).filter("matched"))
+    lines = parse.parse_fields(parse.parse_header(messages(spark, sf_dir)))
     f = F.col("fields")
     return lines.select(
         "msg_id",
-        *(f[n].alias(n) for n in ("uid", "errno", "eq", "flag", "pct", "props")),
-        f["value"].alias("val"),
+        *(F.coalesce(f["value" if n == "val" else n], F.lit("")).alias(n) for n in _FIELDS),
         F.size(f).cast("bigint").alias("n_fields"),
     )
 
@@ -56,15 +64,14 @@ def parse_fields(spark, sf_dir):
 @query(
     "dup_key_last_wins",
     SRC
-    + """select msg_id, case when msg_id % 11 = 0 then 'last' else 'once' end as dup,
-      cast(6 as bigint) as position
-    from src where not no_header""",
+    + f"""select msg_id, {unless_no_header("case when msg_id % 11 = 0 then 'last' else 'once' end")} as dup,
+      cast({unless_no_header("6", "0")} as bigint) as position from src""",
 )
 def dup_key_last_wins(spark, sf_dir):
-    lines = parse.cut_notice(messages(spark, sf_dir)).filter("matched")
+    lines = parse.cut_notice(messages(spark, sf_dir))
     return lines.select(
         "msg_id",
-        F.col("fields")["dup"].alias("dup"),
+        F.coalesce(F.col("fields")["dup"], F.lit("")).alias("dup"),
         F.array_position(F.map_keys("fields"), "dup").cast("bigint").alias("position"),
     )
 
@@ -92,19 +99,23 @@ def quarantine_unparsed(spark, sf_dir):
 
 
 def _hook(spark, sf_dir, hook, ins, outs):
-    """Outputs of one hook over the decoded fields of all good lines."""
+    """Outputs of one hook over the decoded fields of every line."""
     lines = parsed(spark, sf_dir)
     picked = lines.select(
         "msg_id",
+        reason(),
         "event_ts",
         *(F.expr(f"coalesce({parse.decoded(f"fields['{n}']")}, '')").alias(n) for n in ins),
     )
     with text.java_charsets(spark):
         values = hook({n: F.col(n) for n in ins}, outs)
-        return picked.select("msg_id", *(values[n].alias(n) for n in outs))
+        return picked.select("msg_id", "reason", *(values[n].alias(n) for n in outs))
+
+
+_UID = unless_no_header("cast(user_id as varchar)")
 
 
-@query("copy", SRC + "select msg_id, cast(user_id as varchar) as a, cast(user_id as varchar) as b from src where good")
+@query("copy", SRC + f"select msg_id, {REASON}, {_UID} as a, {_UID} as b from src")
 def copy(spark, sf_dir):
     """Two inputs, two outputs: the last input fills both."""
     return _hook(spark, sf_dir, hooks.copy, ("logid", "uid"), ("a", "b"))
@@ -112,40 +123,46 @@ def copy(spark, sf_dir):
 
 @query(
     "copy_decode",
-    SRC + "select msg_id, 'Agent/1.0 (' || event_type || ')' as event_useragent from src where good",
+    SRC + f"""select msg_id, {REASON}, {unless_no_header("'Agent/1.0 (' || event_type || ')'")} as event_useragent from src""",
 )
 def copy_decode(spark, sf_dir):
     return _hook(spark, sf_dir, hooks.copy_decode, ("ua",), ("event_useragent",))
 
 
-_NAME_SQL = "case msg_id % 3 when 0 then '北京' when 1 then '上海' else '广州' end"
+_NAME_SQL = unless_no_header("case msg_id % 3 when 0 then '北京' when 1 then '上海' else '广州' end")
 
 
-@query("copy_decode_utf8", SRC + f"select msg_id, {_NAME_SQL} as event_username from src where good")
+@query("copy_decode_utf8", SRC + f"select msg_id, {REASON}, {_NAME_SQL} as event_username from src")
 def copy_decode_utf8(spark, sf_dir):
     return _hook(spark, sf_dir, hooks.copy_decode_utf8, ("un",), ("event_username",))
 
 
-@query("transcode", SRC + f"select msg_id, {_NAME_SQL} as name, cast(2 as bigint) as n_chars from src where good")
+@query(
+    "transcode",
+    SRC + f"select msg_id, {REASON}, {_NAME_SQL} as name, cast({unless_no_header('2', '0')} as bigint) as n_chars from src",
+)
 def transcode(spark, sf_dir):
     """Bytes to text; the bytes alone are no valid UTF-8."""
-    name = parsed(spark, sf_dir).select("msg_id", F.expr(parse.decoded("fields['un']")).alias("raw"))
+    raw = F.expr(f"coalesce({parse.decoded("fields['un']")}, '')").alias("raw")
+    name = parsed(spark, sf_dir).select("msg_id", reason(), raw)
     with text.java_charsets(spark):
-        named = name.filter(~F.is_valid_utf8("raw")).select("msg_id", text.transcode(F.col("raw")).alias("name"))
+        named = name.select("msg_id", "reason", text.transcode(F.col("raw")).alias("name"))
     return named.withColumn("n_chars", F.char_length("name").cast("bigint"))
 
 
-@query(
-    "date_time",
-    SRC
-    + """select msg_id, strftime(ts, '%Y') as event_year, strftime(ts, '%m') as event_month,
-      strftime(ts, '%d') as event_dayofmonth, strftime(ts, '%H:%M:%S') as event_time,
-      cast(cast(floor(epoch(ts)) as bigint) as varchar) as event_timestamp
-    from src where good""",
-)
+_TIMES = {
+    "event_year": if_good("strftime(ts, '%Y')"),
+    "event_month": unless_no_header("case when bad_time then '02' else strftime(ts, '%m') end"),
+    "event_dayofmonth": unless_no_header("case when bad_time then '30' else strftime(ts, '%d') end"),
+    "event_time": unless_no_header("strftime(ts, '%H:%M:%S')"),
+    "event_timestamp": if_good("cast(cast(floor(epoch(ts)) as bigint) as varchar)"),
+}
+
+
+@query("date_time", SRC + f"select msg_id, {REASON}, {', '.join(f'{sql} as {n}' for n, sql in _TIMES.items())} from src")
 def date_time(spark, sf_dir):
-    outs = ("event_year", "event_month", "event_dayofmonth", "event_time", "event_timestamp")
-    return _hook(spark, sf_dir, hooks.date_time(F.col("event_ts")), ("date", "time"), outs)
+    times = _hook(spark, sf_dir, hooks.date_time(F.col("event_ts")), ("date", "time"), tuple(_TIMES))
+    return times.select("msg_id", "reason", *(F.coalesce(n, F.lit("")).alias(n) for n in _TIMES))
 
 
 @query(
@@ -164,7 +181,10 @@ def ip_geo(spark, sf_dir):
     return joined.select(F.col("event_id").alias("msg_id"), *(c.alias(n) for n, c in values.items()))
 
 
-@query("visitor_id_clean", SRC + "select msg_id, md5(cast(msg_id as varchar)) as event_visitorid from src where good")
+@query(
+    "visitor_id_clean",
+    SRC + f"select msg_id, {REASON}, {unless_no_header('md5(cast(msg_id as varchar))')} as event_visitorid from src",
+)
 def visitor_id_clean(spark, sf_dir):
     return _hook(spark, sf_dir, hooks.clean_visitor_id, ("visitorid",), ("event_visitorid",))
 
@@ -172,26 +192,26 @@ def visitor_id_clean(spark, sf_dir):
 @query(
     "kv_string_to_map",
     SRC
-    + """select msg_id, cast(msg_id % 100 as varchar) as experience, cast(user_id as varchar) as wealth,
-      cast(2 as bigint) as n_keys from src where good""",
+    + f"""select msg_id, {REASON}, {unless_no_header("cast(msg_id % 100 as varchar)")} as front,
+      {_UID} as rear, cast({unless_no_header("2", "0")} as bigint) as n_keys from src""",
 )
 def kv_string_to_map(spark, sf_dir):
-    scores = _hook(spark, sf_dir, hooks.copy_kv_map, ("Score",), ("score",))
-    return scores.select(
+    seats = _hook(spark, sf_dir, hooks.copy_kv_map, ("Seats",), ("seats",))
+    return seats.select(
         "msg_id",
-        F.col("score")["experience"].alias("experience"),
-        F.col("score")["wealth"].alias("wealth"),
-        F.size("score").cast("bigint").alias("n_keys"),
+        "reason",
+        *(F.coalesce(F.col("seats")[n], F.lit("")).alias(n) for n in ("front", "rear")),
+        F.size("seats").cast("bigint").alias("n_keys"),
     )
 
 
 @query(
     "map_to_string",
-    SRC + "select msg_id, 'all_ms:' || (msg_id % 50) || ',kv_ms:2' as cost from src where good",
+    SRC + f"""select msg_id, {REASON}, {unless_no_header("'all_ms:' || (msg_id % 50) || ',kv_ms:2'")} as cost from src""",
 )
 def map_to_string(spark, sf_dir):
     costs = _hook(spark, sf_dir, hooks.copy_kv_map, ("Cost",), ("cost",))
-    return costs.select("msg_id", text.map_to_string(F.col("cost")).alias("cost"))
+    return costs.select("msg_id", "reason", text.map_to_string(F.col("cost")).alias("cost"))
 
 
 _PARAMS_SQL = """case when contains(url, '?') then array_to_string(list_transform(
@@ -215,21 +235,25 @@ def url_split(spark, sf_dir):
     return split.select("page_id", "event_url", "event_url_hostname", "event_urlpath", params, "event_query")
 
 
+def _with_referer(sql: str) -> str:
+    return unless_no_header(f"case when msg_id % 4 = 0 then '' else {sql} end")
+
+
 @query(
     "referer_split",
     SRC
-    + """select msg_id,
-      case when msg_id % 4 = 0 then '' else 'http://example.com/q/' || msg_id || '.html?a=' || user_id end as event_referer,
-      case when msg_id % 4 = 0 then '' else '/q/' || msg_id || '.html' end as event_refererpath,
-      case when msg_id % 4 = 0 then '' else 'a:' || user_id end as params,
-      case when msg_id % 4 = 0 then '' else 'example.com' end as event_referer_hostname
-    from src where good""",
+    + f"""select msg_id, {REASON},
+      {_with_referer("'http://example.com/q/' || msg_id || '.html?a=' || user_id")} as event_referer,
+      {_with_referer("'/q/' || msg_id || '.html'")} as event_refererpath,
+      {_with_referer("'a:' || user_id")} as params,
+      {_with_referer("'example.com'")} as event_referer_hostname
+    from src""",
 )
 def referer_split(spark, sf_dir):
     outs = ("event_referer", "event_refererpath", "event_refererparamsmap", "event_referer_hostname")
     parts = _hook(spark, sf_dir, hooks.referer_split(), ("refer",), outs)
     params = text.map_to_string(F.col("event_refererparamsmap")).alias("params")
-    return parts.select("msg_id", "event_referer", "event_refererpath", params, "event_referer_hostname")
+    return parts.select("msg_id", "reason", "event_referer", "event_refererpath", params, "event_referer_hostname")
 
 
 @query(
