@@ -94,6 +94,19 @@ def test_links_beyond_the_drawn_member_are_found(spark):
     assert {r.component_id for r in got} == {0}
 
 
+def test_links_that_no_bucket_holds_are_found(spark):
+    """Pairs at 80 % with one band, which most of them do not share."""
+    texts = []
+    for i in range(30):
+        common = [f"c{i}x{j}" for j in range(80)]
+        texts += [(2 * i + e, " ".join([*common, *(f"o{2 * i + e}x{j}" for j in range(10 + (i % 2) * e))])) for e in (0, 1)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    got = minhash.near_duplicates(docs, minhash.NearDuplicates(shingle=1, percent=80, bands=1, rows=6)).collect()
+    # of even pairs 80 of 100 elements are common, of odd ones 80 of 101
+    want = {2 * i + e: 2 * i if i % 2 == 0 else 2 * i + e for i in range(30) for e in (0, 1)}
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=9), max_size=4), st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=30), st.integers(1, 4))
 def test_automaton(items, words, width):

@@ -7,10 +7,10 @@ independent hashes, and once no place holds an offer of the present rank or more
 higher ranks need not be looked at.
 
 Documents with equal shingle sets are one class; only one signature of a class is
-banded.  In each bucket members are compared with its most central one; members of
-buckets that still hold several groups then go through an exact join.  Every link is
-confirmed on the full sets.  Groups come from union-find inside tasks, then from label
-contraction between them.
+banded.  In each bucket members are compared with its most central one, which settles
+most groups.  All classes then go through an exact join of members of different groups,
+whether or not they share a bucket.  Every link is confirmed on the full sets.  Groups
+come from union-find inside tasks, then from label contraction between them.
 """
 
 from __future__ import annotations
@@ -31,6 +31,11 @@ _RANK_SHIFT = np.uint64(32)
 _GOLDEN = 0x9E3779B97F4A7C15
 # shingles whose ranks are drawn together
 CHUNK = 1 << 16
+# elements are counted by their first bits; so many cells go together in a row
+CELL_BITS = 22
+CELL_BLOCK = 1 << 12
+# bits that bound from below in how many elements two sets differ
+PARITY_BITS = 2048
 
 
 @dataclass(frozen=True)
@@ -38,9 +43,9 @@ class NearDuplicates:
     """How documents are compared.
 
     Two documents are linked if ``100 * |A & B| >= percent * |A | B|`` for their sets
-    of ``shingle``-word shingles.  ``bands`` of ``rows`` signature places find pairs:
-    with the defaults a pair at 80 % is missed once in 1,500 times by all bands, one
-    at 90 % practically never.
+    of ``shingle``-word shingles.  ``bands`` of ``rows`` signature places find most
+    pairs: with the defaults a pair at 80 % is missed once in 1,500 times by all bands.
+    An exact join finds what they miss, so they decide on time only, not on results.
     """
 
     shingle: int = 5
@@ -261,68 +266,121 @@ def candidates(members: DataFrame, percent: int) -> DataFrame:
     return pairs.filter(alike).select(F.greatest("id", "head").alias("a"), F.least("id", "head").alias("b")).distinct()
 
 
-def open_members(members: DataFrame, groups: DataFrame) -> DataFrame:
-    """``id, n, component, minor``: members of buckets that still hold several groups.
+def _cells(elements: np.ndarray) -> np.ndarray:
+    return (elements >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
-    A member is minor if it is outside the largest group of such a bucket.  Where a
-    bucket's members are one group, as copies of a text are, nothing is left.
+
+def levels(docs: DataFrame, how: NearDuplicates) -> np.ndarray:
+    """How often elements occur, on a scale of logarithms, for each first ``CELL_BITS`` bits of them.
+
+    The table has the same size whatever the documents are.  Cells that several
+    elements share make the order of elements less good, not wrong.
     """
-    known = members.join(groups, members["id"] == groups["g_id"], "left").select(
-        "bucket", "id", "n", F.coalesce("component", "id").alias("component")
-    )
-    known = saved(known, "members")
-    counts = known.groupBy("bucket", "component").agg(F.count("*").alias("many"))
-    heads = counts.groupBy("bucket").agg(F.max_by("component", F.struct("many", "component")).alias("largest"), F.count("*").alias("n_groups"))
-    left = known.join(heads.filter("n_groups > 1"), "bucket")
-    minor = F.max(F.col("component") != F.col("largest")).alias("minor")
-    return left.groupBy("id").agg(F.first("n").alias("n"), F.first("component").alias("component"), minor)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        many = np.zeros(1 << CELL_BITS, np.uint32)
+        for (texts,) in rows_of(batches, "text"):
+            np.add.at(many, _cells(np.concatenate([np.empty(0, np.uint64), *shingles(texts, how.shingle)])), 1)
+        blocks = np.minimum(many, 65535).astype("<u2").reshape(-1, CELL_BLOCK)
+        full = np.flatnonzero(blocks.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array([blocks[i].tobytes() for i in full], pa.binary())], names=["block", "many"])
+
+    def add(key: tuple, parts: pa.Table) -> pa.Table:
+        many = np.zeros(CELL_BLOCK, np.uint64)
+        for part in parts.column("many").to_pylist():
+            many += np.frombuffer(part, "<u2")
+        level = np.minimum(255, 8 * np.log2(many + 1.0)).astype(np.uint8)
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "level": pa.array([level.tobytes()], pa.binary())})
+
+    parts = docs.select(text_bytes()).mapInArrow(count, "block bigint, many binary")
+    out = np.zeros(1 << CELL_BITS, np.uint8).reshape(-1, CELL_BLOCK)
+    for row in parts.groupBy("block").applyInArrow(add, "block bigint, level binary").toLocalIterator():
+        out[row.block] = np.frombuffer(row.level, np.uint8)
+    return out.ravel()
+
+
+def prefixes(docs: DataFrame, how: NearDuplicates) -> DataFrame:
+    """``id, n, parity, first``: the first elements of each set, rarest first, of which alike sets share one.
+
+    ``parity`` has a bit for each of ``PARITY_BITS`` cells, set if an odd number of
+    elements fall there: sets differ in as many elements at least as in bits.
+    """
+    known = docs.sparkSession.sparkContext.broadcast(levels(docs, how))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level = known.value
+        for ids, texts in rows_of(batches, "id", "text"):
+            sets = shingles(texts, how.shingle)
+            first, parity = [], []
+            for s in sets:
+                odd = np.bincount((s & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+                parity.append(np.packbits(odd.astype(np.uint8)).tobytes())
+                order = np.lexsort((s, level[_cells(s)]))
+                keep = len(s) + how.percent * len(s) // -100 + 1 if len(s) else 0
+                first.append(s[order[:keep]].view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(ids, pa.int64()),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array(parity, pa.binary()),
+                    pa.array(first, pa.list_(pa.int64())),
+                ],
+                names=["id", "n", "parity", "first"],
+            )
+
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), text_bytes()).filter("id is not null")
+    return texts.mapInArrow(run, "id bigint, n bigint, parity binary, first array<bigint>")
 
 
-def _elements(texts: DataFrame, how: NearDuplicates) -> DataFrame:
-    """``id, n, component, minor, element`` of the documents' sets."""
+def _near_enough(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` without those whose parities differ in more bits than alike sets in elements.
+
+    An id that rows with different texts share stays if any of them may be alike.
+    """
+    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("parity").alias("parity_a")), "a")
+    both = both.join(sets.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("parity").alias("parity_b")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "n", "component", "minor"]
-        for *fields, texts_ in rows_of(batches, *names, "text"):
-            sets = shingles(texts_, how.shingle)
-            sizes = np.array([len(s) for s in sets], np.int64)
-            columns = [np.repeat(np.array(f), sizes) for f in fields]
-            elements = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, elements)], names=[*names, "element"])
-
-    schema = "id bigint, n bigint, component bigint, minor boolean, element bigint"
-    return texts.select("id", "n", "component", "minor", "text").mapInArrow(run, schema)
-
-
-def remaining(left: DataFrame, docs: DataFrame, how: NearDuplicates) -> DataFrame:
-    """Pairs ``a, b`` (a > b) of open members in different groups that may be alike: all that are.
-
-    An exact join by prefix and position: with elements in one order, rarest first,
-    two sets that are alike enough share one of their first few elements, and where
-    they first do, enough elements must follow in both.  Rare elements are what a
-    copy does not have from its original, so copies of one text that differ too much
-    do not meet.
+        for a, b, n_a, n_b, parity_a, parity_b in rows_of(batches, "a", "b", "n_a", "n_b", "parity_a", "parity_b"):
+            x, y = (np.frombuffer(b"".join(p), np.uint64).reshape(-1, PARITY_BITS // 64) for p in (parity_a, parity_b))
+            differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            # of alike sets, (100 + percent) * |A ^ B| <= (100 - percent) * (|A| + |B|)
+            keep = (100 + percent) * differ <= (100 - percent) * (np.array(n_a, np.int64) + np.array(n_b, np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.array(a, np.int64)[keep], pa.int64()), pa.array(np.array(b, np.int64)[keep], pa.int64())], names=["a", "b"]
+            )
+
+    return both.select("a", "b", "n_a", "n_b", "parity_a", "parity_b").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def remaining(groups: DataFrame, docs: DataFrame, how: NearDuplicates) -> DataFrame:
+    """Pairs ``a, b`` (a > b) of ids in different groups that may be alike: all that are.
+
+    ``groups`` has ``id, component`` of one document of each class.  An exact join by
+    prefix and position: with elements in one order, rarest first, two sets that are
+    alike enough share one of their first few elements, and where they first do,
+    enough elements must follow in both.  Rare elements are what a copy does not have
+    from its original, so copies of one text that differ too much do not meet.  Of an
+    element's documents those outside its largest group meet all others.
     """
     p = how.percent
-    texts = docs.select(F.col("doc_id").alias("d_id"), text_bytes())
-    elements = saved(_elements(left.join(texts, F.col("id") == F.col("d_id")), how), "elements")
-    counts = elements.groupBy("element").agg(F.count("*").alias("many"))
-    ordered = elements.join(counts, "element").groupBy("id", "n", "component", "minor").agg(
-        F.sort_array(F.collect_list(F.struct("many", "element"))).alias("set")
-    )
-    first = F.slice("set", F.lit(1), (F.col("n") - F.ceil(F.col("n") * p / 100) + 1).cast("int"))
-    prefixes = ordered.select("id", "n", "component", "minor", F.posexplode(first).alias("at", "x"))
-    prefixes = saved(prefixes.select("id", "n", "component", "minor", "at", F.col("x.element").alias("element")), "prefixes")
-    minor = prefixes.filter("minor").select(*(F.col(c).alias(f"m_{c}") for c in ("id", "n", "component", "at", "element")))
+    grouped = saved(prefixes(docs, how).join(groups, "id"), "prefixes")
+    each = grouped.select("id", "n", "component", F.posexplode("first").alias("at", "element"))
+    several = each.groupBy("element").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most")
+    met = saved(each.join(several.select("element"), "element", "left_semi"), "elements")
+    counts = met.groupBy("element", "component").agg(F.count("*").alias("many"))
+    largest = counts.groupBy("element").agg(F.max_by("component", F.struct("many", "component")).alias("largest"))
+    each = saved(met.join(largest, "element").withColumn("minor", F.col("component") != F.col("largest")), "elements")
+    minor = each.filter("minor").select(*(F.col(c).alias(f"m_{c}") for c in ("id", "n", "component", "at", "element")))
     # of two minor members, one pair
     once = ~F.col("minor") | (F.col("id") < F.col("m_id"))
     most = F.least(F.col("n") - F.col("at"), F.col("m_n") - F.col("m_at"))
     enough = (100 + p) * most >= p * (F.col("n") + F.col("m_n"))
     alike = 100 * F.least("n", "m_n") >= p * F.greatest("n", "m_n")
     meet = (F.col("element") == F.col("m_element")) & (F.col("component") != F.col("m_component")) & once & enough & alike
-    pairs = prefixes.join(minor, meet).select(F.greatest("id", "m_id").alias("a"), F.least("id", "m_id").alias("b")).distinct()
-    pairs = saved(pairs, "pairs")
-    discard(docs.sparkSession, elements, prefixes)
+    pairs = each.join(minor, meet).select(F.greatest("id", "m_id").alias("a"), F.least("id", "m_id").alias("b")).distinct()
+    pairs = saved(_near_enough(pairs, grouped, p), "pairs")
+    discard(docs.sparkSession, grouped, met, each)
     return pairs
 
 
@@ -347,10 +405,10 @@ def near_duplicates(docs: DataFrame, how: NearDuplicates | None = None) -> DataF
     tested = saved(candidates(members, how.percent), "pairs")
     links = saved(verified(tested, docs, how), "confirmed")
     first = components(links)
-    left = saved(open_members(members, first.select(F.col("id").alias("g_id"), "component")), "open")
     discard(docs.sparkSession, members)
-    if not left.isEmpty():
-        again = remaining(left, docs, how).join(tested, ["a", "b"], "left_anti")
+    every = classes.select("id").distinct().join(first, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+    again = saved(remaining(every, docs, how).join(tested, ["a", "b"], "left_anti"), "pairs")
+    if not again.isEmpty():
         first = components(links.unionByName(saved(verified(again, docs, how), "confirmed")))
     grouped = classes.join(first.withColumnRenamed("id", "g_id"), F.col("id") == F.col("g_id"), "left")
     grouped = saved(grouped.select("class", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component_id")), "groups")
