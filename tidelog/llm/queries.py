@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import chat, decontaminate, fingerprint, lengths, licenses, minhash, mix, quality, shards, substrings
+from tidelog.llm import chat, decontaminate, divergence, fingerprint, lengths, licenses, minhash, mix, quality, shards, substrings
 from tidelog.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -199,3 +199,34 @@ from docs left join joined using (doc_id)
 @_query
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op11_divergence"] = r"""
+with docs as (select row_number() over () as id, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+words as (select id, lang, source, unnest(w) as term from docs),
+terms as (select lang, term, count(*) as lang_n from words group by lang, term having count(distinct id) >= 30),
+counts as (select lang, source, term, count(*) as n from words group by lang, source, term),
+found as (select distinct lang, source from docs),
+cells as (select f.lang, f.source, t.term, coalesce(n, 0) as n, lang_n from found f join terms t using (lang)
+    left join counts c on c.lang = f.lang and c.source = f.source and c.term = t.term),
+shares as (select lang, source, term, n,
+    (1 + (1000000000::hugeint * (n + 5)) // (sum(n) over g + 5 * count(*) over g))::bigint as p,
+    (1 + (1000000000::hugeint * (lang_n + 5)) // (sum(lang_n) over g + 5 * count(*) over g))::bigint as q
+    from cells window g as (partition by lang, source)),
+apart as (select x.lang, x.source, y.source as item, sum(abs(x.p - y.p)) as value
+    from shares x join shares y on x.lang = y.lang and x.term = y.term and x.source <> y.source group by 1, 2, 3),
+both_parts as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value
+  from found a join found b on a.lang = b.lang and a.source <> b.source
+    left join apart s on s.lang = a.lang and s.source = a.source and s.item = b.source
+  union all select lang, source, 'term', term, p - q from shares where n > 0 and p > q),
+ranked as (select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank from both_parts)
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 50
+"""
