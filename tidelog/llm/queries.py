@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import chat, decontaminate, divergence, fingerprint, lengths, licenses, minhash, mix, quality, shards, substrings
+from tidelog.llm import chat, decontaminate, divergence, fingerprint, lengths, licenses, minhash, mix, quality, shards, substrings, whitening
 from tidelog.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -230,3 +230,8 @@ both_parts as (
 ranked as (select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank from both_parts)
 select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 50
 """
+
+
+@_query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
