@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import chat, decontaminate, divergence, fingerprint, lengths, licenses, minhash, mix, quality, shards, substrings, whitening
+from tidelog.llm import chat, decontaminate, divergence, extraction, fingerprint, lengths, licenses, minhash, mix, quality, shards, substrings, whitening
 from tidelog.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -235,3 +235,19 @@ select lang, source, part, item, value, rank from ranked where part = 'pair' or
 @_query
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op12_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract_text(table(spark, sf_dir, "pages"))
+
+
+# all pages of the tables mark their article
+ORACLE_SQL["op12_extraction"] = r"""
+with articles as (select page_id, url, regexp_extract(html, '(?s)<article>(.*)</article>', 1) as a from pages),
+raw as (select page_id, url, regexp_split_to_array(a, '<[^<>]*>') as parts from articles),
+decoded as (select page_id, url, list_transform(parts, lambda p: trim(regexp_replace(regexp_replace(
+    replace(p, '&quot;', '"'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) as parts from raw),
+texts as (select page_id, url, coalesce(list_aggregate(list_filter(parts, lambda p: p <> ''), 'string_agg', chr(10)), '') as text from decoded)
+select page_id, url, text, length(text)::bigint as n_chars from texts
+"""
