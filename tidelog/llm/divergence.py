@@ -25,7 +25,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -132,33 +131,32 @@ def _share(n: Column, total: Column, kept: Column, audit: Audit) -> Column:
     return F.call_function("div", above, below) + 1
 
 
-def _distances(group: pd.DataFrame) -> pd.DataFrame:
+def _distances(group: pa.Table) -> pa.Table:
     """Summed differences of every two sources of a tile, over the terms that occur in it."""
-    sources, zero = [], []
-    at: dict[str, int] = {}
-    for source, z in zip(group["source"], group["zero"]):
-        if source not in at:
-            at[source] = len(sources)
-            sources.append(source)
-            zero.append(z)
-    zero = np.array(zero, np.int64)
-    terms = group.dropna(subset=["term"])
-    codes, names = pd.factorize(terms["term"])
-    shares = np.repeat(zero[:, None], len(names), 1)
-    shares[terms["source"].map(at).to_numpy(np.int64), codes] = terms["p"].to_numpy(np.int64)
-    i, j = int(group["i"].iloc[0]), int(group["j"].iloc[0])
-    tile = np.zeros(len(sources), np.int64)
-    tile[group["source"].map(at).to_numpy(np.int64)] = group["tile"].to_numpy(np.int64)
-    a, b, value = [], [], []
+    names = group.column("source").combine_chunks().dictionary_encode()
+    sources, own = names.dictionary.to_pylist(), names.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    zero, tile = np.zeros((2, len(sources)), np.int64)
+    zero[own] = group.column("zero").to_numpy()
+    tile[own] = group.column("tile").to_numpy()
+    there = group.column("term").is_valid().to_numpy()
+    codes = group.column("term").combine_chunks().dictionary_encode()
+    n_terms = len(codes.dictionary)
+    shares = np.repeat(zero[:, None], n_terms, 1)
+    at = codes.indices.fill_null(0).to_numpy(zero_copy_only=False)[there]
+    shares[own[there], at] = group.column("p").fill_null(0).to_numpy()[there]
+    i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+    a, b, value = [], [], [np.empty(0, np.int64)]
     for k, source in enumerate(sources):
         # within one tile all pairs, between two only those across
         others = [m for m in range(len(sources)) if (m > k if i == j else (tile[k], tile[m]) == (i, j))]
         if others:
-            a += [source] * len(others)
-            b += [sources[m] for m in others]
-            # less what the term would add if neither had it, which is added for all terms later
-            value.append(np.abs(shares[others] - shares[k]).sum(1) - len(names) * np.abs(zero[others] - zero[k]))
-    return pd.DataFrame({"lang": group["lang"].iloc[0], "a": a, "b": b, "extra": np.concatenate(value) if value else np.empty(0, np.int64)})
+            # one order in all blocks
+            a += [min(source, sources[m]) for m in others]
+            b += [max(source, sources[m]) for m in others]
+            # less what a term would add if neither had it, which is added for all terms later
+            value.append(np.abs(shares[others] - shares[k]).sum(1) - n_terms * np.abs(zero[others] - zero[k]))
+    lang = [group.column("lang")[0].as_py()] * len(a)
+    return pa.table({"lang": pa.array(lang, pa.string()), "a": pa.array(a, pa.string()), "b": pa.array(b, pa.string()), "extra": np.concatenate(value)})
 
 
 def _pairs(vectors: DataFrame, groups: DataFrame, tiles: int) -> DataFrame:
@@ -178,7 +176,7 @@ def _pairs(vectors: DataFrame, groups: DataFrame, tiles: int) -> DataFrame:
     )
     both = rows.unionByName(every).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))))
     both = both.withColumns({"i": F.least("tile", "other"), "j": F.greatest("tile", "other")}).drop("other")
-    partial = both.groupBy("lang", "block", "i", "j").applyInPandas(_distances, "lang string, a string, b string, extra bigint")
+    partial = both.groupBy("lang", "block", "i", "j").applyInArrow(_distances, "lang string, a string, b string, extra bigint")
     sums = partial.groupBy("lang", "a", "b").agg(F.sum("extra").alias("extra"))
     sums = sums.unionByName(sums.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), "extra"))
     sums = sums.select(*(F.col(c).alias(f"s_{c}") for c in sums.columns))
