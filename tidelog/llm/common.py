@@ -14,18 +14,33 @@ from tidelog.shared import scratch_path
 
 # bytes of text that are hashed at once
 PART_BYTES = 1 << 19
+# bytes of rows that go to Python at once
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on batches that go to Python have at most ``BATCH_BYTES``, if the session allows more.
+
+    Spark's own bound of 64 MB is held several times over, on both sides and by every
+    task of an executor at once.
+    """
+    if spark.conf.get(_BATCH_SETTING, "64m") in ("64m", "67108864", "67108864b", "-1", "-1b"):
+        spark.conf.set(_BATCH_SETTING, BATCH_BYTES)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """The frame's rows, written once to the folder that all executors share."""
     spark = df.sparkSession
+    bounded_batches(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -105,17 +120,34 @@ _SPACES[[9, 10, 11, 12, 13, 32]] = True
 _BYTE_VALUES = [np.random.default_rng(seed).integers(0, 1 << 64, 256, dtype=np.uint64) for seed in (11, 12)]
 
 
+def _factors(places: np.ndarray, seed: int) -> np.ndarray:
+    """An odd factor for each place in a word, unlike any other's."""
+    return mixed((places.astype(np.uint64) + np.uint64(1 + (seed << 40))) * np.uint64(_ODD)) | np.uint64(1)
+
+
+# those of the first places are kept at hand
+_FIRST = [_factors(np.arange(1 << 12), seed) for seed in (0, 1)]
+
+
 def _hashed(part: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ends and hashes of the words in a part of text that cuts no word."""
+    """Ends and hashes of the words in a part of text that cuts no word.
+
+    A word's hash adds up its bytes' values, each times the factor of its place; no
+    power of one base stands behind the factors, so no pattern of letters cancels out.
+    """
     n = len(part)
     space = np.ones(n + 2, bool)
     space[1:-1] = _SPACES[part]
     edges = np.flatnonzero(space[1:] != space[:-1])
     starts, ends = edges[::2], edges[1::2]
-    up, down = _POWERS.upto(n)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[seed][part] * up, out=sums[1:])
-    return ends, mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    if not len(starts):
+        return ends, np.empty(0, np.uint64)
+    lengths = ends - starts
+    first = np.cumsum(lengths) - lengths
+    places = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
+    factors = _FIRST[seed][places] if lengths.max() <= len(_FIRST[seed]) else _factors(places, seed)
+    sums = np.add.reduceat(_BYTE_VALUES[seed][part[~space[1:-1]]] * factors, first)
+    return ends, mixed(sums + lengths.astype(np.uint64))
 
 
 def _hashes_of_one(text: bytes, seed: int) -> np.ndarray:

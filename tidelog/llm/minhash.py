@@ -15,6 +15,7 @@ come from union-find inside tasks, then from label contraction between them.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -36,6 +37,8 @@ CELL_BITS = 22
 CELL_BLOCK = 1 << 12
 # bits that bound from below in how many elements two sets differ
 PARITY_BITS = 2048
+# documents of an element that are divided by size
+MANY = 256
 
 
 @dataclass(frozen=True)
@@ -109,16 +112,32 @@ def signatures(elements: np.ndarray, owner: np.ndarray, n_owners: int, places: i
     return least
 
 
-def _chunks(sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
-    """Runs of sets of about ``CHUNK`` elements."""
-    start = size = 0
-    for i, s in enumerate(sets):
-        if size and size + len(s) > CHUNK:
-            yield start, i
-            start, size = i, 0
-        size += len(s)
-    if start < len(sets):
-        yield start, len(sets)
+def signatures_of(sets: list[np.ndarray], places: int) -> np.ndarray:
+    """Signatures of (non-empty) sets, about ``CHUNK`` elements at a time.
+
+    A long set is taken in pieces: its signature has the least that any of them offers.
+    """
+    least = np.full((len(sets), places), np.iinfo(np.uint64).max, np.uint64)
+    held: list[tuple[int, np.ndarray]] = []
+
+    def take() -> None:
+        owner = np.repeat(np.arange(len(held)), [len(x) for _, x in held])
+        found = signatures(np.concatenate([x for _, x in held]), owner, len(held), places)
+        np.minimum.at(least, [i for i, _ in held], found)
+        held.clear()
+
+    size = 0
+    for i, elements in enumerate(sets):
+        for start in range(0, len(elements), CHUNK):
+            piece = elements[start : start + CHUNK]
+            if held and size + len(piece) > CHUNK:
+                take()
+                size = 0
+            held.append((i, piece))
+            size += len(piece)
+    if held:
+        take()
+    return least
 
 
 SKETCH = "doc_id bigint, n_shingles bigint, class binary, bands array<bigint>"
@@ -135,18 +154,13 @@ def sketches(docs: DataFrame, how: NearDuplicates) -> DataFrame:
             sets = shingles(texts, how.shingle)
             bands: list = [None] * len(sets)
             full = [i for i, s in enumerate(sets) if len(s)]
-            for start, end in _chunks([sets[i] for i in full]):
-                part = full[start:end]
-                sizes = [len(sets[i]) for i in part]
-                owner = np.repeat(np.arange(len(part)), sizes)
-                found = signatures(np.concatenate([sets[i] for i in part]), owner, len(part), how.places)
-                keys = found.reshape(len(part), how.bands, how.rows)
-                with np.errstate(over="ignore"):
-                    hashed = np.broadcast_to(np.arange(1, how.bands + 1, dtype=np.uint64) * np.uint64(_GOLDEN), keys.shape[:2])
-                    for r in range(how.rows):
-                        hashed = mixed(hashed * np.uint64(31) + keys[:, :, r])
-                for i, row in zip(part, hashed.view(np.int64), strict=True):
-                    bands[i] = row
+            keys = signatures_of([sets[i] for i in full], how.places).reshape(len(full), how.bands, how.rows)
+            with np.errstate(over="ignore"):
+                hashed = np.broadcast_to(np.arange(1, how.bands + 1, dtype=np.uint64) * np.uint64(_GOLDEN), keys.shape[:2])
+                for r in range(how.rows):
+                    hashed = mixed(hashed * np.uint64(31) + keys[:, :, r])
+            for i, row in zip(full, hashed.view(np.int64), strict=True):
+                bands[i] = row
             classes = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -300,8 +314,10 @@ def levels(docs: DataFrame, how: NearDuplicates) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, how: NearDuplicates) -> DataFrame:
-    """``id, n, parity, first``: the first elements of each set, rarest first, of which alike sets share one.
+    """``id, n, parity, first, own``: the first elements of each set, rarest first.
 
+    Of two sets that are alike the smaller has one of its first ``own`` elements among
+    the larger one's ``first``: they share ``2 p / (100 + p)`` of the smaller at least.
     ``parity`` has a bit for each of ``PARITY_BITS`` cells, set if an odd number of
     elements fall there: sets differ in as many elements at least as in bits.
     """
@@ -311,25 +327,27 @@ def prefixes(docs: DataFrame, how: NearDuplicates) -> DataFrame:
         level = known.value
         for ids, texts in rows_of(batches, "id", "text"):
             sets = shingles(texts, how.shingle)
-            first, parity = [], []
+            first, own, parity = [], [], []
             for s in sets:
                 odd = np.bincount((s & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
                 parity.append(np.packbits(odd.astype(np.uint8)).tobytes())
                 order = np.lexsort((s, level[_cells(s)]))
                 keep = len(s) + how.percent * len(s) // -100 + 1 if len(s) else 0
                 first.append(s[order[:keep]].view(np.int64))
+                own.append(len(s) + 2 * how.percent * len(s) // -(100 + how.percent) + 1 if len(s) else 0)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(parity, pa.binary()),
                     pa.array(first, pa.list_(pa.int64())),
+                    pa.array(own, pa.int64()),
                 ],
-                names=["id", "n", "parity", "first"],
+                names=["id", "n", "parity", "first", "own"],
             )
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), text_bytes()).filter("id is not null")
-    return texts.mapInArrow(run, "id bigint, n bigint, parity binary, first array<bigint>")
+    return texts.mapInArrow(run, "id bigint, n bigint, parity binary, first array<bigint>, own bigint")
 
 
 def _near_enough(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -357,28 +375,44 @@ def remaining(groups: DataFrame, docs: DataFrame, how: NearDuplicates) -> DataFr
     """Pairs ``a, b`` (a > b) of ids in different groups that may be alike: all that are.
 
     ``groups`` has ``id, component`` of one document of each class.  An exact join by
-    prefix and position: with elements in one order, rarest first, two sets that are
-    alike enough share one of their first few elements, and where they first do,
-    enough elements must follow in both.  Rare elements are what a copy does not have
-    from its original, so copies of one text that differ too much do not meet.  Of an
-    element's documents those outside its largest group meet all others.
+    prefix and position: with elements in one order, rarest first, the smaller of two
+    sets that are alike enough has one of its few first elements among the larger one's
+    first, and where that is, enough elements must follow in both.  Rare elements are
+    what a copy does not have from its original: texts of one pattern that differ too
+    much have their own elements first, so that none of the pattern's brings them
+    together.  Of an element's documents those of its largest group meet only others;
+    elements of many documents are divided by the sets' sizes.
     """
     p = how.percent
     grouped = saved(prefixes(docs, how).join(groups, "id"), "prefixes")
-    each = grouped.select("id", "n", "component", F.posexplode("first").alias("at", "element"))
-    several = each.groupBy("element").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most")
-    met = saved(each.join(several.select("element"), "element", "left_semi"), "elements")
-    counts = met.groupBy("element", "component").agg(F.count("*").alias("many"))
-    largest = counts.groupBy("element").agg(F.max_by("component", F.struct("many", "component")).alias("largest"))
-    each = saved(met.join(largest, "element").withColumn("minor", F.col("component") != F.col("largest")), "elements")
-    minor = each.filter("minor").select(*(F.col(c).alias(f"m_{c}") for c in ("id", "n", "component", "at", "element")))
-    # of two minor members, one pair
-    once = ~F.col("minor") | (F.col("id") < F.col("m_id"))
+    each = grouped.select("id", "n", "component", F.posexplode("first").alias("at", "element"), "own").withColumn("short", F.col("at") < F.col("own")).drop("own")
+    several = each.groupBy("element").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), F.max("short").alias("any_short"), F.count("*").alias("many")
+    )
+    several = several.filter("least <> most and any_short").select("element", "many")
+    met = saved(each.join(several, "element"), "elements")
+    counts = met.groupBy("element", "component").agg(F.count("*").alias("own_many"))
+    largest = counts.groupBy("element").agg(F.max_by("component", F.struct("own_many", "component")).alias("largest"))
+    each = saved(met.join(largest, "element").withColumn("minor", F.col("component") != F.col("largest")).drop("largest"), "elements")
+    # steps of size: alike sets are in one, or in two that follow each other; a little wide, for rounding
+    wide = max(1e-3, 1.001 * math.log(100 / p))
+    step = F.when(F.col("many") > MANY, F.floor(F.log("n") / wide)).otherwise(-1).cast("int")
+    # 0: minor ones for all; 1: major ones for minor ones
+    both = F.when(F.col("minor"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    probes = each.select("id", "n", "component", "at", "element", step.alias("step"), F.explode(both).alias("kind"))
+    steps = F.when(F.col("many") > MANY, F.array(step, step + 1)).otherwise(F.array(step))
+    index = each.filter("short").select(
+        *(F.col(c).alias(f"m_{c}") for c in ("id", "n", "component", "at", "element")),
+        F.explode(steps).alias("m_step"),
+        F.when(F.col("minor"), 0).otherwise(1).alias("m_kind"),
+    )
+    key = (F.col("element") == F.col("m_element")) & (F.col("step") == F.col("m_step")) & (F.col("kind") == F.col("m_kind"))
+    smaller = (F.col("m_n") < F.col("n")) | ((F.col("m_n") == F.col("n")) & (F.col("m_id") < F.col("id")))
     most = F.least(F.col("n") - F.col("at"), F.col("m_n") - F.col("m_at"))
     enough = (100 + p) * most >= p * (F.col("n") + F.col("m_n"))
-    alike = 100 * F.least("n", "m_n") >= p * F.greatest("n", "m_n")
-    meet = (F.col("element") == F.col("m_element")) & (F.col("component") != F.col("m_component")) & once & enough & alike
-    pairs = each.join(minor, meet).select(F.greatest("id", "m_id").alias("a"), F.least("id", "m_id").alias("b")).distinct()
+    alike = 100 * F.col("m_n") >= p * F.col("n")
+    meet = key & (F.col("component") != F.col("m_component")) & smaller & enough & alike
+    pairs = probes.join(index, meet).select(F.greatest("id", "m_id").alias("a"), F.least("id", "m_id").alias("b")).distinct()
     pairs = saved(_near_enough(pairs, grouped, p), "pairs")
     discard(docs.sparkSession, grouped, met, each)
     return pairs
