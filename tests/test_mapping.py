@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +40,21 @@ def test_refusing_rule_leaves_everything(spark):
     assert row == {"x": None, "event_loginfo": "a:1"}
 
 
+def test_hooks_fill_a_rules_outputs(spark):
+    df = bag(spark, host="h", url="/p?word=x&y=1")
+
+    def outs(*names):
+        return run(df, MapRule(("host", "url"), names, url_split()))
+
+    assert outs("a", "b") == {"a": "h/p?word=x&y=1", "b": "h", "event_loginfo": ""}
+    assert outs("q=query", "p=path") == {"q": "x", "p": "/p", "event_loginfo": ""}
+    assert outs("a", "q=query", "p") == {"a": "h/p?word=x&y=1", "q": "x", "p": "/p", "event_loginfo": ""}
+    assert MapRule((), ("a", "q=query")).columns == ("a", "q")
+    for wrong in (("q=nothing",), tuple("abcdef")):
+        with pytest.raises(ValueError, match="has the parts url, hostname"):
+            outs(*wrong)
+
+
 def test_later_rule_overwrites_an_output(spark):
     row = run(bag(spark, a="1", b="2"), MapRule(("a",), ("x",)), MapRule(("b",), ("x",)))
     assert row["x"] == "2"
@@ -57,10 +73,10 @@ def test_event_table_shape(spark):
     schema = schema_from_text(EVENT_COLUMNS)
     app = example_application()
     events = app.events(app.parsed(messages(spark, [GOLDEN])))
-    assert events.columns == [*schema.fieldNames(), "shop_cost", "shop_note", "shop_door", "shop_server"]
+    assert events.columns == [*schema.fieldNames(), "shop_price", "shop_memo", "shop_gate", "shop_desk"]
     assert {f.dataType.simpleString() for f in schema} == {"string", "bigint", "map<string,string>", "map<string,bigint>"}
     row = events.first()
-    assert (row.trace, row.customer, row.coupon, row.seats) == ("0000000001", 42, "", {"front": 12, "rear": 34})
+    assert (row.sale, row.buyer, row.coupon, row.block) == ("0000000001", 42, "", {"left": 12, "right": 34})
 
 
 def test_wide_plans(spark):
@@ -79,7 +95,7 @@ def test_names_need_no_escaping(spark):
 
     row = run(df, MapRule((odd,), ("x",), refuse), MapRule((odd,), ("y",)))
     assert row == {"x": None, "y": "1", "event_loginfo": "b:2"}
-    assert _url(spark, url_split(query_param="a'.\\E"), host="h", url="/p?a'.\\E=7")["event_query"] == "7"
+    assert _url(spark, url_split(query_param="a'.\\E"), host="h", url="/p?a'.\\E=7")["query"] == "7"
 
 
 def test_conform_casts(spark):
@@ -95,37 +111,37 @@ def test_conform_casts(spark):
 def _url(spark, hook, **ins):
     df = spark.createDataFrame([tuple(ins.values())], ", ".join(f"{n} string" for n in ins))
     out = df.select(*(c.alias(n) for n, c in hook({n: F.col(n) for n in ins}, ()).items()))
-    maps = [n for n in out.columns if n.endswith("map")]
+    maps = [n for n in out.columns if n == "params"]
     return out.select(*(text.map_to_string(n).alias(n) if n in maps else n for n in out.columns)).first().asDict()
 
 
 def test_url_without_parameters(spark):
-    assert _url(spark, url_split(), host="h", url="/p")["event_urlparamsmap"] == ""
-    assert _url(spark, url_split(quirks=True), host="h", url="/p")["event_urlparamsmap"] == ":"
+    assert _url(spark, url_split(), host="h", url="/p")["params"] == ""
+    assert _url(spark, url_split(quirks=True), host="h", url="/p")["params"] == ":"
 
 
 def test_url_parameters(spark):
     row = _url(spark, url_split(), host="h", url="/p?word=a=b&x=1&word=c&y?z")
     assert row == {
-        "event_url": "h/p?word=a=b&x=1&word=c&y?z",
-        "event_url_hostname": "h",
-        "event_urlpath": "/p",
-        "event_urlparamsmap": "word:c,x:1,y:",
-        "event_query": "c",
+        "url": "h/p?word=a=b&x=1&word=c&y?z",
+        "hostname": "h",
+        "path": "/p",
+        "params": "word:c,x:1,y:",
+        "query": "c",
     }
-    assert _url(spark, url_split(), host="h", url="/p?password=1")["event_query"] == ""
-    assert _url(spark, url_split(), host="h", url="/p?word=1&word")["event_query"] == ""
+    assert _url(spark, url_split(), host="h", url="/p?password=1")["query"] == ""
+    assert _url(spark, url_split(), host="h", url="/p?word=1&word")["query"] == ""
 
 
 def test_referer(spark):
     row = _url(spark, referer_split(), refer="http://e.com/a/b?x=1#f")
-    assert (row["event_referer_hostname"], row["event_refererpath"]) == ("e.com", "/a/b")
+    assert (row["hostname"], row["path"]) == ("e.com", "/a/b")
     row = _url(spark, referer_split(quirks=True), refer="http://e.com/a/b?x=1")
-    assert (row["event_referer_hostname"], row["event_refererpath"]) == ("", "")
+    assert (row["hostname"], row["path"]) == ("", "")
 
 
 def test_visitor_id(spark):
-    df = spark.sql("""select '"\\'0123456789ABCDEF0123456789ABCDEF:FG=1\\'"' as x""")
+    df = spark.sql("""select '"\\'0123456789ABCDEF0123456789ABCDEF:v2\\'"' as x""")
     assert df.select(text.visitor_id_clean("x").alias("x")).first().x == "0123456789ABCDEF0123456789ABCDEF"
 
 

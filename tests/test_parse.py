@@ -17,12 +17,11 @@ from tidelog.plans.example import example_application
 INGEST = dt.datetime(2024, 8, 19, 20, 0)
 
 GOLDEN = (
-    "NOTICE: 08-19 19:00:02 submit * 101 [logid=0000000001 filename=/srv/a.php lineno=28 errno=0 "
-    "optime=1000000002.895 client_ip=10.1.2.3 local_ip=10.9.9.9 module=submit uniqid=0 lane=7 "
-    "uid=42 Door= Seats=front%3D%2712%27%20rear%3D%2734%27 Note=msg%3D%27success%27%20num%3D%273%27 Cost=all_ms%3D38%20kv_ms%3D2 "
-    "un=%B1%B1%BE%A9 email=a%40example.com visitorid=0123456789ABCDEF0123456789ABCDEF%3AFG%3D1 "
-    "url=%2Fsearch%3Fword%3Dspark%26pn%3D2 refer=http%3A%2F%2Fexample.com%2Fq%2F1.html%3Fa%3D1 "
-    "ua=Agent%2F1.0%20%28X%29 host=example.com cost=40 errmsg=]"
+    "NOTICE: 08-19 19:00:02 sale * 101 [sale=0000000001 kiosk=7 buyer=42 guest=%B1%B1%BE%A9 mail=a%40example.com "
+    "pass=0123456789ABCDEF0123456789ABCDEF%3Av2 addr=10.1.2.3 device=Agent%2F1.0%20%28X%29 site=example.com "
+    "page=%2Fsearch%3Fword%3Dspark%26pn%3D2 via=http%3A%2F%2Fexample.com%2Fq%2F1.html%3Fa%3D1 gate= "
+    "block=left%3D%2712%27%20right%3D%2734%27 Price=cents%3D38%20fee%3D2 price=40 memo=act%3D%27sold%27%20part%3D%273%27 "
+    "code=0 took=1000000002.895 desk=10.9.9.9 note=]"
 )
 
 
@@ -54,34 +53,34 @@ def test_golden_line(spark):
     app = example_application()
     row = app.run(messages(spark, [GOLDEN])).select(
         "*",
-        text.map_to_string("event_urlparamsmap").alias("params"),
-        text.map_to_string("event_refererparamsmap").alias("referer_params"),
-        text.map_to_string("seats").alias("seat_text"),
-        text.map_to_string("shop_cost").alias("cost"),
+        text.map_to_string("page_params").alias("params"),
+        text.map_to_string("via_params").alias("via_text"),
+        text.map_to_string("block").alias("block_text"),
+        text.map_to_string("shop_price").alias("price"),
         F.array_join(F.map_keys("event_loginfo"), " ").alias("left"),
     ).first()
     want = {
-        "event_month": 8,
-        "event_dayofmonth": 19,
-        "event_time": "19:00:02",
+        "sold_month": 8,
+        "sold_day": 19,
+        "sold_time": "19:00:02",
         "event_day": "20240819",
         "event_hour": "19",
         "event_minute": "00",
-        "buyer_name": "北京",
-        "visitor": "0123456789ABCDEF0123456789ABCDEF",
-        "event_url": "example.com/search?word=spark&pn=2",
-        "event_urlpath": "/search",
-        "event_query": "spark",
+        "guest": "北京",
+        "holder": "0123456789ABCDEF0123456789ABCDEF",
+        "page": "example.com/search?word=spark&pn=2",
+        "page_path": "/search",
+        "search": "spark",
         "params": "word:spark,pn:2",
-        "referer_params": "a:1",
-        "event_refererpath": "/q/1.html",
-        "agent": "Agent/1.0 (X)",
-        "seat_text": "front:12,rear:34",
-        "customer": 42,
-        "cost": "all_ms:38,kv_ms:2",
-        "shop_note": "msg='success' num='3'",
-        "duration": 1000000002,
-        "left": "filename lineno module uniqid lane email cost errmsg",
+        "via_text": "a:1",
+        "via_path": "/q/1.html",
+        "device": "Agent/1.0 (X)",
+        "block_text": "left:12,right:34",
+        "buyer": 42,
+        "price": "cents:38,fee:2",
+        "shop_memo": "act='sold' part='3'",
+        "took": 1000000002,
+        "left": "kiosk mail price note",
     }
     assert {k: row[k] for k in want} == want
 
@@ -95,7 +94,7 @@ EDGES = [
     "NOTICE: 08-19 19:00:02 x [k=1 j=3 k=2 k]",
     "NOTICE: 08-19 19:00:02 x [time=20:00:00 a=1]",
     "NOTICE: 08-19 19:00:02 x [v=%zz w=%4 x=%]",
-    "NOTICE: 08-19 19:00:02 x [v=a+b Cost=1 cost=2]",
+    "NOTICE: 08-19 19:00:02 x [v=a+b Price=1 price=2]",
     "NOTICE: 08-19 19:00:02 x []",
     "NOTICE: 08-19 19:00:02 x [a] tail] more",
     "NOTICE: 08-19 19:00:02 x [a=1] y [b=2] z [c",

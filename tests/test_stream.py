@@ -18,7 +18,7 @@ from tidelog.streaming.etl import StreamEtl
 APP = Application(
     "small",
     schema_from_text("event_logid s\nevent_time s\nevent_loginfo ms"),
-    (MapRule(("logid",), ("event_logid",)), MapRule(("date", "time"), ("event_time",), "date_time")),
+    (MapRule(("logid",), ("event_logid",)), MapRule(("date", "time"), ("event_time=time",), "date_time")),
     n_pipelets=2,
 )
 SCHEMA = "pipelet bigint, msg_id bigint, body string, ingest_ts timestamp_ntz"

@@ -31,6 +31,24 @@ class HookResult:
 Hook = Callable[[Ins, Sequence[str]], "dict[str, Column] | HookResult"]
 
 
+def filled(parts: dict[str, Column], outs: Sequence[str]) -> dict[str, Column]:
+    """A hook's parts as a rule's outputs.
+
+    ``column`` takes the part at its place, ``column=part`` the one it names; without
+    outputs all parts keep their own names.
+    """
+    if not outs:
+        return parts
+    places = list(parts)
+    found = {}
+    for i, out in enumerate(outs):
+        column, named, part = out.partition("=")
+        if not named and i >= len(places) or named and part not in parts:
+            raise ValueError(f"{out}: the hook has the parts {', '.join(places)}")
+        found[column] = parts[part if named else places[i]]
+    return found
+
+
 def _of_last(function: Callable[[Column], Column]) -> Hook:
     """Fill every output from the last input."""
 
@@ -55,13 +73,14 @@ def date_time(ts: Column, zone: str = "UTC", date: str = "date", time: str = "ti
     """
 
     def hook(ins: Ins, outs: Sequence[str]) -> dict[str, Column]:
-        return {
-            "event_year": F.year(ts).cast("string"),
-            "event_month": F.split_part(ins[date], F.lit("-"), F.lit(1)),
-            "event_time": ins[time],
-            "event_timestamp": clock.epoch_seconds(ts, zone).cast("string"),
-            "event_dayofmonth": F.split_part(ins[date], F.lit("-"), F.lit(2)),
+        parts = {
+            "year": F.year(ts).cast("string"),
+            "month": F.split_part(ins[date], F.lit("-"), F.lit(1)),
+            "time": ins[time],
+            "timestamp": clock.epoch_seconds(ts, zone).cast("string"),
+            "day": F.split_part(ins[date], F.lit("-"), F.lit(2)),
         }
+        return filled(parts, outs)
 
     return hook
 
@@ -72,9 +91,9 @@ def ip_place(lookup: Column) -> dict[str, Column]:
     pattern = "(?d)^(.*省)(.*市).*$"
     place = F.split_part(lookup, F.lit(","), F.lit(1))
     return {
-        "event_net_provider": F.split_part(lookup, F.lit(","), F.lit(2)),
-        "event_city": F.regexp_extract(place, pattern, 2),
-        "event_province": F.regexp_extract(place, pattern, 1),
+        "provider": F.split_part(lookup, F.lit(","), F.lit(2)),
+        "city": F.regexp_extract(place, pattern, 2),
+        "province": F.regexp_extract(place, pattern, 1),
     }
 
 
@@ -82,7 +101,7 @@ def ip_geo(lookup: Column) -> Hook:
     """IP, provider, city and province; ``lookup`` comes from a range join."""
 
     def hook(ins: Ins, outs: Sequence[str]) -> dict[str, Column]:
-        return {"event_ip": list(ins.values())[-1], **ip_place(F.coalesce(lookup, F.lit("")))}
+        return filled({"ip": list(ins.values())[-1], **ip_place(F.coalesce(lookup, F.lit("")))}, outs)
 
     return hook
 
@@ -105,13 +124,14 @@ def url_split(quirks: bool = False, query_param: str = "word", host: str = "host
         h, u = (f"coalesce({text.sql_of(ins[n])}, '')" for n in (host, url))
         params = f"split_part({u}, '?', 2)"
         found = text.from_carrier_sql(f"regexp_extract({text.to_carrier_sql(params)}, {phrase}, 1)")
-        return {
-            "event_url": F.expr(f"concat({h}, {u})"),
-            "event_url_hostname": F.expr(h),
-            "event_urlpath": F.expr(f"substring_index({u}, '?', 1)"),
-            "event_urlparamsmap": _params(u, quirks),
-            "event_query": F.expr(f"case when contains({params}, {text.quoted(query_param)}) then {found} else '' end"),
+        parts = {
+            "url": F.expr(f"concat({h}, {u})"),
+            "hostname": F.expr(h),
+            "path": F.expr(f"substring_index({u}, '?', 1)"),
+            "params": _params(u, quirks),
+            "query": F.expr(f"case when contains({params}, {text.quoted(query_param)}) then {found} else '' end"),
         }
+        return filled(parts, outs)
 
     return hook
 
@@ -125,12 +145,8 @@ def referer_split(quirks: bool = False, referer: str = "refer") -> Hook:
         def part(name: str) -> Column:
             return F.lit("") if quirks else F.expr(f"coalesce(try_parse_url({r}, '{name}'), '')")
 
-        return {
-            "event_referer": F.expr(r),
-            "event_refererpath": part("PATH"),
-            "event_refererparamsmap": _params(r, quirks),
-            "event_referer_hostname": part("HOST"),
-        }
+        parts = {"referer": F.expr(r), "path": part("PATH"), "params": _params(r, quirks), "hostname": part("HOST")}
+        return filled(parts, outs)
 
     return hook
 

@@ -18,12 +18,19 @@ MAP = T.MapType(T.StringType(), T.StringType())
 
 @dataclass(frozen=True)
 class MapRule:
-    """Fill ``outs`` from the fields ``ins`` with a hook, by name or directly."""
+    """Fill ``outs`` from the fields ``ins`` with a hook, by name or directly.
+
+    An output is a column, or ``column=part`` for one of the hook's named parts.
+    """
 
     ins: tuple[str, ...]
     outs: tuple[str, ...]
     hook: str | Hook = "copy"
 
+    @property
+    def columns(self) -> tuple[str, ...]:
+        return tuple(out.partition("=")[0] for out in self.outs)
+
 
 def apply_rules(
     df: DataFrame,

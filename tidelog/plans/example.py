@@ -12,55 +12,55 @@ from tidelog.plans.application import Application
 # columns of the event table, in order.  s: string, l: bigint, ms: map of strings,
 # ml: map of bigints.
 EVENT_COLUMNS = """
-trace s
-event_year l
-event_month l
-event_dayofmonth l
-event_time s
-event_timestamp l
-event_ip s
-event_net_provider s
-event_city s
-event_province s
-visitor s
-customer l
-buyer_name s
-event_url s
-event_url_hostname s
-event_urlpath s
-event_urlparamsmap ms
-event_query s
-event_referer s
-event_refererpath s
-event_refererparamsmap ms
-event_referer_hostname s
-agent s
-status l
-duration l
-seats ml
+sale s
+sold_year l
+sold_month l
+sold_day l
+sold_time s
+sold_at l
+holder s
+buyer l
+guest s
+address s
+network s
+city s
+province s
+page s
+site s
+page_path s
+page_params ms
+search s
+via s
+via_path s
+via_params ms
+via_site s
+device s
+code l
+took l
+block ml
 coupon s
 event_loginfo ms
 """
 
-# field -> column, in rule order.  The hook is copy where none is named.  The first
-# rule takes logid, so the fifth finds uid alone; shop_* columns are not declared.
+# field -> column, in rule order.  The hook is copy where none is named.  The second
+# rule takes sale, so the seventh finds buyer alone; shop_* columns are not declared.
 COMMON_FIELDS = """
-logid -> trace
-date time -> event_year event_month event_time event_timestamp event_dayofmonth : date_time
-client_ip -> event_ip event_net_provider event_city event_province : ip_geo
-visitorid -> visitor : clean_visitor_id
-logid uid -> customer
-un -> buyer_name : copy_decode_utf8
-host url -> event_url event_url_hostname event_urlpath event_urlparamsmap event_query : url_split
-refer -> event_referer event_refererpath event_refererparamsmap event_referer_hostname : referer_split
-ua -> agent : copy_decode
-errno -> status
-optime -> duration
-Seats -> seats : copy_kv_map
-Cost -> shop_cost : copy_kv_map
-Note -> shop_note
-Door -> shop_door
-local_ip -> shop_server
+date time -> sold_year sold_month sold_time sold_at sold_day : date_time
+sale -> sale
+site page -> page site page_path page_params search : url_split
+via -> via via_path via_params via_site : referer_split
+device -> device : copy_decode
+guest -> guest : copy_decode_utf8
+sale buyer -> buyer
+pass -> holder : clean_visitor_id
+addr -> address network city province : ip_geo
+block -> block : copy_kv_map
+Price -> shop_price : copy_kv_map
+memo -> shop_memo
+gate -> shop_gate
+desk -> shop_desk
+code -> code
+took -> took
 """
 
 _TYPES = {
@@ -98,8 +98,8 @@ def example_application(
         rules=(*rules_from_text(COMMON_FIELDS), *more_rules),
         hooks={
             "ip_geo": ip_geo(looked_up),
-            "url_split": url_split(quirks),
-            "referer_split": referer_split(quirks),
+            "url_split": url_split(quirks, host="site", url="page"),
+            "referer_split": referer_split(quirks, referer="via"),
         },
         lookup=lookup,
         **settings,

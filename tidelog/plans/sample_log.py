@@ -32,47 +32,43 @@ def line() -> Column:
     day = F.when(e % 101 == 0, "02-30").otherwise(F.substring(F.col("ts").cast("string"), 6, 5))
     context = F.when(e % 13 == 0, " [ctx] [").otherwise(" [")
     name = F.get(F.array(*(F.lit(n) for n in GBK_NAMES)), (e % 3).cast("int"))
-    url = F.when(e % 3 == 0, _text("%2F", kind)).otherwise(
+    page = F.when(e % 3 == 0, _text("%2F", kind)).otherwise(
         _text("%2F", kind, "%3Fword%3Dterm+", u, "%26pn%3D", e % 10)
     )
-    referer = F.when(e % 4 == 0, "").otherwise(_text("http%3A%2F%2Fexample.com%2Fq%2F", e, ".html%3Fa%3D", u))
+    via = F.when(e % 4 == 0, "").otherwise(_text("http%3A%2F%2Fexample.com%2Fq%2F", e, ".html%3Fa%3D", u))
     fields = [
-        ("logid", F.lpad(e.cast("string"), 10, "0")),
-        ("filename", F.lit("/srv/a.php")),
-        ("lineno", F.lit("28")),
+        ("sale", F.lpad(e.cast("string"), 10, "0")),
+        ("kiosk", F.lit("7")),
         ("dup", F.when(e % 11 == 0, "first").otherwise("once")),
-        ("errno", (e % 5).cast("string")),
-        ("optime", _text(e + 1000000000, ".895")),
-        ("client_ip", client_ip()),
-        ("local_ip", F.lit("10.9.9.9")),
-        ("module", F.lit("submit")),
-        ("uniqid", F.lit("0")),
-        ("lane", F.lit("7")),
-        ("uid", u.cast("string")),
-        ("Door", F.when(e % 2 == 0, kind).otherwise("")),
-        ("Seats", _text("front%3D%27", e % 100, "%27%20rear%3D%27", u, "%27")),
-        ("Note", _text("msg%3D%27", kind, "%27%20num%3D%273%27")),
-        ("Cost", _text("all_ms%3D", e % 50, "%20kv_ms%3D2")),
-        ("un", name),
-        ("email", _text("u", u, "%40example.com")),
-        ("visitorid", _text("%22", F.md5(e.cast("string")), "%3AFG%3D1%22")),
-        ("url", url),
-        ("refer", referer),
-        ("ua", _text("Agent%252F1.0%20%28", kind, "%29")),
-        ("host", F.lit("example.com")),
-        ("cost", F.lit("40")),
+        ("buyer", u.cast("string")),
+        ("guest", name),
+        ("mail", _text("u", u, "%40example.com")),
+        ("pass", _text("%22", F.md5(e.cast("string")), "%3Av2%22")),
+        ("addr", client_ip()),
+        ("device", _text("Agent%252F1.0%20%28", kind, "%29")),
+        ("site", F.lit("example.com")),
+        ("page", page),
+        ("via", via),
+        ("gate", F.when(e % 2 == 0, kind).otherwise("")),
+        ("block", _text("left%3D%27", e % 100, "%27%20right%3D%27", u, "%27")),
+        ("Price", _text("cents%3D", e % 50, "%20fee%3D2")),
+        ("price", F.lit("40")),
+        ("memo", _text("act%3D%27", kind, "%27%20part%3D%273%27")),
+        ("code", (e % 5).cast("string")),
+        ("took", _text(e + 1000000000, ".895")),
+        ("desk", F.lit("10.9.9.9")),
         ("value", F.col("value").cast("string")),
         ("props", F.url_encode("props")),
         ("eq", F.lit("1=2")),
         ("pct", F.lit("%zz%4")),
     ]
     body = [_text(n, "=", c) for n, c in fields]
-    again = F.when(e % 11 == 0, " dup=last flag errmsg=").otherwise(" flag errmsg=")
+    again = F.when(e % 11 == 0, " dup=last flag note=").otherwise(" flag note=")
     return F.concat(
         level,
         day,
         F.substring(F.col("ts").cast("string"), 11, 9),
-        _text(" submit * ", e),
+        _text(" sale * ", e),
         context,
         F.concat_ws(" ", *body),
         again,

@@ -88,9 +88,9 @@ def place_text():
 
 
 PLACE_SQL = """
-  case when n_nationkey % 5 = 0 then '' else 'R' || n_regionkey || '省' end as event_province,
-  case when n_nationkey % 5 = 0 then '' else 'N' || n_nationkey || '市' end as event_city,
-  'ISP' || n_regionkey as event_net_provider
+  case when n_nationkey % 5 = 0 then '' else 'R' || n_regionkey || '省' end as province,
+  case when n_nationkey % 5 = 0 then '' else 'N' || n_nationkey || '市' end as city,
+  'ISP' || n_regionkey as provider
 """
 
 

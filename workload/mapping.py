@@ -38,32 +38,30 @@ def _map(spark, sf_dir, rules):
     lines = parsed(spark, sf_dir).withColumn("reason", reason())
     keep = ("msg_id", "reason")
     mapped = apply_rules(lines, rules, {"date_time": date_time(F.col("event_ts"))}, keep, decode=decoded)
-    outs = [n for rule in rules for n in rule.outs]
+    outs = [n for rule in rules for n in rule.columns]
     return conform(mapped, T.StructType([T.StructField(n, T.StringType()) for n in outs]), keep)
 
 
 @query(
     "map_rules",
     SRC
-    + f"""select msg_id, {REASON}, {unless_no_header("lpad(cast(msg_id as varchar), 10, '0')")} as event_logid,
-      {_TIME} as event_time, {_FULL_URL} as event_url, {_AGENT} as event_useragent from src""",
+    + f"""select msg_id, {REASON}, {unless_no_header("lpad(cast(msg_id as varchar), 10, '0')")} as sale,
+      {_TIME} as at_time, {_FULL_URL} as page, {_AGENT} as device from src""",
 )
 def map_rules(spark, sf_dir):
     rules = [
-        MapRule(("logid",), ("event_logid",)),
-        MapRule(("date", "time"), ("event_time",), "date_time"),
-        MapRule(("host", "url"), ("event_url",), "url_split"),
-        MapRule(("ua",), ("event_useragent",), "copy_decode"),
+        MapRule(("sale",), ("sale",)),
+        MapRule(("date", "time"), ("at_time=time",), "date_time"),
+        MapRule(("site", "page"), ("page",), url_split(host="site", url="page")),
+        MapRule(("device",), ("device",), "copy_decode"),
     ]
-    return _map(spark, sf_dir, rules).select(
-        "msg_id", "reason", "event_logid", "event_time", "event_url", "event_useragent"
-    )
+    return _map(spark, sf_dir, rules).select("msg_id", "reason", "sale", "at_time", "page", "device")
 
 
 @query(
     "rule_consume",
     SRC
-    + f"""select msg_id, {REASON}, {unless_no_header("cast(user_id as varchar)")} as first_uid, '' as second_uid,
+    + f"""select msg_id, {REASON}, {unless_no_header("cast(user_id as varchar)")} as first_buyer, '' as second_buyer,
       {unless_no_header("case when msg_id % 5 = 0 then '0' else '' end")} as no_error,
       {unless_no_header("case when msg_id % 5 = 0 then '' else cast(msg_id % 5 as varchar) end")} as error
     from src""",
@@ -72,13 +70,13 @@ def rule_consume(spark, sf_dir):
     """A later rule finds nothing where an earlier one applied."""
 
     def when_zero(ins, outs):
-        return HookResult({outs[0]: ins["errno"]}, ins["errno"] == "0")
+        return HookResult({outs[0]: ins["code"]}, ins["code"] == "0")
 
     rules = [
-        MapRule(("uid",), ("first_uid",)),
-        MapRule(("uid",), ("second_uid",)),
-        MapRule(("errno",), ("no_error",), when_zero),
-        MapRule(("errno",), ("error",)),
+        MapRule(("buyer",), ("first_buyer",)),
+        MapRule(("buyer",), ("second_buyer",)),
+        MapRule(("code",), ("no_error",), when_zero),
+        MapRule(("code",), ("error",)),
     ]
     return _map(spark, sf_dir, rules).drop("event_loginfo")
 
@@ -86,29 +84,32 @@ def rule_consume(spark, sf_dir):
 @query(
     "rule_multi_out",
     SRC
-    + f"""select msg_id, {REASON}, {if_good("strftime(ts, '%Y')")} as event_year, {_MONTH} as event_month,
-      {_DAY} as event_dayofmonth, {unless_no_header("'example.com'")} as event_url_hostname,
-      {unless_no_header("'/' || event_type")} as event_urlpath, {_PARAMS} as event_urlparamsmap, {_QUERY} as event_query
+    + f"""select msg_id, {REASON}, {if_good("strftime(ts, '%Y')")} as year, {_MONTH} as month,
+      {_DAY} as day_of_month, {unless_no_header("'example.com'")} as site,
+      {unless_no_header("'/' || event_type")} as path, {_PARAMS} as params, {_QUERY} as search, {_FULL_URL} as whole
     from src""",
 )
 def rule_multi_out(spark, sf_dir):
+    """Rules with names of their own: parts by place, or by name."""
     rules = [
-        MapRule(("date", "time"), ("event_year", "event_month", "event_dayofmonth"), "date_time"),
+        MapRule(("date", "time"), ("year", "month", "day_of_month=day"), "date_time"),
         MapRule(
-            ("host", "url"), ("event_url_hostname", "event_urlpath", "event_urlparamsmap", "event_query"), url_split()
+            ("site", "page"),
+            ("whole", "site", "path", "params", "search"),
+            url_split(host="site", url="page"),
         ),
     ]
-    return _map(spark, sf_dir, rules).select("msg_id", "reason", *(n for rule in rules for n in rule.outs))
+    return _map(spark, sf_dir, rules).select("msg_id", "reason", *(n for rule in rules for n in rule.columns))
 
 
-_LEFT = unless_no_header("""'filename:/srv/a.php,lineno:28,dup:' || case when msg_id % 11 = 0 then 'last' else 'once' end
-  || ',module:submit,uniqid:0,lane:7,email:u' || user_id || '@example.com,cost:40,value:'
-  || cast(value as varchar) || ',props:' || props || ',eq:1,pct:%zz%4,flag:,errmsg:'""")
+_LEFT = unless_no_header("""'kiosk:7,dup:' || case when msg_id % 11 = 0 then 'last' else 'once' end
+  || ',mail:u' || user_id || '@example.com,price:40,value:'
+  || cast(value as varchar) || ',props:' || props || ',eq:1,pct:%zz%4,flag:,note:'""")
 
 
 @query("leftover_map", SRC + f"select msg_id, {REASON}, {_LEFT} as event_loginfo from src")
 def leftover_map(spark, sf_dir):
-    """Unclaimed fields in the order of the line; ``cost`` is not ``Cost``."""
+    """Unclaimed fields in the order of the line; ``price`` is not ``Price``."""
     mapped = events(spark, sf_dir)
     return mapped.select("msg_id", reason(), text.map_to_string(F.col("event_loginfo")).alias("event_loginfo"))
 
@@ -119,46 +120,46 @@ def _with_referer(sql: str) -> str:
 
 # the columns of the example application that a sample line fills, as text
 _FILLED = {
-    "trace": unless_no_header("lpad(cast(msg_id as varchar), 10, '0')"),
-    "event_year": if_good("strftime(ts, '%Y')"),
-    "event_month": _MONTH,
-    "event_dayofmonth": _DAY,
-    "event_time": _TIME,
-    "event_timestamp": if_good("cast(cast(floor(epoch(ts)) as bigint) as varchar)"),
-    "event_ip": unless_no_header("'10.' || (user_id % 25) || '.' || (msg_id % 256) || '.' || (user_id % 250)"),
-    "visitor": unless_no_header("md5(cast(msg_id as varchar))"),
-    "customer": unless_no_header("cast(user_id as varchar)"),
-    "buyer_name": unless_no_header("case msg_id % 3 when 0 then '北京' when 1 then '上海' else '广州' end"),
-    "event_url": _FULL_URL,
-    "event_url_hostname": unless_no_header("'example.com'"),
-    "event_urlpath": unless_no_header("'/' || event_type"),
-    "event_urlparamsmap": _PARAMS,
-    "event_query": _QUERY,
-    "event_referer": _with_referer("'http://example.com/q/' || msg_id || '.html?a=' || user_id"),
-    "event_refererpath": _with_referer("'/q/' || msg_id || '.html'"),
-    "event_refererparamsmap": _with_referer("'a:' || user_id"),
-    "event_referer_hostname": _with_referer("'example.com'"),
-    "agent": _AGENT,
-    "status": unless_no_header("cast(msg_id % 5 as varchar)"),
-    "duration": unless_no_header("(msg_id + 1000000000) || '.895'"),
-    "seats": unless_no_header("'front:' || (msg_id % 100) || ',rear:' || user_id"),
+    "sale": unless_no_header("lpad(cast(msg_id as varchar), 10, '0')"),
+    "sold_year": if_good("strftime(ts, '%Y')"),
+    "sold_month": _MONTH,
+    "sold_day": _DAY,
+    "sold_time": _TIME,
+    "sold_at": if_good("cast(cast(floor(epoch(ts)) as bigint) as varchar)"),
+    "address": unless_no_header("'10.' || (user_id % 25) || '.' || (msg_id % 256) || '.' || (user_id % 250)"),
+    "holder": unless_no_header("md5(cast(msg_id as varchar))"),
+    "buyer": unless_no_header("cast(user_id as varchar)"),
+    "guest": unless_no_header("case msg_id % 3 when 0 then '北京' when 1 then '上海' else '广州' end"),
+    "page": _FULL_URL,
+    "site": unless_no_header("'example.com'"),
+    "page_path": unless_no_header("'/' || event_type"),
+    "page_params": _PARAMS,
+    "search": _QUERY,
+    "via": _with_referer("'http://example.com/q/' || msg_id || '.html?a=' || user_id"),
+    "via_path": _with_referer("'/q/' || msg_id || '.html'"),
+    "via_params": _with_referer("'a:' || user_id"),
+    "via_site": _with_referer("'example.com'"),
+    "device": _AGENT,
+    "code": unless_no_header("cast(msg_id % 5 as varchar)"),
+    "took": unless_no_header("(msg_id + 1000000000) || '.895'"),
+    "block": unless_no_header("'left:' || (msg_id % 100) || ',right:' || user_id"),
     "event_loginfo": _LEFT,
-    "shop_cost": unless_no_header("'all_ms:' || (msg_id % 50) || ',kv_ms:2'"),
-    "shop_note": unless_no_header("'msg=' || chr(39) || event_type || chr(39) || ' num=' || chr(39) || '3' || chr(39)"),
-    "shop_door": unless_no_header("case when msg_id % 2 = 0 then event_type else '' end"),
-    "shop_server": unless_no_header("'10.9.9.9'"),
+    "shop_price": unless_no_header("'cents:' || (msg_id % 50) || ',fee:2'"),
+    "shop_memo": unless_no_header("'act=' || chr(39) || event_type || chr(39) || ' part=' || chr(39) || '3' || chr(39)"),
+    "shop_gate": unless_no_header("case when msg_id % 2 = 0 then event_type else '' end"),
+    "shop_desk": unless_no_header("'10.9.9.9'"),
 }
 # the same where the table's types differ from text
 _TYPED = _FILLED | {
-    "event_month": "cast(month(ts) as varchar)",
-    "event_dayofmonth": "cast(day(ts) as varchar)",
-    "duration": unless_no_header("cast(msg_id + 1000000000 as varchar)"),
+    "sold_month": "cast(month(ts) as varchar)",
+    "sold_day": "cast(day(ts) as varchar)",
+    "took": unless_no_header("cast(msg_id + 1000000000 as varchar)"),
 }
 
 
 def event_names() -> list[str]:
     """Declared columns, then undeclared outputs in rule order."""
-    outs = [n for rule in rules_from_text(COMMON_FIELDS) for n in rule.outs]
+    outs = [n for rule in rules_from_text(COMMON_FIELDS) for n in rule.columns]
     return list(dict.fromkeys([*schema_from_text(EVENT_COLUMNS).fieldNames(), *outs]))
 
 
@@ -188,25 +189,25 @@ def event_schema(spark, sf_dir):
 @query(
     "schema_cast",
     SRC
-    + f"""select msg_id, {REASON}, cast({if_good("year(ts)", "-1")} as bigint) as event_year,
-      cast({unless_no_header("case when bad_time then 2 else month(ts) end", "-1")} as bigint) as event_month,
-      cast({if_good("floor(epoch(ts))", "-1")} as bigint) as event_timestamp,
-      cast({unless_no_header("msg_id % 5", "-1")} as bigint) as status,
-      cast({unless_no_header("msg_id + 1000000000", "-1")} as bigint) as duration,
-      cast({unless_no_header("user_id", "-1")} as bigint) as customer,
-      cast({unless_no_header("msg_id % 100", "-1")} as bigint) as front, cast(28 as bigint) as n_declared
+    + f"""select msg_id, {REASON}, cast({if_good("year(ts)", "-1")} as bigint) as sold_year,
+      cast({unless_no_header("case when bad_time then 2 else month(ts) end", "-1")} as bigint) as sold_month,
+      cast({if_good("floor(epoch(ts))", "-1")} as bigint) as sold_at,
+      cast({unless_no_header("msg_id % 5", "-1")} as bigint) as code,
+      cast({unless_no_header("msg_id + 1000000000", "-1")} as bigint) as took,
+      cast({unless_no_header("user_id", "-1")} as bigint) as buyer,
+      cast({unless_no_header("msg_id % 100", "-1")} as bigint) as left_block, cast(28 as bigint) as n_declared
     from src""",
 )
 def schema_cast(spark, sf_dir):
-    """Text to the table's types; ``front`` through a map of bigints."""
+    """Text to the table's types; ``left_block`` through a map of bigints."""
     typed = events(spark, sf_dir)
     n_declared = len(schema_from_text(EVENT_COLUMNS))
-    numbers = ("event_year", "event_month", "event_timestamp", "status", "duration", "customer")
+    numbers = ("sold_year", "sold_month", "sold_at", "code", "took", "buyer")
     return typed.select(
         "msg_id",
         reason(),
         *(F.coalesce(n, F.lit(-1)).cast("bigint").alias(n) for n in numbers),
-        F.coalesce(F.col("seats")["front"], F.lit(-1)).cast("bigint").alias("front"),
+        F.coalesce(F.col("block")["left"], F.lit(-1)).cast("bigint").alias("left_block"),
         F.lit(n_declared).cast("bigint").alias("n_declared"),
     )
 
@@ -222,11 +223,11 @@ def user_hook(spark, sf_dir):
     """Opaque code as a vectorised function; it refuses lines without an error."""
 
     @F.pandas_udf("kind string, size string, ok boolean")
-    def describe(note: pd.Series, errno: pd.Series) -> pd.DataFrame:
-        kind = note.fillna("").str.extract(r"msg='([^']*)'")[0]
-        return pd.DataFrame({"kind": kind, "size": kind.fillna("").str.len().astype(str), "ok": errno.notna() & (errno != "0")})
+    def describe(memo: pd.Series, code: pd.Series) -> pd.DataFrame:
+        kind = memo.fillna("").str.extract(r"act='([^']*)'")[0]
+        return pd.DataFrame({"kind": kind, "size": kind.fillna("").str.len().astype(str), "ok": code.notna() & (code != "0")})
 
-    rules = [MapRule(("Note", "errno"), ("kind", "size"), from_udf(describe, ok="ok"))]
+    rules = [MapRule(("memo", "code"), ("kind", "size"), from_udf(describe, ok="ok"))]
     return _map(spark, sf_dir, rules).select("msg_id", "reason", "kind", "size")
 
 
@@ -256,8 +257,7 @@ def user_cut(spark, sf_dir):
       select event_id as msg_id,
         10 * 16777216 + (user_id % 25) * 65536 + (event_id % 256) * 256 + (user_id % 250) as ip
       from events)
-    select msg_id, coalesce(event_province, '') as event_province, coalesce(event_city, '') as event_city,
-      coalesce(event_net_provider, '') as event_net_provider
+    select msg_id, coalesce(province, '') as province, coalesce(city, '') as city, coalesce(provider, '') as provider
     from ips left join ranges on ip between lo and hi""",
 )
 def ip_range_lookup(spark, sf_dir):
@@ -269,13 +269,14 @@ def ip_range_lookup(spark, sf_dir):
 
 
 def _placed(column: str) -> str:
-    return unless_no_header(f"case when msg_id % 256 < 200 then {column} else '' end") + f" as {column}"
+    name = {"provider": "network"}.get(column, column)
+    return unless_no_header(f"case when msg_id % 256 < 200 then {column} else '' end") + f" as {name}"
 
 
 @query(
     "map_rules_with_lookup",
     SRC
-    + f"""select msg_id, {REASON}, {", ".join(map(_placed, ("event_province", "event_city", "event_net_provider")))},
+    + f"""select msg_id, {REASON}, {", ".join(map(_placed, ("province", "city", "provider")))},
       {if_good("bucket10")} as bucket
     from (select src.*, {PLACE_SQL} from src join nation on n_nationkey = user_id % 25)""",
 )
@@ -283,10 +284,10 @@ def map_rules_with_lookup(spark, sf_dir):
     """The whole application, from line to event, with the address lookup in it."""
 
     def lookup(df):
-        ip = F.expr(decoded("fields['client_ip']"))
+        ip = F.expr(decoded("fields['addr']"))
         return ip_range_join(df, ip_ranges(spark, sf_dir), ip, ("ip_place",))
 
     app = example_application(lookup=lookup)
     return app.run(messages(spark, sf_dir)).select(
-        "msg_id", reason(), "event_province", "event_city", "event_net_provider", F.coalesce("bucket", F.lit("")).alias("bucket")
+        "msg_id", reason(), "province", "city", "network", F.coalesce("bucket", F.lit("")).alias("bucket")
     )

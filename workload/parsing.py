@@ -18,8 +18,8 @@ from workload.inputs import PLACE_SQL, REASON, SRC, if_good, parsed, place_text,
     + """select msg_id, cast(not no_header as bigint) as matched,
       case when no_header then '' when bad_time then '02-30' else strftime(ts, '%m-%d') end as date,
       case when no_header then '' else strftime(ts, '%H:%M:%S') end as time,
-      case when no_header then '' else 'logid=' || lpad(cast(msg_id as varchar), 10, '0') end as first_token,
-      case when no_header then '' else 'errmsg=' end as last_token
+      case when no_header then '' else 'sale=' || lpad(cast(msg_id as varchar), 10, '0') end as first_token,
+      case when no_header then '' else 'note=' end as last_token
     from src""",
 )
 def parse_header(spark, sf_dir):
@@ -35,8 +35,8 @@ def parse_header(spark, sf_dir):
 
 
 _FIELDS = {
-    "uid": "cast(user_id as varchar)",
-    "errno": "cast(msg_id % 5 as varchar)",
+    "buyer": "cast(user_id as varchar)",
+    "code": "cast(msg_id % 5 as varchar)",
     "eq": "'1'",
     "flag": "''",
     "pct": "'%zz%4'",
@@ -49,7 +49,7 @@ _FIELDS = {
     "parse_fields",
     SRC
     + f"select msg_id, {', '.join(f'{unless_no_header(sql)} as {n}' for n, sql in _FIELDS.items())}, "
-    + f"cast({unless_no_header('32', '2')} as bigint) as n_fields from src",
+    + f"cast({unless_no_header('28', '2')} as bigint) as n_fields from src",
 )
 def parse_fields(spark, sf_dir):
     lines = parse.parse_fields(parse.parse_header(messages(spark, sf_dir)))
@@ -65,7 +65,7 @@ def parse_fields(spark, sf_dir):
     "dup_key_last_wins",
     SRC
     + f"""select msg_id, {unless_no_header("case when msg_id % 11 = 0 then 'last' else 'once' end")} as dup,
-      cast({unless_no_header("6", "0")} as bigint) as position from src""",
+      cast({unless_no_header("5", "0")} as bigint) as position from src""",
 )
 def dup_key_last_wins(spark, sf_dir):
     lines = parse.cut_notice(messages(spark, sf_dir))
@@ -118,23 +118,23 @@ _UID = unless_no_header("cast(user_id as varchar)")
 @query("copy", SRC + f"select msg_id, {REASON}, {_UID} as a, {_UID} as b from src")
 def copy(spark, sf_dir):
     """Two inputs, two outputs: the last input fills both."""
-    return _hook(spark, sf_dir, hooks.copy, ("logid", "uid"), ("a", "b"))
+    return _hook(spark, sf_dir, hooks.copy, ("sale", "buyer"), ("a", "b"))
 
 
 @query(
     "copy_decode",
-    SRC + f"""select msg_id, {REASON}, {unless_no_header("'Agent/1.0 (' || event_type || ')'")} as event_useragent from src""",
+    SRC + f"""select msg_id, {REASON}, {unless_no_header("'Agent/1.0 (' || event_type || ')'")} as device from src""",
 )
 def copy_decode(spark, sf_dir):
-    return _hook(spark, sf_dir, hooks.copy_decode, ("ua",), ("event_useragent",))
+    return _hook(spark, sf_dir, hooks.copy_decode, ("device",), ("device",))
 
 
 _NAME_SQL = unless_no_header("case msg_id % 3 when 0 then '北京' when 1 then '上海' else '广州' end")
 
 
-@query("copy_decode_utf8", SRC + f"select msg_id, {REASON}, {_NAME_SQL} as event_username from src")
+@query("copy_decode_utf8", SRC + f"select msg_id, {REASON}, {_NAME_SQL} as guest from src")
 def copy_decode_utf8(spark, sf_dir):
-    return _hook(spark, sf_dir, hooks.copy_decode_utf8, ("un",), ("event_username",))
+    return _hook(spark, sf_dir, hooks.copy_decode_utf8, ("guest",), ("guest",))
 
 
 @query(
@@ -143,7 +143,7 @@ def copy_decode_utf8(spark, sf_dir):
 )
 def transcode(spark, sf_dir):
     """Bytes to text; the bytes alone are no valid UTF-8."""
-    raw = F.expr(f"coalesce({parse.decoded("fields['un']")}, '')").alias("raw")
+    raw = F.expr(f"coalesce({parse.decoded("fields['guest']")}, '')").alias("raw")
     name = parsed(spark, sf_dir).select("msg_id", reason(), raw)
     with text.java_charsets(spark):
         named = name.select("msg_id", "reason", text.transcode(F.col("raw")).alias("name"))
@@ -151,11 +151,11 @@ def transcode(spark, sf_dir):
 
 
 _TIMES = {
-    "event_year": if_good("strftime(ts, '%Y')"),
-    "event_month": unless_no_header("case when bad_time then '02' else strftime(ts, '%m') end"),
-    "event_dayofmonth": unless_no_header("case when bad_time then '30' else strftime(ts, '%d') end"),
-    "event_time": unless_no_header("strftime(ts, '%H:%M:%S')"),
-    "event_timestamp": if_good("cast(cast(floor(epoch(ts)) as bigint) as varchar)"),
+    "year": if_good("strftime(ts, '%Y')"),
+    "month": unless_no_header("case when bad_time then '02' else strftime(ts, '%m') end"),
+    "time": unless_no_header("strftime(ts, '%H:%M:%S')"),
+    "timestamp": if_good("cast(cast(floor(epoch(ts)) as bigint) as varchar)"),
+    "day": unless_no_header("case when bad_time then '30' else strftime(ts, '%d') end"),
 }
 
 
@@ -168,7 +168,7 @@ def date_time(spark, sf_dir):
 @query(
     "ip_geo",
     SRC
-    + f"""select msg_id, '10.' || (user_id % 25) || '.' || (msg_id % 256) || '.' || (user_id % 250) as event_ip,
+    + f"""select msg_id, '10.' || (user_id % 25) || '.' || (msg_id % 256) || '.' || (user_id % 250) as ip,
       {PLACE_SQL} from src join nation on n_nationkey = user_id % 25""",
 )
 def ip_geo(spark, sf_dir):
@@ -183,35 +183,35 @@ def ip_geo(spark, sf_dir):
 
 @query(
     "visitor_id_clean",
-    SRC + f"select msg_id, {REASON}, {unless_no_header('md5(cast(msg_id as varchar))')} as event_visitorid from src",
+    SRC + f"select msg_id, {REASON}, {unless_no_header('md5(cast(msg_id as varchar))')} as holder from src",
 )
 def visitor_id_clean(spark, sf_dir):
-    return _hook(spark, sf_dir, hooks.clean_visitor_id, ("visitorid",), ("event_visitorid",))
+    return _hook(spark, sf_dir, hooks.clean_visitor_id, ("pass",), ("holder",))
 
 
 @query(
     "kv_string_to_map",
     SRC
-    + f"""select msg_id, {REASON}, {unless_no_header("cast(msg_id % 100 as varchar)")} as front,
-      {_UID} as rear, cast({unless_no_header("2", "0")} as bigint) as n_keys from src""",
+    + f"""select msg_id, {REASON}, {unless_no_header("cast(msg_id % 100 as varchar)")} as "left",
+      {_UID} as "right", cast({unless_no_header("2", "0")} as bigint) as n_keys from src""",
 )
 def kv_string_to_map(spark, sf_dir):
-    seats = _hook(spark, sf_dir, hooks.copy_kv_map, ("Seats",), ("seats",))
-    return seats.select(
+    blocks = _hook(spark, sf_dir, hooks.copy_kv_map, ("block",), ("block",))
+    return blocks.select(
         "msg_id",
         "reason",
-        *(F.coalesce(F.col("seats")[n], F.lit("")).alias(n) for n in ("front", "rear")),
-        F.size("seats").cast("bigint").alias("n_keys"),
+        *(F.coalesce(F.col("block")[n], F.lit("")).alias(n) for n in ("left", "right")),
+        F.size("block").cast("bigint").alias("n_keys"),
     )
 
 
 @query(
     "map_to_string",
-    SRC + f"""select msg_id, {REASON}, {unless_no_header("'all_ms:' || (msg_id % 50) || ',kv_ms:2'")} as cost from src""",
+    SRC + f"""select msg_id, {REASON}, {unless_no_header("'cents:' || (msg_id % 50) || ',fee:2'")} as price from src""",
 )
 def map_to_string(spark, sf_dir):
-    costs = _hook(spark, sf_dir, hooks.copy_kv_map, ("Cost",), ("cost",))
-    return costs.select("msg_id", "reason", text.map_to_string(F.col("cost")).alias("cost"))
+    prices = _hook(spark, sf_dir, hooks.copy_kv_map, ("Price",), ("price",))
+    return prices.select("msg_id", "reason", text.map_to_string(F.col("price")).alias("price"))
 
 
 _PARAMS_SQL = """case when contains(url, '?') then array_to_string(list_transform(
@@ -221,18 +221,18 @@ _PARAMS_SQL = """case when contains(url, '?') then array_to_string(list_transfor
 
 @query(
     "url_split",
-    f"""select page_id, 'h' || url as event_url, 'h' as event_url_hostname, split_part(url, '?', 1) as event_urlpath,
+    f"""select page_id, 'h' || url as url, 'h' as hostname, split_part(url, '?', 1) as path,
       {_PARAMS_SQL} as params,
       case when contains(url, 'page=') then split_part(split_part(split_part(url, 'page=', 2), '&', 1), '=', 1)
-        else '' end as event_query
+        else '' end as query
     from pages""",
 )
 def url_split(spark, sf_dir):
     pages = load(spark, sf_dir, "pages")
     values = hooks.url_split(query_param="page")({"host": F.col("h"), "url": F.col("url")}, ())
     split = pages.withColumn("h", F.lit("h")).select("page_id", *(c.alias(n) for n, c in values.items()))
-    params = text.map_to_string("event_urlparamsmap").alias("params")
-    return split.select("page_id", "event_url", "event_url_hostname", "event_urlpath", params, "event_query")
+    params = text.map_to_string("params").alias("params")
+    return split.select("page_id", "url", "hostname", "path", params, "query")
 
 
 def _with_referer(sql: str) -> str:
@@ -243,17 +243,17 @@ def _with_referer(sql: str) -> str:
     "referer_split",
     SRC
     + f"""select msg_id, {REASON},
-      {_with_referer("'http://example.com/q/' || msg_id || '.html?a=' || user_id")} as event_referer,
-      {_with_referer("'/q/' || msg_id || '.html'")} as event_refererpath,
+      {_with_referer("'http://example.com/q/' || msg_id || '.html?a=' || user_id")} as referer,
+      {_with_referer("'/q/' || msg_id || '.html'")} as path,
       {_with_referer("'a:' || user_id")} as params,
-      {_with_referer("'example.com'")} as event_referer_hostname
+      {_with_referer("'example.com'")} as hostname
     from src""",
 )
 def referer_split(spark, sf_dir):
-    outs = ("event_referer", "event_refererpath", "event_refererparamsmap", "event_referer_hostname")
-    parts = _hook(spark, sf_dir, hooks.referer_split(), ("refer",), outs)
-    params = text.map_to_string(F.col("event_refererparamsmap")).alias("params")
-    return parts.select("msg_id", "reason", "event_referer", "event_refererpath", params, "event_referer_hostname")
+    outs = ("referer", "path", "params", "hostname")
+    parts = _hook(spark, sf_dir, hooks.referer_split(referer="via"), ("via",), outs)
+    params = text.map_to_string(F.col("params")).alias("params")
+    return parts.select("msg_id", "reason", "referer", "path", params, "hostname")
 
 
 @query(

@@ -20,7 +20,7 @@ _TEXT_SCHEMA = T.StructType(
     [
         T.StructField("note", T.StringType()),
         T.StructField("event_id", T.LongType()),
-        T.StructField("optime", T.LongType()),
+        T.StructField("took", T.LongType()),
         T.StructField("bad_number", T.LongType()),
         T.StructField("params", MAP),
         T.StructField("event_type", T.StringType()),
@@ -36,7 +36,7 @@ def _text_rows(spark, sf_dir):
     return load(spark, sf_dir, "events").select(
         note.alias("note"),
         e,
-        F.concat((e + 1000000000).cast("string"), F.lit(".895")).alias("optime"),
+        F.concat((e + 1000000000).cast("string"), F.lit(".895")).alias("took"),
         F.lit("x").alias("bad_number"),
         params.alias("params"),
         "event_type",
@@ -61,7 +61,7 @@ def write_delimited(spark, sf_dir):
 
 @query(
     "scan_delimited",
-    f"""select {_NOTE_SQL} as note, event_id, event_id + 1000000000 as optime, cast(-1 as bigint) as bad_number,
+    f"""select {_NOTE_SQL} as note, event_id, event_id + 1000000000 as took, cast(-1 as bigint) as bad_number,
       'u:' || user_id || ',t:' || event_type as params, event_type from events""",
 )
 def scan_delimited(spark, sf_dir):
@@ -71,7 +71,7 @@ def scan_delimited(spark, sf_dir):
     return delimited.scan_delimited(spark, path, _TEXT_SCHEMA).select(
         "note",
         "event_id",
-        "optime",
+        "took",
         F.coalesce("bad_number", F.lit(-1)).cast("bigint").alias("bad_number"),
         text.map_to_string(F.col("params")).alias("params"),
         "event_type",
