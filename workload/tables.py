@@ -13,6 +13,7 @@ from tidelog.operators.mapping import MAP
 from tidelog.plans.sample_log import N_PIPELETS, load
 from tidelog.shared import scratch_path
 from tidelog.sources import delimited, tables
+from tidelog.sources.versions import VersionedTable
 from workload import query
 from workload.inputs import SRC, day_rows
 
@@ -290,3 +291,28 @@ def scan_delimited_empty(spark, sf_dir):
     rows = load(spark, sf_dir, "events").select(only)
     delimited.write_delimited(rows, path)
     return delimited.scan_delimited(spark, path, rows.schema).groupBy("only").agg(F.count("*").alias("n"))
+
+
+_DAY = "cast(substr(day_bucket, 7, 2) as bigint)"
+
+
+@query(
+    "publish_versions",
+    SRC
+    + f""", versions as (
+      select 0 as version, day_bucket, msg_id from src where msg_id % 3 <> 0
+      union all select 1, day_bucket, msg_id from src where {_DAY} % 5 <> 0 and ({_DAY} % 2 = 0 or msg_id % 3 <> 0))
+    select cast(version as bigint) as version, day_bucket as bucket, count(*) as n_rows, cast(sum(msg_id) as bigint) as ids
+    from versions group by 1, 2""",
+)
+def publish_versions(spark, sf_dir):
+    """Two versions of a table: even days are replaced, every fifth day goes; both can be read."""
+    rows = day_rows(spark, sf_dir).select("msg_id", "bucket", *tables.PARTITION_COLUMNS)
+    day = F.col("event_day").substr(7, 2).cast("bigint")
+    table = VersionedTable(spark, scratch_path(spark, "versions"), rows.schema)
+    table.commit(rows.filter("msg_id % 3 <> 0"))
+    table.commit(rows.filter((day % 2 == 0) & (day % 5 != 0)), remove=rows.filter(day % 5 == 0).select(*table.keys).distinct())
+    both = table.read(0).withColumn("version", F.lit(0)).unionByName(table.read(1).withColumn("version", F.lit(1)))
+    return both.groupBy(F.col("version").cast("bigint").alias("version"), "bucket").agg(
+        F.count("*").alias("n_rows"), F.sum("msg_id").alias("ids")
+    )
