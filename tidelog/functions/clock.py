@@ -74,3 +74,9 @@ def epoch_seconds(ts: Column, zone: str = "UTC") -> Column:
     if zone != "UTC":
         ts = F.convert_timezone(F.lit(zone), F.lit("UTC"), ts)
     return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+
+
+def key_minutes(key: Column) -> Column:
+    """Minutes of a bucket key ``YYYYMMDDHHMM`` since 1970, in its own zone."""
+    day = F.unix_date(F.to_date(F.substring(key, 1, 8), "yyyyMMdd")).cast("bigint")
+    return day * 1440 + F.substring(key, 9, 2).cast("bigint") * 60 + F.substring(key, 11, 2).cast("bigint")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.functions.clock import key_minutes
 from tidelog.operators.buckets import bucket_counts, open_bucket, sealed_buckets
 
 MASK_BITS = 63
@@ -71,15 +72,76 @@ def upsert_status(status: DataFrame, delivered: DataFrame) -> DataFrame:
     return deliveries(known.unionByName(delivered.select("partition", "pipelet")), "partition")
 
 
-def min_progress(df: DataFrame) -> DataFrame:
-    """(n_pipelets, frontier): every pipelet has reached ``frontier``."""
-    newest = df.groupBy("pipelet").agg(F.max("bucket").alias("newest"))
-    return newest.agg(F.count("*").alias("n_pipelets"), F.min("newest").alias("frontier"))
+def is_declared(pipelet: Column, n_pipelets: int) -> Column:
+    """Whether a row comes from one of the pipelets ``0..n_pipelets - 1``; rows of others are errors."""
+    return F.coalesce(pipelet.between(0, n_pipelets - 1), F.lit(False))
 
 
-def publishable(df: DataFrame, n_pipelets: int) -> DataFrame:
-    """(partition, pipelets) of the buckets that all pipelets delivered and sealed."""
-    return complete_partitions(deliveries(sealed_buckets(df)), n_pipelets)
+def shard_progress(newest: DataFrame, n_pipelets: int, idle_after: int | None = None) -> DataFrame:
+    """One row ``n_pipelets, frontier, idle`` from every pipelet's newest ``bucket`` and its ``first`` one.
+
+    Only declared pipelets count.  ``idle`` lists those whose newest bucket lies more than
+    ``idle_after`` minutes behind the newest of all, and those that never showed up in as
+    long a time: nobody waits for them.  All others have reached ``frontier``; it is NULL
+    while one of them has not shown up.
+    """
+    known = newest.filter(is_declared(F.col("pipelet"), n_pipelets))
+    listed = known.agg(
+        F.count("*").alias("n_pipelets"),
+        F.max("bucket").alias("last"),
+        F.min("first").alias("first"),
+        F.collect_list(F.struct(F.col("pipelet").cast("bigint").alias("pipelet"), "bucket")).alias("shards"),
+    )
+    idle = _idle(F.col("shards"), F.col("first"), F.col("last"), n_pipelets, idle_after)
+    active = F.filter("shards", lambda s: ~F.array_contains(F.col("idle"), s["pipelet"]))
+    out = listed.select("n_pipelets", "shards", idle.alias("idle"))
+    whole = F.size(active) + F.size("idle") == n_pipelets
+    return out.select("n_pipelets", F.when(whole, F.array_min(F.transform(active, lambda s: s["bucket"]))).alias("frontier"), "idle")
+
+
+def _idle(shards: Column, first: Column, last: Column, n_pipelets: int, idle_after: int | None) -> Column:
+    if idle_after is None:
+        return F.array().cast("array<bigint>")
+    seen = F.map_from_entries(shards)
+    # one that never showed up is as old as the first bucket of all
+    return F.filter(
+        _expected(n_pipelets), lambda p: key_minutes(last) - key_minutes(F.coalesce(F.try_element_at(seen, p), first)) > idle_after
+    )
+
+
+def min_progress(df: DataFrame, n_pipelets: int | None = None, idle_after: int | None = None) -> DataFrame:
+    """(n_pipelets, frontier): every pipelet has reached ``frontier``.
+
+    With ``n_pipelets`` the declared ones only, as :func:`shard_progress` has it.
+    """
+    newest = df.groupBy("pipelet").agg(F.max("bucket").alias("bucket"), F.min("bucket").alias("first"))
+    if n_pipelets is None:
+        return newest.agg(F.count("*").alias("n_pipelets"), F.min("bucket").alias("frontier"))
+    return shard_progress(newest, n_pipelets, idle_after).select("n_pipelets", "frontier")
+
+
+def publishable(df: DataFrame, n_pipelets: int, idle_after: int | None = None) -> DataFrame:
+    """(partition, pipelets) of the buckets that all pipelets delivered and sealed.
+
+    Rows of pipelets that were not declared do not count.  Nobody waits for pipelets that
+    are idle: their buckets are all sealed, and others need nothing of them.
+    """
+    own = df.filter(is_declared(F.col("pipelet"), n_pipelets))
+    if idle_after is None:
+        return complete_partitions(deliveries(sealed_buckets(own)), n_pipelets)
+    # lists, with a row per pipelet and bucket
+    listed = own.transform(bucket_counts)
+    newest = listed.groupBy("pipelet").agg(F.max("bucket").alias("bucket"), F.min("bucket").alias("first"))
+    state = shard_progress(newest, n_pipelets, idle_after)
+    return complete_but_idle(deliveries(listed), state, n_pipelets)
+
+
+def complete_but_idle(listed: DataFrame, state: DataFrame, n_pipelets: int) -> DataFrame:
+    """Partitions that all but idle pipelets have delivered, and sealed: those before the frontier."""
+    known = state.select(F.lit(True).alias("s_one"), *(F.col(c).alias(f"s_{c}") for c in ("frontier", "idle")))
+    met = listed.withColumn("s_key", F.lit(True)).join(known, F.col("s_key") == F.col("s_one"))
+    lacking = F.array_except(F.array_except(_expected(n_pipelets), F.col("pipelets")), F.col("s_idle"))
+    return met.filter((F.size(lacking) == 0) & (F.col("partition") < F.col("s_frontier"))).select(*listed.columns)
 
 
 def publication_status(df: DataFrame, n_pipelets: int) -> DataFrame:

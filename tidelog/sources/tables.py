@@ -92,23 +92,30 @@ def create_event_table(spark: SparkSession, name: str, schema: T.StructType, loc
     )
 
 
-def publish_partitions(spark: SparkSession, table: str, location: str, partitions: DataFrame) -> None:
+def publish_partitions(spark: SparkSession, table: str, location: str, partitions: DataFrame, replace: bool = False) -> None:
     """Make written partitions of an external table visible.
 
     ``partitions`` has one row per bucket, so it is bounded by the calendar;
-    the statements add several hundred at a time.
+    the statements add several hundred at a time.  With ``replace`` those that the table
+    has already point to the new location after that.
     """
     batch: list[str] = []
+    moved: list[str] = []
 
     def add() -> None:
         if batch:
             spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(batch))
+            for change in moved:
+                spark.sql(f"ALTER TABLE {table} {change}")
             batch.clear()
+            moved.clear()
 
     for row in partitions.select(*PARTITION_COLUMNS).toLocalIterator():
         spec = ", ".join(f"{k}='{row[k]}'" for k in PARTITION_COLUMNS)
         folder = "/".join(f"{k}={row[k]}" for k in PARTITION_COLUMNS)
         batch.append(f"PARTITION ({spec}) LOCATION '{location.rstrip('/')}/{folder}'")
+        if replace:
+            moved.append(f"PARTITION ({spec}) SET LOCATION '{location.rstrip('/')}/{folder}'")
         if len(batch) == _ADD_AT_ONCE:
             add()
     add()

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidelog.functions import clock
 from tidelog.functions.clock import bucket_key
-from tidelog.operators import buckets, merge, progress
+from tidelog.operators import buckets, corrections, merge, progress
 from tidelog.plans.sample_log import N_PIPELETS, load
+from tidelog.shared import scratch_path
 from tidelog.sources import pipe
+from tidelog.sources.versions import VersionedTable
+from tidelog.streaming import shards
 from workload import query
 from workload.inputs import SRC, day_rows, days, rows
 
@@ -384,4 +388,86 @@ def new_only_many(spark, sf_dir):
     return pipe.new_only(messages, starts)
 
 
+# -- strays, idle pipelets, corrections --------------------------------------
+
+IDLE_AFTER = 3 * 1440
+# pipelet 3 falls silent after the tenth day; two pipelets were never declared
+_IDLE = SRC + f""", seen as (
+    select case when msg_id % 50 = 49 then null when msg_id % 50 = 48 then 99 else pipelet end as pipelet, day_bucket as bucket
+    from src where pipelet <> 3 or day_bucket <= (select strftime(min(ts) + interval 10 day, '%Y%m%d') || '0000' from src)),
+  listed as (select distinct pipelet, bucket from seen where pipelet between 0 and {N_PIPELETS - 1}),
+  newest as (select p as pipelet, coalesce((select max(bucket) from listed l where l.pipelet = p), (select min(bucket) from listed)) as newest
+    from range({N_PIPELETS}) as r(p)),
+  state as (select pipelet, newest, date_diff('minute', strptime(newest, '%Y%m%d%H%M'),
+    strptime((select max(bucket) from listed), '%Y%m%d%H%M')) > {IDLE_AFTER} as idle from newest),
+  public as (select b.bucket as "partition" from (select distinct bucket from listed) b cross join state s
+    left join listed l on l.bucket = b.bucket and l.pipelet = s.pipelet
+    group by 1 having bool_and(s.idle or (l.pipelet is not null and b.bucket < s.newest)))
+"""
+
+
+def _with_strays(spark, sf_dir):
+    """``pipelet, bucket, msg_id`` by day."""
+    e = F.col("msg_id")
+    day = day_rows(spark, sf_dir).select("pipelet", "bucket", "msg_id")
+    first = load(spark, sf_dir, "events").agg(F.date_format(F.min("ts") + F.expr("INTERVAL 10 DAY"), "yyyyMMdd").alias("d")).first()["d"]
+    own = day.filter((F.col("pipelet") != 3) | (F.col("bucket") <= f"{first}0000"))
+    pipelet = F.when(e % 50 == 49, F.lit(None)).when(e % 50 == 48, 99).otherwise(F.col("pipelet"))
+    return own.select(pipelet.cast("bigint").alias("pipelet"), "bucket", "msg_id")
+
+
+@query("publishable_idle", _IDLE + 'select "partition" from public')
+def publishable_idle(spark, sf_dir):
+    """Undeclared pipelets, rows without one, and one that falls silent: nobody waits for them."""
+    return progress.publishable(_with_strays(spark, sf_dir), N_PIPELETS, IDLE_AFTER).select("partition")
+
+
+@query("seal_bucket_stream", _IDLE + 'select "partition" from public')
+def seal_bucket_stream(spark, sf_dir):
+    """The same from a stream, with the progress of every pipelet in Spark's state store."""
+    rows = _with_strays(spark, sf_dir)
+    path = scratch_path(spark, "pipe")
+    days_seen = rows.agg(F.min("bucket").alias("a"), F.max("bucket").alias("b")).first()
+    # five files, one micro-batch each, in the order of time
+    for part in range(5):
+        place = F.floor((clock.key_minutes(F.col("bucket")) - clock.key_minutes(F.lit(days_seen["a"]))) / (7 * 1440))
+        rows.filter(F.least(place, F.lit(4)) == part).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    out = scratch_path(spark, "sealed")
+    sink = shards.sealed_stream(stream, N_PIPELETS, IDLE_AFTER).writeStream.format("parquet").option("path", out)
+    sink.option("checkpointLocation", f"{out}-position").trigger(availableNow=True).start().awaitTermination()
+    return shards.publishable_after(spark.read.schema(shards.SEALED).parquet(out), N_PIPELETS).select("partition")
+
+
+@query(
+    "late_corrections",
+    LATE
+    + """, live as (select * from flagged where not (is_late and msg_id % 2 = 0) and msg_id % 41 <> 0),
+      moved as (select day_bucket, case when msg_id % 43 = 0 then -msg_id else msg_id end as msg_id from live)
+    select day_bucket as bucket, count(*) as n_rows, cast(sum(msg_id) as bigint) as ids from moved group by 1""",
+)
+def late_corrections(spark, sf_dir):
+    """Published days after a log of late rows, retractions and changed rows.
+
+    Of the late rows half are added, and later retracted, row by row; the rest stay.
+    """
+    hours = buckets.late_flag(rows(spark, sf_dir))
+    day = F.concat(F.substring("bucket", 1, 8), F.lit("0000"))
+    flagged = hours.withColumn("bucket", day).withColumn("ids", F.col("msg_id"))
+    flagged = flagged.select("*", *(c.alias(n) for n, c in clock.split_key_parts(F.col("bucket")).items()))
+    schema = flagged.drop("is_late").schema
+    table = VersionedTable(spark, scratch_path(spark, "public"), schema)
+    table.commit(flagged.filter("not is_late").drop("is_late"))
+    late = flagged.filter("is_late").drop("is_late")
+    even = late.filter("msg_id % 2 = 0")
+    log = corrections.additions(late, 1).unionByName(corrections.retractions(even, 2))
+    corrections.merge_changes(table, log, ("pipelet", "msg_id"))
+    now = table.read()
+    wrong = now.filter("msg_id % 41 = 0")
+    changed = now.filter("msg_id % 43 = 0 and msg_id % 41 <> 0").withColumn("ids", -F.col("msg_id"))
+    log = corrections.retractions(wrong, 3).unionByName(corrections.additions(changed, 3))
+    corrections.merge_changes(table, log, ("pipelet", "msg_id"))
+    return table.read().groupBy("bucket").agg(F.count("*").alias("n_rows"), F.sum("ids").alias("ids"))
+
+
 __all__ = ["FULL", "LISTED", "day_rows"]
