@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidelog.functions import clock
 from tidelog.functions.clock import bucket_key
 from tidelog.operators import buckets, corrections, merge, progress
+from tidelog.operators import ids as id_sets
 from tidelog.plans.sample_log import N_PIPELETS, load
 from tidelog.shared import scratch_path
 from tidelog.sources import pipe
@@ -470,4 +471,75 @@ def late_corrections(spark, sf_dir):
     return table.read().groupBy("bucket").agg(F.count("*").alias("n_rows"), F.sum("ids").alias("ids"))
 
 
+# -- sets of ids ----------------------------------------------------------------
+
+# a third of all messages in one pipelet, and holes in some; ids within a pipelet
+_IDS = """with ids as (
+    select case when event_id % 3 = 0 then 0 else 1 + event_id % 5 end as pipelet,
+      case when event_id % 3 = 0 then event_id // 3 else event_id // 15 end as msg_id from events),
+  held as (select distinct pipelet, msg_id from ids where not (pipelet % 2 = 0 and msg_id % 500 between 100 and 104)),
+  numbered as (select *, msg_id - row_number() over (partition by pipelet order by msg_id) as island from held),
+  runs as (select pipelet, min(msg_id) as lo, max(msg_id) as hi from numbered group by pipelet, island)
+"""
+
+
+def _ids(spark, sf_dir):
+    e = F.col("event_id")
+    hot = e % 3 == 0
+    ids = load(spark, sf_dir, "events").select(
+        F.when(hot, 0).otherwise(1 + e % 5).cast("bigint").alias("pipelet"),
+        F.floor(e / F.when(hot, 3).otherwise(15)).cast("bigint").alias("msg_id"),
+    )
+    return ids.filter(~((F.col("pipelet") % 2 == 0) & (F.col("msg_id") % 500).between(100, 104)))
+
+
+@query("offset_intervals", _IDS + "select pipelet, lo, hi from runs")
+def offset_intervals(spark, sf_dir):
+    """Which ids are there, as intervals."""
+    return id_sets.intervals(_ids(spark, sf_dir))
+
+
+@query(
+    "offset_gaps",
+    _IDS + """select pipelet, hi + 1 as lo, following - 1 as hi from
+      (select *, lead(lo) over (partition by pipelet order by lo) as following from runs) where following is not null""",
+)
+def offset_gaps(spark, sf_dir):
+    return id_sets.gaps(id_sets.intervals(_ids(spark, sf_dir)))
+
+
+@query("offset_low_water", _IDS + "select pipelet, min_by(hi, lo) as msg_id from runs group by 1")
+def offset_low_water(spark, sf_dir):
+    """Up to where nothing is missing."""
+    return id_sets.low_water(id_sets.intervals(_ids(spark, sf_dir)))
+
+
+@query(
+    "dedupe_intervals",
+    """select event_id % 16 as pipelet, event_id // 16 as msg_id, min(event_id // 3000) as part from events group by 1, 2""",
+)
+def dedupe_intervals(spark, sf_dir):
+    """A pipe in parts of 3,000 messages, each part with a tenth of the one before: every message stays once.
+
+    What has been seen is kept as intervals of ids, written after each part.
+    """
+    e = F.col("event_id")
+    pipe_rows = load(spark, sf_dir, "events").select((e % 16).alias("pipelet"), F.floor(e / 16).alias("msg_id"), F.floor(e / 3000).alias("part"))
+    last = pipe_rows.agg(F.max("part")).first()[0]
+    out, state = scratch_path(spark, "kept"), id_sets.nothing_seen(spark)
+    for part in range(0, (last or 0) + 2, PARTS_AT_ONCE):
+        now = pipe_rows.filter(F.col("part").between(part, part + PARTS_AT_ONCE - 1))
+        again = pipe_rows.filter(F.col("part").between(part - PARTS_AT_ONCE, part + PARTS_AT_ONCE - 2) & (F.col("msg_id") % 10 == 0))
+        batch = now.unionByName(again)
+        new = merge.first_per_key(id_sets.unseen(batch, state), ("pipelet", "msg_id"), F.col("part"))
+        new.write.mode("append").parquet(out)
+        path = scratch_path(spark, "seen")
+        id_sets.absorb(state, batch).write.parquet(path)
+        state = spark.read.schema(id_sets.SEEN).parquet(path)
+    return spark.read.schema(pipe_rows.schema).parquet(out)
+
+
+PARTS_AT_ONCE = 8
+
+
 __all__ = ["FULL", "LISTED", "day_rows"]
