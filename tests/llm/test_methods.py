@@ -159,6 +159,7 @@ def render(template, **variables):
 def test_template_language():
     assert render("a{{ 'b' ~ (1 + 1) }}c") == "ab2c"
     assert render("{% for x in xs %}{{ loop.index }}{{ x }}{% if loop.last %}.{% else %},{% endif %}{% endfor %}", xs=["a", "b"]) == "1a,2b."
+    assert render("{% for x in xs %}[{{ x }}]{% if loop.last %}.{% endif %}{% endfor %}", xs=["a", None, "b", None]) == "[a][][b][]."
     assert render("{% if a == 1 %}x{% elif a in b %}y{% endif %}", a=2, b=[2]) == "y"
     with pytest.raises(chat.TemplateError):
         render("{{ 'b' + 1 }}")

@@ -5,12 +5,13 @@ from __future__ import annotations
 import collections
 import hashlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.conftest import LONG, REPEAT, ROWS
-from tidelog.llm import chat, decontaminate, fingerprint, lengths, licenses, minhash, mix, quality, shards, substrings
+from tidelog.llm import chat, common, decontaminate, fingerprint, lengths, licenses, minhash, mix, quality, shards, substrings
 
 N = len(ROWS)
 
@@ -82,8 +83,13 @@ def test_mix(odd, none):
     assert all(abs(per[s] - target[s]) <= 1 for s in target)
     mixed = mix.mixed_documents(odd)
     assert mixed.columns == odd.columns
-    words = mixed.select(F.sum(mix.n_words(F.col("text")))).first()[0]
-    assert words == got.select(F.sum("taken")).first()[0]
+    # whole texts only; of each source as much as it shall have, to half of its longest
+    assert {r.text for r in mixed.select("text").distinct().collect()} <= {r[1] for r in ROWS}
+    sizes = collections.defaultdict(int)
+    for r in mixed.collect():
+        sizes[r.source] += len((r.text or "").split())
+    longest = {s: max(len((r[1] or "").split()) for r in ROWS if r[3] == s) for s in target}
+    assert all(abs(sizes[s] - target[s]) <= longest[s] / 2 + 1 for s in target)
     assert mixed.filter("n_chars <> length(text)").count() == 0
     assert mix.mix(none).count() == 0 and mix.mixed_documents(none).count() == 0
 
@@ -220,3 +226,74 @@ def test_passages_of_any_length(spark):
     df = spark.createDataFrame(texts, "doc_id bigint, text string")
     by = rows(substrings.dedup_substrings(df))
     assert [by[i].n_removed for i in (1, 2, 3, 4)] == [0, 0, 50, 53]
+
+
+def thue_morse(n):
+    """A word of n letters, and the same with its letters exchanged."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [64, 1024, 4096, 1 << 13])
+def test_patterns_of_letters_do_not_collide(spark, n):
+    a, b = thue_morse(n)
+    for seed in (0, 1):
+        (x,), (y,) = common.word_hashes([a.encode(), b.encode()], seed)
+        assert x != y
+    df = spark.createDataFrame([(1, a), (2, b)], "doc_id bigint, text string")
+    assert {r.component_id for r in minhash.near_duplicates(df).collect()} == {1, 2}
+    long = spark.createDataFrame([(1, f"{a} {REPEAT}"[: -len(REPEAT.split()[-1])]), (2, f"{b} {' '.join(REPEAT.split()[:48])}")], "doc_id bigint, text string")
+    assert [r.n_removed for r in substrings.dedup_substrings(long).collect()] == [0, 0]
+
+
+def test_hashes_do_not_depend_on_where_a_word_stands():
+    words = [b"one", b"x" * 5000, "é日本".encode(), b"one"]
+    (all_,) = common.word_hashes([b" \t".join(words)])
+    assert all_[0] == all_[3] and len(set(all_.tolist())) == 3
+    assert [int(h[0]) for h in common.word_hashes(words)] == all_.tolist()
+
+
+def test_an_id_with_two_texts(spark):
+    rows = [(1, REPEAT), (2, f"a b c {REPEAT}"), (2, "short"), (2, f"{REPEAT} x y z"), (3, "short")]
+    got = substrings.dedup_substrings(spark.createDataFrame(rows, "doc_id bigint, text string"), substrings.Repeats(window=50)).collect()
+    assert len(got) == 5 and [r.n_removed for r in got if r.doc_id in (1, 3)] == [0, 0]
+    assert next(r for r in got if r.doc_id == 2 and r.n_words == 1).n_removed == 0
+    assert all(r.n_removed >= 70 for r in got if r.doc_id == 2 and r.n_words > 1)
+
+
+def test_signatures_of_long_sets_are_those_of_their_pieces(monkeypatch):
+    rng = np.random.default_rng(5)
+    sets = [rng.integers(0, 1 << 63, n).astype(np.uint64) for n in (3, 1000, 1, 50)]
+    whole = minhash.signatures_of(sets, 24)
+    monkeypatch.setattr(minhash, "CHUNK", 64)
+    assert (minhash.signatures_of(sets, 24) == whole).all()
+
+
+def test_near_duplicates_against_all_pairs(spark):
+    """Texts of one pattern, some alike enough, of several sizes."""
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(40)]
+    rows = []
+    for i in range(150):
+        words = list(base[: 20 + int(rng.integers(0, 20))])
+        for at in rng.integers(0, len(words), int(rng.integers(0, 4))):
+            words[at] = f"own{i}" if rng.random() < 0.6 else f"w{rng.integers(0, 40)}"
+        rows.append((i, " ".join(words)))
+    sets = [{tuple(t.split()[j : j + 2]) for j in range(len(t.split()) - 1)} for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    for many in (1, 256):
+        minhash.MANY, kept = many, minhash.MANY
+        got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), minhash.NearDuplicates(shingle=2, bands=1, rows=6))
+        assert {r.doc_id: r.component_id for r in got.collect()} == {i: root(i) for i in range(len(rows))}
+        minhash.MANY = kept

@@ -442,12 +442,14 @@ def _statement(node: Any) -> Callable[[dict], Iterator[Piece]]:
 
     def loop(scope: dict) -> Iterator[Piece]:
         inner, rest = dict(scope), iter(over(scope) or ())
-        following = next(rest, None)
+        # null items are items
+        end = object()
+        following = next(rest, end)
         index = 0
-        while following is not None:
-            inner[name], following = following, next(rest, None)
+        while following is not end:
+            inner[name], following = following, next(rest, end)
             index += 1
-            inner["loop"] = {"index": index, "index0": index - 1, "first": index == 1, "last": following is None}
+            inner["loop"] = {"index": index, "index0": index - 1, "first": index == 1, "last": following is end}
             yield from body(inner)
 
     return loop

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import hash_block, packed, running_total, saved, with_text
+from tidelog.llm.common import hash_block, packed, running_total, saved
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5  # of all words
@@ -162,25 +162,20 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
-    """The mix itself: documents repeated as often as the mix takes them; columns as before.
+    """The mix itself: whole documents, repeated as often as the mix takes them; columns as before.
 
-    A document taken in part is cut after as many words, and ``n_chars``, if there,
-    follows.  Empty documents stay, once.
+    What the mix takes of a document in part is rounded to a whole copy or none, so a
+    source may miss its target by half a document.  Empty documents stay, once.
     """
-    # equal rows share what they take, the first of them a word more each if it does not divide
+    # equal rows share their copies, the first of them one more each if these do not divide
     taken = mix(docs, weights, share).groupBy("row_key").agg(
         F.sum("taken").alias("all_taken"), F.count("*").alias("many"), F.max("size").alias("size")
     )
+    whole = F.floor(F.col("all_taken") / F.greatest("size", F.lit(1)) + 0.5)
+    taken = taken.select("row_key", "many", F.when(F.col("size") == 0, F.col("many")).otherwise(F.least(whole, LIMIT * F.col("many"))).alias("copies"))
     rows = packed(docs, "doc_id", "source", "text").withColumn("row_key", F.xxhash64("doc_id", "source", "text"))
     same = Window.partitionBy("row_key").orderBy("doc_id", "source", "text")
     joined = rows.join(taken, "row_key").withColumn("place", F.row_number().over(same))
-    size, each = F.col("size"), F.floor(F.col("all_taken") / F.col("many"))
-    words = each + (F.col("place") <= F.col("all_taken") - each * F.col("many")).cast("int")
-    full = F.when(size == 0, 1).otherwise(F.floor(words / F.greatest(size, F.lit(1)))).cast("int")
-    rest = F.when(size == 0, 0).otherwise(words % F.greatest(size, F.lit(1))).cast("int")
-    copies = F.concat(F.array_repeat(F.lit(-1), full), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
-    out = joined.select("text", "row", F.explode(copies).alias("words"))
-    # the first words, with what stands between them; a word and the spaces before it are one match
-    parts = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
-    cut = F.array_join(F.slice(parts, F.lit(1), F.col("words")), "")
-    return out.select(with_text(F.col("row"), cut, F.col("words") >= 0, docs).alias("row")).select("row.*")
+    each = F.floor(F.col("copies") / F.col("many"))
+    own = each + (F.col("place") <= F.col("copies") - each * F.col("many")).cast("int")
+    return joined.select("row", F.explode(F.array_repeat(F.lit(0), own.cast("int")))).select("row.*")

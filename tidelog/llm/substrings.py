@@ -90,12 +90,16 @@ def _anchor_rows(docs: DataFrame, how: Repeats, reference: bool) -> DataFrame:
 
 def _around(hashes: np.ndarray, at: list[int], how: Repeats) -> np.ndarray:
     """The windows that a document would have found by the anchors at these places."""
+    n = len(hashes) - how.window + 1
+    found = np.zeros(max(n, 0), bool)
+    if n <= 0:
+        return np.flatnonzero(found)
     chosen = np.zeros(len(hashes), bool)
-    chosen[at] = True
+    # places may be those of another text with the same id
+    places = np.array(at, np.int64)
+    chosen[places[places < len(hashes)]] = True
     begins = chosen[run_anchors(hashes, how)]
     # the run of a window's blocks begins at one of the window's first words
-    n = len(hashes) - how.window + 1
-    found = np.zeros(n, bool)
     for shift in range(how.block):
         found |= begins[shift : shift + n]
     return np.flatnonzero(found)
@@ -209,7 +213,8 @@ def dedup_substrings(docs: DataFrame, how: Repeats | None = None) -> DataFrame:
             rows = []
             for doc_id, text, at, copied in zip(ids, texts_, starts_, copied_, strict=True):
                 words = text.split()
-                spans = [[0, len(words)]] if copied else _spans(at, how.window) if at else []
+                own = [s for s in at or () if s + how.window <= len(words)]
+                spans = [[0, len(words)]] if copied else _spans(own, how.window)
                 kept, end = [], 0
                 for span in spans:
                     kept += words[end : span[0]]
