@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import ipaddress
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -8,7 +11,7 @@ from tests.test_parse import GOLDEN, messages
 from tidelog.functions import text
 from tidelog.functions.hooks import HookResult, referer_split, url_split
 from tidelog.operators import parse
-from tidelog.operators.enrich import ip_range_join, ip_to_long, overlapping_ranges
+from tidelog.operators.enrich import ip_key, ip_range_join, ip_text_join, ip_to_long, overlapping_ranges
 from tidelog.operators.mapping import MapRule, apply_rules, conform
 from tidelog.plans.example import EVENT_COLUMNS, example_application, schema_from_text, wide_application
 
@@ -167,6 +170,57 @@ def test_ip_range_join_both_ways(spark):
     assert {(r.lo, r.next_lo) for r in overlapping_ranges(wrong, 12).collect()} == {(70001, 70003), (70003, 200000)}
 
 
+def narrowest(ranges, v):
+    found = [(hi - lo, lo, p) for lo, hi, p in ranges if lo is not None and hi is not None and lo <= v <= hi]
+    return min(found)[2] if found else None
+
+
+def test_the_narrowest_range_counts(spark):
+    """Nested, overlapping, repeated and empty ranges: a row in, a row out."""
+    rng = random.Random(4)
+    ranges = [(0, 2**32 - 1, "all"), (None, 5, "x"), (9, 8, "none"), (100, 200, "b"), (100, 200, "a"), (150, 250, "c")]
+    ranges += [(lo, lo + rng.choice([0, 3, 500, 70_000, 3_000_000]), f"r{i}") for i, lo in enumerate(rng.sample(range(200_000), 60))]
+    dim = spark.createDataFrame(ranges, "lo bigint, hi bigint, place string")
+    values = [*rng.sample(range(300_000), 300), 0, 100, 150, 200, 201, 250, 2**32 - 1]
+    rows = [(i, ".".join(str(v >> s & 255) for s in (24, 16, 8, 0))) for i, v in enumerate(values)] + [(-1, "x"), (-2, None)]
+    df = spark.createDataFrame(rows, "i bigint, ip string")
+    want = {i: narrowest(ranges, v) for i, v in enumerate(values)} | {-1: None, -2: None}
+    got = ip_range_join(df, dim, F.col("ip"), ("place",)).collect()
+    assert len(got) == len(rows) and {r.i: r.place for r in got} == want
+    as_text = [(None if lo is None else str(ipaddress.ip_address(lo)), str(ipaddress.ip_address(hi)), p) for lo, hi, p in ranges if hi < 2**32]
+    by_text = ip_text_join(df, spark.createDataFrame(as_text, "lo string, hi string, place string"), F.col("ip"), ("place",)).collect()
+    assert len(by_text) == len(rows) and {r.i: r.place for r in by_text} == want
+
+
+def test_ip_keys(spark):
+    good = ["1.2.3.4", "::", "::1", "1::", "2001:db8::8:800:200C:417A", "1:2:3:4:5:6:7:8", "::ffff:1.2.3.4", "64:ff9b::192.0.2.33", "fe80::1:2:3"]
+    bad = ["1.2.3", "1::2::3", "1:2:3:4:5:6:7", "1:2:3:4:5:6:7:8:9", "g::", ":::", "12345::", "1:2:3:4:5:6:7:8::", "", "::1.2.3.400"]
+    df = spark.createDataFrame([(x,) for x in [*good, *bad, None]], "ip string")
+    got = {r.ip: r.k for r in df.select("ip", ip_key(F.col("ip")).alias("k")).collect()}
+    for x in good:
+        address = ipaddress.ip_address(x)
+        number = int(address) if address.version == 6 else (0xFFFF << 32) + int(address)
+        assert got[x] == f"{number:032x}", x
+    assert all(got[x] is None for x in [*bad, None])
+
+
+def test_ranges_of_long_addresses(spark):
+    rng = random.Random(6)
+    base = int(ipaddress.ip_address("2001:db8::"))
+    ranges = [(base, base + 2**96 - 1, "doc")]
+    for i in range(200):
+        lo = base + rng.getrandbits(95)
+        ranges.append((lo, lo + rng.getrandbits(rng.choice([0, 64, 90])), f"r{i}"))
+    values = [r[0] for r in ranges] + [r[1] for r in ranges] + [base + rng.getrandbits(95) for _ in range(200)] + [1]
+    text = lambda v: str(ipaddress.IPv6Address(v))
+    dim = spark.createDataFrame([(text(lo), text(hi), p) for lo, hi, p in ranges], "lo string, hi string, place string")
+    df = spark.createDataFrame([(i, text(v)) for i, v in enumerate(values)], "i bigint, ip string")
+    got = ip_text_join(df, dim, F.col("ip"), ("place",)).collect()
+    assert len(got) == len(values) and {r.i: r.place for r in got} == {i: narrowest(ranges, v) for i, v in enumerate(values)}
+    none = ip_text_join(df, dim.limit(0), F.col("ip"), ("place",)).collect()
+    assert len(none) == len(values) and all(r.place is None for r in none)
+
+
 def test_quarantined_lines_still_have_rows(spark):
     out = example_application().run(messages(spark, ["junk", GOLDEN]))
     rows = {r.msg_id: r for r in out.collect()}

@@ -83,3 +83,29 @@ def test_bucket_file_names(spark):
 def test_partition_exists(spark, kind):
     a = spark.range(4).select(F.col("id").cast(kind).alias("k"))
     assert tables.partition_exists(a, a.limit(2).unionByName(a.limit(2)), ["k"]).count() == 2
+
+
+@pytest.mark.parametrize(
+    "script, statements",
+    [
+        ("/* a; b */ select 1", ["  select 1"]),
+        ("select 1 -- c; d\n;select 2;", ["select 1 \n", "select 2"]),
+        ("select ';', \"--\", `a;b` /* x /* y; */ z */ ; ;", ["select ';', \"--\", `a;b`   "]),
+        ("select 'it\\'s; it''s' ; select '/* no */'", ["select 'it\\'s; it''s' ", " select '/* no */'"]),
+        ("select /*+ broadcast(t) */ 4 / 2 - -1", ["select /*+ broadcast(t) */ 4 / 2 - -1"]),
+        ("-- nothing", []),
+        ("", []),
+    ],
+)
+def test_statements_of_a_script(script, statements):
+    assert tables.split_statements(script) == statements
+
+
+@pytest.mark.parametrize("script", ["select 'a", 'select "a', "select `a", "select 1 /* a", "select '\\'"])
+def test_what_does_not_end_is_an_error(script):
+    with pytest.raises(ValueError, match="does not end"):
+        tables.split_statements(script)
+
+
+def test_script_with_comments(spark):
+    assert tables.sql_script(spark, "/* first; */ select 1 as a; -- last\nselect 2 as a -- two").first().a == 2

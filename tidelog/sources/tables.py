@@ -125,23 +125,53 @@ def sql_query(spark: SparkSession, statement: str) -> DataFrame:
     return spark.sql(statement)
 
 
-def sql_script(spark: SparkSession, script: str) -> DataFrame | None:
-    """Run the statements of a script; the result is that of the last one.
+# quoted text, in which a backslash or a doubled quote hides the quote; names; comments; the end of a statement
+_QUOTED = re.compile(r"'(?:\\.|''|[^'\\])*'|\"(?:\\.|\"\"|[^\"\\])*\"|`(?:``|[^`])*`", re.S)
+_PLAIN = re.compile(r"[^;'\"`/-]+|[/-]")
+
+
+def split_statements(script: str) -> list[str]:
+    """The statements of a script, without comments.
 
-    Statements end with ``;`` outside quotes; ``--`` comments run to the line end.
+    Statements end with ``;`` outside of quotes and comments.  ``--`` comments run to the
+    line end, ``/*`` ones to their ``*/``, and nest; hints ``/*+`` stay.  A quote or a
+    comment that does not end is an error.
     """
-    token = re.compile(r"'(?:\\.|[^'\\])*'|\"(?:\\.|[^\"\\])*\"|`[^`]*`|--[^\n]*|[^;'\"`-]+|-|;")
-    statements, current = [], ""
-    for piece in token.findall(script):
-        if piece == ";":
-            statements.append(current)
-            current = ""
-        elif not piece.startswith("--"):
-            current += piece
+    statements, current, at = [], [], 0
+    while at < len(script):
+        if script.startswith("--", at):
+            end = script.find("\n", at)
+            at = len(script) if end < 0 else end
+        elif script.startswith("/*", at):
+            start, at = at, _comment_end(script, at)
+            current.append(script[start:at] if script.startswith("/*+", start) else " ")
+        elif script[at] == ";":
+            statements.append("".join(current))
+            current, at = [], at + 1
+        else:
+            found = _QUOTED.match(script, at) or _PLAIN.match(script, at)
+            if not found:
+                raise ValueError(f"the quote {script[at]} at {at} does not end: {script[at : at + 40]}")
+            current.append(found[0])
+            at = found.end()
+    return [s for s in [*statements, "".join(current)] if s.strip()]
+
+
+def _comment_end(script: str, at: int) -> int:
+    depth, place = 0, at
+    for found in re.compile(r"/\*|\*/").finditer(script, at):
+        depth += 1 if found[0] == "/*" else -1
+        place = found.end()
+        if depth == 0:
+            return place
+    raise ValueError(f"the comment at {at} does not end: {script[at : at + 40]}")
+
+
+def sql_script(spark: SparkSession, script: str) -> DataFrame | None:
+    """Run the statements of a script; the result is that of the last one."""
     result = None
-    for statement in [*statements, current]:
-        if statement.strip():
-            result = spark.sql(statement)
+    for statement in split_statements(script):
+        result = spark.sql(statement)
     return result
 
 

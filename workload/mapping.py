@@ -291,3 +291,55 @@ def map_rules_with_lookup(spark, sf_dir):
     return app.run(messages(spark, sf_dir)).select(
         "msg_id", reason(), "province", "city", "network", F.coalesce("bucket", F.lit("")).alias("bucket")
     )
+
+
+# nested ranges: all, a tenth of the networks each, and the nations' own
+_NESTED = f"""ranges as (
+    select 0::bigint as lo, 4294967295::bigint as hi, 'world' as place
+    union all select 10 * 16777216 + k * 5 * 65536, 10 * 16777216 + (k * 5 + 6) * 65536 - 1, 'zone' || k from range(5) as t(k)
+    union all select 10 * 16777216 + n_nationkey * 65536, 10 * 16777216 + n_nationkey * 65536 + 51199, 'nation' || n_nationkey from nation),
+  ips as (select event_id as msg_id, 10 * 16777216 + (user_id % 25) * 65536 + (event_id % 256) * 256 + (user_id % 250) as ip from events)"""
+_NARROWEST = "arg_min(place, [hi - lo, lo])"
+
+
+def _nested_ranges(spark, sf_dir):
+    nation = load(spark, sf_dir, "nation")
+    k, base = F.col("n_nationkey"), 10 << 24
+    zone = nation.filter("n_nationkey < 5").select(
+        (F.lit(base) + k * 5 * 65536).cast("bigint").alias("lo"), (F.lit(base) + (k * 5 + 6) * 65536 - 1).cast("bigint").alias("hi"),
+        F.concat(F.lit("zone"), k.cast("string")).alias("place"),
+    )
+    own = nation.select(
+        (F.lit(base) + k * 65536).cast("bigint").alias("lo"), (F.lit(base) + k * 65536 + 51199).cast("bigint").alias("hi"),
+        F.concat(F.lit("nation"), k.cast("string")).alias("place"),
+    )
+    return zone.unionByName(own).unionByName(spark.sql("select 0L as lo, 4294967295L as hi, 'world' as place"))
+
+
+@query(
+    "ip_nested_ranges",
+    f"with {_NESTED} select msg_id, {_NARROWEST} as place from ips join ranges on ip between lo and hi group by 1",
+)
+def ip_nested_ranges(spark, sf_dir):
+    """Ranges inside of ranges: the narrowest one, once."""
+    found = ip_range_join(ip_events(spark, sf_dir), _nested_ranges(spark, sf_dir), F.col("client_ip"), ("place",))
+    return found.select("msg_id", "place")
+
+
+@query(
+    "ip_long_addresses",
+    f"with {_NESTED} select msg_id, {_NARROWEST} as place from ips join ranges on ip between lo and hi group by 1",
+)
+def ip_long_addresses(spark, sf_dir):
+    """The same with addresses of 128 bits, below a prefix of their own."""
+    from tidelog.operators.enrich import ip_text_join
+
+    def long(c):
+        high, low = F.hex(F.floor(c / 65536)), F.hex(F.pmod(c, F.lit(65536)))
+        return F.lower(F.concat(F.lit("2001:db8::"), high, F.lit(":"), low))
+
+    ranges = _nested_ranges(spark, sf_dir).select(long(F.col("lo")).alias("lo"), long(F.col("hi")).alias("hi"), "place")
+    e, u = F.col("event_id"), F.col("user_id")
+    ip = (F.lit(10 << 24) + (u % 25) * 65536 + (e % 256) * 256 + u % 250).cast("bigint")
+    events = load(spark, sf_dir, "events").select(e.alias("msg_id"), long(ip).alias("ip"))
+    return ip_text_join(events, ranges, F.col("ip"), ("place",)).select("msg_id", "place")
