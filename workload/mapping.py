@@ -343,3 +343,22 @@ def ip_long_addresses(spark, sf_dir):
     ip = (F.lit(10 << 24) + (u % 25) * 65536 + (e % 256) * 256 + u % 250).cast("bigint")
     events = load(spark, sf_dir, "events").select(e.alias("msg_id"), long(ip).alias("ip"))
     return ip_text_join(events, ranges, F.col("ip"), ("place",)).select("msg_id", "place")
+
+
+@query(
+    "leftover_discovery",
+    SRC
+    + """, keys as (
+      select unnest(['kiosk', 'dup', 'mail', 'price', 'value', 'props', 'eq', 'pct', 'flag', 'note']) as key from src where not no_header
+      union all select 'user' || user_id from src)
+    select key, count(*) as n_rows from keys group by 1 having count(*) >= 0.01 * (select count(*) from keys)""",
+)
+def leftover_discovery(spark, sf_dir):
+    """Keys that no rule claims and that are often there; every user has a key of their own as well."""
+    from tidelog.operators.sketches import frequent_keys
+
+    app = example_application()
+    lines = app.parsed(messages(spark, sf_dir).join(load(spark, sf_dir, "events").select(F.col("event_id").alias("msg_id"), "user_id"), "msg_id"))
+    mapped = app.events(lines, ("user_id",))
+    own = F.create_map(F.concat(F.lit("user"), F.col("user_id").cast("string")), F.lit(""))
+    return frequent_keys(mapped.select(F.map_concat("event_loginfo", own).alias("event_loginfo")), 0.01)

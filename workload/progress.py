@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions import clock
 from tidelog.functions.clock import bucket_key
-from tidelog.operators import buckets, corrections, merge, progress
+from tidelog.operators import buckets, corrections, merge, progress, sketches
 from tidelog.operators import ids as id_sets
 from tidelog.plans.sample_log import N_PIPELETS, load
 from tidelog.shared import scratch_path
@@ -539,6 +539,42 @@ def dedupe_intervals(spark, sf_dir):
     return spark.read.schema(pipe_rows.schema).parquet(out)
 
 
+# -- freshness --------------------------------------------------------------------
+
+_DELAY = "(msg_id * 7919 % 9973) * 3 + case when msg_id % 7 = 0 then 60000 else 0 end"
+_SHARES = (0.5, 0.9, 0.99)
+
+
+@query(
+    "freshness",
+    SRC
+    + f"""select coalesce(day_bucket, 'all') as bucket, cast(count(*) as bigint) as n, cast(q as double) as share, cast(1 as bigint) as within
+    from src, (select unnest([{", ".join(map(str, _SHARES))}]) as q) group by grouping sets ((day_bucket, q), (q))""",
+)
+def freshness(spark, sf_dir):
+    """Quantiles of delays from stored sketches, by day and for all days, and whether they keep their bound.
+
+    ``within`` holds if the exact share of rows up to the quantile, or below it, is not
+    further from the asked one than the sketch's error.
+    """
+    rows = day_rows(spark, sf_dir).select("bucket", F.expr(_DELAY).cast("bigint").alias("delay"))
+    path = scratch_path(spark, "sketches")
+    sketches.freshness(rows, F.col("delay"), ["bucket"]).write.parquet(path)
+    stored = spark.read.parquet(path)
+    both = stored.unionByName(sketches.merged_freshness(stored).withColumn("bucket", F.lit("all")))
+    found = sketches.freshness_quantiles(both, _SHARES).withColumnRenamed("delay", "quantile")
+    every = rows.unionByName(rows.withColumn("bucket", F.lit("all")))
+    named = found.select(F.col("bucket").alias("q_bucket"), "share", "n", "quantile")
+    met = every.join(named, F.col("bucket") == F.col("q_bucket"))
+    counted = met.groupBy("bucket", "share", "n").agg(
+        F.count_if(F.col("delay") < F.col("quantile")).alias("below"), F.count_if(F.col("delay") <= F.col("quantile")).alias("upto")
+    )
+    # a rank is a whole number of rows
+    off = sketches.rank_error(200) * F.col("n") + 1
+    within = (F.col("below") - off <= F.col("share") * F.col("n")) & (F.col("share") * F.col("n") <= F.col("upto") + off)
+    return counted.select("bucket", "n", "share", within.cast("bigint").alias("within"))
+
+
 PARTS_AT_ONCE = 8
 
 
