@@ -15,7 +15,6 @@ come from union-find inside tasks, then from label contraction between them.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -37,8 +36,6 @@ CELL_BITS = 22
 CELL_BLOCK = 1 << 12
 # bits that bound from below in how many elements two sets differ
 PARITY_BITS = 2048
-# documents of an element that are divided by size
-MANY = 256
 
 
 @dataclass(frozen=True)
@@ -380,39 +377,28 @@ def remaining(groups: DataFrame, docs: DataFrame, how: NearDuplicates) -> DataFr
     first, and where that is, enough elements must follow in both.  Rare elements are
     what a copy does not have from its original: texts of one pattern that differ too
     much have their own elements first, so that none of the pattern's brings them
-    together.  Of an element's documents those of its largest group meet only others;
-    elements of many documents are divided by the sets' sizes.
+    together.  Of an element's documents those of its largest group meet only others.
     """
     p = how.percent
     grouped = saved(prefixes(docs, how).join(groups, "id"), "prefixes")
     each = grouped.select("id", "n", "component", F.posexplode("first").alias("at", "element"), "own").withColumn("short", F.col("at") < F.col("own")).drop("own")
     several = each.groupBy("element").agg(
-        F.min("component").alias("least"), F.max("component").alias("most"), F.max("short").alias("any_short"), F.count("*").alias("many")
+        F.min("component").alias("least"), F.max("component").alias("most"), F.max("short").alias("any_short")
     )
-    several = several.filter("least <> most and any_short").select("element", "many")
-    met = saved(each.join(several, "element"), "elements")
+    several = several.filter("least <> most and any_short").select("element")
+    met = saved(each.join(several, "element", "left_semi"), "elements")
     counts = met.groupBy("element", "component").agg(F.count("*").alias("own_many"))
     largest = counts.groupBy("element").agg(F.max_by("component", F.struct("own_many", "component")).alias("largest"))
     each = saved(met.join(largest, "element").withColumn("minor", F.col("component") != F.col("largest")).drop("largest"), "elements")
-    # steps of size: alike sets are in one, or in two that follow each other; a little wide, for rounding
-    wide = max(1e-3, 1.001 * math.log(100 / p))
-    step = F.when(F.col("many") > MANY, F.floor(F.log("n") / wide)).otherwise(-1).cast("int")
-    # 0: minor ones for all; 1: major ones for minor ones
-    both = F.when(F.col("minor"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    probes = each.select("id", "n", "component", "at", "element", step.alias("step"), F.explode(both).alias("kind"))
-    steps = F.when(F.col("many") > MANY, F.array(step, step + 1)).otherwise(F.array(step))
-    index = each.filter("short").select(
-        *(F.col(c).alias(f"m_{c}") for c in ("id", "n", "component", "at", "element")),
-        F.explode(steps).alias("m_step"),
-        F.when(F.col("minor"), 0).otherwise(1).alias("m_kind"),
-    )
-    key = (F.col("element") == F.col("m_element")) & (F.col("step") == F.col("m_step")) & (F.col("kind") == F.col("m_kind"))
+    short = each.filter("short").select(*(F.col(c).alias(f"m_{c}") for c in ("id", "n", "component", "at", "element", "minor")))
     smaller = (F.col("m_n") < F.col("n")) | ((F.col("m_n") == F.col("n")) & (F.col("m_id") < F.col("id")))
     most = F.least(F.col("n") - F.col("at"), F.col("m_n") - F.col("m_at"))
     enough = (100 + p) * most >= p * (F.col("n") + F.col("m_n"))
     alike = 100 * F.col("m_n") >= p * F.col("n")
-    meet = key & (F.col("component") != F.col("m_component")) & smaller & enough & alike
-    pairs = probes.join(index, meet).select(F.greatest("id", "m_id").alias("a"), F.least("id", "m_id").alias("b")).distinct()
+    meet = (F.col("element") == F.col("m_element")) & (F.col("component") != F.col("m_component")) & smaller & enough & alike
+    found = [each.join(short.filter("m_minor"), meet), each.filter("minor").join(short.filter("not m_minor"), meet)]
+    ends = (F.greatest("id", "m_id").alias("a"), F.least("id", "m_id").alias("b"))
+    pairs = found[0].select(*ends).unionByName(found[1].select(*ends)).distinct()
     pairs = saved(_near_enough(pairs, grouped, p), "pairs")
     discard(docs.sparkSession, grouped, met, each)
     return pairs
