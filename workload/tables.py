@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from tidelog.functions import text
 from tidelog.operators import merge, progress
 from tidelog.operators.mapping import MAP
+from tidelog.operators.snapshots import KeyedSnapshot
 from tidelog.plans.sample_log import N_PIPELETS, load
 from tidelog.shared import scratch_path
 from tidelog.sources import delimited, tables
@@ -316,3 +317,20 @@ def publish_versions(spark, sf_dir):
     return both.groupBy(F.col("version").cast("bigint").alias("version"), "bucket").agg(
         F.count("*").alias("n_rows"), F.sum("msg_id").alias("ids")
     )
+
+
+@query(
+    "snapshot_files",
+    _MERGE_INPUT
+    + """select k, version, status, price from both_inputs
+      qualify row_number() over (partition by k order by is_increment desc, version desc) = 1""",
+)
+def snapshot_files(spark, sf_dir):
+    """The same merge into files by key range, of which only those with keys of the increment are rewritten."""
+    increment, snapshot = _merge_inputs(spark, sf_dir)
+    whole = KeyedSnapshot(spark, scratch_path(spark, "snapshot"), snapshot.schema, "k", "version", rows_per_file=5_000)
+    whole.create(snapshot)
+    # new keys first, which no file has; then those that there are
+    whole.merge(increment.filter("k < 0"))
+    whole.merge(increment.filter("k >= 0"))
+    return whole.read()
