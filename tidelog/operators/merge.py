@@ -27,9 +27,12 @@ def union_inputs(increment: DataFrame, snapshot: DataFrame) -> DataFrame:
 
 
 def _newest_first(df: DataFrame, version: str) -> list[Column]:
-    """Newest version first; equal versions by a hash of the row, so that reruns agree."""
-    plain = [c for c, kind in df.dtypes if not kind.startswith("map")]
-    return [F.desc(version), F.xxhash64(*plain)]
+    """Newest version first; equal versions by a hash of the row, then by its columns, so that reruns agree.
+
+    Columns with maps at any depth are left out: maps have no order.
+    """
+    plain = [c for c, kind in df.dtypes if "map<" not in kind]
+    return [F.desc(version), F.xxhash64(*plain), *(F.col(f"`{c}`") for c in plain)]
 
 
 def snapshot_merge(
