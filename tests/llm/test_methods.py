@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidelog.llm import chat, decontaminate, licenses, minhash, substrings
+from tidelog.llm import chat, decontaminate, fingerprint, licenses, minhash, substrings
 from tidelog.llm import common
 from tidelog.llm.common import rolling, word_hashes
 
@@ -198,3 +198,35 @@ def test_escapes_are_undone(text):
         assert chat.unescape(escape(text)) == text
     kept = [m[0] for m in chat._MARK.finditer(chat.escape(text))]
     assert not {"<turn>", "</turn>"} & set(kept)
+
+
+def test_differing_branches_locate_edits(spark):
+    lines = [f"line {i} of a text that has more words than eight of them in all. And a second sentence {i}." for i in range(60)]
+    edited = list(lines)
+    edited[7] = lines[7].replace("second", "third")
+    edited[31] = "quite another line"
+    added = [*lines[:20], "a line in between", *lines[20:]]
+    cases = {
+        "equal": ("\n".join(lines), "\n".join(lines), [], []),
+        "edited": ("\n".join(edited), "\n".join(lines), [7, 31], [[2], [0]]),
+        "added": ("\n".join(added), "\n".join(lines), [20], [[0]]),
+        "removed": ("\n".join(lines), "\n".join(added), [], []),
+        "empty": ("", "\n".join(lines), [0], [[]]),
+        "null": (None, "", [], []),
+    }
+    df = spark.createDataFrame([(k, a, b) for k, (a, b, *_) in cases.items()], "name string, a string, b string")
+    for c in ("a", "b"):
+        df = fingerprint.fingerprint(df, c, f"f{c}")
+    df = fingerprint.differences(df, "fa", "fb", "differs").select("name", "fa", "fb", "differs")
+    for r in df.collect():
+        *_, want, pieces = cases[r.name]
+        assert [x.line for x in r.differs.lines] == want and [x.pieces for x in r.differs.lines] == pieces, r.name
+        # few of some dozen sections
+        assert (r.fa == r.fb) == (not r.differs.sections) or r.name == "removed"
+        if r.name == "edited":
+            assert 1 <= len(r.differs.sections) <= 4
+    moved = spark.createDataFrame([("\n".join(lines[::-1]), "\n".join(lines))], "a string, b string")
+    for c in ("a", "b"):
+        moved = fingerprint.fingerprint(moved, c, f"f{c}")
+    got = fingerprint.differences(moved, "fa", "fb", "differs").first().differs
+    assert got.sections and got.lines == []

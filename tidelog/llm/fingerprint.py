@@ -63,6 +63,64 @@ def likeness(a: Column, b: Column, pieces_a: Column, pieces_b: Column) -> Column
     return F.when(a == b, F.lit(1.0)).when(total == 0, F.lit(0.0)).otherwise(2.0 * common / F.greatest(total, F.lit(1)))
 
 
+def _branches(fingerprint: Column) -> Column:
+    """The tree's sections: hash, and paragraphs with hash and piece hashes."""
+
+    def parts(text: Column, mark: str) -> Column:
+        # what stands before the first mark is the branch's own hash
+        found = F.split(text, mark, -1)
+        return F.slice(found, F.lit(2), F.greatest(F.size(found) - 1, F.lit(0)))
+
+    def paragraph(p: Column) -> Column:
+        return F.struct(F.substring(p, 1, 32).alias("hash"), parts(p, r"\.").alias("pieces"))
+
+    def section(s: Column) -> Column:
+        return F.struct(F.substring(s, 1, 32).alias("hash"), F.transform(parts(s, "P"), paragraph).alias("paragraphs"))
+
+    return F.transform(parts(fingerprint, "S"), section)
+
+
+def differences(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
+    """Add ``name``: where the text of fingerprint ``a`` differs from that of ``b``.
+
+    A struct of ``sections``, the numbers of a's sections that b does not have, and
+    ``lines``: of the paragraphs in them that b's other sections do not have, the number
+    (of the line, from 0), and the numbers of the ``pieces`` that b's paragraphs of that
+    kind do not have.  The walk goes from the root to sections, paragraphs and pieces,
+    and leaves equal branches alone; both lists are empty for equal roots.  Sections
+    without lines say that paragraphs were moved or repeated.  Null fingerprints differ
+    in nothing.
+    """
+    df = df.withColumns({"_a": _branches(F.col(a)), "_b": _branches(F.col(b))})
+    gone = F.array_except(F.transform("_a", lambda s: s["hash"]), F.transform("_b", lambda s: s["hash"]))
+    came = F.array_except(F.transform("_b", lambda s: s["hash"]), F.transform("_a", lambda s: s["hash"]))
+    df = df.withColumns({"_gone": gone, "_came": came})
+    # all paragraphs in order, so that their places are those of lines
+    lines = F.flatten(
+        F.transform("_a", lambda s: F.transform(s["paragraphs"], lambda p: F.struct(p["hash"].alias("hash"), p["pieces"].alias("pieces"), s["hash"].alias("section"))))
+    )
+    others = F.flatten(F.transform(F.filter("_b", lambda s: F.array_contains("_came", s["hash"])), lambda s: s["paragraphs"]))
+    df = df.withColumns({"_lines": F.transform(lines, lambda p, i: F.struct(i.alias("line"), p["hash"].alias("hash"), p["pieces"].alias("pieces"), p["section"].alias("section"))), "_others": others})
+    open_ = F.filter("_lines", lambda p: F.array_contains("_gone", p["section"]))
+    new = F.array_except(F.transform(open_, lambda p: p["hash"]), F.transform("_others", lambda p: p["hash"]))
+    df = df.withColumns({"_open": open_, "_new": new, "_pieces": F.array_distinct(F.flatten(F.transform("_others", lambda p: p["pieces"])))})
+    numbered = lambda p: F.transform(p["pieces"], lambda x, i: F.struct(x.alias("hash"), i.alias("place")))
+    changed = F.transform(
+        F.filter("_open", lambda p: F.array_contains("_new", p["hash"])),
+        lambda p: F.struct(
+            p["line"].alias("line"),
+            F.transform(F.filter(numbered(p), lambda x: ~F.array_contains("_pieces", x["hash"])), lambda x: x["place"]).alias("pieces"),
+        ),
+    )
+    places = F.transform(
+        F.filter(F.transform("_a", lambda s, i: F.struct(s["hash"].alias("hash"), i.alias("place"))), lambda s: F.array_contains("_gone", s["hash"])),
+        lambda s: s["place"],
+    )
+    found = F.when(F.col(a) == F.col(b), F.struct(F.array().cast("array<int>").alias("sections"), F.array().cast("array<struct<line:int,pieces:array<int>>>").alias("lines")))
+    df = df.withColumn(name, found.otherwise(F.struct(places.alias("sections"), changed.alias("lines"))))
+    return df.drop("_a", "_b", "_gone", "_came", "_lines", "_others", "_open", "_new", "_pieces")
+
+
 def _count_below(key: Column, edges: Sequence[int]) -> Column:
     """How many edges are smaller than the key; two short searches for many edges."""
     width = max(1, int(len(edges) ** 0.5))
