@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import ipaddress
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,6 +59,54 @@ def test_hooks_fill_a_rules_outputs(spark):
             outs(*wrong)
 
 
+def model(rules, fields):
+    """Rules one after the other on a dict; a hook refuses rows without an even last input."""
+    left, event = dict(fields), {}
+    for ins, outs, refuses in rules:
+        values = [left.get(n) for n in ins]
+        if refuses and not (values[-1] is not None and int(values[-1]) % 2 == 0):
+            continue
+        event |= {n: values[-1] for n in outs}
+        for n in ins:
+            left.pop(n, None)
+    return event, left
+
+
+def if_even(ins, outs):
+    last = list(ins.values())[-1]
+    return HookResult({n: last for n in outs}, last.cast("int") % 2 == 0)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_rules_with_refusing_hooks_against_a_model(spark, seed):
+    rng = random.Random(seed)
+    names = "abcdef"
+    drawn = [(tuple(rng.sample(names, rng.randint(1, 2))), tuple(rng.sample("uvwxyz", rng.randint(1, 2))), rng.random() < 0.6) for _ in range(9)]
+    rows = [(i, {n: str(rng.randrange(10)) for n in names if rng.random() < 0.8}) for i in range(40)]
+    df = spark.createDataFrame(rows, "i bigint, fields map<string,string>")
+    rules = [MapRule(ins, outs, if_even if refuses else "copy") for ins, outs, refuses in drawn]
+    for r in apply_rules(df, rules, keep=("i",)).collect():
+        event, left = model(drawn, rows[r.i][1])
+        got = {k: v for k, v in r.asDict().items() if k not in ("i", "event_loginfo")}
+        assert {k: v for k, v in got.items() if v is not None} == {k: v for k, v in event.items() if v is not None}
+        assert r.event_loginfo == left
+
+
+def test_refusing_rules_are_layers_not_a_projection_each(spark):
+    """45 rules, of which ten may refuse a row: two of them share a field."""
+    fields = {f"f{i}": str(i) for i in range(45)}
+    rules = [MapRule((f"f{i}",), (f"o{i}",), if_even if i % 5 == 0 else "copy") for i in range(44)]
+    rules.append(MapRule(("f0", "f5"), ("o44",), if_even))
+    df = spark.createDataFrame([(fields,)] * 3, "fields map<string,string>")
+    start = time.perf_counter()
+    out = apply_rules(df, rules)
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Project [") <= 6 and time.perf_counter() - start < 20
+    row = out.first()
+    assert row.o0 == "0" and row.o5 is None and row.o6 == "6" and row.o44 is None
+    assert sorted(row.event_loginfo) == sorted(f"f{i}" for i in (5, 15, 25, 35, 44))
+
+
 def test_later_rule_overwrites_an_output(spark):
     row = run(bag(spark, a="1", b="2"), MapRule(("a",), ("x",)), MapRule(("b",), ("x",)))
     assert row["x"] == "2"

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,7 +50,9 @@ def apply_rules(
 
     Three projections, whatever the number of rules: the first takes the inputs
     out of the map, the second decodes them, so that a hook may use one often;
-    the third has the hooks.  A hook that may refuse rows has one more.
+    the third has the hooks.  Rules that may refuse rows depend on each other only by
+    the fields they share: they are answered in layers, one projection each, and a rule
+    that shares no field with an earlier one of them is in the first.
     ``decode`` is applied to each value that is used, if ``fields`` holds raw ones.
     """
     hooks = {**COMMON_HOOKS, **(hooks or {})}
@@ -62,29 +66,42 @@ def apply_rules(
     taken = df.selectExpr(*others, unnamed, *raw).selectExpr(*others, "_left", *decoded)
 
     gone: set[str] = set()  # on every row
-    depends: list[str] = []  # conditions under which more fields are left
+    claims: dict[str, list[int]] = {}  # rules that take a field from some rows
+    layer: dict[int, int] = {}
+    answers: list[list[Column]] = []
     event: dict[str, Column] = {}
+
+    def left(name: str) -> Column:
+        """The field, unless an earlier rule has taken it."""
+        if name in gone:
+            return F.lit(None).cast("string")
+        taken_by = [F.col(f"_rule{i}")["_ok"] for i in claims.get(name, ())]
+        return F.when(~reduce(or_, taken_by), F.col(at[name])) if taken_by else F.col(at[name])
+
     with text.java_charsets(df.sparkSession):
         for i, rule in enumerate(rules):
             hook = rule.hook if callable(rule.hook) else hooks[rule.hook]
-            ins = {n: F.lit(None).cast("string") if n in gone else F.col(at[n]) for n in rule.ins}
-            result = hook(ins, rule.outs)
+            result = hook({n: left(n) for n in rule.ins}, rule.outs)
             if isinstance(result, HookResult) and result.ok is not None:
                 # its answer decides about other columns, so it is a column itself
                 answer = F.struct(
                     *(c.alias(n) for n, c in result.values.items()), F.coalesce(result.ok, F.lit(False)).alias("_ok")
                 )
-                taken = taken.withColumn(f"_rule{i}", answer)
+                before = [layer[j] for n in rule.ins if n not in gone for j in claims.get(n, ())]
+                layer[i] = 1 + max(before, default=-1)
+                answers += [[]] * (layer[i] + 1 - len(answers))
+                answers[layer[i]] = [*answers[layer[i]], answer.alias(f"_rule{i}")]
                 row = F.col(f"_rule{i}")
                 for name in result.values:
-                    before = event.get(name)
-                    event[name] = F.when(row["_ok"], row[name]).otherwise(before)
+                    event[name] = F.when(row["_ok"], row[name]).otherwise(event.get(name))
                 for name in set(rule.ins) - gone:
-                    taken = taken.withColumn(at[name], F.when(~row["_ok"], F.col(at[name])))
-                    depends.append(f"(k != {text.quoted(name)} or not _rule{i}._ok)")
+                    claims.setdefault(name, []).append(i)
             else:
                 event.update(result.values if isinstance(result, HookResult) else result)
                 gone.update(rule.ins)
+        for columns in answers:
+            taken = taken.select("*", *columns)
+        depends = [f"(k != {text.quoted(n)} or not _rule{i}._ok)" for n, by in claims.items() if n not in gone for i in by]
         event.pop(leftovers, None)
         rest = _without(fields, gone, depends) if depends else "_left"
         if decode is not None:
