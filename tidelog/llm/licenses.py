@@ -22,6 +22,8 @@ from tidelog.llm.common import rolling, rows_of, text_bytes, word_hashes
 
 # a copy of GRAM + SPREAD - 1 words shares a fingerprint for sure
 GRAM, SPREAD = 3, 3
+# templates of fewer words are found by each of their shorter grams: edits leave few of the longer ones
+SHORT, SHORT_GRAM = 24, 2
 # how far an alignment may leave the diagonal, in words; less for short templates
 BAND = 8
 
@@ -62,11 +64,23 @@ TEMPLATES = {
         "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
         "later version."
     ),
+    "GPL-2.0 notice": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any "
+        "later version."
+    ),
+    "LGPL-3.0 notice": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version."
+    ),
     "MPL-2.0 notice": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
         "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
     ),
     "CC BY 4.0 line": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC BY 4.0 short line": "Licensed under CC BY 4.0.",
+    "CC BY-ND 4.0 line": "Licensed under CC BY-ND 4.0.",
     "CC BY-SA 4.0 line": "Licensed under CC BY-SA 4.0.",
     "CC BY-NC 4.0 line": "Licensed under CC BY-NC 4.0.",
     "Unlicense notice": "This is free and unencumbered software released into the public domain.",
@@ -99,6 +113,34 @@ def fingerprints(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, grams[at]
 
 
+def all_grams(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of every short gram."""
+    grams = rolling(hashes, min(SHORT_GRAM, max(1, len(hashes))))
+    return np.arange(len(grams)), grams
+
+
+class Index:
+    """Templates by fingerprint."""
+
+    def __init__(self, words: list[np.ndarray], chosen: list[int], prints):
+        self.prints = prints
+        index: dict[int, list[tuple[int, int]]] = {}
+        for t in chosen:
+            for at, h in zip(*prints(words[t]), strict=True):
+                index.setdefault(int(h), []).append((t, int(at)))
+        self.index = index
+        self.keys = np.sort(np.fromiter(index, np.uint64, len(index)))
+
+    def hits(self, hashes: np.ndarray) -> set[tuple[int, int]]:
+        """Templates that share a fingerprint with a document, and on which diagonal."""
+        places, found = self.prints(hashes)
+        if not len(self.keys) or not len(found):
+            return set()
+        near = np.searchsorted(self.keys, found).clip(max=len(self.keys) - 1)
+        some = np.flatnonzero(self.keys[near] == found)
+        return {(t, int(places[i]) - at) for i in some for t, at in self.index[int(found[i])]}
+
+
 def band_of(template: Sequence[int]) -> int:
     return min(BAND, len(template) // 4 + 1)
 
@@ -137,23 +179,15 @@ class Scanner:
         self.names = list(templates)
         self.min_coverage = min_coverage
         self.words = word_hashes([t.encode().translate(_NORMAL) for t in templates.values()])
-        index: dict[int, list[tuple[int, int]]] = {}
-        for t, hashes in enumerate(self.words):
-            for at, h in zip(*fingerprints(hashes), strict=True):
-                index.setdefault(int(h), []).append((t, int(at)))
-        self.index = index
-        self.keys = np.sort(np.fromiter(index, np.uint64, len(index)))
+        short = [t for t, w in enumerate(self.words) if len(w) < SHORT]
+        long = [t for t, w in enumerate(self.words) if len(w) >= SHORT]
+        self.indexes = [Index(self.words, short, all_grams), Index(self.words, long, fingerprints)]
 
     def scan(self, hashes: np.ndarray) -> list[Match]:
-        """Matches in a document's word hashes; where some overlap, the longest stays."""
-        if not len(self.keys) or not len(hashes):
-            return []
-        places, found = fingerprints(hashes)
-        near = np.searchsorted(self.keys, found).clip(max=len(self.keys) - 1)
-        some = np.flatnonzero(self.keys[near] == found)
-        if not len(some):
+        """Matches in a document's word hashes; where some overlap, the longest stays, of equal ones that with more of its template."""
+        if not len(hashes):
             return []
-        hits = sorted({(t, int(places[i]) - at) for i in some for t, at in self.index[int(found[i])]})
+        hits = sorted(set().union(*(index.hits(hashes) for index in self.indexes)))
         matches = set()
         last: tuple[int, int] | None = None
         for t, diagonal in hits:
@@ -169,7 +203,7 @@ class Scanner:
                 matches.add(Match(t, low + start, low + end, matched))
         kept: list[Match] = []
         taken = np.zeros(len(hashes), bool)
-        for m in sorted(matches, key=lambda m: (-m.matched, m.end - m.start, m.start, m.template)):
+        for m in sorted(matches, key=lambda m: (-m.matched, len(self.words[m.template]), m.end - m.start, m.start, m.template)):
             if not taken[m.start : m.end].any():
                 taken[m.start : m.end] = True
                 kept.append(m)
