@@ -155,7 +155,7 @@ def test_a_bucket_that_stays_incomplete_is_given_up(spark, tmp_path):
 
 def test_old_buckets_are_forgotten(spark, tmp_path):
     batches = [*FIVE, [row(0, 77, 1)], [row(0, 78, 1), row(0, 50, 50), row(1, 51, 50)]]
-    etl = run_all(spark, tmp_path, batches, remember=15)
+    etl = run_all(spark, tmp_path, batches, remember=15, keep_batches=1)
     assert {r.partition for r in etl.status(6).collect()} == {f"2024010100{m:02d}" for m in (40, 50)}
     assert _ids(etl.late(6)) == [(0, 77), (0, 78)] and len(public_buckets(etl)) == 5
 

@@ -207,8 +207,9 @@ class StreamEtl:
                 self._merge_parts(last)
             for b in range(first, last + 1):
                 fs.delete(path_of(self._path("staged", b)), True)
+            first = last + 1
         if frontier is not None:
-            self._remember(status, newest, frontier, batch_id)
+            self._remember(status, newest, frontier, first, batch_id)
 
     def _merge_parts(self, last: int) -> None:
         small = self._aside.manifest().filter(F.col("n_rows") < _SMALL)
@@ -218,12 +219,17 @@ class StreamEtl:
             self._aside.commit(rows.withColumn("part", F.lit(f"{last:012d}")), name=f"merged-{last}", remove=gone)
         self._aside.vacuum(self.keep_versions)
 
-    def _remember(self, status: DataFrame, newest: DataFrame, frontier: str, batch_id: int) -> None:
-        """Forget buckets that are done and old; the newest of them is noted."""
+    def _remember(self, status: DataFrame, newest: DataFrame, frontier: str, staged: int, batch_id: int) -> None:
+        """Forget buckets that are done and old; the newest of them is noted.
+
+        Batches up to the one that was the last for a bucket are no longer ``staged``, so
+        whatever is still found of it is late.
+        """
         done = F.col("published_batch").isNotNull() | F.col("given_up_batch").isNotNull()
+        settled = F.coalesce("published_batch", "given_up_batch") < staged
         old = key_minutes(F.lit(frontier)) - key_minutes(F.col("partition")) > self.remember
         open_ = status.filter(~done).agg(F.min("partition").alias("p")).first()["p"]
-        gone = done & old & (F.col("partition") < F.lit(open_ or "9"))
+        gone = F.coalesce(done & old & settled, F.lit(False)) & (F.col("partition") < F.lit(open_ or "9"))
         horizon = status.filter(gone).agg(F.max("partition").alias("h")).first()["h"]
         if horizon is None:
             return
