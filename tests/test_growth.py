@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import functions as F
 
 from tidelog.operators import ids
+from tidelog.streaming.shards import ShardProgress
 from workload import QUERIES, load_all
 
 load_all()
@@ -24,3 +27,22 @@ def test_rounds_of_a_long_pipe_are_bounded(spark, tmp_path, monkeypatch):
     got = sorted(map(tuple, QUERIES["dedupe_intervals"](spark, sf_dir).collect()))
     assert got == sorted((i % 16, i // 16, i // 3000) for i in set(found))
     assert len(rounds) <= 16
+
+
+
+def test_state_is_asked_once_for_each_bucket():
+    calls, held = [], {}
+
+    def updated(key, value):
+        calls.append(key)
+        held[key] = value
+
+    progress = ShardProgress()
+    progress.open = SimpleNamespace(containsKey=held.__contains__, getValue=held.get, updateValue=updated, keys=lambda: list(held), removeKey=held.pop)
+    progress.newest = SimpleNamespace(exists=lambda: False, update=lambda value: None)
+    progress.handle = SimpleNamespace(listTimers=list, registerTimer=lambda at: None)
+    start = SimpleNamespace(timestamp=lambda: 0)
+    rows = [SimpleNamespace(bucket=b, start=start, n_rows=n) for b, n in [("202401010000", 2), ("202401020000", 1), ("202401010000", 3)] * 50]
+    out = list(progress.handleInputRows((4,), iter(rows), None))
+    assert len(calls) == 2
+    assert [(r.pipelet, r.kind, r.bucket, r.n_rows) for r in out] == [(4, "sealed", "202401010000", 250)]
