@@ -6,7 +6,9 @@ from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
+from tidelog.functions import text
 from tidelog.operators import ids
+from tidelog.plans.sample_log import messages
 from tidelog.streaming.shards import ShardProgress
 from workload import QUERIES, load_all
 
@@ -29,6 +31,11 @@ def test_rounds_of_a_long_pipe_are_bounded(spark, tmp_path, monkeypatch):
     assert len(rounds) <= 16
 
 
+def test_lines_of_one_small_file_are_the_work_of_all_cores(spark, tmp_path):
+    lines = messages(spark, _events(spark, tmp_path, range(100)))
+    assert lines.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
+    assert lines.count() == 100
+
 
 def test_state_is_asked_once_for_each_bucket():
     calls, held = [], {}
@@ -46,3 +53,10 @@ def test_state_is_asked_once_for_each_bucket():
     out = list(progress.handleInputRows((4,), iter(rows), None))
     assert len(calls) == 2
     assert [(r.pipelet, r.kind, r.bucket, r.n_rows) for r in out] == [(4, "sealed", "202401010000", 250)]
+
+
+def test_pairs_take_no_token_apart_whole(spark):
+    lines = spark.createDataFrame([("a=1=2 b c= =d e==f é=ü=x",), ("a=1 b=2 a=3=4 b",), ("",)], "x string")
+    got = [r.m for r in lines.select(text.pairs_to_map("x", " ").alias("m")).collect()]
+    assert got == [{"a": "1", "b": "", "c": "", "": "d", "e": "", "é": "ü"}, {"a": "3", "b": ""}, {"": ""}]
+    assert "split_part" not in text.raw_pairs_sql("x", " ")

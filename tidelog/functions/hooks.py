@@ -75,7 +75,7 @@ def date_time(ts: Column, zone: str = "UTC", date: str = "date", time: str = "ti
     def hook(ins: Ins, outs: Sequence[str]) -> dict[str, Column]:
         parts = {
             "year": F.year(ts).cast("string"),
-            "month": F.split_part(ins[date], F.lit("-"), F.lit(1)),
+            "month": F.substring_index(ins[date], "-", 1),
             "time": ins[time],
             "timestamp": clock.epoch_seconds(ts, zone).cast("string"),
             "day": F.split_part(ins[date], F.lit("-"), F.lit(2)),
@@ -107,9 +107,9 @@ def ip_geo(lookup: Column) -> Hook:
 
 
 def _params(url: str, quirks: bool) -> Column:
-    params = f"split_part({url}, '?', 2)"
-    pairs = text.pairs_to_map_sql(params, "&")
-    return F.expr(pairs if quirks else f"case when length({params}) > 0 then {pairs} else {text.EMPTY_MAP} end")
+    pairs = text.pairs_to_map_sql("ps", "&")
+    parsed = pairs if quirks else f"case when length(ps) > 0 then {pairs} else {text.EMPTY_MAP} end"
+    return F.expr(text.bind_sql(text.second_part_sql(url, "?"), "ps", parsed))
 
 
 def url_split(quirks: bool = False, query_param: str = "word", host: str = "host", url: str = "url") -> Hook:
@@ -122,7 +122,7 @@ def url_split(quirks: bool = False, query_param: str = "word", host: str = "host
 
     def hook(ins: Ins, outs: Sequence[str]) -> dict[str, Column]:
         h, u = (f"coalesce({text.sql_of(ins[n])}, '')" for n in (host, url))
-        params = f"split_part({u}, '?', 2)"
+        params = text.second_part_sql(u, "?")
         found = text.from_carrier_sql(f"regexp_extract({text.to_carrier_sql(params)}, {phrase}, 1)")
         parts = {
             "url": F.expr(f"concat({h}, {u})"),

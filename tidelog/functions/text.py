@@ -135,9 +135,20 @@ def escape_invalid(x: Column | str) -> Column:
     )
 
 
+_KEY = "substring_index(t, '=', 1)"
+# what is between the first and the second "="; split_part would take a token apart whole
+_VALUE = f"substr(substring_index(t, '=', 2), length({_KEY}) + 2)"
+
+
+def second_part_sql(x: str, sep: str) -> str:
+    """``split_part(x, sep, 2)``, which compiles a pattern for every row, for text of one-character separators."""
+    after = f"substr(substring_index({x}, '{sep}', 2), length(substring_index({x}, '{sep}', 1)) + 2)"
+    return f"case when is_valid_utf8({x}) then {after} else split_part({x}, '{sep}', 2) end"
+
+
 def _last_wins_sql(x: str, sep: str) -> str:
     """Pairs with repeated keys: last value, first position, in O(n log n)."""
-    token = "named_struct('k', substring_index(t, '=', 1), 'i', i, 'v', split_part(t, '=', 2))"
+    token = f"named_struct('k', {_KEY}, 'i', i, 'v', {_VALUE})"
     tokens = f"array_sort(transform(split({x}, '{sep}'), (t, i) -> {token}))"
     merged = bind_sql(
         tokens,
@@ -156,12 +167,10 @@ def raw_pairs_sql(x: str, sep: str) -> str:
     twice.  That is looked for in the row, so the session's policy for repeated map
     keys does not matter.
     """
-    entry = "named_struct('k', substring_index(t, '=', 1), 'v', split_part(t, '=', 2))"
-    return bind_sql(
-        f"transform(split({x}, '{sep}'), t -> {entry})",
-        "es",
-        f"case when size(array_distinct(es.k)) = size(es) then map_from_entries(es) else {_last_wins_sql(x, sep)} end",
-    )
+    keys = f"transform(ts, t -> {_KEY})"
+    pairs = f"map_from_arrays(ks, transform(ts, t -> {_VALUE}))"
+    unique = f"case when size(array_distinct(ks)) = size(ks) then {pairs} else {_last_wins_sql(x, sep)} end"
+    return bind_sql(f"split({x}, '{sep}')", "ts", bind_sql(keys, "ks", unique))
 
 
 def map_values_sql(m: str, steps: Sequence[Sql]) -> str:

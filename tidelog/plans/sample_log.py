@@ -76,10 +76,20 @@ def line() -> Column:
     )
 
 
+def dealt(events: DataFrame) -> DataFrame:
+    """The rows in tasks of equal size, two a core at least.
+
+    An event takes a few bytes of its file and many times the work of reading it: a file
+    of few row groups would be the work of few tasks, whatever cores there are.
+    """
+    n = 2 * events.sparkSession.sparkContext.defaultParallelism
+    return events.repartition(n if events.isStreaming else max(n, events.rdd.getNumPartitions()))
+
+
 def messages_from_events(events: DataFrame) -> DataFrame:
     """``pipelet, msg_id, body, ingest_ts, arrival``; one message in seven arrives late."""
     e = F.col("event_id")
-    return events.select(
+    return dealt(events).select(
         (e % N_PIPELETS).alias("pipelet"),
         e.alias("msg_id"),
         line().alias("body"),
