@@ -107,6 +107,50 @@ def test_links_that_no_bucket_holds_are_found(spark):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+@pytest.mark.parametrize("percent", [30, 80, 93])
+def test_alike_sets_name_a_common_cell(spark, percent):
+    """Sets of all sizes, each with one that is just alike enough, or larger, or smaller."""
+    rng, rows = random.Random(percent), []
+    for n in [*range(1, 70), 127, 128, 300]:
+        words = [f"w{rng.randrange(3000)}" for _ in range(2 * n)]
+        whole = list(dict.fromkeys(words))[:n]
+        fewer = whole[: -(percent * len(whole) // -100)]
+        gone = (100 - percent) * len(whole) // (100 + percent)
+        changed = [*whole[gone:], *(f"x{n}y{i}" for i in range(gone))]
+        rows += [(3 * n + i, " ".join(x)) for i, x in enumerate((whole, fewer, changed))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    how = minhash.NearDuplicates(shingle=1, percent=percent)
+    known = spark.sparkContext.broadcast(minhash.levels(docs, how))
+    named = {r.id: set(r.cells) for r in minhash.cells(docs, how, known).collect()}
+    sets = {i: set(t.split()) for i, t in rows}
+    for i in range(0, len(rows), 3):
+        a = rows[i][0]
+        for b in (a + 1, a + 2):
+            assert 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+            assert named[a] & named[b]
+
+
+def test_unlike_texts_do_not_meet_by_chance(spark, monkeypatch):
+    """Few words give few shingles: all texts have rare ones in common with others, ever more as texts become more."""
+    kept = {}
+
+    def counted(df, name):
+        out = common.saved(df, name)
+        kept[name] = out.count()
+        return out
+
+    monkeypatch.setattr(minhash, "saved", counted)
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(80)}" for _ in range(60)) for _ in range(800)]
+    # copies that lost four words; one band of twelve rows leaves most of them to the exact join
+    texts += [" ".join([*t.split()[:56], "own"]) for t in texts[:20]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = minhash.near_duplicates(docs, minhash.NearDuplicates(shingle=2, bands=1, rows=12)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i if i < 800 else i - 800 for i in range(820)}
+    # before there were blocks, 800 texts with 13 elements each met
+    assert 0 < kept["elements"] <= 60 * 13
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=9), max_size=4), st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=30), st.integers(1, 4))
 def test_automaton(items, words, width):

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -310,15 +311,95 @@ def levels(docs: DataFrame, how: NearDuplicates) -> np.ndarray:
     return out.ravel()
 
 
-def prefixes(docs: DataFrame, how: NearDuplicates) -> DataFrame:
+def _differences(a: int, b: int, percent: int) -> int:
+    """In how many elements at most sets of these sizes differ if they are alike enough."""
+    return (100 - percent) * (a + b) // (100 + percent)
+
+
+def _widths(n: int, percent: int) -> list[tuple[int, int, int]]:
+    """For each class of sizes in which a set of n elements is looked for: its number, its cells and how many the set names.
+
+    A class has sizes from a power of two to the next.  A pair is looked for in that of
+    its smaller set, with the same number of cells for both.
+    """
+    found = []
+    for size_class in range((-(percent * n // -100)).bit_length() - 1, n.bit_length()):
+        largest = (2 << size_class) - 1
+        cells = 3 * (_differences(largest, 100 * largest // percent, percent) + 1) // 2 + 1
+        # the set may be the larger one, or in its own class the smaller one
+        other = largest if largest < n else 100 * n // percent
+        found.append((size_class, cells, min(cells, _differences(n, other, percent) + 1)))
+    return found
+
+
+def cells(docs: DataFrame, how: NearDuplicates, known: Broadcast) -> DataFrame:
+    """``id, cells``: keys of which any two sets that are alike enough have one in common.
+
+    A set's elements are dealt to cells by their hashes, to more than alike sets differ
+    in elements.  So some cells have the same content in both, and the best of these,
+    the one that is the least likely by its elements' ``levels``, has no more others
+    before it than there are differences.  Each set names its best cells.  Unlike sets
+    have single elements in common by chance, whole cells of several hardly ever.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level = known.value
+        top = int(level.max()) + 1
+        for ids, texts in rows_of(batches, "id", "text"):
+            sets = shingles(texts, how.shingle)
+            roles = [(i, *role) for i, s in enumerate(sets) if len(s) for role in _widths(len(s), how.percent)]
+            who, size_class, width, named = np.array(roles, np.int64).reshape(-1, 4).T
+            elements = np.concatenate([np.empty(0, np.uint64), *(sets[i] for i in who)])
+            owner = np.repeat(np.arange(len(who)), np.array([len(sets[i]) for i in who], np.int64))
+            first = np.cumsum(width) - width
+            place = first[owner] + (elements % width[owner].astype(np.uint64)).astype(np.int64)
+            total = int(width.sum())
+            content = np.zeros(total, np.uint64)
+            np.add.at(content, place, elements)
+            worth = np.bincount(place, weights=(top - level[_cells(elements)].astype(np.int64)), minlength=total).astype(np.int64)
+            owner = np.repeat(np.arange(len(who)), width)
+            number = np.arange(total) - first[owner]
+            rank = (65535 - np.minimum(worth, 65535)).astype(np.uint64) << np.uint64(48) | content >> np.uint64(16)
+            order = np.lexsort((rank, owner))
+            order = order[number < named[owner]]
+            with np.errstate(over="ignore"):
+                keys = mixed(content[order] + mixed(((size_class[owner[order]] << 40) + number[order] + 1).astype(np.uint64)))
+            ends = np.zeros(len(sets) + 1, np.int64)
+            np.add.at(ends, who + 1, named)
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum(ends), pa.int32()), pa.array(keys.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), lists], names=["id", "cells"])
+
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), text_bytes()).filter("id is not null")
+    return texts.mapInArrow(run, "id bigint, cells array<bigint>")
+
+
+def blocks(groups: DataFrame, docs: DataFrame, how: NearDuplicates, known: Broadcast) -> DataFrame:
+    """``id, block``: sets of different groups that may be alike are in one block; those without such have none.
+
+    ``groups`` has ``id, component``.  Blocks are what keys of ``cells`` connect.
+    """
+    spark = docs.sparkSession
+    named = saved(cells(docs, how, known).join(groups, "id"), "cells")
+    discard(spark)
+    each = named.select("id", "component", F.explode("cells").alias("cell"))
+    shared = each.groupBy("cell").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.min("id").alias("first"))
+    shared = saved(shared.filter("least <> most").select("cell", "first"), "shared")
+    discard(spark)
+    edges = saved(each.join(shared, "cell").filter("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct(), "edges")
+    found = components(edges).withColumnRenamed("component", "block")
+    discard(spark, named, shared, edges)
+    return found.unionByName(found.select(F.col("block").alias("id"), "block").distinct())
+
+
+def prefixes(docs: DataFrame, how: NearDuplicates, known: Broadcast) -> DataFrame:
     """``id, n, parity, first, own``: the first elements of each set, rarest first.
 
     Of two sets that are alike the smaller has one of its first ``own`` elements among
     the larger one's ``first``: they share ``2 p / (100 + p)`` of the smaller at least.
     ``parity`` has a bit for each of ``PARITY_BITS`` cells, set if an odd number of
     elements fall there: sets differ in as many elements at least as in bits.
+    ``known`` has the elements' ``levels``.
     """
-    known = docs.sparkSession.sparkContext.broadcast(levels(docs, how))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = known.value
@@ -377,11 +458,17 @@ def remaining(groups: DataFrame, docs: DataFrame, how: NearDuplicates) -> DataFr
     first, and where that is, enough elements must follow in both.  Rare elements are
     what a copy does not have from its original: texts of one pattern that differ too
     much have their own elements first, so that none of the pattern's brings them
-    together.  Of an element's documents those of its largest group meet only others.
+    together.  Only sets of one of the ``blocks`` meet: in a growing corpus ever more
+    unlike sets have some rare element in common.  Of an element's documents those of
+    its largest group meet only others.
     """
     p = how.percent
-    grouped = saved(prefixes(docs, how).join(groups, "id"), "prefixes")
-    each = grouped.select("id", "n", "component", F.posexplode("first").alias("at", "element"), "own").withColumn("short", F.col("at") < F.col("own")).drop("own")
+    known = docs.sparkSession.sparkContext.broadcast(levels(docs, how))
+    block = blocks(groups, docs, how, known)
+    some = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(block.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+    grouped = saved(prefixes(some, how, known).join(groups, "id").join(block, "id"), "prefixes")
+    each = grouped.select("id", "n", "component", "block", F.posexplode("first").alias("at", "element"), "own")
+    each = each.withColumn("short", F.col("at") < F.col("own")).withColumn("element", F.xxhash64("block", "element")).drop("block", "own")
     several = each.groupBy("element").agg(
         F.min("component").alias("least"), F.max("component").alias("most"), F.max("short").alias("any_short")
     )
