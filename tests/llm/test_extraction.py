@@ -107,3 +107,12 @@ def test_a_long_page(spark):
     words = [f"w{i}" for i in range(300_000)]
     df = spark.createDataFrame([(1, "https://a", "<p>" + " ".join(words)), (2, "https://a", "<p>" + " ".join(words[::-1]))], "page_id bigint, url string, html string")
     assert {r.n_chars for r in extraction.extract_text(df).collect()} == {len(" ".join(words))}
+
+
+def test_articles_keep_what_their_host_repeats(spark):
+    """Lines of several articles stay, though adverts or footers of the host say them, too."""
+    line = "Our readers say that nobody had seen the letter before that night"
+    more = f'<div class="ad">{line}</div>', f"<footer>{line}</footer>", ""
+    rows = [(i, "https://a.example/p", f"<article><h1>Head {i}</h1><p>{line}</p><p>own words {i}</p></article>{m}") for i, m in enumerate(more)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert {r.page_id: r.text for r in extraction.extract_text(df).collect()} == {i: f"Head {i}\n{line}\nown words {i}" for i in range(3)}
