@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidelog.llm import extraction
-from tidelog.llm.extraction import Boilerplate, read_page, repeated_places
+from tidelog.llm.extraction import Boilerplate, article_runs, article_tokens, host_notices, read_page, repeated_places, run_owners
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{x:y}</style></head><body class="no-sidebar">
 <header><h1>Site name</h1></header><nav><ul><li>home<li>news</ul></nav><div class="page with-header">
@@ -116,3 +116,68 @@ def test_articles_keep_what_their_host_repeats(spark):
     rows = [(i, "https://a.example/p", f"<article><h1>Head {i}</h1><p>{line}</p><p>own words {i}</p></article>{m}") for i, m in enumerate(more)]
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
     assert {r.page_id: r.text for r in extraction.extract_text(df).collect()} == {i: f"Head {i}\n{line}\nown words {i}" for i in range(3)}
+
+
+NOTICE = "Write to the editor of this paper if you have seen a mistake"
+SHARED = "The old lighthouse stood above the harbour and nobody had lit it for years"
+
+
+def articles():
+    """Articles of a host that says one notice in most of them, and of hosts that are no evidence."""
+    rows = []
+    for i in range(40):
+        own = "".join(f"<p>{' '.join(f'w{i}x{j}y{k}' for k in range(12))}</p>" for j in range(3))
+        notice = f"<div>{NOTICE}</div>" if i % 20 else ""
+        # a line of three in four articles is text
+        shared = f"<p>{SHARED}</p>" if i % 4 else ""
+        rows.append((i, "https://a.example/p", f"<article><h1>Head {i}</h1>{own}{shared}{notice}</article>"))
+        # nine different articles only, and a copy
+        if i < 10:
+            rows.append((100 + i, "https://few.example/p", f"<article><p>own words of {i % 9}</p><div>{NOTICE}</div><p>{own if i % 9 else ''}</p></article>"))
+        # articles that are copies but for a word
+        rows.append((200 + i, "https://copies.example/p", f"<article><h1>Head {i}</h1><p>{SHARED}</p><p>{NOTICE}</p></article>"))
+    return rows + rows[:5]
+
+
+def marked_text(page, *without):
+    return "\n".join(line for line in read_page(page)[0].split("\n") if line not in without)
+
+
+@pytest.mark.parametrize("how", [Boilerplate(), Boilerplate(chunk=1, articles=1), Boilerplate(chunk=300, articles=4)])
+def test_notices_of_marked_articles_go(spark, how):
+    df = spark.createDataFrame(articles(), "page_id bigint, url string, html string").repartition(3)
+    out = extraction.extract_text(df, how).collect()
+    assert len(out) == len(articles())
+    text = {r.page_id: r.text for r in out}
+    for i, _, page in articles():
+        assert text[i] == marked_text(page, *([NOTICE] if i < 100 else []))
+
+
+@settings(deadline=None, max_examples=60)
+@given(st.lists(st.tuples(st.lists(st.integers(0, 2), max_size=15), st.integers(0, 1)), max_size=6), st.integers(1, 7))
+def test_owners_of_runs(rows, least):
+    streams, groups = [np.array(s, np.uint64) for s, _ in rows], [g for _, g in rows]
+    runs = [[tuple(s[p : p + least]) for p in range(len(s) - least + 1)] for s, _ in rows]
+    plain = [[sum(r in other and groups[j] == g for j, other in enumerate(runs)) for r in own] for own, g in zip(runs, groups)]
+    assert [list(x) for x in run_owners(streams, groups, least)] == plain
+
+
+def test_notices_against_plain_counts(spark):
+    """Small chunks name the same runs as counts over whole hosts."""
+    rng = np.random.default_rng(5)
+    lines = [" ".join(rng.choice(list("abcd"), 6)) for _ in range(8)]
+    rows = []
+    for i in range(120):
+        host = f"h{i % 3}"
+        text = [lines[j] for j in range(8) if rng.random() < 0.97 - 0.04 * j] + [f"own {i}"] * (i % 7 > 0)
+        rows.append((host, str(i % 110).encode(), "\n".join(text), ["p"] * len(text), sum(len(t.split()) + 1 for t in text)))
+    rows = [rows[int(r[1])] for r in rows]
+    different = {(h, a): set(article_runs(article_tokens(t, g)[0], 4).tolist()) for h, a, t, g, _ in rows}
+    plain = {}
+    for host in {h for h, _ in different}:
+        own = [runs for (h, _), runs in different.items() if h == host]
+        plain[host] = {r for runs in own for r in runs if 10 * sum(r in x for x in own) >= 8 * len(own)}
+    df = spark.createDataFrame(rows, "host string, article binary, text string, tags array<string>, tokens bigint").repartition(4)
+    for how in (Boilerplate(least=4, of_ten=8), Boilerplate(least=4, of_ten=8, chunk=20, articles=1)):
+        found = {r.host: set(r.runs) for r in host_notices(df, how).collect()}
+        assert found == {h: r for h, r in plain.items() if r} and found

@@ -7,13 +7,20 @@ boilerplate by what a host's pages share: the token streams of all blocks outsid
 articles are concatenated, a suffix array finds the runs of ``least`` tokens or more that
 occur in different pages of the host, and blocks that such runs cover altogether go.
 
+Articles go through suffix arrays, too, apart from what is outside of them: a block of an
+article is a notice, though no name says so, if runs cover it altogether that nearly all
+different articles of its host have.
+
 Repeats alone would be wrong in both directions: a host with one page has none, and an
-article that two pages carry is text.  So the markup, where it speaks, decides.  Pages
-with equal streams count as one.
+article that two pages carry is text.  So the markup is heard after the arrays: what it
+puts outside goes, and what it marks stays but for notices, or altogether if notices would
+be half of it (the articles are copies then).  Pages with equal streams count as one.
 
 A host is dealt out in chunks of bounded size, each with a suffix array of its own, sorted
 to the depth that coverage asks for; what chunks of one host have in common is found by
-the hashes of their windows.  Any division into chunks gives the same text.
+the hashes of their windows.  What nearly all articles of a host have, nearly all of some
+chunk have, so chunks name the runs that are then counted in every article.  Any division
+into chunks gives the same text.
 
 Null, empty and malformed html give what text they have, or an empty one.  Rows stay,
 repeated ones, too; a null url is a host of its own.
@@ -23,6 +30,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -80,10 +88,18 @@ HOST = r"^(?:[a-z][a-z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
 
 @dataclass(frozen=True)
 class Boilerplate:
-    """``least``: tokens of a repeat, tags among them; ``chunk``: tokens in one suffix array, about."""
+    """``least``: tokens of a repeat, tags among them; ``chunk``: tokens in one suffix array, about.
+
+    An array over articles has not fewer than about ``articles`` of them.  Their run is a
+    notice's if at least ``of_ten`` tenths of a host's different articles have it, and these
+    are ``pages`` or more.
+    """
 
     least: int = 8
     chunk: int = 50_000
+    articles: int = 32
+    of_ten: int = 9
+    pages: int = 10
 
 
 @dataclass
@@ -266,8 +282,8 @@ def _token(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text)
 
 
-def read_page(page: str | None) -> tuple[str | None, list[str], list[bool], np.ndarray, np.ndarray]:
-    """A page's text if the markup places it, and its blocks outside.
+def read_page(page: str | None) -> tuple[str | None, list[str], list[str], list[bool], np.ndarray, np.ndarray]:
+    """A page's text if the markup places it, with the elements of its lines, and the blocks outside.
 
     Of these: texts, whether nothing places them, tokens in a row, and how many each has.
     """
@@ -275,10 +291,11 @@ def read_page(page: str | None) -> tuple[str | None, list[str], list[bool], np.n
     zone = max((s.zone for _, _, s in blocks if not _is_out(s)), default=_NOWHERE)
     # a main part that has the title beside the article
     titled = zone < _ARTICLE or any(s.zone == _ARTICLE and s.heading for _, _, s in blocks)
-    inside, texts, free, tokens, sizes = [], [], [], [], []
+    inside, tags, texts, free, tokens, sizes = [], [], [], [], [], []
     for text, tag, state in blocks:
         if zone and not _is_out(state) and (state.zone == zone or (state.zone == _MAIN and tag == "h1" and not titled)):
             inside.append(text)
+            tags.append(tag)
             continue
         words = text.split(" ")
         texts.append(text)
@@ -286,7 +303,18 @@ def read_page(page: str | None) -> tuple[str | None, list[str], list[bool], np.n
         tokens.append(_token(f"<{tag}>"))
         tokens += map(_token, words)
         sizes.append(1 + len(words))
-    return ("\n".join(inside) if zone else None), texts, free, np.array(tokens, np.uint64), np.array(sizes, np.int64)
+    return ("\n".join(inside) if zone else None), tags, texts, free, np.array(tokens, np.uint64), np.array(sizes, np.int64)
+
+
+def article_tokens(text: str, tags: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """An article's tokens in a row, and how many each line has."""
+    tokens, sizes = [], []
+    for tag, line in zip(tags, text.split("\n")):
+        words = line.split(" ")
+        tokens.append(_token(f"<{tag}>"))
+        tokens += map(_token, words)
+        sizes.append(1 + len(words))
+    return np.array(tokens, np.uint64), np.array(sizes, np.int64)
 
 
 def _read(kind: pa.DataType):
@@ -294,11 +322,13 @@ def _read(kind: pa.DataType):
         for ids, urls, hosts, pages in rows_of(batches, "page_id", "url", "host", "html"):
             out = []
             for page in pages:
-                text, texts, free, tokens, sizes = read_page(page)
+                text, tags, texts, free, tokens, sizes = read_page(page)
                 blocks = [] if text is not None else [{"text": t, "free": f, "tokens": int(n)} for t, f, n in zip(texts, free, sizes)]
                 stream = tokens.tobytes()
-                out.append((text, blocks, stream, xxhash.xxh3_128_digest(stream)))
-            texts, blocks, streams, digests = zip(*out)
+                article = xxhash.xxh3_128_digest("\n".join([text, *tags])) if tags else None
+                words = text.count(" ") + 2 * len(tags) if tags else 0
+                out.append((text, blocks, stream, xxhash.xxh3_128_digest(stream), tags, article, words))
+            texts, blocks, streams, digests, tags, articles, tokens = zip(*out)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, kind),
@@ -308,8 +338,11 @@ def _read(kind: pa.DataType):
                     pa.array(blocks, _BLOCKS),
                     pa.array(streams, pa.binary()),
                     pa.array(digests, pa.binary()),
+                    pa.array(tags, pa.list_(pa.string())),
+                    pa.array(articles, pa.binary()),
+                    pa.array(tokens, pa.int64()),
                 ],
-                names=["page_id", "url", "host", "text", "blocks", "stream", "digest"],
+                names=["page_id", "url", "host", "text", "blocks", "stream", "digest", "tags", "article", "tokens"],
             )
 
     return read
@@ -318,11 +351,11 @@ def _read(kind: pa.DataType):
 _BLOCKS = pa.list_(pa.struct([("text", pa.string()), ("free", pa.bool_()), ("tokens", pa.int64())]))
 
 
-def repeated_places(streams: list[np.ndarray], groups: list[int], least: int) -> list[np.ndarray]:
-    """Where runs of ``least`` tokens start that two streams of a group have, for each stream.
+def run_owners(streams: list[np.ndarray], groups: list[int], least: int) -> list[np.ndarray]:
+    """How many streams of its group have the run of ``least`` tokens that starts at each place, for each stream.
 
     A suffix array over all streams, by prefix doubling up to depth ``least``: suffixes
-    that agree so far are neighbours of equal rank.
+    that agree so far are neighbours of equal rank.  A place too near the end has none.
     """
     sizes = np.array([len(s) for s in streams], np.int64)
     starts = np.cumsum(sizes + 1) - (sizes + 1)
@@ -342,17 +375,23 @@ def repeated_places(streams: list[np.ndarray], groups: list[int], least: int) ->
         behind[: max(total - step, 0)] = order[step:] + 1
         _, order = np.unique(order * (int(order.max(initial=0)) + 2) + behind, return_inverse=True)
         depth += step
-    # positions by rank: the suffix array; runs of one rank whose streams of a group differ
+    # positions by rank: the suffix array; in it, the streams of a group that share a rank
     group = np.array(groups, np.int64)[owner] if total else owner
     suffixes = np.lexsort((owner, group, order))
     new = np.ones(total, bool)
     new[1:] = (np.diff(order[suffixes]) != 0) | (np.diff(group[suffixes]) != 0)
     first = np.flatnonzero(new)
-    last = np.append(first[1:], total) - 1
-    differ = owner[suffixes[first]] != owner[suffixes[last]] if total else np.empty(0, bool)
-    hit = np.zeros(total, bool)
-    hit[suffixes] = np.repeat(differ, np.diff(np.append(first, total)))
-    return [np.flatnonzero(hit[s : s + n]) for s, n in zip(starts, sizes)]
+    another = new.copy()
+    another[1:] |= np.diff(owner[suffixes]) != 0
+    count = np.zeros(total, np.int64)
+    if total:
+        count[suffixes] = np.repeat(np.add.reduceat(another.astype(np.int64), first), np.diff(np.append(first, total)))
+    return [count[s : s + max(n - least + 1, 0)] for s, n in zip(starts, sizes)]
+
+
+def repeated_places(streams: list[np.ndarray], groups: list[int], least: int) -> list[np.ndarray]:
+    """Where runs of ``least`` tokens start that two streams of a group have, for each stream."""
+    return [np.flatnonzero(count > 1) for count in run_owners(streams, groups, least)]
 
 
 def _found(least: int, chunk: int):
@@ -431,19 +470,24 @@ def host_repeats(streams: DataFrame, how: Boilerplate) -> DataFrame:
     return within.unionByName(placed).groupBy("host", "digest").agg(F.flatten(F.collect_list("at")).alias("at"))
 
 
+def _covered(at: np.ndarray, sizes: np.ndarray, least: int) -> np.ndarray:
+    """Which blocks of ``sizes`` tokens the runs that start at the places ``at`` cover altogether."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    edges = np.zeros(total + 1, np.int64)
+    np.add.at(edges, at, 1)
+    np.add.at(edges, at + least, -1)
+    covered = np.cumsum(edges[:total]) > 0
+    return np.array([covered[e - n : e].all() for e, n in zip(ends, sizes)], bool)
+
+
 def _kept(least: int, kind: pa.DataType):
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, urls, blocks, places in rows_of(batches, "page_id", "url", "blocks", "at"):
             texts = []
             for page, at in zip(blocks, places):
-                ends = np.cumsum([b["tokens"] for b in page], dtype=np.int64)
-                total = int(ends[-1]) if len(ends) else 0
-                edges = np.zeros(total + 1, np.int64)
-                found = np.unique(np.array(at or [], np.int64))
-                np.add.at(edges, found, 1)
-                np.add.at(edges, found + least, -1)
-                covered = np.cumsum(edges[:total]) > 0
-                unique = [b["text"] for b, e in zip(page, ends) if b["free"] and not covered[e - b["tokens"] : e].all()]
+                gone = _covered(np.unique(np.array(at or [], np.int64)), np.array([b["tokens"] for b in page], np.int64), least)
+                unique = [b["text"] for b, g in zip(page, gone) if b["free"] and not g]
                 texts.append("\n".join(unique))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, kind), pa.array(urls, pa.string()), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
@@ -452,6 +496,128 @@ def _kept(least: int, kind: pa.DataType):
     return kept
 
 
+def article_runs(tokens: np.ndarray, least: int) -> np.ndarray:
+    """Hashes of all runs of ``least`` tokens; few are ever sought, so 64 bits tell them apart."""
+    return rolling(mixed(tokens.astype(np.uint64)), least).view(np.int64)
+
+
+def _short(tokens: np.ndarray) -> np.ndarray:
+    """A part of each token.  Equal runs stay equal; different ones that become so are told apart when they are counted."""
+    return tokens.astype(np.uint16)
+
+
+def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Articles' short tokens, packed; of those that a task meets again mostly the first."""
+    seen: set[tuple] = set()
+    for hosts, articles, texts, tags in rows_of(batches, "host", "article", "text", "tags"):
+        rows = []
+        for key in zip(hosts, articles, texts, tags):
+            if key[:2] in seen:
+                continue
+            if len(seen) >= 100_000:
+                seen.clear()
+            seen.add(key[:2])
+            rows.append((*key[:2], zlib.compress(_short(article_tokens(*key[2:])[0]).tobytes(), 1)))
+        if rows:
+            hosts, articles, streams = zip(*rows)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hosts, pa.string()), pa.array(articles, pa.binary()), pa.array(streams, pa.binary())], names=["host", "article", "stream"]
+            )
+
+
+def _common(how: Boilerplate):
+    def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Runs of short tokens that nearly all articles of a chunk have, for rows sorted by host, chunk and article."""
+        held: list[tuple] = []
+        size = 0
+
+        def handled():
+            numbers: dict[tuple, int] = {}
+            groups = [numbers.setdefault(row[:2], len(numbers)) for row in held]
+            articles = np.bincount(groups)
+            streams = [row[3].astype(np.uint64) for row in held]
+            runs: dict[tuple, None] = {}
+            for row, g, count in zip(held, groups, run_owners(streams, groups, how.least)):
+                at = np.flatnonzero(count * 10 >= how.of_ten * articles[g])
+                if len(at):
+                    runs |= dict.fromkeys((row[0], x) for x in article_runs(row[3], how.least)[at].tolist())
+            return pa.RecordBatch.from_arrays(
+                [pa.array([h for h, _ in runs], pa.string()), pa.array([x for _, x in runs], pa.int64())], names=["host", "run"]
+            )
+
+        for rows in rows_of(batches, "host", "chunk", "article", "stream"):
+            for row in zip(*rows):
+                if held and row[:3] == held[-1][:3]:
+                    continue
+                if size > how.chunk and row[:2] != held[-1][:2]:
+                    yield handled()
+                    held, size = [], 0
+                held.append((*row[:3], np.frombuffer(zlib.decompress(row[3]), np.uint16)))
+                size += len(held[-1][3])
+        if held:
+            yield handled()
+
+    return common
+
+
+def _carried(least: int):
+    def carried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Runs of each article whose short tokens are among its host's ``runs``."""
+        for *keys, texts, tags, runs in rows_of(batches, "host", "article", "text", "tags", "runs"):
+            found = []
+            for text, elements, named in zip(texts, tags, runs):
+                tokens = article_tokens(text, elements)[0]
+                at = np.isin(article_runs(_short(tokens), least), np.array(named, np.int64))
+                found.append(np.unique(article_runs(tokens, least)[at]))
+            kinds = pa.string(), pa.binary(), pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((*keys, found), kinds)], names=["host", "article", "runs"])
+
+    return carried
+
+
+def host_notices(articles: DataFrame, how: Boilerplate) -> DataFrame:
+    """host, and ``runs``: hashes of the runs that nearly all different articles of the host have.
+
+    ``articles`` has host, article (a digest), text, tags and tokens.
+    """
+    hosts = articles.select("host", "article", "tokens").distinct().groupBy("host").agg(F.count("*").alias("n"), F.sum("tokens").alias("tokens"))
+    chunks = F.least(F.ceil(F.col("tokens") / how.chunk), F.floor(F.col("n") / how.articles))
+    hosts = hosts.filter(F.col("n") >= how.pages).select(F.col("host").alias("h_host"), "n", F.greatest(chunks, F.lit(1)).cast("int").alias("chunks"))
+    hosts = saved(hosts, "hosts")
+    on = F.col("host") == F.col("h_host")
+    streams = articles.select("host", "article", "text", "tags").mapInArrow(_streams, "host string, article binary, stream binary")
+    dealt = streams.join(hosts, on).withColumn("chunk", F.pmod(F.xxhash64("article"), "chunks").cast("int"))
+    sorted_ = dealt.select("host", "chunk", "article", "stream").repartition("host", "chunk").sortWithinPartitions("host", "chunk", "article")
+    named = saved(sorted_.mapInArrow(_common(how), "host string, run bigint"), "runs")
+    named = named.groupBy("host").agg(F.collect_set("run").alias("runs")).select(F.col("host").alias("r_host"), "runs")
+    met = articles.join(named, F.col("host") == F.col("r_host")).select("host", "article", "text", "tags", "runs")
+    # an article's runs are one row, to be short, until copies are away
+    carried = met.mapInArrow(_carried(how.least), "host string, article binary, runs array<bigint>").distinct()
+    carried = carried.select("host", F.explode("runs").alias("run"))
+    counted = carried.groupBy("host", "run").agg(F.count("*").alias("carriers")).join(hosts, on)
+    return counted.filter(F.col("carriers") * 10 >= F.col("n") * how.of_ten).groupBy("host").agg(F.collect_list("run").alias("runs"))
+
+
+def without_notices(text: str, tags: list[str], runs: list[int], least: int) -> str:
+    """An article without the lines that a host's ``runs`` cover, if more than half of it is left."""
+    tokens, sizes = article_tokens(text, tags)
+    gone = _covered(np.flatnonzero(np.isin(article_runs(tokens, least), np.array(runs, np.int64))), sizes, least)
+    if 2 * int(sizes[gone].sum()) >= int(sizes.sum()):
+        return text
+    return "\n".join(line for line, g in zip(text.split("\n"), gone) if not g)
+
+
+def _own(least: int, kind: pa.DataType):
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, urls, *rows in rows_of(batches, "page_id", "url", "text", "tags", "runs"):
+            texts = [without_notices(*row, least) for row in zip(*rows)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, kind), pa.array(urls, pa.string()), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
+            )
+
+    return own
+
+
 def extract_text(pages: DataFrame, how: Boilerplate = Boilerplate()) -> DataFrame:
     """page_id, url, text, n_chars of every row of pages."""
     kind = pages.schema["page_id"].dataType.simpleString()
@@ -459,13 +625,20 @@ def extract_text(pages: DataFrame, how: Boilerplate = Boilerplate()) -> DataFram
     id_type = pa.string() if kind == "string" else pa.int64()
     host = F.regexp_extract(F.lower(F.coalesce(pages["url"], F.lit(""))), HOST, 1).alias("host")
     read = pages.select(pages["page_id"].cast(kind).alias("page_id"), pages["url"].alias("url"), host, pages["html"].alias("html"))
-    schema = f"page_id {kind}, url string, host string, text string, blocks array<struct<text string, free boolean, tokens bigint>>, stream binary, digest binary"
-    read = saved(read.mapInArrow(_read(id_type), schema), "pages")
-    placed = read.filter("text is not null").select("page_id", "url", "text")
+    schema = f"page_id {kind}, url string, host string, text string, blocks array<struct<text string, free boolean, tokens bigint>>, stream binary, digest binary, tags array<string>, article binary, tokens bigint"
+    read = saved(read.mapInArrow(_read(id_type), schema), "pages", compression="zstd")
+    articles = read.filter("article is not null").select("host", "article", "text", "tags", "tokens")
+    notices = saved(host_notices(articles, how), "notices").withColumnRenamed("host", "n_host")
+    marked = read.filter("text is not null").select("page_id", "url", "host", "text", "tags")
+    on = F.col("host") == F.col("n_host")
+    placed = marked.join(notices, on, "left_anti").select("page_id", "url", "text")
+    # a page without an article's lines has no notices either
+    cleared = marked.join(notices, on).select("page_id", "url", "text", "tags", "runs")
+    cleared = cleared.mapInArrow(_own(how.least, id_type), f"page_id {kind}, url string, text string")
     streams = read.filter("octet_length(stream) > 0").groupBy("host", "digest").agg(F.any_value("stream").alias("stream"))
     repeats = host_repeats(saved(streams, "streams"), how)
     repeats = repeats.select(F.col("host").alias("r_host"), F.col("digest").alias("r_digest"), "at")
     open_ = read.filter("text is null").select("page_id", "url", "host", "digest", "blocks")
     met = open_.join(repeats, (F.col("host") == F.col("r_host")) & (F.col("digest") == F.col("r_digest")), "left")
     rest = met.select("page_id", "url", "blocks", "at").mapInArrow(_kept(how.least, id_type), f"page_id {kind}, url string, text string")
-    return placed.unionByName(rest).withColumn("n_chars", F.length("text").cast("bigint"))
+    return placed.unionByName(cleared).unionByName(rest).withColumn("n_chars", F.length("text").cast("bigint"))
