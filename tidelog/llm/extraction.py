@@ -525,6 +525,15 @@ def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _of_hosts(found: dict[str, list[np.ndarray]]) -> pa.RecordBatch:
+    """Rows of a host and a run, without repeats."""
+    runs = [np.unique(np.concatenate(r)) for r in found.values()]
+    hosts = [h for h, r in zip(found, runs) for _ in range(len(r))]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(hosts, pa.string()), pa.array(np.concatenate(runs) if runs else [], pa.int64())], names=["host", "run"]
+    )
+
+
 def _common(how: Boilerplate):
     def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Runs of short tokens that nearly all articles of a chunk have, for rows sorted by host, chunk and article."""
@@ -536,14 +545,12 @@ def _common(how: Boilerplate):
             groups = [numbers.setdefault(row[:2], len(numbers)) for row in held]
             articles = np.bincount(groups)
             streams = [row[3].astype(np.uint64) for row in held]
-            runs: dict[tuple, None] = {}
+            found: dict[str, list] = {}
             for row, g, count in zip(held, groups, run_owners(streams, groups, how.least)):
-                at = np.flatnonzero(count * 10 >= how.of_ten * articles[g])
-                if len(at):
-                    runs |= dict.fromkeys((row[0], x) for x in article_runs(row[3], how.least)[at].tolist())
-            return pa.RecordBatch.from_arrays(
-                [pa.array([h for h, _ in runs], pa.string()), pa.array([x for _, x in runs], pa.int64())], names=["host", "run"]
-            )
+                common = count * 10 >= how.of_ten * articles[g]
+                if common.any():
+                    found.setdefault(row[0], []).append(article_runs(row[3], how.least)[common])
+            return _of_hosts(found)
 
         for rows in rows_of(batches, "host", "chunk", "article", "stream"):
             for row in zip(*rows):
@@ -560,19 +567,33 @@ def _common(how: Boilerplate):
     return common
 
 
-def _carried(least: int):
-    def carried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Runs of each article whose short tokens are among its host's ``runs``."""
+def _whole(least: int):
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Articles' runs whose short tokens are among their host's ``runs``."""
+        for rows in rows_of(batches, "host", "text", "tags", "runs"):
+            found: dict[str, list] = {}
+            for host, text, tags, runs in zip(*rows):
+                tokens = article_tokens(text, tags)[0]
+                at = np.isin(article_runs(_short(tokens), least), np.array(runs, np.int64))
+                found.setdefault(host, []).append(article_runs(tokens, least)[at])
+            yield _of_hosts(found)
+
+    return whole
+
+
+def _lacked(least: int):
+    def lacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Which of its host's ``runs`` each article has not."""
         for *keys, texts, tags, runs in rows_of(batches, "host", "article", "text", "tags", "runs"):
-            found = []
-            for text, elements, named in zip(texts, tags, runs):
-                tokens = article_tokens(text, elements)[0]
-                at = np.isin(article_runs(_short(tokens), least), np.array(named, np.int64))
-                found.append(np.unique(article_runs(tokens, least)[at]))
+            lacks = [np.setdiff1d(np.array(r, np.int64), article_runs(article_tokens(*page)[0], least)) for *page, r in zip(texts, tags, runs)]
             kinds = pa.string(), pa.binary(), pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((*keys, found), kinds)], names=["host", "article", "runs"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((*keys, lacks), kinds)], names=["host", "article", "lacks"])
+
+    return lacked
+
 
-    return carried
+def _listed(runs: DataFrame, name: str) -> DataFrame:
+    return runs.groupBy("host").agg(F.collect_list("run").alias("runs")).withColumnRenamed("host", name)
 
 
 def host_notices(articles: DataFrame, how: Boilerplate) -> DataFrame:
@@ -588,14 +609,16 @@ def host_notices(articles: DataFrame, how: Boilerplate) -> DataFrame:
     streams = articles.select("host", "article", "text", "tags").mapInArrow(_streams, "host string, article binary, stream binary")
     dealt = streams.join(hosts, on).withColumn("chunk", F.pmod(F.xxhash64("article"), "chunks").cast("int"))
     sorted_ = dealt.select("host", "chunk", "article", "stream").repartition("host", "chunk").sortWithinPartitions("host", "chunk", "article")
-    named = saved(sorted_.mapInArrow(_common(how), "host string, run bigint"), "runs")
-    named = named.groupBy("host").agg(F.collect_set("run").alias("runs")).select(F.col("host").alias("r_host"), "runs")
-    met = articles.join(named, F.col("host") == F.col("r_host")).select("host", "article", "text", "tags", "runs")
-    # an article's runs are one row, to be short, until copies are away
-    carried = met.mapInArrow(_carried(how.least), "host string, article binary, runs array<bigint>").distinct()
-    carried = carried.select("host", F.explode("runs").alias("run"))
-    counted = carried.groupBy("host", "run").agg(F.count("*").alias("carriers")).join(hosts, on)
-    return counted.filter(F.col("carriers") * 10 >= F.col("n") * how.of_ten).groupBy("host").agg(F.collect_list("run").alias("runs"))
+    named = saved(sorted_.mapInArrow(_common(how), "host string, run bigint").distinct(), "runs")
+    met = articles.join(_listed(named, "r_host"), F.col("host") == F.col("r_host")).select("host", "text", "tags", "runs")
+    whole = saved(met.mapInArrow(_whole(how.least), "host string, run bigint").distinct(), "whole")
+    met = articles.join(_listed(whole, "w_host"), F.col("host") == F.col("w_host")).select("host", "article", "text", "tags", "runs")
+    # what an article lacks is less than what it has; copies count once
+    lacked = met.mapInArrow(_lacked(how.least), "host string, article binary, lacks array<bigint>").distinct()
+    lacked = lacked.select(F.col("host").alias("l_host"), F.explode("lacks").alias("l_run")).groupBy("l_host", "l_run").agg(F.count("*").alias("lacking"))
+    counted = whole.join(hosts, on).join(lacked, (F.col("host") == F.col("l_host")) & (F.col("run") == F.col("l_run")), "left")
+    carriers = F.col("n") - F.coalesce("lacking", F.lit(0))
+    return counted.filter(carriers * 10 >= F.col("n") * how.of_ten).groupBy("host").agg(F.collect_list("run").alias("runs"))
 
 
 def without_notices(text: str, tags: list[str], runs: list[int], least: int) -> str:
